@@ -38,8 +38,15 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
+# Output rounding for the oracle comparison. Averages of 2-decimal inputs often sit exactly on a
+# 4-place tie, where last-bit summation differences flip the rounded value; scaling by 1 + 1e-12
+# first moves exact ties away from zero in both engines (the SQL does the same) and leaves other
+# values unchanged.
+NUDGE = 1.000000000001
+
+
 def r4(c) -> "F.Column":
-    return F.round(F.col(c) if isinstance(c, str) else c, 4)
+    return F.round((F.col(c) if isinstance(c, str) else c) * F.lit(NUDGE), 4)
 
 
 def rounded(df: DataFrame) -> DataFrame:
@@ -91,14 +98,14 @@ def q_facility_mart(spark, d):
 
 
 @register("income_mart", _with(GEO, INCOME, MVINCOME) +
-          "SELECT neighborhood_id, Year, round(average, 4) AS average FROM mvincome")
+          "SELECT neighborhood_id, Year, round((average) * 1.000000000001e0, 4) AS average FROM mvincome")
 def q_income_mart(spark, d):
     return rounded(marts.income_mart(standins.income(spark, d)))
 
 
-@register("listing_mart", _with(GEO, LISTINGS, MVIDEALISTA) + """SELECT neighborhood_id, Year, district, round(price, 4) AS price,
-  round(rooms, 4) AS rooms, round(bathrooms, 4) AS bathrooms, "count", round(pba, 4) AS pba, totalrooms, totalbathrooms,
-  round(mean_size, 4) AS mean_size FROM mvidealista""")
+@register("listing_mart", _with(GEO, LISTINGS, MVIDEALISTA) + """SELECT neighborhood_id, Year, district, round((price) * 1.000000000001e0, 4) AS price,
+  round((rooms) * 1.000000000001e0, 4) AS rooms, round((bathrooms) * 1.000000000001e0, 4) AS bathrooms, "count", round((pba) * 1.000000000001e0, 4) AS pba, totalrooms, totalbathrooms,
+  round((mean_size) * 1.000000000001e0, 4) AS mean_size FROM mvidealista""")
 def q_listing_mart(spark, d):
     return rounded(marts.listing_mart(standins.listings(spark, d)))
 
@@ -114,46 +121,46 @@ def _markets_vs_income(spark, d):
 
 
 @register("markets_vs_income", _with(GEO, FACILITIES, INCOME, MVMARKETS, MVINCOME, MARKETS_VS_INCOME) +
-          "SELECT neighborhood_id, district, numMarkets, round(average, 4) AS average FROM mvi")
+          "SELECT neighborhood_id, district, numMarkets, round((average) * 1.000000000001e0, 4) AS average FROM mvi")
 def q_markets_vs_income(spark, d):
     return rounded(_markets_vs_income(spark, d))
 
 
 @register("markets_by_district", _with(GEO, FACILITIES, INCOME, MVMARKETS, MVINCOME, MARKETS_VS_INCOME) +
-          "SELECT district, round(avg(numMarkets), 4) AS numMarkets FROM mvi GROUP BY district")
+          "SELECT district, round((avg(numMarkets)) * 1.000000000001e0, 4) AS numMarkets FROM mvi GROUP BY district")
 def q_markets_by_district(spark, d):
     return rounded(dashboard.markets_by_district(_markets_vs_income(spark, d)))
 
 
 @register("rooms_vs_price", _with(GEO, LISTINGS, MVIDEALISTA) +
-          "SELECT round(rooms + bathrooms, 4) AS rooms_bathrooms, round(pba, 4) AS rph, district FROM mvidealista")
+          "SELECT round((rooms + bathrooms) * 1.000000000001e0, 4) AS rooms_bathrooms, round((pba) * 1.000000000001e0, 4) AS rph, district FROM mvidealista")
 def q_rooms_vs_price(spark, d):
     return rounded(dashboard.rooms_vs_price(_mvidealista(spark, d)))
 
 
 @register("price_per_room", _with(GEO, LISTINGS, MVIDEALISTA) + """SELECT district,
-  round(avg(price / nullif(CAST(totalrooms + totalbathrooms AS DOUBLE), 0)), 4) AS PricePerRoom, round(avg(pba), 4) AS pba
+  round((avg(price / nullif(CAST(totalrooms + totalbathrooms AS DOUBLE), 0))) * 1.000000000001e0, 4) AS PricePerRoom, round((avg(pba)) * 1.000000000001e0, 4) AS pba
   FROM mvidealista GROUP BY district""")
 def q_price_per_room(spark, d):
     return rounded(dashboard.price_per_room(_mvidealista(spark, d)))
 
 
 @register("size_by_district", _with(GEO, LISTINGS, MVIDEALISTA) +
-          "SELECT district, round(avg(mean_size), 4) AS mean_size FROM mvidealista GROUP BY district")
+          "SELECT district, round((avg(mean_size)) * 1.000000000001e0, 4) AS mean_size FROM mvidealista GROUP BY district")
 def q_size_by_district(spark, d):
     return rounded(dashboard.size_by_district(_mvidealista(spark, d)))
 
 
 # ---- keyed aggregation (A1 A2 A2b) -----------------------------------------------------------
-@register("vector_mean", _with(GEO, LISTINGS) + """SELECT neighborhood_id, round(avg(price), 4) AS price,
-  round(avg(size), 4) AS size, round(avg(rooms), 4) AS rooms, round(avg(bathrooms), 4) AS bathrooms,
-  round(avg(priceByArea), 4) AS priceByArea FROM listings GROUP BY neighborhood_id""")
+@register("vector_mean", _with(GEO, LISTINGS) + """SELECT neighborhood_id, round((avg(price)) * 1.000000000001e0, 4) AS price,
+  round((avg(size)) * 1.000000000001e0, 4) AS size, round((avg(rooms)) * 1.000000000001e0, 4) AS rooms, round((avg(bathrooms)) * 1.000000000001e0, 4) AS bathrooms,
+  round((avg(priceByArea)) * 1.000000000001e0, 4) AS priceByArea FROM listings GROUP BY neighborhood_id""")
 def q_vector_mean(spark, d):
     return rounded(mean_by(standins.listings(spark, d), "neighborhood_id", LISTING_FEATURES))
 
 
-@register("mean_and_sum", _with(GEO, INCOME) + """SELECT neighborhood_id, round(avg(index_rfd), 4) AS index_rfd,
-  round(sum(population), 4) AS population FROM income GROUP BY neighborhood_id""")
+@register("mean_and_sum", _with(GEO, INCOME) + """SELECT neighborhood_id, round((avg(index_rfd)) * 1.000000000001e0, 4) AS index_rfd,
+  round((sum(population)) * 1.000000000001e0, 4) AS population FROM income GROUP BY neighborhood_id""")
 def q_mean_and_sum(spark, d):
     return rounded(mean_by(standins.income(spark, d), "neighborhood_id", ["index_rfd"], sums=["population"]))
 
@@ -180,7 +187,7 @@ bi AS (SELECT neighborhood_id, index_rfd, population,
 
 
 @register("rank_bucket_income", _with(GEO, INCOME, RANKED_INCOME) +
-          "SELECT neighborhood_id, round(index_rfd, 4) AS index_rfd, round(population, 4) AS population, bucket FROM bi")
+          "SELECT neighborhood_id, round((index_rfd) * 1.000000000001e0, 4) AS index_rfd, round((population) * 1.000000000001e0, 4) AS population, bucket FROM bi")
 def q_rank_bucket_income(spark, d):
     means = mean_by(standins.income(spark, d), "neighborhood_id", ["index_rfd", "population"])
     return rounded(rank_bucket(means, "index_rfd", "neighborhood_id", out="bucket"))
@@ -190,9 +197,9 @@ def q_rank_bucket_income(spark, d):
 nm AS (SELECT neighborhood_id, count(*) AS n_markets FROM facilities GROUP BY neighborhood_id),
 lm AS (SELECT neighborhood_id, avg(price) AS price, avg(size) AS size, avg(rooms) AS rooms, avg(bathrooms) AS bathrooms,
   avg(priceByArea) AS priceByArea FROM listings GROUP BY neighborhood_id)
-SELECT nm.neighborhood_id, nm.n_markets, round(lm.price, 4) AS price, round(lm.size, 4) AS size, round(lm.rooms, 4) AS rooms,
-  round(lm.bathrooms, 4) AS bathrooms, round(lm.priceByArea, 4) AS priceByArea, bi.bucket AS index_rfd,
-  round(bi.population, 4) AS population
+SELECT nm.neighborhood_id, nm.n_markets, round((lm.price) * 1.000000000001e0, 4) AS price, round((lm.size) * 1.000000000001e0, 4) AS size, round((lm.rooms) * 1.000000000001e0, 4) AS rooms,
+  round((lm.bathrooms) * 1.000000000001e0, 4) AS bathrooms, round((lm.priceByArea) * 1.000000000001e0, 4) AS priceByArea, bi.bucket AS index_rfd,
+  round((bi.population) * 1.000000000001e0, 4) AS population
 FROM nm JOIN lm ON lm.neighborhood_id = nm.neighborhood_id JOIN bi ON bi.neighborhood_id = nm.neighborhood_id""")
 def q_feature_table(spark, d):
     return rounded(_features(spark, d))
@@ -342,7 +349,7 @@ def q_unnest_first(spark, d):
 
 
 @register("flatten_struct", """SELECT l_orderkey, l_linenumber,
-  round(CASE WHEN l_returnflag = 'N' THEN l_extendedprice ELSE l_extendedprice * (1 - l_discount) END, 4) AS price,
+  round((CASE WHEN l_returnflag = 'N' THEN l_extendedprice ELSE l_extendedprice * (1 - l_discount) END) * 1.000000000001e0, 4) AS price,
   CASE WHEN l_returnflag = 'N' THEN NULL ELSE l_discount END AS parkingSpacePrice,
   CASE WHEN l_returnflag = 'N' THEN NULL ELSE l_linestatus = 'F' END AS hasParkingSpace FROM lineitem""")
 def q_flatten_struct(spark, d):
@@ -419,9 +426,9 @@ CUSTOMER_COLS = "c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment"
   UNION ALL SELECT c_custkey, c_name, c_nationkey, c_acctbal + 200, c_mktsegment, 2 FROM customer WHERE c_mktsegment = 'BUILDING'
   UNION ALL SELECT c_custkey + 10000000, c_name, c_nationkey, c_acctbal, c_mktsegment, 1 FROM customer WHERE c_mktsegment = 'MACHINERY'),
 latest AS (SELECT {CUSTOMER_COLS} FROM (SELECT *, row_number() OVER (PARTITION BY c_custkey ORDER BY seq DESC) AS rn FROM u) WHERE rn = 1)
-SELECT c_custkey, c_name, c_nationkey, round(c_acctbal, 4) AS c_acctbal, c_mktsegment FROM customer
+SELECT c_custkey, c_name, c_nationkey, round((c_acctbal) * 1.000000000001e0, 4) AS c_acctbal, c_mktsegment FROM customer
   WHERE c_custkey NOT IN (SELECT c_custkey FROM latest)
-UNION ALL SELECT c_custkey, c_name, c_nationkey, round(c_acctbal, 4) AS c_acctbal, c_mktsegment FROM latest""")
+UNION ALL SELECT c_custkey, c_name, c_nationkey, round((c_acctbal) * 1.000000000001e0, 4) AS c_acctbal, c_mktsegment FROM latest""")
 def q_upsert_latest(spark, d):
     c = standins.table(spark, d, "customer").select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
     b = c.where(F.col("c_mktsegment") == "BUILDING")

@@ -79,6 +79,15 @@ class Zone:
             check_unique(df, primary_key)
         return df
 
+    def insert_new(self, name: str, rows: DataFrame, keys: Sequence[str]) -> str:
+        """Append only rows whose key is not in the table yet (first wins across runs; rerunning
+        the same rows is a no-op). The table side is read for its keys only."""
+        if not self.exists(name):
+            return self.overwrite(rows, name)
+        existing = self.read(name).select(*keys).distinct()
+        fresh = rows.join(existing, [rows[k].eqNullSafe(existing[k]) for k in keys], "left_anti")
+        return self.append(fresh.select(*self.read(name).columns), name)
+
     def upsert(self, name: str, updates: DataFrame, keys: Sequence[str], *, order: Sequence[str] | None = None) -> str:
         """``INSERT OR REPLACE`` by key: updates replace rows with the same key, others are inserted."""
         if not self.exists(name):
