@@ -17,19 +17,22 @@ def dedup_first(df: DataFrame, keys, order, *, keep: str = "first") -> DataFrame
 
     NULL keys form one group. Ties in ``order`` are broken by the rest of the row's content, so
     the kept row never depends on partitioning. The plan is one aggregation of
-    ``min(struct(order..., row))``: it combines map-side before the shuffle, so a key holding a
+    ``min(struct(order..., other columns))``: it combines map-side before the shuffle, so a key holding a
     third of the table still reaches the shuffle as one row per input partition.
     """
     keys, order = _names(keys), _names(order)
     if not keys:
         raise ValueError("dedup_first needs at least one key")
     cols = df.columns
-    packed = F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)],
-                      F.struct(*[F.col(f"`{c}`") for c in cols]).alias("_row"))
+    # pack (order..., other columns); keys come back from the grouping, order columns from the
+    # pack, so no column is carried twice through the sort and the shuffle
+    rest = [c for c in cols if c not in keys and c not in order]
+    packed = F.struct(*[F.col(f"`{c}`").alias(f"_o{i}") for i, c in enumerate(order)],
+                      *[F.col(f"`{c}`").alias(f"_r{i}") for i, c in enumerate(rest)])
     pick = F.min(packed) if keep == "first" else F.max(packed)
-    return (df.groupBy(*[F.col(f"`{k}`").alias(f"_k{i}") for i, k in enumerate(keys)])
-              .agg(pick.alias("_m"))
-              .select(*[F.col(f"_m._row.`{c}`").alias(c) for c in cols]))
+    src = {**{c: f"_m._o{i}" for i, c in enumerate(order)}, **{c: f"_m._r{i}" for i, c in enumerate(rest)}}
+    grouped = df.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(pick.alias("_m"))
+    return grouped.select(*[F.col(f"`{c}`") if c in keys else F.col(src[c]).alias(c) for c in cols])
 
 
 def dedup_first_window(df: DataFrame, keys, order, *, keep: str = "first") -> DataFrame:

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from citylake.operators.broadcast import bounded_broadcast
 from citylake.operators.rank import global_rank
+from citylake.session import materialize
 
 # The place dictionary's row layout and the columns a match copies onto a record.
 LOOKUP_COLUMNS = ["district", "neighborhood", "district_n_reconciled", "district_n", "district_id",
@@ -84,13 +85,18 @@ def reconcile(df: DataFrame, lookup: DataFrame, on: str, *, columns: Sequence[st
 
 def extend_lookup(lookup: DataFrame, df: DataFrame, *, name: str, district: str, district_id: str,
                   neighborhood_id: str, order: Iterable[str], pos: str = "pos",
-                  prefix: str = MINT_PREFIX, max_broadcast_rows: int | None = None) -> DataFrame:
+                  prefix: str = MINT_PREFIX, max_broadcast_rows: int | None = None,
+                  checkpoint: bool = True) -> DataFrame:
     """Append one minted dictionary row per name of ``df`` that matches nothing.
 
     Names are grouped by their lowercase form; each new row comes from the first record of its
     group in ``order`` and gets ``prefix + district_id`` / ``prefix + district_id + neighborhood_id``
     as ids. New rows are placed after the existing ones, in order of their first record, so a
     later ``reconcile`` against the result matches every record of those names.
+
+    The result is a dictionary (small, read several times by the next ``reconcile``: size check
+    and two joins), so by default it is checkpointed to the session's checkpoint folder, which
+    also cuts the lineage back to the records it was derived from.
     """
     order = list(order)
     probe = reconcile(df.select(*{name, district, district_id, neighborhood_id, *order}), lookup, name,
@@ -117,7 +123,8 @@ def extend_lookup(lookup: DataFrame, df: DataFrame, *, name: str, district: str,
         F.col("_name").alias("neighborhood_n_reconciled"),
         F.lower("_name").alias("neighborhood_n"),
         F.concat(F.lit(prefix), "_did", "_nid").alias("neighborhood_id"))
-    return lookup.unionByName(minted, allowMissingColumns=True)
+    extended = lookup.unionByName(minted, allowMissingColumns=True)
+    return materialize(extended) if checkpoint else extended
 
 
 def reconcile_with_fallback(df: DataFrame, lookup: DataFrame, *, fine_on: str, coarse_on: str,

@@ -20,7 +20,6 @@ from citylake.operators.reconcile import extend_lookup, reconcile
 from citylake.operators.shape import SRC, drop_all_null, drop_columns, flatten_first, flatten_struct, unnest_envelope
 from citylake.plans import dashboard, marts
 from citylake.plans.features import build_features
-from citylake.session import materialize
 from citylake.sources.landing import read_landing, read_lookup
 from citylake.sources.zone import Zone
 
@@ -53,8 +52,8 @@ def format_facilities(envelopes: DataFrame, lookup: DataFrame) -> tuple[DataFram
     for c in ("district_name", "neighborhood_name", "district_id", "neighborhood_id"):
         if c not in rows.columns:
             rows = rows.withColumn(c, F.lit(None).cast("string"))
-    extended = materialize(extend_lookup(lookup, rows, name="neighborhood_name", district="district_name",
-                                         district_id="district_id", neighborhood_id="neighborhood_id", order=[SRC]))
+    extended = extend_lookup(lookup, rows, name="neighborhood_name", district="district_name",
+                             district_id="district_id", neighborhood_id="neighborhood_id", order=[SRC])
     table = reconcile(rows, extended, "neighborhood_name", how="left")
     return table.drop("district_name", "neighborhood_name", SRC), extended
 

@@ -11,14 +11,22 @@ from pyspark.ml.feature import IndexToString, StringIndexer, VectorAssembler, Ve
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from citylake.session import materialize
+
 # Fixed values from the reference model: 10 trees, 70/30 split, categorical features up to 3 values.
 NUM_TREES = 10
 SPLIT = (0.7, 0.3)
 MAX_CATEGORIES = 3
 
 
-def split(df: DataFrame, *, seed: int, weights: Sequence[float] = SPLIT) -> list[DataFrame]:
-    """Seeded random split (the reference's is unseeded)."""
+def split(df: DataFrame, *, seed: int, weights: Sequence[float] = SPLIT, checkpoint: bool = True) -> list[DataFrame]:
+    """Seeded random split (the reference's is unseeded).
+
+    Both parts are read from one checkpointed copy of the input, so the input's plan runs once
+    and the split does not change if a part is recomputed after an executor is lost.
+    """
+    if checkpoint:
+        df = materialize(df)
     return df.randomSplit(list(weights), seed=seed)
 
 
@@ -31,8 +39,9 @@ def train(df: DataFrame, *, label: str = "index_rfd", id_cols: Sequence[str] = (
     ``(model, train_df, test_df)``.
     """
     features = [c for c in df.columns if c not in set(id_cols) | {label}]
+    df = materialize(df)  # the fitting jobs below each read the input: compute it once
     labels = StringIndexer(inputCol=label, outputCol="indexedLabel").fit(df)
-    train_df, test_df = split(df, seed=seed, weights=weights)
+    train_df, test_df = split(df, seed=seed, weights=weights, checkpoint=False)
     pipeline = Pipeline(stages=[
         VectorAssembler(inputCols=features, outputCol="features", handleInvalid="keep"),
         labels,
