@@ -20,7 +20,7 @@ from citylake.operators.rank import global_rank, rank_bucket
 from citylake.operators.reconcile import extend_lookup, reconcile, reconcile_with_fallback
 from citylake.operators.shape import drop_all_null, flatten_first, flatten_struct, unnest_envelope
 from citylake.operators.upsert import upsert
-from citylake.plans import dashboard, marts, ml, standins
+from citylake.plans import city, dashboard, marts, ml, standins
 from citylake.plans.features import LISTING_FEATURES, build_features
 from citylake.sources.landing import read_lookup
 
@@ -482,3 +482,114 @@ def q_rf_predict(spark, d):
 def q_rf_evaluate(spark, d):
     model, _, test_df = ml.train(_features(spark, d), seed=42)
     return ml.evaluate(ml.predict(model, test_df))
+
+
+# ---- formatted zone on whole tables (P1 P2 P3 P9 P10 F1 F2 F4 J1 J1b A9 X1-X5 X12) ----------------
+LISTING_RECS = """recs AS (SELECT l.l_orderkey // 4 AS block, CAST(l.l_orderkey AS VARCHAR) || '-' || CAST(l.l_linenumber AS VARCHAR) AS propertyCode,
+  l.l_extendedprice AS price, l.l_quantity AS size, l.l_linenumber AS rooms, CAST(round(l.l_tax * 100) AS INTEGER) AS bathrooms,
+  l.l_extendedprice / l.l_quantity AS priceByArea,
+  CASE l.l_partkey % 7 WHEN 0 THEN g.n_name WHEN 1 THEN lower(g.n_name)
+    WHEN 2 THEN upper(substr(g.n_name, 1, 1)) || lower(substr(g.n_name, 2)) WHEN 3 THEN g.r_name
+    WHEN 4 THEN g.n_name || ' ' WHEN 5 THEN NULL ELSE lower(g.r_name) END AS neighborhood, g.r_name AS district,
+  CASE WHEN l.l_returnflag = 'N' THEN NULL ELSE l.l_linestatus = 'F' END AS hasParkingSpace,
+  CASE WHEN l.l_returnflag = 'N' THEN NULL ELSE l.l_discount > 0.05 END AS isParkingSpaceIncludedInPrice,
+  CASE WHEN l.l_returnflag = 'N' THEN NULL ELSE l.l_tax * 1000 END AS parkingSpacePrice, o.o_orderdate
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN customer c ON o.o_custkey = c.c_custkey
+  JOIN geo g ON c.c_nationkey = g.n_nationkey)"""
+FORMAT_LISTINGS_SQL = _with(GEO, PLACES, f"vals AS (SELECT pos, unnest({LOOKUP_VALUES}) AS v FROM places)", LISTING_RECS,
+    """docs AS (SELECT *, 'L' || CAST(block AS VARCHAR) AS source_id,
+  strftime(min(o_orderdate) OVER (PARTITION BY block), '%Y-%m-%d') AS "timestamp" FROM recs)""",
+    """best AS (SELECT d.*, (SELECT min(v.pos) FROM vals v WHERE v.v = d.neighborhood OR v.v = lower(d.neighborhood)) AS mpos
+  FROM docs d)""",
+    """firsts AS (SELECT b.*, row_number() OVER (PARTITION BY propertyCode, "timestamp" ORDER BY price, size, rooms, bathrooms,
+  priceByArea, neighborhood NULLS FIRST, district, hasParkingSpace NULLS FIRST, isParkingSpaceIncludedInPrice NULLS FIRST,
+  parkingSpacePrice NULLS FIRST) AS rn FROM best b WHERE mpos IS NOT NULL)""") + """SELECT f.propertyCode AS id, f."timestamp",
+  f.source_id, f.price, f.rooms, f.bathrooms, p.neighborhood, p.district, p.district_id, p.neighborhood_id, f.hasParkingSpace,
+  f.isParkingSpaceIncludedInPrice, round((f.parkingSpacePrice) * 1.000000000001e0, 4) AS parkingSpacePrice
+FROM firsts f JOIN places p ON p.pos = f.mpos WHERE f.rn = 1"""
+
+
+@register("format_listings_zone", FORMAT_LISTINGS_SQL)
+def q_format_listings_zone(spark, d):
+    """Listing documents -> unnest with snapshot date -> reconcile (inner) -> first per (id, date)
+    among matched records -> flatten the parking struct."""
+    out = city.format_listings(standins.listing_envelopes(spark, d), standins.places(spark, d))
+    return rounded(out.select("id", "timestamp", "source_id", "price", "rooms", "bathrooms", "neighborhood", "district",
+                              "district_id", "neighborhood_id", "hasParkingSpace", "isParkingSpaceIncludedInPrice",
+                              "parkingSpacePrice"))
+
+
+INCOME_RECS = """recs AS (SELECT 'I' || CAST(o.o_orderkey // 4 AS VARCHAR) AS _id, substr(CAST(o.o_orderdate AS VARCHAR), 1, 4) AS "Any",
+  CAST(g.r_regionkey AS VARCHAR) AS Codi_Districte, g.r_name AS Nom_Districte, CAST(g.n_nationkey AS VARCHAR) AS Codi_Barri,
+  CASE o.o_orderkey % 7 WHEN 0 THEN g.n_name WHEN 1 THEN lower(g.n_name)
+    WHEN 2 THEN upper(substr(g.n_name, 1, 1)) || lower(substr(g.n_name, 2)) WHEN 3 THEN g.r_name
+    WHEN 4 THEN g.n_name || ' ' WHEN 5 THEN NULL ELSE lower(g.r_name) END AS Nom_Barri,
+  CAST(CAST(round(o.o_totalprice) AS BIGINT) AS VARCHAR) AS pop, CAST(CAST(round(c.c_acctbal) AS BIGINT) AS VARCHAR) AS idx
+  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN geo g ON c.c_nationkey = g.n_nationkey)"""
+FORMAT_INCOME_SQL = _with(GEO, PLACES, f"vals AS (SELECT pos, unnest({LOOKUP_VALUES}) AS v FROM places)", INCOME_RECS,
+    """best AS (SELECT r.*, (SELECT min(v.pos) FROM vals v WHERE v.v = r.Nom_Barri OR v.v = lower(r.Nom_Barri)) AS mpos
+  FROM recs r)""",
+    """firsts AS (SELECT b.*, row_number() OVER (PARTITION BY "Any", Codi_Districte, Codi_Barri ORDER BY _id, "Any",
+  Codi_Districte, Nom_Districte, Codi_Barri, Nom_Barri NULLS FIRST, pop, idx) AS rn FROM best b WHERE mpos IS NOT NULL)""") + \
+    """SELECT f."Any" || f.Codi_Districte || f.Codi_Barri AS id, f."Any" AS "year", f.pop AS population, f.idx AS index_rfd,
+  f._id AS source_id, '2023-04-01 10:00:00' AS "timestamp", p.district, p.neighborhood, p.district_id, p.neighborhood_id
+FROM firsts f JOIN places p ON p.pos = f.mpos WHERE f.rn = 1"""
+
+
+@register("format_income_zone", FORMAT_INCOME_SQL)
+def q_format_income_zone(spark, d):
+    """Income documents -> unnest -> reconcile (inner) -> first per (year, district code,
+    neighborhood code) in document order -> source names renamed, codes dropped."""
+    return city.format_income(standins.income_envelopes(spark, d), standins.places(spark, d))
+
+
+LINE_ORDER = ("_id, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, "
+              "l_returnflag, l_linestatus, l_shipdate")
+FACILITY_RECS = """recs AS (SELECT 'M' || CAST(l.l_orderkey // 4 AS VARCHAR) AS _id, l.l_orderkey, l.l_linenumber, l.l_partkey,
+  l.l_suppkey, l.l_quantity, l.l_extendedprice, l.l_discount, l.l_tax, l.l_returnflag, l.l_linestatus, l.l_shipdate,
+  CAST(l.l_suppkey AS VARCHAR) AS register_id, s.s_name AS name, CAST(l.l_shipdate AS VARCHAR) AS created,
+  CASE WHEN l.l_quantity > 25 THEN 'big' END AS place, l.l_returnflag <> 'R' AS has_addr, l.l_linestatus <> 'F' AS has_cls,
+  'street ' || CAST(l.l_partkey AS VARCHAR) AS address_name, l.l_linenumber AS addr_level,
+  CAST(g.r_regionkey AS VARCHAR) AS a_did, g.r_name AS a_dname, CAST(g.n_nationkey AS VARCHAR) AS a_nid,
+  CASE l.l_partkey % 3 WHEN 0 THEN g.n_name WHEN 1 THEN lower(g.n_name)
+    ELSE upper(substr(g.n_name, 1, 1)) || lower(substr(g.n_name, 2)) END AS a_nname,
+  CAST(l.l_partkey % 1000 AS VARCHAR) AS asia_s, CAST(round(l.l_tax * 100) AS INTEGER) AS cls_level,
+  CASE WHEN l.l_discount > 0.05 THEN 1 ELSE 0 END AS n_warnings, l.l_quantity AS x_coord, l.l_discount AS y_coord
+  FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey JOIN geo g ON s.s_nationkey = g.n_nationkey)"""
+FORMAT_FACILITIES_SQL = _with(GEO, PLACES, "lk AS (SELECT * FROM places WHERE district_id <> '4')", FACILITY_RECS,
+    f"""dd AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY register_id, substr(created, 1, 4)
+  ORDER BY {LINE_ORDER}) AS rn FROM recs) WHERE rn = 1)""",
+    """flat AS (SELECT *, CASE WHEN has_cls THEN cls_level WHEN has_addr THEN addr_level END AS level,
+  CASE WHEN has_addr THEN address_name END AS address_name_f, CASE WHEN has_addr THEN a_did END AS district_id,
+  CASE WHEN has_addr THEN a_dname END AS district_name, CASE WHEN has_addr THEN a_nid END AS neighborhood_id,
+  CASE WHEN has_addr THEN a_nname END AS neighborhood_name, CASE WHEN has_cls THEN '/markets' END AS full_path,
+  CASE WHEN has_cls THEN CAST(asia_s AS BIGINT) END AS asia_id FROM dd)""",
+    f"vals1 AS (SELECT pos, unnest({LOOKUP_VALUES}) AS v FROM lk)",
+    """m1 AS (SELECT f.*, (SELECT min(v.pos) FROM vals1 v WHERE v.v = f.neighborhood_name OR v.v = lower(f.neighborhood_name))
+  AS mpos FROM flat f)""",
+    f"""firsts AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lower(neighborhood_name) ORDER BY {LINE_ORDER}) AS r
+  FROM m1 WHERE mpos IS NULL AND neighborhood_name IS NOT NULL) WHERE r = 1)""",
+    f"""minted AS (SELECT (SELECT max(pos) FROM lk) + row_number() OVER (ORDER BY {LINE_ORDER}, lower(neighborhood_name)) AS pos,
+  district_name AS district, neighborhood_name AS neighborhood, district_name AS district_n_reconciled,
+  lower(district_name) AS district_n, 'Q' || district_id AS district_id, neighborhood_name AS neighborhood_n_reconciled,
+  lower(neighborhood_name) AS neighborhood_n, 'Q' || district_id || neighborhood_id AS neighborhood_id FROM firsts)""",
+    "ext AS (SELECT * FROM lk UNION ALL SELECT * FROM minted)",
+    f"vals2 AS (SELECT pos, unnest({LOOKUP_VALUES}) AS v FROM ext)",
+    """m2 AS (SELECT f.*, (SELECT min(v.pos) FROM vals2 v WHERE v.v = f.neighborhood_name OR v.v = lower(f.neighborhood_name))
+  AS mpos2 FROM flat f)""") + """SELECT m.register_id, m.name, m.created, m.place, m.level, m.address_name_f AS address_name,
+  m.full_path, m.asia_id, m.n_warnings, m.x_coord, m.y_coord, m._id AS source_id, '2023-03-01 09:00:00' AS "timestamp",
+  e.district, e.neighborhood, CASE WHEN m.mpos2 IS NULL THEN m.district_id ELSE e.district_id END AS district_id,
+  CASE WHEN m.mpos2 IS NULL THEN m.neighborhood_id ELSE e.neighborhood_id END AS neighborhood_id
+FROM m2 m LEFT JOIN ext e ON e.pos = m.mpos2"""
+
+
+@register("format_facilities_zone", FORMAT_FACILITIES_SQL)
+def q_format_facilities_zone(spark, d):
+    """Facility documents -> unnest -> first per (register_id, year created) -> flatten first
+    address then first classification -> counts/coordinates -> drop fixed and all-NULL columns ->
+    mint dictionary rows for unmatched places -> reconcile (left) against the extended dictionary."""
+    lookup = standins.places(spark, d).where(F.col("district_id") != "4")  # dictionary lacking one region
+    table, _ = city.format_facilities(standins.facility_envelopes(spark, d), lookup)
+    return table.select("register_id", "name", "created", "place", "level", "address_name", "full_path", "asia_id",
+                        "n_warnings", "x_coord", "y_coord", "source_id", "timestamp", "district", "neighborhood",
+                        "district_id", "neighborhood_id")

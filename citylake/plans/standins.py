@@ -170,3 +170,111 @@ def lookup_documents(spark: SparkSession, d: str, per_doc: int = 8, marker: str
         F.col("c_name").alias("neighborhood")))).alias("data"))
     return docs.select("_id", F.when(F.col("_id") % 2 == 0, F.lit(marker or LISTING_LOOKUP_FILE))
                        .otherwise(F.lit("lookup_opendata.csv")).alias("filename"), "data")
+
+
+def listing_envelopes(spark: SparkSession, d: str, per_doc: int = 4) -> DataFrame:
+    """Lineitems as property-listing records in landing documents (one per ``per_doc`` order keys).
+
+    ``propertyCode`` is ``orderkey-linenumber`` (repeated keys occur in the table), the place name
+    is a free-text spelling of the customer's nation, ``parkingSpace`` an optional struct; the file
+    name carries the date of the block's first order.
+    """
+    li = table(spark, d, "lineitem")
+    o = table(spark, d, "orders")
+    c = table(spark, d, "customer")
+    g = _geo(spark, d)
+    parking = F.when(F.col("l_returnflag") == "N", F.lit(None)).otherwise(F.struct(
+        (F.col("l_linestatus") == "F").alias("hasParkingSpace"),
+        (F.col("l_discount") > 0.05).alias("isParkingSpaceIncludedInPrice"),
+        (F.col("l_tax") * 1000).alias("parkingSpacePrice")))
+    rec = F.struct(
+        F.concat_ws("-", "l_orderkey", "l_linenumber").alias("propertyCode"),
+        F.col("l_extendedprice").alias("price"),
+        F.col("l_quantity").alias("size"),
+        F.col("l_linenumber").alias("rooms"),
+        F.round(F.col("l_tax") * 100).cast("int").alias("bathrooms"),
+        (F.col("l_extendedprice") / F.col("l_quantity")).alias("priceByArea"),
+        name_variant(F.col("n_name"), F.col("r_name"), F.col("l_partkey")).alias("neighborhood"),
+        F.col("r_name").alias("district"),
+        parking.alias("parkingSpace"))
+    rows = (li.join(o, li.l_orderkey == o.o_orderkey).join(c, o.o_custkey == c.c_custkey)
+              .join(g, F.col("c_nationkey") == g.n_nationkey)
+              .select(F.floor(F.col("l_orderkey") / per_doc).cast("long").alias("block"), "o_orderdate", rec.alias("rec")))
+    return (rows.groupBy("block")
+                .agg(F.array_sort(F.collect_list("rec")).alias("data"), F.min("o_orderdate").alias("_first"))
+                .select(F.concat(F.lit("L"), F.col("block").cast("string")).alias("_id"),
+                        F.concat(F.lit("idealista_"), F.date_format("_first", "yyyy-MM-dd"), F.lit(".json")).alias("filename"),
+                        F.lit("2023-05-11").alias("timestamp"), "data"))
+
+
+def income_envelopes(spark: SparkSession, d: str, per_doc: int = 4) -> DataFrame:
+    """Orders as income-survey records (source-language names, numbers as text) in documents."""
+    o = table(spark, d, "orders")
+    c = table(spark, d, "customer")
+    g = _geo(spark, d)
+    rec = F.struct(
+        F.substring(F.col("o_orderdate").cast("string"), 1, 4).alias("Any"),
+        F.col("r_regionkey").cast("string").alias("Codi_Districte"),
+        F.col("r_name").alias("Nom_Districte"),
+        F.col("n_nationkey").cast("string").alias("Codi_Barri"),
+        name_variant(F.col("n_name"), F.col("r_name"), F.col("o_orderkey")).alias("Nom_Barri"),
+        F.round(F.col("o_totalprice")).cast("bigint").cast("string").alias("Població"),
+        F.round(F.col("c_acctbal")).cast("bigint").cast("string").alias("Índex RFD Barcelona = 100"))
+    rows = (o.join(c, o.o_custkey == c.c_custkey).join(g, F.col("c_nationkey") == g.n_nationkey)
+             .select(F.floor(F.col("o_orderkey") / per_doc).cast("long").alias("block"), rec.alias("rec")))
+    return (rows.groupBy("block").agg(F.array_sort(F.collect_list("rec")).alias("data"))
+                .select(F.concat(F.lit("I"), F.col("block").cast("string")).alias("_id"),
+                        F.lit("bcn-income.json").alias("filename"), F.lit("2023-04-01 10:00:00").alias("timestamp"),
+                        "data"))
+
+
+def facility_envelopes(spark: SparkSession, d: str, per_doc: int = 4) -> DataFrame:
+    """Lineitems as facility observations of their supplier, in landing documents.
+
+    Each record starts with ``line`` (the lineitem's columns) so that document order is fully
+    defined; ``addresses`` / ``classifications_data`` are arrays of structs that may be empty and
+    share the field ``level``; ``body`` is always missing.
+    """
+    li = table(spark, d, "lineitem")
+    s = table(spark, d, "supplier")
+    g = _geo(spark, d)
+    cap = F.concat(F.upper(F.substring("n_name", 1, 1)), F.lower(F.substring("n_name", 2, 1_000_000)))
+    m3 = F.col("l_partkey") % 3
+    hood = F.when(m3 == 0, F.col("n_name")).when(m3 == 1, F.lower("n_name")).otherwise(cap)
+    addr_t = ("array<struct<address_name:string,level:int,district_id:string,district_name:string,"
+              "neighborhood_id:string,neighborhood_name:string>>")
+    cls_t = "array<struct<full_path:string,asia_id:string,level:int>>"
+    addresses = F.when(F.col("l_returnflag") == "R", F.array().cast(addr_t)).otherwise(F.array(F.struct(
+        F.concat(F.lit("street "), F.col("l_partkey").cast("string")).alias("address_name"),
+        F.col("l_linenumber").alias("level"),
+        F.col("r_regionkey").cast("string").alias("district_id"),
+        F.col("r_name").alias("district_name"),
+        F.col("n_nationkey").cast("string").alias("neighborhood_id"),
+        hood.alias("neighborhood_name"))))
+    classes = F.when(F.col("l_linestatus") == "F", F.array().cast(cls_t)).otherwise(F.array(F.struct(
+        F.lit("/markets").alias("full_path"),
+        (F.col("l_partkey") % 1000).cast("string").alias("asia_id"),
+        F.round(F.col("l_tax") * 100).cast("int").alias("level"))))
+    warnings = F.when(F.col("l_discount") > 0.05, F.array(F.struct(F.lit("discount").alias("message")))) \
+                .otherwise(F.array().cast("array<struct<message:string>>"))
+    rec = F.struct(
+        F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
+                 "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate").alias("line"),
+        F.concat(F.lit("f"), F.col("l_orderkey").cast("string")).alias("id"),
+        F.col("l_suppkey").cast("string").alias("register_id"),
+        F.col("s_name").alias("name"),
+        F.col("l_shipdate").cast("string").alias("created"),
+        F.lit("active").alias("status_name"),
+        addresses.alias("addresses"),
+        classes.alias("classifications_data"),
+        warnings.alias("warnings"),
+        F.struct(F.col("l_quantity").alias("x"), F.col("l_discount").alias("y")).alias("geo_epgs_25831"),
+        F.lit(None).cast("string").alias("body"),
+        F.when(F.col("l_quantity") > 25, F.lit("big")).alias("place"),
+        F.lit(None).cast("string").alias("timetable"))
+    rows = (li.join(s, li.l_suppkey == s.s_suppkey).join(g, s.s_nationkey == g.n_nationkey)
+              .select(F.floor(F.col("l_orderkey") / per_doc).cast("long").alias("block"), rec.alias("rec")))
+    return (rows.groupBy("block").agg(F.array_sort(F.collect_list("rec")).alias("data"))
+                .select(F.concat(F.lit("M"), F.col("block").cast("string")).alias("_id"),
+                        F.lit("bcn-markets.json").alias("filename"), F.lit("2023-03-01 09:00:00").alias("timestamp"),
+                        "data"))
