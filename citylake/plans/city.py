@@ -3,7 +3,8 @@
 Order of steps per source follows the reference: facilities dedup *before* matching and extend
 the shared dictionary; income is matched against that extended dictionary and then deduplicated;
 listings are matched first and deduplicated among matched records. Every step is a lazy
-DataFrame plan; the only materialisation is the extended dictionary (small, checkpointed).
+DataFrame plan; the facility rows and the extended dictionary are checkpointed because several
+jobs read them.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ from citylake.operators.reconcile import extend_lookup, reconcile
 from citylake.operators.shape import SRC, drop_all_null, drop_columns, flatten_first, flatten_struct, unnest_envelope
 from citylake.plans import dashboard, marts
 from citylake.plans.features import build_features
+from citylake.session import materialize
 from citylake.sources.landing import read_landing, read_lookup
 from citylake.sources.zone import Zone
 
@@ -47,7 +49,9 @@ def format_facilities(envelopes: DataFrame, lookup: DataFrame) -> tuple[DataFram
         "y_coord": F.col("geo_epgs_25831.y"),
         "asia_id": F.col("asia_id").cast("bigint"),
     })
-    rows = drop_columns(rows, FACILITY_DROP)
+    # the flattened rows feed three consumers (all-NULL scan, dictionary extension, final match):
+    # write them once to the checkpoint folder instead of re-running unnest + dedup for each
+    rows = materialize(drop_columns(rows, FACILITY_DROP))
     rows = drop_all_null(rows, [c for c in rows.columns if c != SRC])
     for c in ("district_name", "neighborhood_name", "district_id", "neighborhood_id"):
         if c not in rows.columns:

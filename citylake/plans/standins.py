@@ -93,6 +93,17 @@ def listings(spark: SparkSession, d: str) -> DataFrame:
                       F.col("c_nationkey").cast("string").alias("neighborhood_id")))
 
 
+def _by_block(rows: DataFrame, key: str, per_doc: int) -> DataFrame:
+    """Hash-partition raw rows by document block before records are built and collected.
+
+    Packing records gains nothing from map-side partial aggregation (``collect_list`` does not
+    shrink), so the one shuffle moves plain columns and the record building runs after it, in
+    parallel, instead of in the scan tasks.
+    """
+    block = F.floor(F.col(key) / per_doc).cast("long")
+    return rows.withColumn("block", block).repartition("block")
+
+
 def name_variant(name, region, k) -> "F.Column":
     """A free-text spelling of a place name: exact, lowercase, capitalised, the region's name,
     trailing space (never matches), missing, lowercase region. ``k`` picks one of the seven."""
@@ -119,7 +130,7 @@ def order_envelopes(spark: SparkSession, d: str, per_doc: int = 4) -> DataFrame:
     o = table(spark, d, "orders")
     block = F.floor(F.col("o_orderkey") / per_doc).cast("long")
     return (o.groupBy(block.alias("block"))
-             .agg(F.array_sort(F.collect_list(F.struct("o_orderkey", "o_custkey", "o_orderstatus",
+             .agg(F.sort_array(F.collect_list(F.struct("o_orderkey", "o_custkey", "o_orderstatus",
                                                        "o_totalprice", "o_orderpriority"))).alias("data"),
                   F.min("o_orderdate").alias("_first"), F.max("o_orderdate").alias("_last"))
              .select(F.concat(F.lit("env-"), F.col("block").cast("string")).alias("_id"),
@@ -165,7 +176,7 @@ def lookup_documents(spark: SparkSession, d: str, per_doc: int = 8, marker: str
     from citylake.sources.landing import LISTING_LOOKUP_FILE
     c = table(spark, d, "customer")
     block = F.floor(F.col("c_custkey") / per_doc).cast("long")
-    docs = c.groupBy(block.alias("_id")).agg(F.array_sort(F.collect_list(F.struct(
+    docs = c.groupBy(block.alias("_id")).agg(F.sort_array(F.collect_list(F.struct(
         F.col("c_custkey").alias("key"), F.col("c_mktsegment").alias("district"),
         F.col("c_name").alias("neighborhood")))).alias("data"))
     return docs.select("_id", F.when(F.col("_id") % 2 == 0, F.lit(marker or LISTING_LOOKUP_FILE))
@@ -197,11 +208,11 @@ def listing_envelopes(spark: SparkSession, d: str, per_doc: int = 4) -> DataFram
         name_variant(F.col("n_name"), F.col("r_name"), F.col("l_partkey")).alias("neighborhood"),
         F.col("r_name").alias("district"),
         parking.alias("parkingSpace"))
-    rows = (li.join(o, li.l_orderkey == o.o_orderkey).join(c, o.o_custkey == c.c_custkey)
-              .join(g, F.col("c_nationkey") == g.n_nationkey)
-              .select(F.floor(F.col("l_orderkey") / per_doc).cast("long").alias("block"), "o_orderdate", rec.alias("rec")))
+    rows = (_by_block(li.join(o, li.l_orderkey == o.o_orderkey).join(c, o.o_custkey == c.c_custkey)
+                        .join(g, F.col("c_nationkey") == g.n_nationkey), "l_orderkey", per_doc)
+              .select("block", "o_orderdate", rec.alias("rec")))
     return (rows.groupBy("block")
-                .agg(F.array_sort(F.collect_list("rec")).alias("data"), F.min("o_orderdate").alias("_first"))
+                .agg(F.sort_array(F.collect_list("rec")).alias("data"), F.min("o_orderdate").alias("_first"))
                 .select(F.concat(F.lit("L"), F.col("block").cast("string")).alias("_id"),
                         F.concat(F.lit("idealista_"), F.date_format("_first", "yyyy-MM-dd"), F.lit(".json")).alias("filename"),
                         F.lit("2023-05-11").alias("timestamp"), "data"))
@@ -220,9 +231,10 @@ def income_envelopes(spark: SparkSession, d: str, per_doc: int = 4) -> DataFrame
         name_variant(F.col("n_name"), F.col("r_name"), F.col("o_orderkey")).alias("Nom_Barri"),
         F.round(F.col("o_totalprice")).cast("bigint").cast("string").alias("Població"),
         F.round(F.col("c_acctbal")).cast("bigint").cast("string").alias("Índex RFD Barcelona = 100"))
-    rows = (o.join(c, o.o_custkey == c.c_custkey).join(g, F.col("c_nationkey") == g.n_nationkey)
-             .select(F.floor(F.col("o_orderkey") / per_doc).cast("long").alias("block"), rec.alias("rec")))
-    return (rows.groupBy("block").agg(F.array_sort(F.collect_list("rec")).alias("data"))
+    rows = (_by_block(o.join(c, o.o_custkey == c.c_custkey).join(g, F.col("c_nationkey") == g.n_nationkey),
+                      "o_orderkey", per_doc)
+             .select("block", rec.alias("rec")))
+    return (rows.groupBy("block").agg(F.sort_array(F.collect_list("rec")).alias("data"))
                 .select(F.concat(F.lit("I"), F.col("block").cast("string")).alias("_id"),
                         F.lit("bcn-income.json").alias("filename"), F.lit("2023-04-01 10:00:00").alias("timestamp"),
                         "data"))
@@ -272,9 +284,9 @@ def facility_envelopes(spark: SparkSession, d: str, per_doc: int = 4) -> DataFra
         F.lit(None).cast("string").alias("body"),
         F.when(F.col("l_quantity") > 25, F.lit("big")).alias("place"),
         F.lit(None).cast("string").alias("timetable"))
-    rows = (li.join(s, li.l_suppkey == s.s_suppkey).join(g, s.s_nationkey == g.n_nationkey)
-              .select(F.floor(F.col("l_orderkey") / per_doc).cast("long").alias("block"), rec.alias("rec")))
-    return (rows.groupBy("block").agg(F.array_sort(F.collect_list("rec")).alias("data"))
+    rows = (_by_block(li.join(s, li.l_suppkey == s.s_suppkey).join(g, s.s_nationkey == g.n_nationkey), "l_orderkey", per_doc)
+              .select("block", rec.alias("rec")))
+    return (rows.groupBy("block").agg(F.sort_array(F.collect_list("rec")).alias("data"))
                 .select(F.concat(F.lit("M"), F.col("block").cast("string")).alias("_id"),
                         F.lit("bcn-markets.json").alias("filename"), F.lit("2023-03-01 09:00:00").alias("timestamp"),
                         "data"))
