@@ -6,13 +6,16 @@
 1. range-partitions the rows on the order (one shuffle, sampled bounds),
 2. sorts within each partition and numbers rows locally (``monotonically_increasing_id`` holds
    the partition index in its upper bits and the row's place in the partition in the lower 33),
-3. counts rows per partition (one row per partition reaches the shuffle) and turns the counts
-   into prefix offsets — a table with one row per partition, so broadcasting it is bounded by
+3. writes that numbered copy once with a reliable checkpoint,
+4. counts rows per partition of the copy (one row per partition reaches the shuffle) and turns the
+   counts into prefix offsets, a table with one row per partition: broadcasting it is bounded by
    the partition count, not by the data,
-4. adds the offset of each row's partition to its local number.
+5. adds the offset of each row's partition to its local number.
 
-Steps 2 and 3 read the same range shuffle (Spark reuses the exchange), and a lost shuffle block is
-recomputed with the same bounds, so numbering is stable under executor loss.
+Step 3 is what makes the two passes agree. Without it each pass would run its own range exchange
+whenever column pruning makes their inputs differ, and Spark's range sampling re-seeds imbalanced
+partitions per RDD, so two exchanges can cut at different bounds. The checkpoint also keeps the
+numbering fixed if an executor is lost.
 """
 
 from __future__ import annotations
@@ -22,6 +25,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from citylake.session import materialize
+
 _LOW_BITS = 33
 _LOW_MASK = (1 << _LOW_BITS) - 1
 
@@ -54,18 +59,18 @@ def global_rank(df: DataFrame, order: Sequence[str] | str, *, rank_col: str = "r
         raise ValueError("method must be 'range' or 'window'")
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    parted = df.repartitionByRange(n, *cols)
-    counts = parted.groupBy(F.spark_partition_id().alias("_pid")).agg(F.count(F.lit(1)).alias("_n"))
+    numbered = materialize(df.repartitionByRange(n, *cols)
+                             .sortWithinPartitions(*cols)
+                             .withColumn("_mid", F.monotonically_increasing_id()))
+    numbered = numbered.withColumn("_pid", F.shiftright("_mid", _LOW_BITS).cast("int"))
+    counts = numbered.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(
         "_pid",
         F.coalesce(F.sum("_n").over(before), F.lit(0)).cast("long").alias("_off"),
         F.sum("_n").over(Window.partitionBy()).cast("long").alias("_total"))
-    body = (parted.sortWithinPartitions(*cols)
-                  .withColumn("_mid", F.monotonically_increasing_id())
-                  .withColumn("_pid", F.shiftright("_mid", _LOW_BITS).cast("int")))
-    out = (body.join(F.broadcast(offsets), "_pid")
-               .withColumn(rank_col, F.col("_off") + F.col("_mid").bitwiseAND(F.lit(_LOW_MASK))))
+    out = (numbered.join(F.broadcast(offsets), "_pid")
+                   .withColumn(rank_col, F.col("_off") + F.col("_mid").bitwiseAND(F.lit(_LOW_MASK))))
     keep = [F.col(f"`{c}`") for c in df.columns] + [F.col(rank_col)]
     if total_col:
         keep.append(F.col("_total").alias(total_col))
