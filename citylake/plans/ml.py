@@ -58,6 +58,11 @@ def predict(model: PipelineModel, df: DataFrame, *, keep: Sequence[str] = ("neig
     return model.transform(df).select(*keep, "predictedLabel", "prediction", "indexedLabel")
 
 
+def preview(model: PipelineModel, df: DataFrame, n: int = 5) -> DataFrame:
+    """The first ``n`` predictions with label and features (the reference's ``show(5)``)."""
+    return model.transform(df).select("predictedLabel", "index_rfd", "features").limit(n)
+
+
 def evaluate(predictions: DataFrame) -> DataFrame:
     """One row: accuracy and test error (1 - accuracy), computed as one distributed aggregation."""
     hit = (F.col("prediction") == F.col("indexedLabel")).cast("double")

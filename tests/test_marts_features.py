@@ -77,3 +77,22 @@ def test_build_features_inner_and_terciles(spark):
     assert rows["n1"].n_markets == 2
     # tercile over the 6 places with income (n1,n3..n7): ranks 0..5 -> L L M M M H
     assert [rows[k].index_rfd for k in ["n1", "n4", "n5", "n6", "n7"]] == ["Low", "Medium", "Medium", "Medium", "High"]
+
+
+def test_dashboard_sql_matches_dataframe_form(spark):
+    mvm = spark.createDataFrame([("n1", "D2", 3), ("n1", "D1", 5), ("n2", "D3", 1)],
+                                "neighborhood_id string, district string, numMarkets long")
+    mvi = spark.createDataFrame([("n1", "2020", 10.0), ("n1", "2021", 20.0), ("n2", "2021", 1.0)],
+                                "neighborhood_id string, Year string, average double")
+    mvid = spark.createDataFrame([("n1", "2020", "D1", 100.0, 0, 0, 2.0, 1.0, 1.0, 10.0),
+                                  ("n2", "2021", "D1", 300.0, 2, 1, 4.0, 2.0, 1.0, 30.0)],
+                                 "neighborhood_id string, Year string, district string, price double, totalrooms long, "
+                                 "totalbathrooms long, pba double, rooms double, bathrooms double, mean_size double")
+    got = dashboard.run_sql(spark, mvid, mvm, mvi)
+    want = {"markets_vs_income": dashboard.markets_vs_income(mvm, mvi), "rooms_vs_price": dashboard.rooms_vs_price(mvid),
+            "price_per_room": dashboard.price_per_room(mvid), "size_by_district": dashboard.size_by_district(mvid)}
+    for k, df in want.items():
+        cols = sorted(df.columns)
+        a = sorted(map(str, (tuple(r[c] for c in cols) for r in got[k].collect())))
+        b = sorted(map(str, (tuple(r[c] for c in cols) for r in df.collect())))
+        assert a == b, k
