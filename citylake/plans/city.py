@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from citylake import schemas
 from citylake.functions.columns import array_count, year_text
 from citylake.operators.dedup import dedup_first
+from citylake.operators.quality import observe_counts
 from citylake.operators.reconcile import extend_lookup, reconcile
 from citylake.operators.shape import SRC, drop_all_null, drop_columns, flatten_first, flatten_struct, unnest_envelope
 from citylake.plans import dashboard, marts
@@ -36,9 +37,10 @@ INCOME_DROP = ["Nom_Districte", "Nom_Barri", "Codi_Districte", "Codi_Barri"]
 LISTING_STRUCTS = ["parkingSpace", "detailedType", "suggestedTexts"]
 
 
-def format_facilities(envelopes: DataFrame, lookup: DataFrame) -> tuple[DataFrame, DataFrame]:
+def format_facilities(envelopes: DataFrame, lookup: DataFrame,
+                      counters: dict | None = None) -> tuple[DataFrame, DataFrame]:
     """``table_markets`` and the dictionary extended with the facilities' unmatched places."""
-    rows = unnest_envelope(envelopes)
+    rows = _observe(unnest_envelope(envelopes), counters, "facilities_read")
     rows = dedup_first(rows.withColumn("_created_year", F.substring(F.col("created").cast("string"), 1, 4)),
                        ["register_id", "_created_year"], [SRC]).drop("_created_year")
     rows = flatten_first(rows, "addresses")
@@ -58,32 +60,62 @@ def format_facilities(envelopes: DataFrame, lookup: DataFrame) -> tuple[DataFram
             rows = rows.withColumn(c, F.lit(None).cast("string"))
     extended = extend_lookup(lookup, rows, name="neighborhood_name", district="district_name",
                              district_id="district_id", neighborhood_id="neighborhood_id", order=[SRC])
-    table = reconcile(rows, extended, "neighborhood_name", how="left")
-    return table.drop("district_name", "neighborhood_name", SRC), extended
+    table = reconcile(rows, extended, "neighborhood_name", how="left", match_pos="_matched")
+    table = _observe(table, counters, "facilities_kept", unmatched=F.col("_matched").isNull())
+    return table.drop("district_name", "neighborhood_name", SRC, "_matched"), extended
 
 
-def format_income(envelopes: DataFrame, lookup: DataFrame) -> DataFrame:
+def format_income(envelopes: DataFrame, lookup: DataFrame, counters: dict | None = None) -> DataFrame:
     """``table_income``: matched records, first per (year, district code, neighborhood code)."""
-    rows = unnest_envelope(envelopes)
-    rows = reconcile(rows, lookup, "Nom_Barri", how="inner")
+    rows = _observe(unnest_envelope(envelopes), counters, "income_read")
+    rows = _observe(reconcile(rows, lookup, "Nom_Barri", how="inner"), counters, "income_matched")
     rows = dedup_first(rows, ["Any", "Codi_Districte", "Codi_Barri"], [SRC])
     rows = rows.withColumn("id", F.concat(F.col("Any").cast("string"), F.col("Codi_Districte").cast("string"),
                                           F.col("Codi_Barri").cast("string")))
     rows = drop_columns(rows.withColumnsRenamed(INCOME_RENAME), INCOME_DROP)
-    return rows.select("id", "year", "population", "index_rfd", "source_id", "timestamp", "district",
-                       "neighborhood", "district_id", "neighborhood_id")
+    return _observe(rows.select("id", "year", "population", "index_rfd", "source_id", "timestamp", "district",
+                                "neighborhood", "district_id", "neighborhood_id"), counters, "income_kept")
 
 
-def format_listings(envelopes: DataFrame, lookup: DataFrame) -> DataFrame:
-    """``table_idealista``: matched listings, first per (id, snapshot date), structs flattened."""
+def format_listings(envelopes: DataFrame, lookup: DataFrame, counters: dict | None = None) -> DataFrame:
+    """``table_idealista``: matched listings, first per (id, snapshot date), structs flattened.
+
+    With ``counters`` (a dict), run counters are attached to the plan (``Observation``) and filled
+    by whatever action runs it: records read, records matched, rows kept.
+    """
     rows = unnest_envelope(envelopes, snapshot_from_filename=True)
+    rows = _observe(rows, counters, "listings_read")
     rows = reconcile(rows, lookup, "neighborhood", how="inner")
+    rows = _observe(rows, counters, "listings_matched")
     rows = rows.withColumn("propertyCode", F.col("propertyCode").cast("string")).withColumnRenamed("propertyCode", "id")
     rows = dedup_first(rows, ["id", "timestamp"], [SRC])
     for s in LISTING_STRUCTS:
         if s in rows.columns:
             rows = flatten_struct(rows, s)
-    return rows.drop(SRC)
+    return _observe(rows.drop(SRC), counters, "listings_kept")
+
+
+def _observe(df: DataFrame, counters: dict | None, name: str, **conditions) -> DataFrame:
+    if counters is None:
+        return df
+    out, obs = observe_counts(df, name, **conditions)
+    counters[name] = obs
+    return out
+
+
+def counter_values(counters: dict) -> dict[str, int]:
+    """Read observed counters (after the action that ran the plans) and derive duplicates removed."""
+    vals = {}
+    for name, obs in counters.items():
+        got = obs.get
+        vals[name] = got.get("rows", 0)
+        for k, v in got.items():
+            if k != "rows":
+                vals[f"{name}_{k}"] = v
+    for src in ("listings", "income"):
+        if f"{src}_matched" in vals and f"{src}_kept" in vals:
+            vals[f"{src}_duplicates_removed"] = vals[f"{src}_matched"] - vals[f"{src}_kept"]
+    return vals
 
 
 @dataclass
@@ -94,19 +126,27 @@ class LandingPaths:
     income: str
 
 
-def format_zone(spark: SparkSession, landing: LandingPaths, zone: Zone) -> dict[str, str]:
-    """Read the four landing collections and write the three formatted tables."""
+def format_zone(spark: SparkSession, landing: LandingPaths, zone: Zone) -> dict:
+    """Read the four landing collections and write the three formatted tables.
+
+    Returns the table paths and ``counters``: records read, matched and kept per source, duplicates
+    removed, facilities left unmatched; collected by the write jobs themselves (no extra pass).
+    """
+    counters: dict = {}
     lk_docs = read_landing(spark, landing.lookup, schemas.LOOKUP_ENVELOPE)
     listing_lookup, open_lookup = read_lookup(lk_docs)
     facilities, extended = format_facilities(read_landing(spark, landing.facilities, schemas.FACILITY_ENVELOPE),
-                                             open_lookup)
-    income = format_income(read_landing(spark, landing.income, schemas.INCOME_ENVELOPE), extended)
-    listings = format_listings(read_landing(spark, landing.listings, schemas.LISTING_ENVELOPE), listing_lookup)
-    return {
+                                             open_lookup, counters)
+    income = format_income(read_landing(spark, landing.income, schemas.INCOME_ENVELOPE), extended, counters)
+    listings = format_listings(read_landing(spark, landing.listings, schemas.LISTING_ENVELOPE), listing_lookup,
+                               counters)
+    out = {
         "table_markets": zone.overwrite(facilities, "table_markets"),
         "table_income": zone.overwrite(income, "table_income"),
         "table_idealista": zone.overwrite(listings, "table_idealista"),
     }
+    out["counters"] = counter_values(counters)
+    return out
 
 
 def exploitation_zone(formatted: Zone, exploitation: Zone, *, rank_method: str = "range") -> dict[str, str]:

@@ -13,7 +13,11 @@ def test_city_end_to_end(spark, scratch):
                          income=f"{root}/income")
     formatted = Zone(spark, os.path.join(scratch, "formatted"))
     exploitation = Zone(spark, os.path.join(scratch, "exploitation"))
-    city.format_zone(spark, paths, formatted)
+    out = city.format_zone(spark, paths, formatted)
+    c = out["counters"]
+    # 18 + 2 + 1 listing records read in three documents; 20 named ones match (NULL and "Nowhere" do not)
+    assert (c["listings_read"], c["listings_kept"], c["listings_duplicates_removed"]) == (23, 19, 2)
+    assert c["income_duplicates_removed"] == 1 and c["facilities_kept_unmatched"] == 0
 
     listings = formatted.read("table_idealista")
     assert listings.count() == 18 + 1  # 6 places x 3, one more snapshot date of p00; dups and unmatched dropped
