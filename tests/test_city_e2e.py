@@ -55,3 +55,17 @@ def test_city_end_to_end(spark, scratch):
     ev = ml.evaluate(ml.predict(model, exploitation.read("model_data"))).first()
     assert 0.0 <= ev.accuracy <= 1.0 and ev.n_test == 6
     assert len(ml.forest(model).featureImportances) == 7
+
+
+def test_cli_steps(spark, scratch, capsys):
+    from citylake.__main__ import main
+    root = make_landing(os.path.join(scratch, "landing"))
+    fz, ez, dz = (os.path.join(scratch, n) for n in ("f", "e", "d"))
+    assert main(["format", "--lookup", f"{root}/lookup", "--listings", f"{root}/idealista", "--facilities",
+                 f"{root}/markets", "--income", f"{root}/income", "--formatted", fz]) == 0
+    assert main(["exploit", "--formatted", fz, "--exploitation", ez]) == 0
+    assert main(["train", "--exploitation", ez, "--seed", "3", "--model-out", os.path.join(scratch, "model")]) == 0
+    assert main(["dashboard", "--exploitation", ez, "--out", dz]) == 0
+    out = capsys.readouterr().out
+    assert '"test_error"' in out and "table_idealista" in out
+    assert Zone(spark, dz).read("markets_vs_income").count() == 7
