@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from citylake import schemas
-from citylake.functions.columns import array_count, year_text
+from citylake.functions.columns import array_count
 from citylake.operators.dedup import dedup_first
 from citylake.operators.quality import observe_counts
 from citylake.operators.reconcile import extend_lookup, reconcile
@@ -176,5 +176,5 @@ def dashboard_data(exploitation: Zone) -> dict[str, DataFrame]:
     }
 
 
-__all__ = ["FACILITY_DROP", "INCOME_DROP", "INCOME_RENAME", "LandingPaths", "dashboard_data", "exploitation_zone",
-           "format_facilities", "format_income", "format_listings", "format_zone", "year_text"]
+__all__ = ["FACILITY_DROP", "INCOME_DROP", "INCOME_RENAME", "LandingPaths", "counter_values", "dashboard_data",
+           "exploitation_zone", "format_facilities", "format_income", "format_listings", "format_zone"]
