@@ -18,7 +18,7 @@ from citylake import schemas
 from citylake.functions.columns import array_count
 from citylake.operators.dedup import dedup_first
 from citylake.operators.quality import observe_counts
-from citylake.operators.reconcile import extend_lookup, reconcile
+from citylake.operators.reconcile import extend_lookup, reconcile, reconcile_with_fallback
 from citylake.operators.shape import SRC, drop_all_null, drop_columns, flatten_first, flatten_struct, unnest_envelope
 from citylake.plans import dashboard, marts
 from citylake.plans.features import build_features
@@ -118,6 +118,17 @@ def counter_values(counters: dict) -> dict[str, int]:
     return vals
 
 
+def format_listings_first(envelopes: DataFrame, lookup: DataFrame) -> DataFrame:
+    """The first formatter's flow: element 0 of each document, first per ``propertyCode`` in
+    document order (before any matching, unmatched records stay), then an exact neighborhood
+    match for ``neighborhood_id`` / ``district_id``, or, when the neighborhood is missing, the
+    district's first dictionary row for ``district_id``."""
+    rows = unnest_envelope(envelopes, first_only=True)
+    rows = dedup_first(rows.withColumn("propertyCode", F.col("propertyCode").cast("string")), ["propertyCode"], [SRC])
+    rows = reconcile_with_fallback(rows, lookup, fine_on="neighborhood", coarse_on="district")
+    return rows.drop(SRC)
+
+
 @dataclass
 class LandingPaths:
     lookup: str
@@ -177,4 +188,5 @@ def dashboard_data(exploitation: Zone) -> dict[str, DataFrame]:
 
 
 __all__ = ["FACILITY_DROP", "INCOME_DROP", "INCOME_RENAME", "LandingPaths", "counter_values", "dashboard_data",
-           "exploitation_zone", "format_facilities", "format_income", "format_listings", "format_zone"]
+           "exploitation_zone", "format_facilities", "format_income", "format_listings", "format_listings_first",
+           "format_zone"]

@@ -593,3 +593,29 @@ def q_format_facilities_zone(spark, d):
     return table.select("register_id", "name", "created", "place", "level", "address_name", "full_path", "asia_id",
                         "n_warnings", "x_coord", "y_coord", "source_id", "timestamp", "district", "neighborhood",
                         "district_id", "neighborhood_id")
+
+
+FIRST_LISTINGS_SQL = _with(GEO, PLACES, LISTING_RECS,
+    """docs AS (SELECT *, 'L' || CAST(block AS VARCHAR) AS source_id,
+  'idealista_' || strftime(min(o_orderdate) OVER (PARTITION BY block), '%Y-%m-%d') || '.json' AS filename,
+  row_number() OVER (PARTITION BY block ORDER BY propertyCode, price, size, rooms, bathrooms, priceByArea,
+    neighborhood NULLS FIRST, district, hasParkingSpace NULLS FIRST, isParkingSpaceIncludedInPrice NULLS FIRST,
+    parkingSpacePrice NULLS FIRST) - 1 AS pos FROM recs)""",
+    """firsts AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY propertyCode ORDER BY filename, source_id, pos) AS rn
+  FROM docs WHERE pos = 0) WHERE rn = 1)""",
+    """f AS (SELECT neighborhood AS k, arg_min(neighborhood_id, pos) AS nid, arg_min(district_id, pos) AS did
+  FROM places GROUP BY neighborhood)""",
+    "cs AS (SELECT district AS k, arg_min(district_id, pos) AS did FROM places GROUP BY district)") + """SELECT r.propertyCode,
+  r.source_id, r.neighborhood, r.district, round((r.price) * 1.000000000001e0, 4) AS price,
+  CASE WHEN r.neighborhood IS NOT NULL THEN f.nid END AS neighborhood_id,
+  CASE WHEN r.neighborhood IS NOT NULL THEN f.did ELSE cs.did END AS district_id
+FROM firsts r LEFT JOIN f ON f.k = r.neighborhood LEFT JOIN cs ON cs.k = r.district AND r.neighborhood IS NULL"""
+
+
+@register("format_listings_first_zone", FIRST_LISTINGS_SQL)
+def q_format_listings_first_zone(spark, d):
+    """Listing documents -> element 0 of each -> first per propertyCode in document order -> exact
+    neighborhood match, district fallback when the neighborhood is missing."""
+    out = city.format_listings_first(standins.listing_envelopes(spark, d), standins.places(spark, d))
+    return rounded(out.select("propertyCode", "source_id", "neighborhood", "district", "price", "neighborhood_id",
+                              "district_id"))
