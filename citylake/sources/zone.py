@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from citylake.operators.broadcast import bounded_broadcast
 from citylake.operators.dedup import dedup_first
 from citylake.operators.upsert import check_unique, upsert
 
@@ -81,12 +82,21 @@ class Zone:
 
     def insert_new(self, name: str, rows: DataFrame, keys: Sequence[str]) -> str:
         """Append only rows whose key is not in the table yet (first wins across runs; rerunning
-        the same rows is a no-op). The table side is read for its keys only."""
+        the same rows is a no-op).
+
+        The batch is the small side: its distinct keys are broadcast (size-checked) into a
+        semi join over the table's key columns, so the table is scanned (keys only) without a
+        shuffle; only the keys it shares with the batch come back for the anti join.
+        """
         if not self.exists(name):
             return self.overwrite(rows, name)
-        existing = self.read(name).select(*keys).distinct()
-        fresh = rows.join(existing, [rows[k].eqNullSafe(existing[k]) for k in keys], "left_anti")
-        return self.append(fresh.select(*self.read(name).columns), name)
+        keys = list(keys)
+        table = self.read(name)
+        batch_keys, _ = bounded_broadcast(rows.select(*keys).distinct())
+        on = [table[k].eqNullSafe(batch_keys[k]) for k in keys]
+        hits = table.select(*keys).join(batch_keys, on, "left_semi")
+        fresh = rows.join(hits, [rows[k].eqNullSafe(hits[k]) for k in keys], "left_anti")
+        return self.append(fresh.select(*table.columns), name)
 
     def upsert(self, name: str, updates: DataFrame, keys: Sequence[str], *, order: Sequence[str] | None = None) -> str:
         """``INSERT OR REPLACE`` by key: updates replace rows with the same key, others are inserted."""
