@@ -78,3 +78,14 @@ def test_rank_bucket_hot_ties(spark):
     df = spark.createDataFrame([(f"k{i:02d}", 1.0) for i in range(9)], "key string, v double")
     got = [r.bucket for r in rank_bucket(df, "v", "key").orderBy("key").collect()]
     assert got == ["Low"] * 3 + ["Medium"] * 4 + ["High"] * 2
+
+
+def test_rank_with_adaptive_range_count(spark, hot):
+    rows, df = hot
+    spark.conf.set("spark.sql.shuffle.partitions", "50")
+    try:
+        got = {r.ord: r["rank"] for r in global_rank(df, ["x", "ord"]).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    spec = {r[1]: i for i, r in enumerate(sorted(rows, key=lambda r: (r[2], r[1])))}
+    assert got == spec
