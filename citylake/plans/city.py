@@ -31,6 +31,7 @@ FACILITY_DROP = ["id", "geo_epgs_25831", "geo_epgs_23031", "geo_epgs_4326", "add
                  "secondary_filters_data", "attribute_categories", "entity_types_data", "values", "image_data",
                  "status_name", "location", "gallery_data", "warnings", "sections_data", "tickets_data",
                  "from_relationships", "to_relationships", "timetable"]
+FLATTEN_INPUTS = ["addresses", "classifications_data", "warnings", "geo_epgs_25831"]
 # Source-language income column names and their formatted names.
 INCOME_RENAME = {"Població": "population", "Any": "year", "Índex RFD Barcelona = 100": "index_rfd"}
 INCOME_DROP = ["Nom_Districte", "Nom_Barri", "Codi_Districte", "Codi_Barri"]
@@ -41,6 +42,10 @@ def format_facilities(envelopes: DataFrame, lookup: DataFrame,
                       counters: dict | None = None) -> tuple[DataFrame, DataFrame]:
     """``table_markets`` and the dictionary extended with the facilities' unmatched places."""
     rows = _observe(unnest_envelope(envelopes), counters, "facilities_read")
+    # fields the reference deletes and no later step reads leave before the dedup shuffle (the
+    # dedup carries whole rows, so the optimizer cannot prune them); the order is total (_src),
+    # so the kept rows are the same
+    rows = drop_columns(rows, [c for c in FACILITY_DROP if c not in FLATTEN_INPUTS])
     rows = dedup_first(rows.withColumn("_created_year", F.substring(F.col("created").cast("string"), 1, 4)),
                        ["register_id", "_created_year"], [SRC]).drop("_created_year")
     rows = flatten_first(rows, "addresses")
