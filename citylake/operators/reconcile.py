@@ -24,7 +24,8 @@ from citylake.operators.broadcast import bounded_broadcast
 from citylake.operators.rank import global_rank
 from citylake.session import materialize
 
-# The place dictionary's row layout and the columns a match copies onto a record.
+# The place dictionary's row layout, the columns a match copies onto a record, and the
+# prefix of minted identifiers.
 LOOKUP_COLUMNS = ["district", "neighborhood", "district_n_reconciled", "district_n", "district_id",
                   "neighborhood_n_reconciled", "neighborhood_n", "neighborhood_id"]
 TAKE_COLUMNS = ["district", "neighborhood", "district_id", "neighborhood_id"]

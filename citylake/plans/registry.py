@@ -383,14 +383,14 @@ def q_drop_all_null(spark, d):
 
 @register("snapshot_date", """SELECT o_orderkey, fn AS filename, substr(fn, strpos(fn, '_') + 1, 10) AS snapshot FROM (
   SELECT o_orderkey, CASE o_orderkey % 3 WHEN 0 THEN 'orders_' || strftime(o_orderdate, '%Y-%m-%d') || '.json'
-    WHEN 1 THEN 'bcn_market_' || strftime(o_orderdate, '%Y-%m-%d') || '_v2.json'
+    WHEN 1 THEN 'city_market_' || strftime(o_orderdate, '%Y-%m-%d') || '_v2.json'
     ELSE strftime(o_orderdate, '%Y-%m-%d') || 'T00.json' END AS fn FROM orders)""")
 def q_snapshot_date(spark, d):
     o = standins.table(spark, d, "orders")
     day = F.date_format("o_orderdate", "yyyy-MM-dd")
     m = F.col("o_orderkey") % 3
     fn = (F.when(m == 0, F.concat(F.lit("orders_"), day, F.lit(".json")))
-           .when(m == 1, F.concat(F.lit("bcn_market_"), day, F.lit("_v2.json")))
+           .when(m == 1, F.concat(F.lit("city_market_"), day, F.lit("_v2.json")))
            .otherwise(F.concat(day, F.lit("T00.json"))))
     return o.select("o_orderkey", fn.alias("filename")).withColumn("snapshot", snapshot_date("filename"))
 

@@ -236,7 +236,7 @@ def income_envelopes(spark: SparkSession, d: str, per_doc: int = 4) -> DataFrame
              .select("block", rec.alias("rec")))
     return (rows.groupBy("block").agg(F.sort_array(F.collect_list("rec")).alias("data"))
                 .select(F.concat(F.lit("I"), F.col("block").cast("string")).alias("_id"),
-                        F.lit("bcn-income.json").alias("filename"), F.lit("2023-04-01 10:00:00").alias("timestamp"),
+                        F.lit("income.json").alias("filename"), F.lit("2023-04-01 10:00:00").alias("timestamp"),
                         "data"))
 
 
@@ -288,5 +288,5 @@ def facility_envelopes(spark: SparkSession, d: str, per_doc: int = 4) -> DataFra
               .select("block", rec.alias("rec")))
     return (rows.groupBy("block").agg(F.sort_array(F.collect_list("rec")).alias("data"))
                 .select(F.concat(F.lit("M"), F.col("block").cast("string")).alias("_id"),
-                        F.lit("bcn-markets.json").alias("filename"), F.lit("2023-03-01 09:00:00").alias("timestamp"),
+                        F.lit("markets.json").alias("filename"), F.lit("2023-03-01 09:00:00").alias("timestamp"),
                         "data"))
