@@ -16,6 +16,11 @@ from citylake.functions.columns import first_element, snapshot_date
 SRC = "_src"  # struct(<doc order columns>, pos): the definition of "first" for dedup_first
 
 
+def _q(name: str):
+    """Column by exact name (dots, spaces and backticks in names are literal)."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def unnest_envelope(df: DataFrame, data: str = "data", *, id_col: str = "_id", filename: str = "filename",
                     timestamp: str = "timestamp", doc_order: Iterable[str] | None = None,
                     first_only: bool = False, snapshot_from_filename: bool = False,
@@ -33,19 +38,19 @@ def unnest_envelope(df: DataFrame, data: str = "data", *, id_col: str = "_id", f
     if not isinstance(rec_type, T.ArrayType) or not isinstance(rec_type.elementType, T.StructType):
         raise TypeError(f"{data!r} must be array<struct<...>>, got {rec_type.simpleString()}")
     fields = rec_type.elementType.fieldNames()
-    ts = snapshot_date(F.col(filename)) if snapshot_from_filename else F.col(timestamp).cast("string")
-    env = [F.col(c).alias(f"_env_{c}") for c in order]
+    ts = snapshot_date(_q(filename)) if snapshot_from_filename else _q(timestamp).cast("string")
+    env = [_q(c).alias(f"_env_{c}") for c in order]
     if first_only:
-        base = (df.where(F.size(F.col(data)) > 0)
-                  .select(*env, F.col(id_col).cast("string").alias("_sid"), ts.alias("_ts"),
-                          F.lit(0).alias("_pos"), first_element(data).alias("_rec")))
+        base = (df.where(F.size(_q(data)) > 0)
+                  .select(*env, _q(id_col).cast("string").alias("_sid"), ts.alias("_ts"),
+                          F.lit(0).alias("_pos"), first_element(_q(data)).alias("_rec")))
     else:
-        base = df.select(*env, F.col(id_col).cast("string").alias("_sid"), ts.alias("_ts"),
-                         F.posexplode(F.col(data)).alias("_pos", "_rec"))
-    cols = [F.col(f"_rec.{f}").alias(f) for f in fields if f not in ("source_id", "timestamp", SRC)]
+        base = df.select(*env, _q(id_col).cast("string").alias("_sid"), ts.alias("_ts"),
+                         F.posexplode(_q(data)).alias("_pos", "_rec"))
+    cols = [F.col("_rec").getField(f).alias(f) for f in fields if f not in ("source_id", "timestamp", SRC)]
     cols += [F.col("_sid").alias("source_id"), F.col("_ts").alias("timestamp")]
     if keep_src:
-        cols.append(F.struct(*[F.col(f"_env_{c}").alias(c) for c in order],
+        cols.append(F.struct(*[_q(f"_env_{c}").alias(c) for c in order],
                              F.col("_pos").cast("long").alias("pos")).alias(SRC))
     return base.select(*cols)
 
@@ -57,20 +62,20 @@ def flatten_struct(df: DataFrame, struct_col: str, *, drop: bool = True) -> Data
     st = df.schema[struct_col].dataType
     if not isinstance(st, T.StructType):
         raise TypeError(f"{struct_col!r} is not a struct")
-    present = F.col(struct_col).isNotNull()
-    child = {f: F.col(f"{struct_col}.{f}") for f in st.fieldNames()}
+    present = _q(struct_col).isNotNull()
+    child = {f: _q(struct_col).getField(f) for f in st.fieldNames()}
     out = []
     for c in df.columns:
         if c == struct_col:
             continue
         if c in child:
-            out.append(F.when(present, child.pop(c)).otherwise(F.col(c)).alias(c))
+            out.append(F.when(present, child.pop(c)).otherwise(_q(c)).alias(c))
         else:
-            out.append(F.col(c))
+            out.append(_q(c))
     out += [v.alias(k) for k, v in child.items()]
     res = df.select(*out)
     if not drop:
-        res = res.withColumn(struct_col, df[struct_col])
+        res = res.withColumn(struct_col, df[f"`{struct_col}`"])
     return res
 
 
@@ -83,17 +88,17 @@ def flatten_first(df: DataFrame, array_col: str, *, drop: bool = False) -> DataF
     at = df.schema[array_col].dataType
     if not isinstance(at, T.ArrayType) or not isinstance(at.elementType, T.StructType):
         raise TypeError(f"{array_col!r} is not array<struct>")
-    nonempty = F.coalesce(F.size(F.col(array_col)) > 0, F.lit(False))
-    head = first_element(array_col)
+    nonempty = F.coalesce(F.size(_q(array_col)) > 0, F.lit(False))
+    head = first_element(_q(array_col))
     child = {f: head.getField(f) for f in at.elementType.fieldNames()}
     out = []
     for c in df.columns:
         if c in child and c != array_col:
-            out.append(F.when(nonempty, child.pop(c)).otherwise(F.col(c)).alias(c))
+            out.append(F.when(nonempty, child.pop(c)).otherwise(_q(c)).alias(c))
         elif c == array_col and drop:
             continue
         else:
-            out.append(F.col(c))
+            out.append(_q(c))
     out += [F.when(nonempty, v).alias(k) for k, v in child.items()]
     return df.select(*out)
 
@@ -112,7 +117,7 @@ def all_null_columns(df: DataFrame, candidates: Iterable[str] | None = None) ->
     cols = list(candidates) if candidates is not None else df.columns
     if not cols:
         return []
-    counts = df.agg(*[F.count(F.col(f"`{c}`")).alias(f"c{i}") for i, c in enumerate(cols)]).first()
+    counts = df.agg(*[F.count(_q(c)).alias(f"c{i}") for i, c in enumerate(cols)]).first()
     total = None
     if all(counts[f"c{i}"] == 0 for i in range(len(cols))):
         total = df.limit(1).count()

@@ -68,3 +68,13 @@ def test_drop_all_null(spark):
     assert drop_all_null(df).columns == ["a", "c"]
     empty = spark.createDataFrame([], "a int, b string")
     assert drop_all_null(empty).columns == ["a", "b"]
+
+
+def test_names_with_dots_and_spaces(spark):
+    df = spark.createDataFrame([("d", "f_2020-01-01", "t", [(1, (2, 3), [(5,)])])],
+                               "_id string, filename string, timestamp string, "
+                               "data array<struct<`a.b`:int, `s t`:struct<`x.y`:int, `a.b`:int>, `ar r`:array<struct<`a.b`:int>>>>")
+    f = flatten_first(flatten_struct(unnest_envelope(df), "s t"), "ar r")
+    row = f.first()
+    assert (row["a.b"], row["x.y"]) == (5, 2)
+    assert drop_all_null(f).columns == f.columns
