@@ -8,9 +8,10 @@ name, or its lowercase form, equals *any* of the row's values. Here that nested
 2. two equi left joins of the records against it, on the name and on ``lower(name)``;
 3. the smaller of the two positions wins.
 
-The value table is broadcast only after its row count is checked; otherwise both joins are
-shuffle joins, where AQE splits a hot name across tasks. The records are never shuffled on the
-broadcast path.
+The value table is broadcast only after its row count is checked; then the records are never
+shuffled. Beyond the bound, the distinct names (combined map-side) are resolved against the value
+table instead, and the records take part in a single join with the resolved names: broadcast when
+that table is within bound, otherwise one shuffle join in which AQE splits a hot name.
 """
 
 from __future__ import annotations
@@ -42,6 +43,18 @@ def _value_table(lookup: DataFrame, match_cols: Sequence[str], take: Sequence[st
                 .agg(F.min(F.struct("_pos", *[f"_t_{c}" for c in take])).alias("_m")))
 
 
+def _best_match(df: DataFrame, name, vt: DataFrame) -> DataFrame:
+    """Join on the name and on its lowercase form; keep the match with the smaller position."""
+    exact = vt.select(F.col("_v").alias("_v1"), F.col("_m").alias("_m1"))
+    lower = vt.select(F.col("_v").alias("_v2"), F.col("_m").alias("_m2"))
+    j = df.join(exact, name == F.col("_v1"), "left").join(lower, F.lower(name) == F.col("_v2"), "left")
+    best = (F.when(F.col("_m1").isNull(), F.col("_m2"))
+             .when(F.col("_m2").isNull(), F.col("_m1"))
+             .when(F.col("_m1._pos") <= F.col("_m2._pos"), F.col("_m1"))
+             .otherwise(F.col("_m2")))
+    return j.withColumn("_best", best).drop("_v1", "_m1", "_v2", "_m2")
+
+
 def reconcile(df: DataFrame, lookup: DataFrame, on: str, *, columns: Sequence[str] | None = None,
               take: Sequence[str] = TAKE_COLUMNS, how: str = "inner", pos: str = "pos",
               match_pos: str | None = None, max_broadcast_rows: int | None = None) -> DataFrame:
@@ -58,17 +71,18 @@ def reconcile(df: DataFrame, lookup: DataFrame, on: str, *, columns: Sequence[st
         raise ValueError("how must be 'inner' or 'left'")
     match_cols = list(columns) if columns is not None else [c for c in lookup.columns if c != pos]
     vt = _value_table(lookup, match_cols, take, pos)
-    vt, _ = bounded_broadcast(vt, max_broadcast_rows)
-    exact = vt.select(F.col("_v").alias("_v1"), F.col("_m").alias("_m1"))
-    lower = vt.select(F.col("_v").alias("_v2"), F.col("_m").alias("_m2"))
+    vt, small = bounded_broadcast(vt, max_broadcast_rows)
     name = F.col(f"`{on}`")
-    j = (df.join(exact, name == F.col("_v1"), "left")
-           .join(lower, F.lower(name) == F.col("_v2"), "left"))
-    best = (F.when(F.col("_m1").isNull(), F.col("_m2"))
-             .when(F.col("_m2").isNull(), F.col("_m1"))
-             .when(F.col("_m1._pos") <= F.col("_m2._pos"), F.col("_m1"))
-             .otherwise(F.col("_m2")))
-    j = j.withColumn("_best", best)
+    if small:
+        # records meet the broadcast value table twice; they are never shuffled
+        j = _best_match(df, name, vt)
+    else:
+        # large dictionary: resolve each distinct name once (distinct combines map-side), then
+        # join the records with the resolved names in one join, broadcast when within bound
+        names = df.select(name.alias("_n")).where(F.col("_n").isNotNull()).distinct()
+        resolved = _best_match(names, F.col("_n"), vt).where(F.col("_best").isNotNull()).select("_n", "_best")
+        resolved, _ = bounded_broadcast(resolved, max_broadcast_rows)
+        j = df.join(resolved, name == F.col("_n"), "left").drop("_n")
     if how == "inner":
         j = j.where(F.col("_best").isNotNull())
     matched = F.col("_best").isNotNull()
