@@ -153,20 +153,31 @@ def reconcile_with_fallback(df: DataFrame, lookup: DataFrame, *, fine_on: str, c
     ``fine_ids`` (NULL when none does, no fallback). When ``fine_on`` is NULL the first row whose
     ``coarse_col`` equals ``coarse_on`` gives ``coarse_ids``; the other ids stay NULL.
     """
-    def first_by(col: str, ids: Sequence[str], tag: str) -> DataFrame:
+    def first_by(col: str, ids: Sequence[str], tag: str):
         t = (lookup.where(F.col(col).isNotNull())
                    .groupBy(F.col(col).alias(f"_{tag}k"))
                    .agg(F.min(F.struct(F.col(pos).alias("_pos"), *[F.col(i).alias(i) for i in ids])).alias(f"_{tag}")))
-        return bounded_broadcast(t, max_broadcast_rows)[0]
+        return bounded_broadcast(t, max_broadcast_rows)
 
-    fine = first_by(fine_col, fine_ids, "f")
-    coarse = first_by(coarse_col, coarse_ids, "c")
-    j = (df.join(fine, F.col(f"`{fine_on}`") == F.col("_fk"), "left")
-           .join(coarse, F.col(f"`{fine_on}`").isNull() & (F.col(f"`{coarse_on}`") == F.col("_ck")), "left"))
+    (fine, fine_small), (coarse, coarse_small) = first_by(fine_col, fine_ids, "f"), first_by(coarse_col, coarse_ids, "c")
+    fcol, ccol = F.col(f"`{fine_on}`"), F.col(f"`{coarse_on}`")
+
+    def attach(rows: DataFrame, fname, cname) -> DataFrame:
+        return (rows.join(fine, fname == F.col("_fk"), "left")
+                    .join(coarse, fname.isNull() & (cname == F.col("_ck")), "left"))
+
+    if fine_small and coarse_small:
+        j = attach(df, fcol, ccol)  # both tables broadcast: the records are never shuffled
+    else:
+        # resolve each distinct (fine, coarse) pair once, then one null-safe join of the records
+        pairs = df.select(fcol.alias("_fn"), ccol.alias("_cn")).distinct()
+        resolved = attach(pairs, F.col("_fn"), F.col("_cn")).select("_fn", "_cn", "_f", "_c")
+        resolved, _ = bounded_broadcast(resolved, max_broadcast_rows)
+        j = df.join(resolved, fcol.eqNullSafe(F.col("_fn")) & ccol.eqNullSafe(F.col("_cn")), "left")
     ids = list(dict.fromkeys([*fine_ids, *coarse_ids]))
     out = [F.col(f"`{c}`") for c in df.columns if c not in ids]
     for i in ids:
         fine_v = F.col(f"_f.{i}") if i in fine_ids else F.lit(None)
         coarse_v = F.col(f"_c.{i}") if i in coarse_ids else F.lit(None)
-        out.append(F.when(F.col(f"`{fine_on}`").isNotNull(), fine_v).otherwise(coarse_v).alias(i))
+        out.append(F.when(fcol.isNotNull(), fine_v).otherwise(coarse_v).alias(i))
     return j.select(*out)

@@ -139,3 +139,13 @@ def test_reconcile_plan_is_equi_and_broadcast(spark):
     plan = reconcile(probe, lk, "name")._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     assert "BroadcastHashJoin" in plan
+
+
+def test_reconcile_with_fallback_large_dictionary_path(spark):
+    lk = spark.createDataFrame(LOOKUP, LK_SCHEMA)
+    probe = spark.createDataFrame([(1, "el Raval", "Eixample"), (2, None, "Eixample"), (3, None, "Nowhere"),
+                                   (4, "el raval", "Eixample"), (5, None, None)], "id int, hood string, dist string")
+    small = {r.id: tuple(r) for r in reconcile_with_fallback(probe, lk, fine_on="hood", coarse_on="dist").collect()}
+    large = {r.id: tuple(r) for r in reconcile_with_fallback(probe, lk, fine_on="hood", coarse_on="dist",
+                                                             max_broadcast_rows=0).collect()}
+    assert small == large and small[5][-2:] == (None, None)
