@@ -23,6 +23,19 @@ def _geo(spark, d) -> DataFrame:
     return n.join(r, n.n_regionkey == r.r_regionkey).select("n_nationkey", "n_name", "r_regionkey", "r_name")
 
 
+def _order_places(spark, d) -> DataFrame:
+    """Each order with its customer's nation and region: the smaller side, joined first, so the
+    lineitem rows meet one join. At scale neither orders nor customer can be broadcast, and the
+    left-deep order (lineitem x orders, then x customer) would shuffle the lineitem-sized result a
+    second time; this order shuffles lineitem once. (On one machine, where both are broadcast, it
+    measured about 15% slower: one larger hash table instead of two narrow ones.)"""
+    o = table(spark, d, "orders")
+    c = table(spark, d, "customer")
+    g = _geo(spark, d)
+    return (o.join(c, o.o_custkey == c.c_custkey).join(g, F.col("c_nationkey") == g.n_nationkey)
+             .select("o_orderkey", "o_orderdate", "c_nationkey", "n_nationkey", "n_name", "r_regionkey", "r_name"))
+
+
 def places(spark: SparkSession, d: str) -> DataFrame:
     """The place dictionary in its landing layout, ``pos`` = nation key."""
     g = _geo(spark, d)
@@ -74,12 +87,7 @@ def income(spark: SparkSession, d: str) -> DataFrame:
 def listings(spark: SparkSession, d: str) -> DataFrame:
     """Formatted listings (``table_idealista`` columns used downstream)."""
     li = table(spark, d, "lineitem")
-    o = table(spark, d, "orders")
-    c = table(spark, d, "customer")
-    g = _geo(spark, d)
-    return (li.join(o, li.l_orderkey == o.o_orderkey)
-              .join(c, o.o_custkey == c.c_custkey)
-              .join(g, F.col("c_nationkey") == g.n_nationkey)
+    return (li.join(_order_places(spark, d), li.l_orderkey == F.col("o_orderkey"))
               .select(F.concat_ws("-", "l_orderkey", "l_linenumber").alias("id"),
                       F.col("l_extendedprice").alias("price"),
                       F.col("l_quantity").alias("size"),
@@ -191,9 +199,6 @@ def listing_envelopes(spark: SparkSession, d: str, per_doc: int = 4) -> DataFram
     name carries the date of the block's first order.
     """
     li = table(spark, d, "lineitem")
-    o = table(spark, d, "orders")
-    c = table(spark, d, "customer")
-    g = _geo(spark, d)
     parking = F.when(F.col("l_returnflag") == "N", F.lit(None)).otherwise(F.struct(
         (F.col("l_linestatus") == "F").alias("hasParkingSpace"),
         (F.col("l_discount") > 0.05).alias("isParkingSpaceIncludedInPrice"),
@@ -208,8 +213,7 @@ def listing_envelopes(spark: SparkSession, d: str, per_doc: int = 4) -> DataFram
         name_variant(F.col("n_name"), F.col("r_name"), F.col("l_partkey")).alias("neighborhood"),
         F.col("r_name").alias("district"),
         parking.alias("parkingSpace"))
-    rows = (_by_block(li.join(o, li.l_orderkey == o.o_orderkey).join(c, o.o_custkey == c.c_custkey)
-                        .join(g, F.col("c_nationkey") == g.n_nationkey), "l_orderkey", per_doc)
+    rows = (_by_block(li.join(_order_places(spark, d), li.l_orderkey == F.col("o_orderkey")), "l_orderkey", per_doc)
               .select("block", "o_orderdate", rec.alias("rec")))
     return (rows.groupBy("block")
                 .agg(F.sort_array(F.collect_list("rec")).alias("data"), F.min("o_orderdate").alias("_first"))
