@@ -103,6 +103,13 @@ def q_income_mart(spark, d):
     return rounded(marts.income_mart(standins.income(spark, d)))
 
 
+@register("income_mart_survey_year", _with(GEO, INCOME) + """SELECT neighborhood_id, yr AS Year,
+  round((avg(index_rfd)) * 1.000000000001e0, 4) AS average FROM income GROUP BY neighborhood_id, yr""")
+def q_income_mart_survey_year(spark, d):
+    """Income mart keyed by the record's own year column instead of the ingestion timestamp."""
+    return rounded(marts.income_mart(standins.income(spark, d), ts="year"))
+
+
 @register("listing_mart", _with(GEO, LISTINGS, MVIDEALISTA) + """SELECT neighborhood_id, Year, district, round((price) * 1.000000000001e0, 4) AS price,
   round((rooms) * 1.000000000001e0, 4) AS rooms, round((bathrooms) * 1.000000000001e0, 4) AS bathrooms, "count", round((pba) * 1.000000000001e0, 4) AS pba, totalrooms, totalbathrooms,
   round((mean_size) * 1.000000000001e0, 4) AS mean_size FROM mvidealista""")
@@ -145,6 +152,15 @@ def q_price_per_room(spark, d):
     return rounded(dashboard.price_per_room(_mvidealista(spark, d)))
 
 
+@register("price_per_room_clipped", _with(GEO, LISTINGS, MVIDEALISTA) + """SELECT district, round((PricePerRoom) * 1.000000000001e0, 4)
+  AS PricePerRoom, round((pba) * 1.000000000001e0, 4) AS pba FROM (SELECT district,
+  avg(price / nullif(CAST(totalrooms + totalbathrooms AS DOUBLE), 0)) AS PricePerRoom, avg(pba) AS pba
+  FROM mvidealista GROUP BY district) WHERE PricePerRoom BETWEEN 0 AND 100000""")
+def q_price_per_room_clipped(spark, d):
+    """Price per room with the chart's x-axis range (0 to 100000) applied as a row filter."""
+    return rounded(dashboard.price_per_room(_mvidealista(spark, d), clip=(0, 100000)))
+
+
 @register("size_by_district", _with(GEO, LISTINGS, MVIDEALISTA) +
           "SELECT district, round((avg(mean_size)) * 1.000000000001e0, 4) AS mean_size FROM mvidealista GROUP BY district")
 def q_size_by_district(spark, d):
