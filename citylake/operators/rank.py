@@ -38,18 +38,27 @@ def _names(x) -> list[str]:
     return [x] if isinstance(x, str) else list(x)
 
 
+# Rows up to which method="auto" numbers in one window (one task): a proven bound, checked by a
+# limited count that reads at most this many rows plus one.
+AUTO_WINDOW_MAX_ROWS = 100_000
+
+
 def global_rank(df: DataFrame, order: Sequence[str] | str, *, rank_col: str = "rank",
                 total_col: str | None = None, method: str = "range",
-                num_partitions: int | None = None) -> DataFrame:
+                num_partitions: int | None = None, window_max_rows: int = AUTO_WINDOW_MAX_ROWS) -> DataFrame:
     """Add ``rank_col`` = 0-based position of each row in ascending ``order`` (nulls first).
 
     ``order`` should be total (add a key as tie-break); ties otherwise get distinct ranks in an
     unspecified order. ``total_col`` adds the row count of the whole input to every row.
     ``method="window"`` uses one global window and is meant for small inputs and cross-checks.
-    ``num_partitions`` fixes the number of ranges (no adaptive merging).
+    ``method="auto"`` takes the window only when a limited count proves the input has at most
+    ``window_max_rows`` rows, and the range method otherwise. ``num_partitions`` fixes the number
+    of ranges (no adaptive merging).
     """
     order = _names(order)
     cols = [F.col(f"`{c}`") for c in order]
+    if method == "auto":
+        method = "window" if df.limit(window_max_rows + 1).count() <= window_max_rows else "range"
     if method == "window":
         w = Window.orderBy(*cols)
         out = df.withColumn(rank_col, (F.row_number().over(w) - 1).cast("long"))
@@ -57,7 +66,7 @@ def global_rank(df: DataFrame, order: Sequence[str] | str, *, rank_col: str = "r
             out = out.withColumn(total_col, F.count(F.lit(1)).over(Window.partitionBy()).cast("long"))
         return out
     if method != "range":
-        raise ValueError("method must be 'range' or 'window'")
+        raise ValueError("method must be 'range', 'window' or 'auto'")
     # Without an explicit count the range shuffle starts from spark.sql.shuffle.partitions and AQE
     # merges adjacent small ranges (merged partitions stay contiguous and ordered), so a ranking of
     # a few thousand aggregated rows does not run hundreds of tasks.

@@ -76,3 +76,14 @@ def test_rank_has_no_single_partition_window_over_rows(spark):
     plan = global_rank(df, ["v", "id"])._jdf.queryExecution().executedPlan().toString()
     assert "ExistingRDD" in plan          # the numbered rows come from one checkpointed copy
     assert "row_number" not in plan       # no global window over the rows themselves
+
+
+def test_global_rank_auto_picks_by_bounded_size(spark):
+    rows = [(i, float(i % 7)) for i in range(300)]
+    df = spark.createDataFrame(rows, "id int, v double")
+    spec = {r[0]: i for i, r in enumerate(sorted(rows, key=lambda r: (r[1], r[0])))}
+    small = global_rank(df, ["v", "id"], method="auto")
+    large = global_rank(df, ["v", "id"], method="auto", window_max_rows=10)
+    assert {r.id: r["rank"] for r in small.collect()} == spec == {r.id: r["rank"] for r in large.collect()}
+    assert "ExistingRDD" not in small._jdf.queryExecution().executedPlan().toString()  # window form
+    assert "ExistingRDD" in large._jdf.queryExecution().executedPlan().toString()      # range form
