@@ -85,5 +85,5 @@ def test_global_rank_auto_picks_by_bounded_size(spark):
     small = global_rank(df, ["v", "id"], method="auto")
     large = global_rank(df, ["v", "id"], method="auto", window_max_rows=10)
     assert {r.id: r["rank"] for r in small.collect()} == spec == {r.id: r["rank"] for r in large.collect()}
-    assert "ExistingRDD" not in small._jdf.queryExecution().executedPlan().toString()  # window form
-    assert "ExistingRDD" in large._jdf.queryExecution().executedPlan().toString()      # range form
+    assert "row_number" in small._jdf.queryExecution().executedPlan().toString()      # window form
+    assert "row_number" not in large._jdf.queryExecution().executedPlan().toString()  # range form
