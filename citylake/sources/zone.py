@@ -10,6 +10,7 @@ import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from citylake.operators.broadcast import bounded_broadcast
@@ -64,7 +65,20 @@ class Zone:
                 raise OSError(f"could not swap in {staged}")
         return self.path(name)
 
+    def align(self, df: DataFrame, name: str) -> DataFrame:
+        """Rows of ``df`` in the table's column order; a column the rows lack is NULL of the table's
+        type (records with differing keys land in one table); extra columns are an error."""
+        if not self.exists(name):
+            return df
+        schema = self.read(name).schema
+        extra = [c for c in df.columns if c not in schema.fieldNames()]
+        if extra:
+            raise ValueError(f"columns {extra} are not in table {name!r}")
+        return df.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) if f.name in df.columns
+                           else F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
+
     def append(self, df: DataFrame, name: str, *, partition_by: Sequence[str] = ()) -> str:
+        df = self.align(df, name)
         w = df.write.format(self.fmt).mode("append")
         if partition_by:
             w = w.partitionBy(*partition_by)
@@ -96,7 +110,7 @@ class Zone:
         on = [table[k].eqNullSafe(batch_keys[k]) for k in keys]
         hits = table.select(*keys).join(batch_keys, on, "left_semi")
         fresh = rows.join(hits, [rows[k].eqNullSafe(hits[k]) for k in keys], "left_anti")
-        return self.append(fresh.select(*table.columns), name)
+        return self.append(fresh, name)
 
     def upsert(self, name: str, updates: DataFrame, keys: Sequence[str], *, order: Sequence[str] | None = None) -> str:
         """``INSERT OR REPLACE`` by key: updates replace rows with the same key, others are inserted."""

@@ -38,3 +38,22 @@ def test_zone_roundtrip(spark, scratch):
     assert sorted(tuple(r) for r in z.read("t").collect()) == [(1, "A"), (2, "B"), (3, "z"), (4, "d"), (5, "e")]
     z.ensure_table("t2", df.schema, primary_key=["k"])
     assert z.read("t2").count() == 0
+
+
+def test_failed_overwrite_keeps_the_table(spark, scratch):
+    z = Zone(spark, os.path.join(scratch, "zone2"))
+    z.overwrite(spark.createDataFrame([(1, "a")], "k int, v string"), "t")
+    bad = spark.range(10).select(F.col("id").cast("int").alias("k"),
+                                 F.when(F.col("id") == 7, F.raise_error(F.lit("boom"))).otherwise(F.lit("x")).alias("v"))
+    with pytest.raises(Exception):
+        z.overwrite(bad, "t")
+    assert [tuple(r) for r in z.read("t").collect()] == [(1, "a")]
+
+
+def test_append_aligns_columns_by_name(spark, scratch):
+    z = Zone(spark, os.path.join(scratch, "zone3"))
+    z.overwrite(spark.createDataFrame([(1, "a", 1.0)], "k int, v string, x double"), "t")
+    z.append(spark.createDataFrame([("b", 2)], "v string, k int"), "t")  # other order, x missing
+    assert sorted(tuple(r) for r in z.read("t").collect()) == [(1, "a", 1.0), (2, "b", None)]
+    with pytest.raises(ValueError):
+        z.append(spark.createDataFrame([(3, "c", "extra")], "k int, v string, y string"), "t")
