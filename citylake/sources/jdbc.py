@@ -7,13 +7,20 @@ from pyspark.sql import DataFrame, SparkSession
 
 def read_jdbc(spark: SparkSession, url: str, table: str, *, driver: str | None = None,
               partition_column: str | None = None, lower_bound=None, upper_bound=None,
-              num_partitions: int | None = None, fetch_size: int = 10_000, properties: dict | None = None) -> DataFrame:
+              num_partitions: int | None = None, predicates: list[str] | None = None,
+              fetch_size: int = 10_000, properties: dict | None = None) -> DataFrame:
     """Read a table or a derived table ``(select ...) as t``.
 
-    Without ``partition_column`` the read is one task (as in the reference). With it, Spark issues
-    ``num_partitions`` range queries in parallel; ``WHERE`` filters and column pruning are pushed
-    into the database by the JDBC source.
+    Without ``partition_column`` or ``predicates`` the read is one task (as in the reference). With
+    ``partition_column`` Spark issues ``num_partitions`` range queries in parallel; ``predicates``
+    (one ``WHERE`` clause per task) covers keys that are not numeric. ``WHERE`` filters and column
+    pruning are pushed into the database by the JDBC source.
     """
+    if partition_column and predicates:
+        raise ValueError("give partition_column or predicates, not both")
+    if predicates:
+        props = {"fetchsize": str(fetch_size), **({"driver": driver} if driver else {}), **(properties or {})}
+        return spark.read.jdbc(url, table, predicates=list(predicates), properties=props)
     opts = {"url": url, "dbtable": table, "fetchsize": str(fetch_size)}
     if driver:
         opts["driver"] = driver
