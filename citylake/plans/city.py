@@ -19,7 +19,8 @@ from citylake.functions.columns import array_count
 from citylake.operators.dedup import dedup_first
 from citylake.operators.quality import observe_counts
 from citylake.operators.reconcile import extend_lookup, reconcile, reconcile_with_fallback
-from citylake.operators.shape import SRC, drop_all_null, drop_columns, flatten_first, flatten_struct, unnest_envelope
+from citylake.operators.shape import (SRC, drop_all_null, drop_columns, flatten_first, flatten_struct, rename,
+                                     unnest_envelope)
 from citylake.plans import dashboard, marts
 from citylake.plans.features import build_features
 from citylake.session import materialize
@@ -77,7 +78,7 @@ def format_income(envelopes: DataFrame, lookup: DataFrame, counters: dict | None
     rows = dedup_first(rows, ["Any", "Codi_Districte", "Codi_Barri"], [SRC])
     rows = rows.withColumn("id", F.concat(F.col("Any").cast("string"), F.col("Codi_Districte").cast("string"),
                                           F.col("Codi_Barri").cast("string")))
-    rows = drop_columns(rows.withColumnsRenamed(INCOME_RENAME), INCOME_DROP)
+    rows = drop_columns(rename(rows, INCOME_RENAME), INCOME_DROP)
     return _observe(rows.select("id", "year", "population", "index_rfd", "source_id", "timestamp", "district",
                                 "neighborhood", "district_id", "neighborhood_id"), counters, "income_kept")
 
