@@ -38,3 +38,21 @@ def test_stream_landing_first_wins_across_batches(spark, scratch):
     q.awaitTermination(120)
     got = {r.id: r.price for r in zone.read("table_idealista").collect()}
     assert got == {"p1": 100.0, "p2": 200.0, "p3": 300.0}
+
+
+def test_stream_landing_upsert_mode_replaces(spark, scratch):
+    lk_docs = spark.createDataFrame([("l1", "f", "t", [tuple(lookup_row(*p).values()) for p in PLACES])],
+                                    schemas.LOOKUP_ENVELOPE)
+    lookup = explode_lookup(lk_docs)
+    land = os.path.join(scratch, "landing_u")
+    os.makedirs(land)
+    zone = Zone(spark, os.path.join(scratch, "zone_u"))
+    ck = os.path.join(scratch, "ck_u")
+    for i, price in enumerate([100.0, 250.0]):
+        with open(os.path.join(land, f"{i}.json"), "w", encoding="utf-8") as f:
+            f.write(json.dumps({"_id": f"d{i}", "filename": "idealista_2023-01-01.json", "timestamp": "t",
+                                "data": [listing("p1", "el Raval", price, 2, 1, 50.0)]}) + "\n")
+        q = stream_landing(spark, land, schemas.LISTING_ENVELOPE, lambda b: format_listings(b, lookup), zone,
+                           "table_idealista", ["id", "timestamp"], mode="upsert", checkpoint_location=ck)
+        q.awaitTermination(120)
+    assert [(r.id, r.price) for r in zone.read("table_idealista").collect()] == [("p1", 250.0)]

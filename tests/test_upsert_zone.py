@@ -57,3 +57,13 @@ def test_append_aligns_columns_by_name(spark, scratch):
     assert sorted(tuple(r) for r in z.read("t").collect()) == [(1, "a", 1.0), (2, "b", None)]
     with pytest.raises(ValueError):
         z.append(spark.createDataFrame([(3, "c", "extra")], "k int, v string, y string"), "t")
+
+
+def test_partitioned_zone_table(spark, scratch):
+    z = Zone(spark, os.path.join(scratch, "zone4"))
+    df = spark.createDataFrame([(1, "2023", 1.0), (2, "2024", 2.0), (3, "2024", 3.0)], "k int, year string, x double")
+    z.overwrite(df, "t", partition_by=["year"])
+    assert os.path.isdir(os.path.join(scratch, "zone4", "t.parquet", "year=2024"))
+    back = z.read("t").where("year = '2024'")
+    assert sorted(r.k for r in back.collect()) == [2, 3]
+    assert "PartitionFilters: [isnotnull(year" in back._jdf.queryExecution().executedPlan().toString()
