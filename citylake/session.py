@@ -17,6 +17,8 @@ LOCAL_DEFAULTS = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # checkpoint files (rank numbering, extended dictionary, ...) are removed once unreachable
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
