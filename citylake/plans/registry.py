@@ -167,6 +167,26 @@ def q_size_by_district(spark, d):
     return rounded(dashboard.size_by_district(_mvidealista(spark, d)))
 
 
+def _dashboard_sql(spark, d) -> dict:
+    return dashboard.run_sql(spark, _mvidealista(spark, d), marts.facility_mart(standins.facilities(spark, d)),
+                             marts.income_mart(standins.income(spark, d)))
+
+
+@register("markets_vs_income_sql", _with(GEO, FACILITIES, INCOME, MVMARKETS, MVINCOME, MARKETS_VS_INCOME) +
+          "SELECT neighborhood_id, district, numMarkets, round((average) * 1.000000000001e0, 4) AS average FROM mvi")
+def q_markets_vs_income_sql(spark, d):
+    """The dashboard's first statement run with spark.sql over the marts registered as views."""
+    return rounded(_dashboard_sql(spark, d)["markets_vs_income"])
+
+
+@register("price_per_room_sql", _with(GEO, LISTINGS, MVIDEALISTA) + """SELECT district,
+  round((avg(price / nullif(CAST(totalrooms + totalbathrooms AS DOUBLE), 0))) * 1.000000000001e0, 4) AS PricePerRoom,
+  round((avg(pba)) * 1.000000000001e0, 4) AS pba FROM mvidealista GROUP BY district""")
+def q_price_per_room_sql(spark, d):
+    """The dashboard's third statement run with spark.sql over the marts registered as views."""
+    return rounded(_dashboard_sql(spark, d)["price_per_room"])
+
+
 # ---- keyed aggregation (A1 A2 A2b) -----------------------------------------------------------
 @register("vector_mean", _with(GEO, LISTINGS) + """SELECT neighborhood_id, round((avg(price)) * 1.000000000001e0, 4) AS price,
   round((avg(size)) * 1.000000000001e0, 4) AS size, round((avg(rooms)) * 1.000000000001e0, 4) AS rooms, round((avg(bathrooms)) * 1.000000000001e0, 4) AS bathrooms,
