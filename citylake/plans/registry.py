@@ -655,3 +655,20 @@ def q_format_listings_first_zone(spark, d):
     out = city.format_listings_first(standins.listing_envelopes(spark, d), standins.places(spark, d))
     return rounded(out.select("propertyCode", "source_id", "neighborhood", "district", "price", "neighborhood_id",
                               "district_id"))
+
+
+QUALITY_REPORT_SQL = _with(GEO, PLACES, f"vals AS (SELECT pos, unnest({LOOKUP_VALUES}) AS v FROM places)", LISTING_RECS,
+    """docs AS (SELECT *, strftime(min(o_orderdate) OVER (PARTITION BY block), '%Y-%m-%d') AS snap FROM recs)""",
+    """m AS (SELECT d.*, (SELECT min(v.pos) FROM vals v WHERE v.v = d.neighborhood OR v.v = lower(d.neighborhood)) AS mpos
+  FROM docs d)""") + """SELECT count(*) AS "rows", count(DISTINCT (propertyCode, snap)) AS distinct_keys,
+  count(*) - count(DISTINCT (propertyCode, snap)) AS duplicates, count(*) FILTER (WHERE mpos IS NULL) AS unmatched,
+  CAST((count(neighborhood) = 0)::INTEGER + (count(hasParkingSpace) = 0)::INTEGER AS BIGINT) AS all_null_columns FROM m"""
+
+
+@register("quality_report", QUALITY_REPORT_SQL)
+def q_quality_report(spark, d):
+    """Zone-boundary counters for the listing documents: records read, distinct (property code,
+    snapshot date) keys, duplicates, records the dictionary does not match, all-NULL columns."""
+    rows = unnest_envelope(standins.listing_envelopes(spark, d), snapshot_from_filename=True)
+    rows = reconcile(rows, standins.places(spark, d), "neighborhood", take=[], how="left", match_pos="_mp")
+    return quality_report(rows, ["propertyCode", "timestamp"], matched="_mp", null_check=["neighborhood", "parkingSpace"])
