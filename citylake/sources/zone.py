@@ -33,10 +33,27 @@ class Zone:
 
     def exists(self, name: str) -> bool:
         fs, p = self._fs(self.path(name))
-        return bool(fs.exists(p))
+        return bool(fs.exists(p)) or self.recover(name)
+
+    def recover(self, name: str) -> bool:
+        """Finish an interrupted swap: when the table path is missing but ``overwrite`` had moved
+        the previous copy aside (a crash between its two renames), move the newest such copy back."""
+        fs, final = self._fs(self.path(name))
+        if fs.exists(final):
+            return False
+        _, staging = self._fs(f"{self.root}/_staging")
+        if not fs.exists(staging):
+            return False
+        aside = [st for st in fs.listStatus(staging) if st.getPath().getName().startswith(f"{name}-old-")]
+        if not aside:
+            return False
+        newest = max(aside, key=lambda st: st.getModificationTime())
+        fs.mkdirs(final.getParent())
+        return bool(fs.rename(newest.getPath(), final))
 
     # -- read / write --------------------------------------------------------------------------
     def read(self, name: str, schema: T.StructType | None = None) -> DataFrame:
+        self.recover(name)
         reader = self.spark.read.format(self.fmt)
         if schema is not None:
             reader = reader.schema(schema)

@@ -67,3 +67,15 @@ def test_partitioned_zone_table(spark, scratch):
     back = z.read("t").where("year = '2024'")
     assert sorted(r.k for r in back.collect()) == [2, 3]
     assert "PartitionFilters: [isnotnull(year" in back._jdf.queryExecution().executedPlan().toString()
+
+
+def test_interrupted_swap_is_recovered(spark, scratch):
+    root = os.path.join(scratch, "zone5")
+    z = Zone(spark, root)
+    z.overwrite(spark.createDataFrame([(1, "a")], "k int, v string"), "t")
+    # a driver that died between the two renames of an overwrite: the table was moved aside
+    os.makedirs(os.path.join(root, "_staging"), exist_ok=True)
+    os.rename(os.path.join(root, "t.parquet"), os.path.join(root, "_staging", "t-old-0123"))
+    assert z.exists("t")
+    assert [tuple(r) for r in z.read("t").collect()] == [(1, "a")]
+    assert not os.path.exists(os.path.join(root, "_staging", "t-old-0123"))
