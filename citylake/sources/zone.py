@@ -65,9 +65,13 @@ class Zone:
         w = df.write.format(self.fmt).mode("errorifexists")
         if partition_by:
             w = w.partitionBy(*partition_by)
-        w.save(staged)
         fs, final = self._fs(self.path(name))
         _, src = self._fs(staged)
+        try:
+            w.save(staged)
+        except Exception:
+            fs.delete(src, True)  # a failed job leaves neither a half table nor its staging copy
+            raise
         if fs.exists(final):
             _, old = self._fs(f"{self.root}/_staging/{name}-old-{uuid.uuid4().hex}")
             if not fs.rename(final, old):

@@ -48,6 +48,8 @@ def test_failed_overwrite_keeps_the_table(spark, scratch):
     with pytest.raises(Exception):
         z.overwrite(bad, "t")
     assert [tuple(r) for r in z.read("t").collect()] == [(1, "a")]
+    staging = os.path.join(scratch, "zone2", "_staging")
+    assert not os.path.exists(staging) or os.listdir(staging) == []
 
 
 def test_append_aligns_columns_by_name(spark, scratch):
