@@ -45,7 +45,8 @@ AUTO_WINDOW_MAX_ROWS = 100_000
 
 def global_rank(df: DataFrame, order: Sequence[str] | str, *, rank_col: str = "rank",
                 total_col: str | None = None, method: str = "range",
-                num_partitions: int | None = None, window_max_rows: int = AUTO_WINDOW_MAX_ROWS) -> DataFrame:
+                num_partitions: int | None = None, window_max_rows: int = AUTO_WINDOW_MAX_ROWS,
+                rows_per_partition: int | None = None) -> DataFrame:
     """Add ``rank_col`` = 0-based position of each row in ascending ``order`` (nulls first).
 
     ``order`` should be total (add a key as tie-break); ties otherwise get distinct ranks in an
@@ -53,7 +54,9 @@ def global_rank(df: DataFrame, order: Sequence[str] | str, *, rank_col: str = "r
     ``method="window"`` uses one global window and is meant for small inputs and cross-checks.
     ``method="auto"`` takes the window only when a limited count proves the input has at most
     ``window_max_rows`` rows, and the range method otherwise. ``num_partitions`` fixes the number
-    of ranges (no adaptive merging).
+    of ranges (no adaptive merging). AQE merges small ranges but never splits one, so when the
+    configured partition count may be too low for the input, ``rows_per_partition`` sizes the range
+    exchange from one count of the input: ``ceil(rows / rows_per_partition)`` ranges.
     """
     order = _names(order)
     cols = [F.col(f"`{c}`") for c in order]
@@ -67,6 +70,8 @@ def global_rank(df: DataFrame, order: Sequence[str] | str, *, rank_col: str = "r
         return out
     if method != "range":
         raise ValueError("method must be 'range', 'window' or 'auto'")
+    if rows_per_partition and not num_partitions:
+        num_partitions = max(1, -(-df.count() // rows_per_partition))
     # Without an explicit count the range shuffle starts from spark.sql.shuffle.partitions and AQE
     # merges adjacent small ranges (merged partitions stay contiguous and ordered), so a ranking of
     # a few thousand aggregated rows does not run hundreds of tasks.

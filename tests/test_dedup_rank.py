@@ -87,3 +87,12 @@ def test_global_rank_auto_picks_by_bounded_size(spark):
     assert {r.id: r["rank"] for r in small.collect()} == spec == {r.id: r["rank"] for r in large.collect()}
     assert "row_number" in small._jdf.queryExecution().executedPlan().toString()      # window form
     assert "row_number" not in large._jdf.queryExecution().executedPlan().toString()  # range form
+
+
+def test_global_rank_sized_by_rows_per_partition(spark):
+    rows = [(i, float(i % 11)) for i in range(1000)]
+    df = spark.createDataFrame(rows, "id int, v double")
+    ranked = global_rank(df, ["v", "id"], rows_per_partition=150)
+    spec = {r[0]: i for i, r in enumerate(sorted(rows, key=lambda r: (r[1], r[0])))}
+    assert {r.id: r["rank"] for r in ranked.collect()} == spec
+    assert "rangepartitioning" not in ranked._jdf.queryExecution().executedPlan().toString()  # read from checkpoint
