@@ -14,15 +14,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from citylake.session import checkpoint_dir
 from citylake.sources.zone import Zone
 
 
+def default_stream_checkpoint(spark: SparkSession, zone: Zone, table: str) -> str:
+    """A location that survives restarts: under the configured ``spark.checkpoint.dir`` root (the
+    context's own checkpoint folder is a fresh subfolder per application), else next to the zone."""
+    root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    base = root.rstrip("/") if root else f"{zone.root}/_streams"
+    return f"{base}/citylake-streams/{table}"
+
+
 def stream_landing(spark: SparkSession, path: str, schema: T.StructType, formatter: Callable[[DataFrame], DataFrame],
                    zone: Zone, table: str, keys: Sequence[str], *, mode: str = "first",
                    checkpoint_location: str | None = None, available_now: bool = True,
                    max_files_per_trigger: int | None = None) -> StreamingQuery:
-    """Start the stream; with ``available_now`` it processes what is there and stops."""
+    """Start the stream; with ``available_now`` it processes what is there and stops.
+
+    The stream's progress lives in ``checkpoint_location`` (default: ``default_stream_checkpoint``,
+    stable across application restarts, so a restarted job resumes instead of re-reading).
+    """
     if mode not in ("first", "upsert"):
         raise ValueError("mode must be 'first' or 'upsert'")
     reader = spark.readStream.schema(schema)
@@ -37,7 +48,7 @@ def stream_landing(spark: SparkSession, path: str, schema: T.StructType, formatt
         else:
             zone.upsert(table, rows, list(keys))
 
-    location = checkpoint_location or f"{checkpoint_dir(spark)}/stream-{table}"
+    location = checkpoint_location or default_stream_checkpoint(spark, zone, table)
     w = src.writeStream.foreachBatch(per_batch).option("checkpointLocation", location)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()

@@ -56,3 +56,12 @@ def test_stream_landing_upsert_mode_replaces(spark, scratch):
                            "table_idealista", ["id", "timestamp"], mode="upsert", checkpoint_location=ck)
         q.awaitTermination(120)
     assert [(r.id, r.price) for r in zone.read("table_idealista").collect()] == [("p1", 250.0)]
+
+
+def test_default_stream_checkpoint_is_stable(spark, scratch):
+    from citylake.streaming.landing import default_stream_checkpoint
+    zone = Zone(spark, os.path.join(scratch, "zone_s"))
+    loc = default_stream_checkpoint(spark, zone, "table_idealista")
+    assert loc == default_stream_checkpoint(spark, zone, "table_idealista")
+    ctx_dir = spark.sparkContext.getCheckpointDir() or ""
+    assert not loc.startswith(ctx_dir.replace("file:", "")) or not ctx_dir  # not inside the per-app folder
