@@ -117,7 +117,8 @@ class Zone:
 
     def insert_new(self, name: str, rows: DataFrame, keys: Sequence[str]) -> str:
         """Append only rows whose key is not in the table yet (first wins across runs; rerunning
-        the same rows is a no-op).
+        the same rows is a no-op). ``rows`` should be unique by key already (the formatters'
+        ``dedup_first`` does that per batch); keys repeated inside ``rows`` are all appended.
 
         The batch is the small side: its distinct keys are broadcast (size-checked) into a
         semi join over the table's key columns, so the table is scanned (keys only) without a
