@@ -43,7 +43,7 @@ def train(df: DataFrame, *, label: str = "index_rfd", id_cols: Sequence[str] = (
     labels = StringIndexer(inputCol=label, outputCol="indexedLabel").fit(df)
     train_df, test_df = split(df, seed=seed, weights=weights, checkpoint=False)
     pipeline = Pipeline(stages=[
-        VectorAssembler(inputCols=features, outputCol="features", handleInvalid="keep"),
+        VectorAssembler(inputCols=features, outputCol="features"),  # NULL features fail, as in the reference
         labels,
         VectorIndexer(inputCol="features", outputCol="indexedFeatures", maxCategories=MAX_CATEGORIES,
                       handleInvalid="keep"),
