@@ -10,6 +10,11 @@ from pyspark.sql import functions as F
 from citylake.session import checkpoint_dir
 
 
+def fresh_folder(spark: SparkSession, name: str) -> str:
+    """A new path in the shared checkpoint folder."""
+    return f"{checkpoint_dir(spark)}/llm-staged/{name}-{uuid.uuid4().hex}"
+
+
 def staged(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
     """Write ``df`` once as parquet in the shared checkpoint folder and read it back.
 
@@ -17,7 +22,7 @@ def staged(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
     names in ``spark.checkpoint.dir``; ``drop_staged`` removes what a session has staged.
     """
     spark = df.sparkSession
-    path = f"{checkpoint_dir(spark)}/llm-staged/{name}-{uuid.uuid4().hex}"
+    path = fresh_folder(spark, name)
     df.write.option("compression", compression).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

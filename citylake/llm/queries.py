@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citylake.llm import sharding, token_counts
+from citylake.llm import sharding, token_counts, token_files
+from citylake.llm.common import fresh_folder
 
 BYTE_BPE = "byte_bpe_50k.json"
 BYTE_BPE_RANKS = "byte_bpe_50k.tiktoken"
@@ -30,9 +31,17 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return slots.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of all documents, written in Huffman-coded files by doc_id and read back from them."""
+    path = fresh_folder(spark, "token-files")
+    token_files.write_tokens(table(spark, sf_dir, "documents"), path, public_tokenizers.path(WORD_BPE), end_id=1)
+    return token_files.read_tokens(spark, path, digest=True)
+
+
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_sharding": op2_sharding,
+    "op8_token_files": op8_token_files,
 }
 
 ORACLE: dict[str, str] = {}
