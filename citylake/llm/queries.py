@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citylake.llm import sharding, token_counts, token_files
+from citylake.llm import packing, sharding, token_counts, token_files
 from citylake.llm.common import fresh_folder
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -31,6 +31,11 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return slots.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of at most 1024 tokens."""
+    return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE), window=1024, end_id=0, digest=True)
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of all documents, written in Huffman-coded files by doc_id and read back from them."""
     path = fresh_folder(spark, "token-files")
@@ -41,6 +46,7 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_sharding": op2_sharding,
+    "op5_packing": op5_packing,
     "op8_token_files": op8_token_files,
 }
 
