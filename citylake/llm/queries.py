@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citylake.llm import packing, sharding, token_counts, token_files
+from citylake.llm import decontamination, packing, sharding, token_counts, token_files
 from citylake.llm.common import fresh_folder
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -43,11 +43,17 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_tokens(spark, path, digest=True)
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document inside occurrences of ten-word windows of benchmark items."""
+    return decontamination.contamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10)
+
+
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_sharding": op2_sharding,
     "op5_packing": op5_packing,
     "op8_token_files": op8_token_files,
+    "op9_decontamination": op9_decontamination,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE = {"op9_decontamination": decontamination.ORACLE}
