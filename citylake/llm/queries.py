@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citylake.llm import decontamination, packing, sharding, token_counts, token_files
+from citylake.llm import decontamination, near_dedup, packing, sharding, token_counts, token_files
 from citylake.llm.common import fresh_folder
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -36,6 +36,11 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE), window=1024, end_id=0, digest=True)
 
 
+def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate class of every document: five-word shingles, similarity of 0.8 or more."""
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), width=5, threshold=0.8).drop("place")
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of all documents, written in Huffman-coded files by doc_id and read back from them."""
     path = fresh_folder(spark, "token-files")
@@ -52,6 +57,7 @@ QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_sharding": op2_sharding,
     "op5_packing": op5_packing,
+    "op6_near_dedup": op6_near_dedup,
     "op8_token_files": op8_token_files,
     "op9_decontamination": op9_decontamination,
 }
