@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citylake.llm import decontamination, near_dedup, packing, sharding, token_counts, token_files
+from citylake.llm import decontamination, near_dedup, packing, secret_scan, sharding, token_counts, token_files
 from citylake.llm.common import fresh_folder
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -53,6 +53,11 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10)
 
 
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Credentials in every document, judged by how many owners hold the same value."""
+    return secret_scan.secret_report(table(spark, sf_dir, "documents"), owner_col="source", repository_cols=("source", "lang"), min_owners=3)
+
+
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_sharding": op2_sharding,
@@ -60,6 +65,7 @@ QUERIES = {
     "op6_near_dedup": op6_near_dedup,
     "op8_token_files": op8_token_files,
     "op9_decontamination": op9_decontamination,
+    "op10_secret_scan": op10_secret_scan,
 }
 
 ORACLE = {"op9_decontamination": decontamination.ORACLE}
