@@ -1,0 +1,92 @@
+import random
+import re
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from citylake.llm import boosting
+from citylake.llm.quality_rules import FEATURES, MONOTONE, fit_quality, quality_report, statistics
+from tests.llm.helpers import docs, with_extra
+
+WORD = re.compile("[^\x20\x09-\x0d]+")
+
+
+def slow(text):
+    text = text or ""
+    w = WORD.findall(text)
+    windows = [tuple(w[i:i + 5]) for i in range(len(w) - 4)]
+    covered = set()
+    for i, x in enumerate(windows):
+        if windows.count(x) > 1:
+            covered.update(range(i, i + 5))
+    seen, dup = set(), 0
+    for line in text.split("\n"):
+        if WORD.search(line):
+            dup += line in seen
+            seen.add(line)
+    return [len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in text), dup, len(covered)]
+
+
+def some_texts():
+    rng = random.Random(4)
+    out = ["", None, "a", "a b c d e a b c d e", "x\ny\nx\n \nx", "Ünï\x1ccode\x85 wörds\xa0here #|<", "tab\tsep\x0bvt\x0cff\rcr"]
+    for _ in range(60):
+        out.append("".join(rng.choice(["a", "bb", "ç", "#x"]) + rng.choice([" ", "\n", "  "]) for _ in range(rng.randrange(80))))
+    return out
+
+
+def test_statistics_against_a_slow_form(spark):
+    texts = some_texts()
+    for t in texts:
+        assert statistics(t or "")[0] == slow(t), repr(t)
+    model = boosting.fit(np.zeros((0, len(FEATURES))), np.zeros(0))
+    rows = {r.doc_id: r for r in quality_report(with_extra(docs(spark, texts)), model).collect()}
+    for i, t in enumerate(texts):
+        s = slow(t)
+        r = rows[i]
+        assert [r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words] == s
+        assert r.base_failed == (s[0] < 10 or 100 * s[4] > 20 * s[0]) and (r.kept <= (not r.base_failed))
+    assert quality_report(docs(spark, []), model).count() == 0
+
+
+def test_many_different_words_stay_exact():
+    words = [b"%d" % (i % 9000) for i in range(20_000)]
+    from citylake.llm.quality_rules import repeated_words
+    assert repeated_words(words) == 20_000
+    assert repeated_words([b"%d" % i for i in range(20_000)]) == 0
+
+
+def test_monotone_and_flat_scoring():
+    rng = np.random.default_rng(5)
+    x = rng.random((3000, 3))
+    y = ((x[:, 0] + 0.4 * np.sin(9 * x[:, 1]) + rng.normal(0, 0.2, 3000)) < 0.5).astype(float)
+    m = boosting.fit(x, y, {0: -1}, trees=40)
+    grid = np.tile(rng.random((50, 3)), (1, 1))
+    steps = np.linspace(0, 1, 60)
+    for row in grid:
+        line = np.tile(row, (60, 1))
+        line[:, 0] = steps
+        assert (np.diff(m.margin(line)) <= 1e-12).all()
+    free = boosting.fit(x, y, {}, trees=40)
+    assert ((m.probability(x) > 0.5) == y).mean() > 0.8 and ((free.probability(x) > 0.5) == y).mean() > 0.8
+
+    def walk(row):  # one row, node by node
+        total = m.base
+        for r in m.roots:
+            while m.left[r] != r:
+                r = m.left[r] if row[m.feature[r]] <= m.threshold[r] else m.right[r]
+            total += m.value[r]
+        return total
+    assert np.allclose(m.margin(x[:50]), [walk(r) for r in x[:50]])
+
+
+def test_held_out_accuracy(spark):
+    sf = "/root/testdata/sf0.01"
+    d, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    odd = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    model = fit_quality(d, labels.where(~odd))
+    rows = quality_report(d, model).join(labels.where(odd), "doc_id").collect()
+    good = sum((r.score >= 0.5) == (r.quality == 1) for r in rows) / len(rows)
+    assert good > 0.95, good
+    again = fit_quality(d.repartition(7), labels.where(~odd).repartition(3))
+    assert np.array_equal(again.value, model.value) and set(MONOTONE) <= set(FEATURES)
