@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citylake.llm import decontamination, near_dedup, packing, quality_rules, secret_scan, sharding, token_counts, token_files
+from citylake.llm import decontamination, html_cut, near_dedup, packing, quality_rules, secret_scan, sharding, token_counts, token_files
 from citylake.llm.common import fresh_folder
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -47,6 +47,11 @@ def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), width=5, threshold=0.8).drop("place")
 
 
+def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html_cut.extract(table(spark, sf_dir, "pages"))
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of all documents, written in Huffman-coded files by doc_id and read back from them."""
     path = fresh_folder(spark, "token-files")
@@ -70,6 +75,7 @@ QUERIES = {
     "op4_quality_rules": op4_quality_rules,
     "op5_packing": op5_packing,
     "op6_near_dedup": op6_near_dedup,
+    "op7_html_extraction": op7_html_extraction,
     "op8_token_files": op8_token_files,
     "op9_decontamination": op9_decontamination,
     "op10_secret_scan": op10_secret_scan,
