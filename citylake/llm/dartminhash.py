@@ -46,8 +46,8 @@ def _powers(n: int):
     return _POWERS
 
 
-def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words, in order, and the number of words of each text."""
+def split_words(texts: list[bytes]):
+    """(lower-cased bytes, first and last byte of every word, hashes of the words, words of each text)."""
     raw = np.frombuffer(b" ".join(texts) + b" ", np.uint8)
     low = _CLASS[raw]
     inside = low > 0
@@ -57,7 +57,12 @@ def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     total = np.concatenate([[_U(0)], np.cumsum(low.astype(np.uint64) * up[:len(low)], dtype=np.uint64)])
     hashes = mix((total[last] - total[first]) * down[first] + (last - first).astype(np.uint64))
     bounds = np.cumsum([len(t) + 1 for t in texts])
-    return hashes, np.diff(np.concatenate([[0], np.searchsorted(first, bounds)]))
+    return low, first, last, hashes, np.diff(np.concatenate([[0], np.searchsorted(first, bounds)])).astype(np.int64)
+
+
+def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words, in order, and the number of words of each text."""
+    return split_words(texts)[3:]
 
 
 def shingles(hashes: np.ndarray, counts: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citylake.llm import decontamination, html_cut, near_dedup, packing, quality_rules, secret_scan, sharding, token_counts, token_files
+from citylake.llm import decontamination, html_cut, near_dedup, packing, quality_rules, secret_scan, sharding, token_counts, token_files, toxicity
 from citylake.llm.common import fresh_folder
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -31,6 +31,12 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return slots.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document by its highest-scoring window."""
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.toxicity_report(docs, toxicity.fit_toxicity(docs, table(spark, sf_dir, "labels")))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Statistics, base rules and the trees' verdict of every document."""
     docs = table(spark, sf_dir, "documents")
@@ -72,6 +78,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_sharding": op2_sharding,
+    "op3_toxicity": op3_toxicity,
     "op4_quality_rules": op4_quality_rules,
     "op5_packing": op5_packing,
     "op6_near_dedup": op6_near_dedup,
