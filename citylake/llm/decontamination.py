@@ -46,15 +46,16 @@ def _filter(hashes: DataFrame):
     places = hashes.select(F.explode(F.array(F.col("h").bitwiseAND(mask), F.shiftrightunsigned("h", 24).bitwiseAND(mask))).alias("b"))
     words = (places.groupBy(F.shiftright("b", 6).alias("w"))
              .agg(F.expr("bit_or(shiftleft(1L, cast(b & 63 AS int)))").alias("bits")).collect())
-    flags = bytearray(b"0" * (1 << FILTER_BITS))
+    bits = ["0"] * (1 << FILTER_BITS - 6)
     for r in words:  # at most 2 ** FILTER_BITS / 64 rows
-        for k in range(64):
-            if r["bits"] >> k & 1:
-                flags[r["w"] * 64 + k] = ord("1")
-    table = F.split(F.lit(flags.decode()), "").cast("array<boolean>")
+        bits[r["w"]] = str(r["bits"])
+    table = F.split(F.lit(",".join(bits)), ",").cast("array<bigint>")
+
+    def bit(at: Column) -> Column:
+        return F.getbit(F.get(table, F.shiftright(at, 6).cast("int")), at.bitwiseAND(63).cast("int")) == 1
 
     def test(h: Column) -> Column:
-        return F.get(table, h.bitwiseAND(mask).cast("int")) & F.get(table, F.shiftrightunsigned(h, 24).bitwiseAND(mask).cast("int"))
+        return bit(h.bitwiseAND(mask)) & bit(F.shiftrightunsigned(h, 24).bitwiseAND(mask))
     return test
 
 
