@@ -14,7 +14,7 @@ from citylake.llm.components import components
 BANDS = 32
 ROWS = 5
 #: Leaders of a bucket multiply by this each round.
-LEADERS = 4
+LEADERS = 64
 
 
 def _new_texts(batches, remember: int = 100_000):
@@ -81,51 +81,87 @@ def near_links(docs: DataFrame, width: int = 5, threshold: float = 0.8, bands: i
     """(node, root): the classes of distinct texts, by md5, that have a verified link to another text.
 
     ``weighting`` "set" compares the distinct shingles, "count" weights each by its occurrences. Texts of one band
-    key form a bucket. Instead of all pairs of a bucket, its members are verified against a few leaders; members that
-    are already connected with every other member of the bucket are done. Buckets that still hold several classes go
-    round again with the next leaders (four times as many each round), until every bucket is one class or each of its
-    members has led, which is exact: a pair in different classes that shared a bucket was compared.
+    key form a bucket; buckets of the same texts count once. Instead of all pairs of a bucket, its members are
+    verified against a leader, and components are taken. Buckets that then still hold several classes go round again
+    with more leaders, but only for pairs of different classes whose shingles that other open texts have could
+    reach the threshold. A bucket ends when those of its members that could be linked and haven't led are of one class, which is
+    exact: no pair that shared a bucket is left out unless it is connected already or cannot reach the threshold.
     """
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     digest = F.unhex(F.md5(text.cast("binary")))
     given = docs.where(F.col(f"`{text_col}`").isNotNull()).select(digest.alias("digest"), text.alias("text"))
     sketched = given.mapInArrow(_sketch(width, bands, rows, weighting), "digest binary, keys array<long>")
     keys = staged(sketched.dropDuplicates(["digest"]), "bands").select("digest", F.explode("keys").alias("key"))
-    shared = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
+    # bands in which the same texts meet, told by two hashes over them, need one bucket
+    shared = (keys.groupBy("key").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("digest")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "digest")).alias("y"))
+              .where("n > 1").groupBy("n", "x", "y").agg(F.min("key").alias("key")).select("key"))
     open_ = staged(keys.join(shared, "key").select("key", "digest", F.lit(False).alias("led"), F.col("digest").alias("root")), "buckets")
     wanted = open_.select("digest").distinct()
     sets = staged(given.join(wanted, "digest", "left_semi").mapInArrow(_sets(width), "digest binary, shingles array<long>, counts array<int>")
                   .dropDuplicates(["digest"]), "sets")
     one = sets.select(F.col("digest").alias("leader"), F.col("shingles").alias("sa"), F.col("counts").alias("ca"))
     two = sets.select(F.col("digest").alias("member"), F.col("shingles").alias("sb"), F.col("counts").alias("cb"))
-    edges, roots, n = None, None, 1
+    roots, n = None, 1
+    bound = None  # digest, size, most: what any text that is still open can share with another open one
     while True:
-        # the least members that haven't led: tasks keep n rows per key before the exchange
-        order = Window.partitionBy("key").orderBy("digest")
-        lead = staged(open_.where(~F.col("led")).withColumn("_k", F.row_number().over(order)).where(F.col("_k") <= n)
-                      .select("key", F.col("digest").alias("leader"), F.col("root").alias("leader_root")), "leaders")
-        pairs = (open_.where(~F.col("led")).join(lead, "key").where((F.col("digest") != F.col("leader")) & (F.col("root") != F.col("leader_root")))
-                 .select(F.least("leader", "digest").alias("leader"), F.greatest("leader", "digest").alias("member")).distinct())
+        # members of a bucket's rarest classes lead first: once only one class is left waiting, all pairs across classes
+        # have been compared. Tasks keep n rows per key before the exchange.
+        waiting = open_.where(~F.col("led"))
+        ranked = waiting.withColumn("_n", F.lit(1)) if bound is None else waiting.join(waiting.groupBy("key", "root").agg(F.count("*").alias("_n")), ["key", "root"])
+        order = Window.partitionBy("key").orderBy("_n", "digest")
+        lead = staged(ranked.withColumn("_k", F.row_number().over(order)).where(F.col("_k") <= n).drop("_k", "_n", "led"), "leaders")
+        named = lead.withColumnsRenamed({"digest": "leader", "root": "leader_root", "size": "leader_size", "most": "leader_most"})
+        different = (F.col("digest") != F.col("leader")) & (F.col("root") != F.col("leader_root"))
+        if bound is not None:
+            both = F.least("most", "leader_most")
+            different &= both >= threshold * (F.col("size") + F.col("leader_size") - both) - 1e-9
+        pairs = waiting.join(named, (waiting["key"] == named["key"]) & different).select(
+            F.least("leader", "digest").alias("leader"), F.greatest("leader", "digest").alias("member")).distinct()
         found = staged(pairs.join(two, "member").join(one, "leader").select("leader", "member", "sa", "ca", "sb", "cb")
                        .mapInArrow(_similarity(weighting, threshold), "a binary, b binary"), "links")
-        edges = found if roots is None else found.union(roots.select(F.col("root").alias("a"), F.col("node").alias("b")))
-        roots = components(edges)
-        led = lead.select("key", F.col("leader").alias("digest"), F.lit(True).alias("now"))
+        if roots is None or not found.isEmpty():
+            roots = components(found if roots is None else found.union(roots.select(F.col("root").alias("a"), F.col("node").alias("b"))))
+        led = lead.select("key", "digest", F.lit(True).alias("now"))
         state = (open_.drop("root").join(led, ["key", "digest"], "left").withColumn("led", F.col("led") | F.coalesce("now", F.lit(False))).drop("now")
                  .join(roots.withColumnRenamed("node", "digest"), "digest", "left").withColumn("root", F.coalesce("root", "digest")))
-        state = staged(state.select("key", "digest", "led", "root"), "state")
-        still = (state.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.sum((~F.col("led")).cast("long")).alias("todo"))
-                 .where("lo != hi AND todo > 1").select("key"))
-        open_ = staged(state.join(still, "key").select("key", "digest", "led", "root"), "open")
+        if bound is None:
+            state = staged(_unresolved(state), "state")
+            bound = _most_shared(sets, state.select("digest").distinct(), weighting)
+            state = state.join(bound, "digest")
+        state = staged(state, "state")
+        # a member that can't reach the threshold with any member's size is done
+        least = state.groupBy("key").agg(F.min("size").alias("least"))
+        most, least_size = F.col("most"), F.greatest("least", "most")
+        able = state.join(least, "key").where(most >= threshold * (F.col("size") + least_size - most) - 1e-9).drop("least")
+        open_ = staged(_unresolved(able), "open")
         if open_.isEmpty():
             return roots
         n *= LEADERS
 
 
+def _unresolved(state: DataFrame) -> DataFrame:
+    """The rows of buckets in which members of several classes haven't led."""
+    still = (state.where(~F.col("led")).groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
+             .where("lo != hi").select("key"))
+    return state.join(still, "key", "left_semi")
+
+
+def _most_shared(sets: DataFrame, wanted: DataFrame, weighting: str) -> DataFrame:
+    """(digest, size, most) of the wanted texts: ``most`` is the weight of their shingles but for those that
+    no other wanted text has, so no pair of them can share more."""
+    weight = F.lit(1).cast("long") if weighting == "set" else F.col("x.counts").cast("long")
+    each = staged(sets.join(wanted, "digest", "left_semi").select("digest", F.explode(F.arrays_zip("shingles", "counts")).alias("x"))
+                  .select("digest", F.col("x.shingles").alias("s"), weight.alias("w")), "open-shingles")
+    own = each.groupBy("s").agg(F.count("*").alias("n"), F.min("digest").alias("digest"), F.min("w").alias("w")).where("n = 1")
+    own = own.groupBy("digest").agg(F.sum("w").alias("own"))
+    return (each.groupBy("digest").agg(F.sum("w").alias("size")).join(own, "digest", "left")
+            .select("digest", "size", (F.col("size") - F.coalesce("own", F.lit(0).cast("long"))).alias("most")))
+
+
 def near_duplicates(docs: DataFrame, width: int = 5, threshold: float = 0.8, bands: int = BANDS, rows: int = ROWS, weighting: str = "set",
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: id, ``class_id`` (the least id of the class), ``class_size`` (rows) and
-    ``kept`` (true for one row of each class: one with the class id).
+    """One row per input row: id, ``class_id`` (the least id of the class), ``class_size`` (rows),
+    ``kept`` (true for one row of each class: one with the class id) and ``digest`` (md5 of the text).
 
     Two texts are linked if the Jaccard similarity of their ``width``-word shingles is at least
     ``threshold``; words are runs of ASCII letters and digits, in lower case, and of all other
@@ -144,6 +180,18 @@ def near_duplicates(docs: DataFrame, width: int = 5, threshold: float = 0.8, ban
     texts = staged(texts, "texts")
     classes = texts.groupBy("root").agg(F.min("least").alias("least"), F.sum("n").alias("class_size"))
     found = (have.join(texts.select("digest", "root").join(classes, "root"), "digest")
-             .select("id", F.col("least.id").alias("class_id"), "class_size", (F.col("place") == F.col("least.place")).alias("kept"), "place"))
-    alone = without.select("id", F.col("id").alias("class_id"), F.lit(1).cast("long").alias("class_size"), F.lit(True).alias("kept"), "place")
+             .select("id", F.col("least.id").alias("class_id"), "class_size", (F.col("place") == F.col("least.place")).alias("kept"), "digest"))
+    alone = without.select("id", F.col("id").alias("class_id"), F.lit(1).cast("long").alias("class_size"), F.lit(True).alias("kept"), "digest")
     return found.unionAll(alone).withColumnRenamed("id", id_col)
+
+
+def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The rows of ``docs``, all columns, without near duplicates: one row of each class, with the least id,
+    and every row with a null text. Rows repeated under one id and text are reduced to one."""
+    classes = near_duplicates(docs, id_col=id_col, text_col=text_col, **options)
+    stay = classes.where("kept AND digest IS NOT NULL").select(F.col(f"`{id_col}`").alias("_kept_id"), F.col("digest").alias("_kept_digest"))
+    text, key = F.col(f"`{text_col}`"), F.col(f"`{id_col}`")
+    have = docs.where(text.isNotNull()).withColumn("_text_digest", F.unhex(F.md5(text.cast("binary"))))
+    kept = (have.join(stay, key.eqNullSafe(F.col("_kept_id")) & (F.col("_text_digest") == F.col("_kept_digest")), "left_semi")
+            .dropDuplicates([id_col, "_text_digest"]).drop("_text_digest"))
+    return kept.unionAll(docs.where(text.isNull()))

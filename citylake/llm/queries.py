@@ -50,7 +50,7 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate class of every document: five-word shingles, similarity of 0.8 or more."""
-    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), width=5, threshold=0.8).drop("place")
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), width=5, threshold=0.8).drop("digest")
 
 
 def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:

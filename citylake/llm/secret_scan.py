@@ -144,9 +144,9 @@ def secret_report(docs: DataFrame, id_col: str = "doc_id", owner_col: str = "sou
 
 
 def redact(docs: DataFrame, mask: str = "[SECRET]", owner_col: str = "source", repository_cols: tuple[str, ...] = ("source", "lang"),
-           text_col: str = "text", min_owners: int = 3) -> DataFrame:
+           text_col: str = "text", min_owners: int = 3, length_col: str | None = None) -> DataFrame:
     """``docs`` with base spans that aren't widely copied examples, and live-looking others, replaced by
-    ``mask``; overlapping spans become one mask. Rows and all other columns stay as they are. Texts that cannot hold a
+    ``mask``; overlapping spans become one mask. ``length_col``, if given, becomes the length of the new text. Rows and all other columns stay as they are. Texts that cannot hold a
     candidate are not shuffled; the others meet their spans by the md5 of the text."""
     text = F.col(f"`{text_col}`")
     digest = F.unhex(F.md5(F.coalesce(text, F.lit("")).cast("binary")))
@@ -161,5 +161,6 @@ def redact(docs: DataFrame, mask: str = "[SECRET]", owner_col: str = "source", r
         s["start"] >= a["at"], F.struct(F.concat(a["out"], F.substring(text, a["at"] + 1, s["start"] - a["at"]), F.lit(mask)).alias("out"), s["end"].alias("at")))
         .otherwise(F.struct(a["out"].alias("out"), F.greatest(a["at"], s["end"]).alias("at"))))
     whole = F.when(F.col("_secret_spans").isNull(), text).otherwise(F.concat(state["out"], F.substring(text, state["at"] + 1, F.length(text))))
-    masked = held.select(*(whole.alias(text_col) if c == text_col else F.col(f"`{c}`") for c in docs.columns))
+    masked = held.select(*((whole.alias(c) if c == text_col else F.when(F.col("_secret_spans").isNull(), F.col(f"`{c}`"))
+                            .otherwise(F.length(whole)).cast(docs.schema[c].dataType).alias(c) if c == length_col else F.col(f"`{c}`")) for c in docs.columns))
     return docs.where(~may).unionAll(masked)
