@@ -33,46 +33,65 @@ class _Table(dict):
         self.owner, self.prefix = owner, prefix
 
     def __missing__(self, piece):
-        owner = self.owner
+        owner, raw = self.owner, self.owner.raw
         if self.prefix and (not piece or piece[0].isspace()):
             raise _Odd
-        if len(piece) > 2 and piece[-1] in _TAIL and piece[-2].isalpha() and piece[-2] < "ɐ":
-            base, tail = self[piece[:-1]], owner.plain[piece[-1]]  # a letter and a mark are never in one pre-token
-            index = owner.fresh()
-            owner.composed.append((index, base, tail))
+        if owner.encode_joined and (self.prefix or owner.kind == "words" and _words(piece)):
+            owner.joined.append((len(raw), self.prefix + piece))
         else:
-            index = owner.fresh()
-            owner.pending.append((index, self.prefix + piece))
+            owner.pending.append((len(raw), self.prefix + piece))
+        index = len(raw)
+        raw.append(None)
         if len(piece) <= 64:
             self[piece] = index
         return index
 
 
+def _words(piece: str) -> int:
+    """1 for letters alone, 2 for letters and a mark after them (so many pre-tokens), else 0."""
+    letters = piece[:-1] if piece[-1] in _TAIL else piece
+    return (1 + (len(letters) < len(piece))) if letters.isalpha() and (letters.isascii() or max(letters) < "ɐ") else 0
+
+
 class ChunkEncoder:
     """``encode_many``: list of strings -> list of id lists. ``kind``: "bytes" for byte-level BPE
     whose pre-tokens take one leading space, "words" for a lower-casing tokenizer that drops white
-    space. ``special``: strings that make a text go whole. ``max_chunks`` bounds the cache."""
+    space. ``special``: strings that make a text go whole. ``max_chunks`` bounds the cache: beyond it the
+    chunks used least go. ``encode_joined``: the same as ``encode_many`` for chunks that may be joined,
+    returning the bytes of each chunk's ids."""
 
-    def __init__(self, encode_many, kind: str, special=(), max_chunks: int = 300_000):
+    def __init__(self, encode_many, kind: str, special=(), max_chunks: int = 600_000, encode_joined=None):
         self.encode_many, self.kind, self.special, self.max_chunks = encode_many, kind, tuple(special), max_chunks
+        self.encode_joined = encode_joined
         self.clear()
 
     def clear(self):
         self.plain, self.spaced = _Table(self, ""), _Table(self, " ")
-        self.pending, self.composed, self.raw = [], [], []
+        self.pending, self.joined, self.raw = [], [], []
         self.known = 0
+        self.hits = np.zeros(0, np.int64)
         self.pool = np.zeros(0, np.uint16)
         self.start = np.zeros(0, np.int64)
         self.size = np.zeros(0, np.int64)
 
-    def fresh(self) -> int:
-        self.raw.append(None)
-        return len(self.raw) - 1
+    def forget(self):
+        """Keep the half of ``max_chunks`` that was used most."""
+        hits = self.hits[:len(self.raw)]
+        keep = np.zeros(len(hits), bool)
+        keep[np.argsort(hits, kind="stable")[-(self.max_chunks // 2):]] = True
+        tables = [[(p, i) for p, i in t.items() if keep[i]] for t in (self.plain, self.spaced)]
+        raw, hits = self.raw, hits // 2
+        self.clear()
+        for table, kept in zip((self.plain, self.spaced), tables, strict=True):
+            for piece, i in kept:
+                table[piece] = len(self.raw)
+                self.raw.append(raw[i])
+        self.hits = hits[[i for kept in tables for _, i in kept]] if self.raw else self.hits
 
     def _whole(self, text):
-        index = self.fresh()
-        self.pending.append((index, text))
-        return np.array([index], np.int64)
+        self.pending.append((len(self.raw), text))
+        self.raw.append(None)
+        return np.array([len(self.raw) - 1], np.int64)
 
     def _chunks(self, text):
         if any(s in text for s in self.special):
@@ -99,9 +118,10 @@ class ChunkEncoder:
             ids = self.encode_many([text for _, text in self.pending])
             for (index, _), one in zip(self.pending, ids, strict=True):
                 self.raw[index] = array("H", one).tobytes()
-        for index, base, tail in self.composed:
-            self.raw[index] = self.raw[base] + self.raw[tail]
-        self.pending, self.composed = [], []
+        if self.joined:
+            for (index, _), one in zip(self.joined, self.encode_joined([text for _, text in self.joined]), strict=True):
+                self.raw[index] = one
+        self.pending, self.joined = [], []
         if self.known < len(self.raw):
             new = self.raw[self.known:]
             size = np.fromiter(map(len, new), np.int64, len(new)) // 2
@@ -113,11 +133,14 @@ class ChunkEncoder:
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids as one uint16 array, and the number of ids of each text."""
         if len(self.raw) > self.max_chunks or len(self.pool) > 16 * self.max_chunks:
-            self.clear()
+            self.forget()
         chunks = [self._chunks(t) for t in texts]
         self._resolve()
         counts = np.fromiter((self.size[c].sum() for c in chunks), np.int64, len(chunks))
         every = np.concatenate([np.zeros(0, np.int64), *chunks])
+        if len(self.hits) < len(self.raw):
+            self.hits = np.concatenate([self.hits, np.zeros(len(self.raw) - len(self.hits), np.int64)])
+        self.hits += np.bincount(every, minlength=len(self.hits))
         size = self.size[every]
         ends = np.cumsum(size)
         at = np.repeat(self.start[every] - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)
@@ -135,11 +158,34 @@ def tokenizers_encoder(path: str, kind: str) -> ChunkEncoder:
 
         tok = Tokenizer.from_file(path)
         special = [t.content for t in tok.get_added_tokens_decoder().values()]
+        width = np.zeros(tok.get_vocab_size(), np.int64)  # bytes of an id, or 1 where an id ends a word
+        for token, i in tok.get_vocab().items():
+            width[i] = len(token) if kind == "bytes" else token.endswith("</w>")
         _KEPT[path, kind] = ChunkEncoder(
-            lambda texts: [e.ids for e in tok.encode_batch_fast(texts, add_special_tokens=False)], kind, special)
+            lambda texts: [e.ids for e in tok.encode_batch_fast(texts, add_special_tokens=False)], kind, special,
+            encode_joined=lambda chunks: _joined(tok, chunks, kind, width))
     return _KEPT[path, kind]
 
 
+def _joined(tok, chunks: list[str], kind: str, width: np.ndarray, group: int = 64) -> list[bytes]:
+    """Ids of chunks that are encoded many at a time. Chunks that begin with a space are told apart in the
+    ids by their bytes, words of letters by the ids that end a word."""
+    groups = [chunks[i:i + group] for i in range(0, len(chunks), group)]
+    found = tok.encode_batch_fast([("" if kind == "bytes" else " ").join(g) for g in groups], add_special_tokens=False)
+    out = []
+    for g, e in zip(groups, found, strict=True):
+        ids = np.array(e.ids, np.uint16)
+        done = np.cumsum(width[ids])
+        goal = np.cumsum([len(c.encode("utf-8", "surrogatepass")) if kind == "bytes" else _words(c) for c in g])
+        ends = np.searchsorted(done, goal)
+        if len(done) and done[-1] == goal[-1] and (done[np.minimum(ends, len(done) - 1)] == goal).all():
+            raw, ends = ids.tobytes(), [0, *(2 * (ends + 1)).tolist()]
+            out += [raw[a:b] for a, b in zip(ends, ends[1:])]
+        else:
+            out += [array("H", one.ids).tobytes() for one in tok.encode_batch_fast(g, add_special_tokens=False)]
+    return out
+
+
 def tiktoken_encoder(path: str) -> tuple[ChunkEncoder, np.ndarray]:
     """tiktoken with the ranks file at ``path`` (special strings are plain text), and the bytes of
     each id as lengths."""
