@@ -27,6 +27,8 @@ def dedup_first(df: DataFrame, keys, order, *, keep: str = "first") -> DataFrame
     # pack (order..., other columns); keys come back from the grouping, order columns from the
     # pack, so no column is carried twice through the sort and the shuffle
     rest = [c for c in cols if c not in keys and c not in order]
+    if not rest and not order:
+        return df.distinct()
     packed = F.struct(*[F.col(f"`{c}`").alias(f"_o{i}") for i, c in enumerate(order)],
                       *[F.col(f"`{c}`").alias(f"_r{i}") for i, c in enumerate(rest)])
     pick = F.min(packed) if keep == "first" else F.max(packed)
@@ -38,7 +40,7 @@ def dedup_first(df: DataFrame, keys, order, *, keep: str = "first") -> DataFrame
 def dedup_first_window(df: DataFrame, keys, order, *, keep: str = "first") -> DataFrame:
     """Same result through ``row_number``; kept as the cross-check used by the tests.
 
-    It sorts every key's rows in one task, so it is not the default.
+    Spark keeps one row per key and task before the exchange here too.
     """
     keys, order = _names(keys), _names(order)
     cols = df.columns

@@ -27,9 +27,9 @@ def default_stream_checkpoint(spark: SparkSession, zone: Zone, table: str) -> st
 
 def stream_landing(spark: SparkSession, path: str, schema: T.StructType, formatter: Callable[[DataFrame], DataFrame],
                    zone: Zone, table: str, keys: Sequence[str], *, mode: str = "first",
-                   checkpoint_location: str | None = None, available_now: bool = True,
+                   order: Sequence[str] | None = None, checkpoint_location: str | None = None, available_now: bool = True,
                    max_files_per_trigger: int | None = None) -> StreamingQuery:
-    """Start the stream; with ``available_now`` it processes what is there and stops.
+    """Start the stream. ``order`` decides among a batch's rows of one key (first or last, by mode). With ``available_now`` it processes what is there and stops.
 
     The stream's progress lives in ``checkpoint_location`` (default: ``default_stream_checkpoint``,
     stable across application restarts, so a restarted job resumes instead of re-reading).
@@ -44,9 +44,9 @@ def stream_landing(spark: SparkSession, path: str, schema: T.StructType, formatt
     def per_batch(batch: DataFrame, epoch_id: int) -> None:
         rows = formatter(batch)
         if mode == "first":
-            zone.insert_new(table, rows, list(keys))
+            zone.insert_new(table, rows, list(keys), order=list(order or ()))
         else:
-            zone.upsert(table, rows, list(keys))
+            zone.upsert(table, rows, list(keys), order=order)
 
     location = checkpoint_location or default_stream_checkpoint(spark, zone, table)
     w = src.writeStream.foreachBatch(per_batch).option("checkpointLocation", location)
