@@ -38,38 +38,19 @@ def _names(x) -> list[str]:
     return [x] if isinstance(x, str) else list(x)
 
 
-# Rows up to which method="auto" numbers in one window (one task): a proven bound, checked by a
-# limited count that reads at most this many rows plus one.
-AUTO_WINDOW_MAX_ROWS = 100_000
-
-
 def global_rank(df: DataFrame, order: Sequence[str] | str, *, rank_col: str = "rank",
-                total_col: str | None = None, method: str = "range",
-                num_partitions: int | None = None, window_max_rows: int = AUTO_WINDOW_MAX_ROWS,
+                total_col: str | None = None, num_partitions: int | None = None,
                 rows_per_partition: int | None = None) -> DataFrame:
     """Add ``rank_col`` = 0-based position of each row in ascending ``order`` (nulls first).
 
     ``order`` should be total (add a key as tie-break); ties otherwise get distinct ranks in an
     unspecified order. ``total_col`` adds the row count of the whole input to every row.
-    ``method="window"`` uses one global window and is meant for small inputs and cross-checks.
-    ``method="auto"`` takes the window only when a limited count proves the input has at most
-    ``window_max_rows`` rows, and the range method otherwise. ``num_partitions`` fixes the number
-    of ranges (no adaptive merging). AQE merges small ranges but never splits one, so when the
+    ``num_partitions`` fixes the number of ranges (no adaptive merging). AQE merges small ranges but never splits one, so when the
     configured partition count may be too low for the input, ``rows_per_partition`` sizes the range
     exchange from one count of the input: ``ceil(rows / rows_per_partition)`` ranges.
     """
     order = _names(order)
     cols = [F.col(f"`{c}`") for c in order]
-    if method == "auto":
-        method = "window" if df.limit(window_max_rows + 1).count() <= window_max_rows else "range"
-    if method == "window":
-        w = Window.orderBy(*cols)
-        out = df.withColumn(rank_col, (F.row_number().over(w) - 1).cast("long"))
-        if total_col:
-            out = out.withColumn(total_col, F.count(F.lit(1)).over(Window.partitionBy()).cast("long"))
-        return out
-    if method != "range":
-        raise ValueError("method must be 'range', 'window' or 'auto'")
     if rows_per_partition and not num_partitions:
         num_partitions = max(1, -(-df.count() // rows_per_partition))
     # Without an explicit count the range shuffle starts from spark.sql.shuffle.partitions and AQE
@@ -104,9 +85,8 @@ def tercile(rank, total) -> "F.Column":
     return F.when(r * 3 < n, F.lit(low)).when(r * 3 > n * 2, F.lit(high)).otherwise(F.lit(mid))
 
 
-def rank_bucket(df: DataFrame, value: str, key: str, *, out: str = "bucket", method: str = "range",
-                keep_rank: bool = False) -> DataFrame:
+def rank_bucket(df: DataFrame, value: str, key: str, *, out: str = "bucket", keep_rank: bool = False) -> DataFrame:
     """Label each row Low/Medium/High by its global rank in ascending ``value`` (``key`` breaks ties)."""
-    ranked = global_rank(df, [value, key], rank_col="_rank", total_col="_total", method=method)
+    ranked = global_rank(df, [value, key], rank_col="_rank", total_col="_total")
     res = ranked.withColumn(out, tercile("_rank", "_total"))
     return res if keep_rank else res.drop("_rank", "_total")

@@ -5,13 +5,10 @@ name, or its lowercase form, equals *any* of the row's values. Here that nested
 
 1. a value table: every dictionary value with the smallest position it occurs at, plus the
    columns to take from that row (one aggregation over the dictionary, which is small);
-2. two equi left joins of the records against it, on the name and on ``lower(name)``;
-3. the smaller of the two positions wins.
-
-The value table is broadcast only after its row count is checked; then the records are never
-shuffled. Beyond the bound, the distinct names (combined map-side) are resolved against the value
-table instead, and the records take part in a single join with the resolved names: broadcast when
-that table is within bound, otherwise one shuffle join in which AQE splits a hot name.
+2. two equi left joins of the distinct names (combined map-side) against it, on the name and on
+   ``lower(name)``; the smaller of the two positions wins;
+3. one join of the records with the resolved names. It is one plan at every size: the engine
+   broadcasts a side by its bytes, or splits a hot name. Records without a name are spread by a salt.
 """
 
 from __future__ import annotations
@@ -21,7 +18,6 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from citylake.operators.broadcast import bounded_broadcast
 from citylake.operators.rank import global_rank
 from citylake.session import materialize
 
@@ -57,7 +53,7 @@ def _best_match(df: DataFrame, name, vt: DataFrame) -> DataFrame:
 
 def reconcile(df: DataFrame, lookup: DataFrame, on: str, *, columns: Sequence[str] | None = None,
               take: Sequence[str] = TAKE_COLUMNS, how: str = "inner", pos: str = "pos",
-              match_pos: str | None = None, max_broadcast_rows: int | None = None) -> DataFrame:
+              match_pos: str | None = None) -> DataFrame:
     """Attach dictionary columns to each record of ``df`` by its name column ``on``.
 
     A record matches dictionary row ``k`` when ``on`` or ``lower(on)`` equals any value of ``k``
@@ -71,20 +67,16 @@ def reconcile(df: DataFrame, lookup: DataFrame, on: str, *, columns: Sequence[st
         raise ValueError("how must be 'inner' or 'left'")
     match_cols = list(columns) if columns is not None else [c for c in lookup.columns if c != pos]
     vt = _value_table(lookup, match_cols, take, pos)
-    vt, small = bounded_broadcast(vt, max_broadcast_rows)
     name = F.col(f"`{on}`")
-    if small:
-        # records meet the broadcast value table twice; they are never shuffled
-        j = _best_match(df, name, vt)
-    else:
-        # large dictionary: resolve each distinct name once (distinct combines map-side), then
-        # join the records with the resolved names in one join, broadcast when within bound
-        names = df.select(name.alias("_n")).where(F.col("_n").isNotNull()).distinct()
-        resolved = _best_match(names, F.col("_n"), vt).where(F.col("_best").isNotNull()).select("_n", "_best")
-        resolved, _ = bounded_broadcast(resolved, max_broadcast_rows)
-        j = df.join(resolved, name == F.col("_n"), "left").drop("_n")
+    # each distinct name (combined map-side) meets the value table once; the records take part in one join. Which
+    # sides are broadcast is the engine's choice by size
+    names = df.select(name.alias("_n")).where(F.col("_n").isNotNull()).distinct()
+    resolved = _best_match(names, F.col("_n"), vt).where(F.col("_best").isNotNull()).select("_n", "_best", F.lit(0).cast("long").alias("_s"))
     if how == "inner":
-        j = j.where(F.col("_best").isNotNull())
+        j = df.join(resolved, name == F.col("_n"))
+    else:  # records without a name match nothing; a salt spreads them over the join's partitions
+        salted = df.withColumn("_salt", F.when(name.isNull(), F.monotonically_increasing_id() % 1024).otherwise(F.lit(0).cast("long")))
+        j = salted.join(resolved, (name == F.col("_n")) & (F.col("_salt") == F.col("_s")), "left")
     matched = F.col("_best").isNotNull()
     out = []
     for c in df.columns:
@@ -100,8 +92,7 @@ def reconcile(df: DataFrame, lookup: DataFrame, on: str, *, columns: Sequence[st
 
 def extend_lookup(lookup: DataFrame, df: DataFrame, *, name: str, district: str, district_id: str,
                   neighborhood_id: str, order: Iterable[str], pos: str = "pos",
-                  prefix: str = MINT_PREFIX, max_broadcast_rows: int | None = None,
-                  checkpoint: bool = True) -> DataFrame:
+                  prefix: str = MINT_PREFIX, checkpoint: bool = True) -> DataFrame:
     """Append one minted dictionary row per name of ``df`` that matches nothing.
 
     Names are grouped by their lowercase form; each new row comes from the first record of its
@@ -115,7 +106,7 @@ def extend_lookup(lookup: DataFrame, df: DataFrame, *, name: str, district: str,
     """
     order = list(order)
     probe = reconcile(df.select(*{name, district, district_id, neighborhood_id, *order}), lookup, name,
-                      take=[], how="left", pos=pos, match_pos="_mp", max_broadcast_rows=max_broadcast_rows)
+                      take=[], how="left", pos=pos, match_pos="_mp")
     unmatched = probe.where(F.col("_mp").isNull() & F.col(f"`{name}`").isNotNull())
     first = (unmatched
              .groupBy(F.lower(F.col(f"`{name}`")).alias("_key"))
@@ -125,6 +116,7 @@ def extend_lookup(lookup: DataFrame, df: DataFrame, *, name: str, district: str,
                                  F.col(f"`{district_id}`").cast("string").alias("_did"),
                                  F.col(f"`{neighborhood_id}`").cast("string").alias("_nid"))).alias("_f"))
              .select("_key", "_f.*"))
+    first = _mint_in_order(materialize(first), [f"_o{i}" for i in range(len(order))] + ["_key"])
     ranked = global_rank(first, [f"_o{i}" for i in range(len(order))] + ["_key"], rank_col="_r")
     top = lookup.agg(F.max(pos).alias("_max")).first()["_max"]
     base = -1 if top is None else int(top)
@@ -142,11 +134,40 @@ def extend_lookup(lookup: DataFrame, df: DataFrame, *, name: str, district: str,
     return materialize(extended) if checkpoint else extended
 
 
+def _mint_in_order(first: DataFrame, order: Sequence[str]) -> DataFrame:
+    """The candidates that a record-by-record run would mint: not those whose name is the district of a
+    row minted before them.
+
+    A candidate that no earlier candidate blocks is minted; one that a minted row blocks is dropped;
+    the rest waits for the next round. Most inputs have no blocked name and need no round; others one per
+    link of a chain of names.
+    """
+    at = F.struct(*[F.col(c) for c in order])
+    rows = first.withColumn("_at", at)
+    # per district, the earliest candidate that has it: if that one is minted, it blocks the name
+    blocks = rows.select("_key", F.lower("_district").alias("_blocks"), "_at").where(F.col("_blocks").isNotNull())
+    links = blocks.alias("b").join(rows.select(F.col("_key").alias("_name_key"), F.col("_at").alias("_name_at")).alias("n"),
+                                   (F.col("_blocks") == F.col("_name_key")) & (F.col("b._at") < F.col("_name_at"))).select("_key", "_name_key")
+    links = materialize(links)
+    if links.isEmpty():
+        return first
+    minted = rows.select("_key").join(links.select(F.col("_name_key").alias("_key")), "_key", "left_anti")
+    dropped = minted.limit(0)
+    while True:
+        by = minted.withColumnRenamed("_key", "_m")
+        dropped = materialize(links.join(by, links["_key"] == by["_m"], "left_semi").select(F.col("_name_key").alias("_key")).distinct())
+        gone = dropped.withColumnRenamed("_key", "_d")
+        open_ = links.join(gone, links["_key"] == gone["_d"], "left_anti").select(F.col("_name_key").alias("_key")).distinct()
+        now = materialize(rows.select("_key").join(open_, "_key", "left_anti"))  # every blocker is dropped
+        if now.join(minted, "_key", "left_anti").isEmpty():
+            return first.join(now, "_key", "left_semi")
+        minted = now
+
+
 def reconcile_with_fallback(df: DataFrame, lookup: DataFrame, *, fine_on: str, coarse_on: str,
                             fine_col: str = "neighborhood", coarse_col: str = "district",
                             fine_ids: Sequence[str] = ("neighborhood_id", "district_id"),
-                            coarse_ids: Sequence[str] = ("district_id",), pos: str = "pos",
-                            max_broadcast_rows: int | None = None) -> DataFrame:
+                            coarse_ids: Sequence[str] = ("district_id",), pos: str = "pos") -> DataFrame:
     """Exact-name match on one column, and a coarse fallback when the fine name is missing.
 
     When ``fine_on`` is present the first dictionary row whose ``fine_col`` equals it gives
@@ -154,26 +175,18 @@ def reconcile_with_fallback(df: DataFrame, lookup: DataFrame, *, fine_on: str, c
     ``coarse_col`` equals ``coarse_on`` gives ``coarse_ids``; the other ids stay NULL.
     """
     def first_by(col: str, ids: Sequence[str], tag: str):
-        t = (lookup.where(F.col(col).isNotNull())
-                   .groupBy(F.col(col).alias(f"_{tag}k"))
-                   .agg(F.min(F.struct(F.col(pos).alias("_pos"), *[F.col(i).alias(i) for i in ids])).alias(f"_{tag}")))
-        return bounded_broadcast(t, max_broadcast_rows)
+        return (lookup.where(F.col(col).isNotNull())
+                      .groupBy(F.col(col).alias(f"_{tag}k"))
+                      .agg(F.min(F.struct(F.col(pos).alias("_pos"), *[F.col(i).alias(i) for i in ids])).alias(f"_{tag}")))
 
-    (fine, fine_small), (coarse, coarse_small) = first_by(fine_col, fine_ids, "f"), first_by(coarse_col, coarse_ids, "c")
+    fine, coarse = first_by(fine_col, fine_ids, "f"), first_by(coarse_col, coarse_ids, "c")
     fcol, ccol = F.col(f"`{fine_on}`"), F.col(f"`{coarse_on}`")
 
-    def attach(rows: DataFrame, fname, cname) -> DataFrame:
-        return (rows.join(fine, fname == F.col("_fk"), "left")
-                    .join(coarse, fname.isNull() & (cname == F.col("_ck")), "left"))
-
-    if fine_small and coarse_small:
-        j = attach(df, fcol, ccol)  # both tables broadcast: the records are never shuffled
-    else:
-        # resolve each distinct (fine, coarse) pair once, then one null-safe join of the records
-        pairs = df.select(fcol.alias("_fn"), ccol.alias("_cn")).distinct()
-        resolved = attach(pairs, F.col("_fn"), F.col("_cn")).select("_fn", "_cn", "_f", "_c")
-        resolved, _ = bounded_broadcast(resolved, max_broadcast_rows)
-        j = df.join(resolved, fcol.eqNullSafe(F.col("_fn")) & ccol.eqNullSafe(F.col("_cn")), "left")
+    # each distinct (fine, coarse) pair is resolved once, then the records meet the pairs in one null-safe join
+    pairs = df.select(fcol.alias("_fn"), ccol.alias("_cn")).distinct()
+    resolved = (pairs.join(fine, F.col("_fn") == F.col("_fk"), "left")
+                .join(coarse, F.col("_fn").isNull() & (F.col("_cn") == F.col("_ck")), "left").select("_fn", "_cn", "_f", "_c"))
+    j = df.join(resolved, fcol.eqNullSafe(F.col("_fn")) & ccol.eqNullSafe(F.col("_cn")), "left")
     ids = list(dict.fromkeys([*fine_ids, *coarse_ids]))
     out = [F.col(f"`{c}`") for c in df.columns if c not in ids]
     for i in ids:

@@ -166,12 +166,12 @@ def format_zone(spark: SparkSession, landing: LandingPaths, zone: Zone) -> dict:
     return out
 
 
-def exploitation_zone(formatted: Zone, exploitation: Zone, *, rank_method: str = "range") -> dict[str, str]:
+def exploitation_zone(formatted: Zone, exploitation: Zone) -> dict[str, str]:
     """Feature table (keyed upsert into ``model_data``) and the three marts (replaced)."""
     markets = formatted.read("table_markets")
     income = formatted.read("table_income")
     listings = formatted.read("table_idealista")
-    features = build_features(markets, income, listings, rank_method=rank_method)
+    features = build_features(markets, income, listings)
     exploitation.ensure_table("model_data", schemas.MODEL_DATA_SCHEMA, primary_key=["neighborhood_id"])
     out = {"model_data": exploitation.upsert("model_data", features, ["neighborhood_id"])}
     out["mvidealista"] = exploitation.overwrite(marts.listing_mart(listings), "mvidealista")

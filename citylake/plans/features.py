@@ -15,7 +15,7 @@ FEATURE_COLUMNS = ["neighborhood_id", "n_markets", *LISTING_FEATURES, "index_rfd
 
 
 def build_features(markets: DataFrame, income: DataFrame, listings: DataFrame, *,
-                   key: str = "neighborhood_id", mode: str = "strict", rank_method: str = "range") -> DataFrame:
+                   key: str = "neighborhood_id", mode: str = "strict") -> DataFrame:
     """``model_data``: one row per place present in all three inputs.
 
     ``n_markets`` counts facilities; listing columns are means; ``index_rfd`` is the tercile label
@@ -26,7 +26,7 @@ def build_features(markets: DataFrame, income: DataFrame, listings: DataFrame, *
     n_markets = count_by(markets, key, out="n_markets")
     lmeans = mean_by(listings, key, LISTING_FEATURES, mode=mode)
     imeans = mean_by(income, key, INCOME_FIELDS, mode=mode, prefix="_mean_")
-    labelled = (rank_bucket(imeans, "_mean_index_rfd", key, out="index_rfd", method=rank_method)
+    labelled = (rank_bucket(imeans, "_mean_index_rfd", key, out="index_rfd")
                 .select(key, "index_rfd", F.col("_mean_population").alias("population")))
     return (n_markets.join(lmeans, key, "inner")
                      .join(labelled, key, "inner")

@@ -19,15 +19,21 @@ SPLIT = (0.7, 0.3)
 MAX_CATEGORIES = 3
 
 
-def split(df: DataFrame, *, seed: int, weights: Sequence[float] = SPLIT, checkpoint: bool = True) -> list[DataFrame]:
-    """Seeded random split (the reference's is unseeded).
+def share(key, seed: int) -> F.Column:
+    """A number in [0, 1) that depends on the seed and the key alone (32 bits of an md5)."""
+    text = F.concat(F.lit(f"{seed}:"), F.coalesce(key.cast("string"), F.lit("")))
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, 8), 16, 10).cast("double") / float(1 << 32)
 
-    Both parts are read from one checkpointed copy of the input, so the input's plan runs once
-    and the split does not change if a part is recomputed after an executor is lost.
-    """
-    if checkpoint:
-        df = materialize(df)
-    return df.randomSplit(list(weights), seed=seed)
+
+def split(df: DataFrame, *, seed: int, key: str = "neighborhood_id", weights: Sequence[float] = SPLIT) -> list[DataFrame]:
+    """Seeded split (the reference's is unseeded) on a hash of ``key``: a row's part doesn't depend on
+    partitioning, on the order of rows or on recomputation. Rows of one key, NULL included, stay together."""
+    u, total, low, parts = share(F.col(f"`{key}`"), seed), float(sum(weights)), 0.0, []
+    for i, w in enumerate(weights):
+        high = low + w / total
+        parts.append(df.where((u >= low) & (u < high) if i < len(weights) - 1 else u >= low))
+        low = high
+    return parts
 
 
 def train(df: DataFrame, *, label: str = "index_rfd", id_cols: Sequence[str] = ("neighborhood_id",),
@@ -41,7 +47,7 @@ def train(df: DataFrame, *, label: str = "index_rfd", id_cols: Sequence[str] = (
     features = [c for c in df.columns if c not in set(id_cols) | {label}]
     df = materialize(df)  # the fitting jobs below each read the input: compute it once
     labels = StringIndexer(inputCol=label, outputCol="indexedLabel").fit(df)
-    train_df, test_df = split(df, seed=seed, weights=weights, checkpoint=False)
+    train_df, test_df = split(df, seed=seed, key=id_cols[0], weights=weights)
     pipeline = Pipeline(stages=[
         VectorAssembler(inputCols=features, outputCol="features"),  # NULL features fail, as in the reference
         labels,

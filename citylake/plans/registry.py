@@ -293,7 +293,7 @@ def q_reconcile_left(spark, d):
 def _facility_probe(spark, d):
     s = standins.table(spark, d, "supplier")
     g = standins._geo(spark, d)
-    cap = F.concat(F.upper(F.substring("n_name", 1, 1)), F.lower(F.substring("n_name", 2, 1_000_000)))
+    cap = F.concat(F.upper(F.substring("n_name", 1, 1)), F.lower(F.substr("n_name", F.lit(2))))
     m = F.col("s_suppkey") % 3
     name = F.when(m == 0, F.col("n_name")).when(m == 1, F.lower("n_name")).otherwise(cap)
     return s.join(g, s.s_nationkey == g.n_nationkey).select(

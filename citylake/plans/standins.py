@@ -115,7 +115,7 @@ def _by_block(rows: DataFrame, key: str, per_doc: int) -> DataFrame:
 def name_variant(name, region, k) -> "F.Column":
     """A free-text spelling of a place name: exact, lowercase, capitalised, the region's name,
     trailing space (never matches), missing, lowercase region. ``k`` picks one of the seven."""
-    cap = F.concat(F.upper(F.substring(name, 1, 1)), F.lower(F.substring(name, 2, 1_000_000)))
+    cap = F.concat(F.upper(F.substring(name, 1, 1)), F.lower(F.substr(name, F.lit(2))))
     m = k % 7
     return (F.when(m == 0, name).when(m == 1, F.lower(name)).when(m == 2, cap).when(m == 3, region)
              .when(m == 4, F.concat(name, F.lit(" "))).when(m == 5, F.lit(None).cast("string"))
@@ -254,7 +254,7 @@ def facility_envelopes(spark: SparkSession, d: str, per_doc: int = 4) -> DataFra
     li = table(spark, d, "lineitem")
     s = table(spark, d, "supplier")
     g = _geo(spark, d)
-    cap = F.concat(F.upper(F.substring("n_name", 1, 1)), F.lower(F.substring("n_name", 2, 1_000_000)))
+    cap = F.concat(F.upper(F.substring("n_name", 1, 1)), F.lower(F.substr("n_name", F.lit(2))))
     m3 = F.col("l_partkey") % 3
     hood = F.when(m3 == 0, F.col("n_name")).when(m3 == 1, F.lower("n_name")).otherwise(cap)
     addr_t = ("array<struct<address_name:string,level:int,district_id:string,district_name:string,"

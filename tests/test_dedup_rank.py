@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from citylake.operators.dedup import dedup_first, dedup_first_window, duplicate_count
@@ -59,10 +60,9 @@ def test_global_rank_equals_row_number(spark, parts):
                                      (6, (2, 3, 1)), (7, (3, 2, 2)), (8, (3, 3, 2)), (9, (3, 4, 2))])
 def test_rank_bucket_sizes(spark, n, sizes):
     df = spark.createDataFrame([(f"k{i}", float(i % 3)) for i in range(n)], "key string, v double")  # ties on v
-    for method in ("range", "window"):
-        out = rank_bucket(df, "v", "key", method=method).groupBy("bucket").count().collect()
-        got = {r.bucket: r["count"] for r in out}
-        assert (got.get("Low", 0), got.get("Medium", 0), got.get("High", 0)) == sizes
+    out = rank_bucket(df, "v", "key").groupBy("bucket").count().collect()
+    got = {r.bucket: r["count"] for r in out}
+    assert (got.get("Low", 0), got.get("Medium", 0), got.get("High", 0)) == sizes
 
 
 def test_rank_bucket_ties_broken_by_key(spark):
@@ -78,15 +78,10 @@ def test_rank_has_no_single_partition_window_over_rows(spark):
     assert "row_number" not in plan       # no global window over the rows themselves
 
 
-def test_global_rank_auto_picks_by_bounded_size(spark):
-    rows = [(i, float(i % 7)) for i in range(300)]
-    df = spark.createDataFrame(rows, "id int, v double")
-    spec = {r[0]: i for i, r in enumerate(sorted(rows, key=lambda r: (r[1], r[0])))}
-    small = global_rank(df, ["v", "id"], method="auto")
-    large = global_rank(df, ["v", "id"], method="auto", window_max_rows=10)
-    assert {r.id: r["rank"] for r in small.collect()} == spec == {r.id: r["rank"] for r in large.collect()}
-    assert "row_number" in small._jdf.queryExecution().executedPlan().toString()      # window form
-    assert "row_number" not in large._jdf.queryExecution().executedPlan().toString()  # range form
+def test_global_rank_against_one_window(spark):
+    df = spark.createDataFrame([(i, float(i % 7)) for i in range(300)], "id int, v double")
+    window = df.withColumn("rank", F.row_number().over(Window.orderBy("v", "id")) - 1)
+    assert {r.id: r["rank"] for r in global_rank(df, ["v", "id"]).collect()} == {r.id: r["rank"] for r in window.collect()}
 
 
 def test_global_rank_sized_by_rows_per_partition(spark):

@@ -37,13 +37,12 @@ def test_mean_hot_key(spark, hot):
     assert got["hot"] == pytest.approx(sum(hot_x) / len(hot_x))
 
 
-@pytest.mark.parametrize("max_rows", [None, 0])
-def test_reconcile_hot_name_both_paths(spark, max_rows):
+def test_reconcile_hot_name(spark):
     lk = spark.createDataFrame([(0, "D", "Hot Place", "D", "d", "Q1", "Hot Place", "hot place", "Q11"),
                                 (1, "D", "Other", "D", "d", "Q1", "Other", "other", "Q12")], LK_SCHEMA)
     probe = spark.range(3000).select("id", F.when(F.col("id") % 3 == 0, "HOT PLACE")
                                      .otherwise(F.concat(F.lit("x"), F.col("id").cast("string"))).alias("name"))
-    out = reconcile(probe, lk, "name", how="left", max_broadcast_rows=max_rows)
+    out = reconcile(probe, lk, "name", how="left")
     got = out.groupBy("neighborhood_id").count().collect()
     assert {r.neighborhood_id: r["count"] for r in got} == {"Q11": 1000, None: 2000}
 
