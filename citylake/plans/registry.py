@@ -7,6 +7,7 @@ Doubles are rounded to 4 places on both sides so that summation order cannot cha
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,7 +23,9 @@ from citylake.operators.shape import drop_all_null, flatten_first, flatten_struc
 from citylake.operators.upsert import upsert
 from citylake.plans import city, dashboard, marts, ml, standins
 from citylake.plans.features import LISTING_FEATURES, build_features
+from citylake.session import checkpoint_dir
 from citylake.sources.landing import read_lookup
+from citylake.sources.zone import Zone
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -229,14 +232,17 @@ def q_rank_bucket_income(spark, d):
     return rounded(rank_bucket(means, "index_rfd", "neighborhood_id", out="bucket"))
 
 
-@register("feature_table", _with(GEO, FACILITIES, INCOME, LISTINGS, RANKED_INCOME) + """,
+FEATURE_SQL = _with(GEO, FACILITIES, INCOME, LISTINGS, RANKED_INCOME) + """,
 nm AS (SELECT neighborhood_id, count(*) AS n_markets FROM facilities GROUP BY neighborhood_id),
 lm AS (SELECT neighborhood_id, avg(price) AS price, avg(size) AS size, avg(rooms) AS rooms, avg(bathrooms) AS bathrooms,
   avg(priceByArea) AS priceByArea FROM listings GROUP BY neighborhood_id)
 SELECT nm.neighborhood_id, nm.n_markets, round((lm.price) * 1.000000000001e0, 4) AS price, round((lm.size) * 1.000000000001e0, 4) AS size, round((lm.rooms) * 1.000000000001e0, 4) AS rooms,
   round((lm.bathrooms) * 1.000000000001e0, 4) AS bathrooms, round((lm.priceByArea) * 1.000000000001e0, 4) AS priceByArea, bi.bucket AS index_rfd,
   round((bi.population) * 1.000000000001e0, 4) AS population
-FROM nm JOIN lm ON lm.neighborhood_id = nm.neighborhood_id JOIN bi ON bi.neighborhood_id = nm.neighborhood_id""")
+FROM nm JOIN lm ON lm.neighborhood_id = nm.neighborhood_id JOIN bi ON bi.neighborhood_id = nm.neighborhood_id"""
+
+
+@register("feature_table", FEATURE_SQL)
 def q_feature_table(spark, d):
     return rounded(_features(spark, d))
 
@@ -295,16 +301,16 @@ def _facility_probe(spark, d):
     g = standins._geo(spark, d)
     cap = F.concat(F.upper(F.substring("n_name", 1, 1)), F.lower(F.substr("n_name", F.lit(2))))
     m = F.col("s_suppkey") % 3
-    name = F.when(m == 0, F.col("n_name")).when(m == 1, F.lower("n_name")).otherwise(cap)
+    name = standins.new_place(F.when(m == 0, F.col("n_name")).when(m == 1, F.lower("n_name")).otherwise(cap))
     return s.join(g, s.s_nationkey == g.n_nationkey).select(
         F.col("s_suppkey").cast("string").alias("register_id"), name.alias("name"),
         F.col("r_name").alias("district_name"), F.col("r_regionkey").cast("string").alias("district_id"),
         F.col("n_nationkey").cast("string").alias("neighborhood_id"), F.col("s_suppkey").alias("ord"))
 
 
-EXTEND_SQL = _with(GEO, PLACES, "lk AS (SELECT * FROM places WHERE district_id <> '4')", """probe AS (
-  SELECT CAST(s.s_suppkey AS VARCHAR) AS register_id, CASE s.s_suppkey % 3 WHEN 0 THEN g.n_name WHEN 1 THEN lower(g.n_name)
-  ELSE upper(substr(g.n_name, 1, 1)) || lower(substr(g.n_name, 2)) END AS name, g.r_name AS district_name,
+EXTEND_SQL = _with(GEO, PLACES, "lk AS (SELECT * FROM places)", """probe AS (
+  SELECT CAST(s.s_suppkey AS VARCHAR) AS register_id, CASE WHEN g.r_regionkey = 4 THEN 'New ' ELSE '' END || CASE s.s_suppkey % 3
+  WHEN 0 THEN g.n_name WHEN 1 THEN lower(g.n_name) ELSE upper(substr(g.n_name, 1, 1)) || lower(substr(g.n_name, 2)) END AS name, g.r_name AS district_name,
   CAST(g.r_regionkey AS VARCHAR) AS district_id, CAST(g.n_nationkey AS VARCHAR) AS neighborhood_id, s.s_suppkey AS ord
   FROM supplier s JOIN geo g ON s.s_nationkey = g.n_nationkey)""",
     f"vals1 AS (SELECT pos, unnest({LOOKUP_VALUES}) AS v FROM lk)",
@@ -327,7 +333,7 @@ FROM probe p LEFT JOIN m2 ON m2.register_id = p.register_id LEFT JOIN ext e ON e
 
 @register("extend_lookup", EXTEND_SQL)
 def q_extend_lookup(spark, d):
-    lookup = standins.places(spark, d).where(F.col("district_id") != "4")  # dictionary lacking one region
+    lookup = standins.places(spark, d)  # the records name places of one region that it lacks
     probe = _facility_probe(spark, d)
     ext = extend_lookup(lookup, probe, name="name", district="district_name", district_id="district_id",
                         neighborhood_id="neighborhood_id", order=["ord"])
@@ -443,14 +449,15 @@ def q_lookup_split(spark, d):
 
 
 @register("union_missing_columns", """SELECT CAST(s_suppkey AS VARCHAR) AS register_id, s_name AS name, s_acctbal AS x_coord
-  FROM supplier UNION ALL BY NAME
-  SELECT 'c' || CAST(c_custkey AS VARCHAR) AS register_id, c_name AS name, c_mktsegment AS segment FROM customer""")
+  FROM supplier UNION ALL SELECT 'c' || CAST(c_custkey AS VARCHAR), c_name, CAST(NULL AS DOUBLE) FROM customer""")
 def q_union_missing_columns(spark, d):
-    a = standins.table(spark, d, "supplier").select(F.col("s_suppkey").cast("string").alias("register_id"),
-                                                  F.col("s_name").alias("name"), F.col("s_acctbal").alias("x_coord"))
-    b = standins.table(spark, d, "customer").select(F.concat(F.lit("c"), F.col("c_custkey").cast("string")).alias("register_id"),
-                                                  F.col("c_name").alias("name"), F.col("c_mktsegment").alias("segment"))
-    return a.unionByName(b, allowMissingColumns=True)
+    """Records that lack a column of the table are appended to it."""
+    z = _zone(spark)
+    z.overwrite(standins.table(spark, d, "supplier").select(F.col("s_suppkey").cast("string").alias("register_id"),
+                                                          F.col("s_name").alias("name"), F.col("s_acctbal").alias("x_coord")), "places")
+    z.append(standins.table(spark, d, "customer").select(F.col("c_name").alias("name"), F.concat(
+        F.lit("c"), F.col("c_custkey").cast("string")).alias("register_id")), "places")
+    return z.read("places")
 
 
 # ---- sinks (K4 K5b K7) -------------------------------------------------------------------------
@@ -475,11 +482,55 @@ def q_upsert_latest(spark, d):
     return rounded(upsert(c, updates, "c_custkey", order="seq").drop("seq"))
 
 
+def _zone(spark) -> Zone:
+    """A new zone in the shared checkpoint folder."""
+    return Zone(spark, f"{checkpoint_dir(spark)}/zone-{uuid.uuid4().hex}")
+
+
 @register("append_mart", _with(GEO, FACILITIES, MVMARKETS) +
           "SELECT 1 AS run, * FROM mvmarkets UNION ALL SELECT 2 AS run, * FROM mvmarkets")
 def q_append_mart(spark, d):
-    m = marts.facility_mart(standins.facilities(spark, d))
-    return m.select(F.lit(1).alias("run"), "*").unionByName(m.select(F.lit(2).alias("run"), "*"))
+    """Two runs of the facility mart appended to one table, partitioned by run."""
+    z, m = _zone(spark), marts.facility_mart(standins.facilities(spark, d))
+    for run in (1, 2):
+        z.append(m.select(F.lit(run).alias("run"), "*"), "mvmarkets", partition_by=["run"])
+    return z.read("mvmarkets")
+
+
+ORDER_COLS = "o_orderkey, o_custkey, o_totalprice, o_orderdate"
+
+
+@register("zone_overwrite", f"SELECT {ORDER_COLS}, o_orderpriority || '!' AS o_orderpriority FROM orders")
+def q_zone_overwrite(spark, d):
+    """A partitioned table written, and rebuilt from itself."""
+    z = _zone(spark)
+    z.overwrite(standins.table(spark, d, "orders").select(*ORDER_COLS.split(", "), "o_orderpriority"), "orders", partition_by=["o_orderpriority"])
+    z.overwrite(z.read("orders").withColumn("o_orderpriority", F.concat("o_orderpriority", F.lit("!"))), "orders")
+    return z.read("orders")
+
+
+@register("zone_insert_new", f"SELECT {ORDER_COLS}, CAST(CASE WHEN o_orderkey % 2 = 0 THEN 1 ELSE 2 END AS INTEGER) AS run FROM orders")
+def q_zone_insert_new(spark, d):
+    """Created with a primary key, then half of the orders and all of them twice: the first row of a key stays."""
+    z, o = _zone(spark), standins.table(spark, d, "orders").select(*ORDER_COLS.split(", "))
+    one, two = (o.withColumn("run", F.lit(k)) for k in (1, 2))
+    z.ensure_table("orders", one.schema, primary_key=["o_orderkey"])
+    z.insert_new("orders", one.where("o_orderkey % 2 = 0"), ["o_orderkey"])
+    z.insert_new("orders", two.unionByName(o.withColumn("run", F.lit(3))), ["o_orderkey"], order=["run"])
+    return z.read("orders")
+
+
+@register("zone_upsert", """SELECT o_orderkey, o_orderpriority, o_custkey,
+  CASE WHEN o_orderpriority = '1-URGENT' THEN o_totalprice + 2 ELSE o_totalprice END AS o_totalprice FROM orders""")
+def q_zone_upsert(spark, d):
+    """Upsert into a partitioned table: only the partition that the updates touch is rewritten, the last update wins."""
+    z, keys = _zone(spark), ["o_orderkey", "o_orderpriority"]
+    o = standins.table(spark, d, "orders").select(*keys, "o_custkey", "o_totalprice")
+    z.overwrite(o, "orders", partition_by=["o_orderpriority"], primary_key=keys)
+    urgent = o.where("o_orderpriority = '1-URGENT'")
+    updates = [urgent.withColumn("o_totalprice", F.col("o_totalprice") + k).withColumn("seq", F.lit(k)) for k in (1, 2)]
+    z.upsert("orders", updates[1].unionByName(updates[0]), keys, order=["seq"])
+    return z.read("orders")
 
 
 @register("quality_lineitem", """SELECT count(*) AS "rows", count(DISTINCT (l_orderkey, l_linenumber)) AS distinct_keys,
@@ -500,9 +551,10 @@ def q_quality_reconcile(spark, d):
 
 
 # ---- model (U2 M1-M9 L1 A13): rows-only checks ----------------------------------------------------
-@register("random_split")
+@register("random_split", """SELECT CASE WHEN CAST('0x' || substr(md5('42:' || f.neighborhood_id), 1, 8) AS BIGINT) / 4294967296.0 < 0.7
+  THEN 'train' ELSE 'test' END AS part, f.* FROM (""" + FEATURE_SQL + ") AS f")
 def q_random_split(spark, d):
-    feats = _features(spark, d)
+    feats = rounded(_features(spark, d))
     train_df, test_df = ml.split(feats, seed=42)
     return (train_df.select(F.lit("train").alias("part"), "*")
                     .unionByName(test_df.select(F.lit("test").alias("part"), "*")))
@@ -587,12 +639,12 @@ FACILITY_RECS = """recs AS (SELECT 'M' || CAST(l.l_orderkey // 4 AS VARCHAR) AS
   CASE WHEN l.l_quantity > 25 THEN 'big' END AS place, l.l_returnflag <> 'R' AS has_addr, l.l_linestatus <> 'F' AS has_cls,
   'street ' || CAST(l.l_partkey AS VARCHAR) AS address_name, l.l_linenumber AS addr_level,
   CAST(g.r_regionkey AS VARCHAR) AS a_did, g.r_name AS a_dname, CAST(g.n_nationkey AS VARCHAR) AS a_nid,
-  CASE l.l_partkey % 3 WHEN 0 THEN g.n_name WHEN 1 THEN lower(g.n_name)
+  CASE WHEN g.r_regionkey = 4 THEN 'New ' ELSE '' END || CASE l.l_partkey % 3 WHEN 0 THEN g.n_name WHEN 1 THEN lower(g.n_name)
     ELSE upper(substr(g.n_name, 1, 1)) || lower(substr(g.n_name, 2)) END AS a_nname,
   CAST(l.l_partkey % 1000 AS VARCHAR) AS asia_s, CAST(round(l.l_tax * 100) AS INTEGER) AS cls_level,
   CASE WHEN l.l_discount > 0.05 THEN 1 ELSE 0 END AS n_warnings, l.l_quantity AS x_coord, l.l_discount AS y_coord
   FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey JOIN geo g ON s.s_nationkey = g.n_nationkey)"""
-FORMAT_FACILITIES_SQL = _with(GEO, PLACES, "lk AS (SELECT * FROM places WHERE district_id <> '4')", FACILITY_RECS,
+FORMAT_FACILITIES_SQL = _with(GEO, PLACES, "lk AS (SELECT * FROM places)", FACILITY_RECS,
     f"""dd AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY register_id, substr(created, 1, 4)
   ORDER BY {LINE_ORDER}) AS rn FROM recs) WHERE rn = 1)""",
     """flat AS (SELECT *, CASE WHEN has_cls THEN cls_level WHEN has_addr THEN addr_level END AS level,
@@ -624,7 +676,7 @@ def q_format_facilities_zone(spark, d):
     """Facility documents -> unnest -> first per (register_id, year created) -> flatten first
     address then first classification -> counts/coordinates -> drop fixed and all-NULL columns ->
     mint dictionary rows for unmatched places -> reconcile (left) against the extended dictionary."""
-    lookup = standins.places(spark, d).where(F.col("district_id") != "4")  # dictionary lacking one region
+    lookup = standins.places(spark, d)  # the records name places of one region that it lacks
     table, _ = city.format_facilities(standins.facility_envelopes(spark, d), lookup)
     return table.select("register_id", "name", "created", "place", "level", "address_name", "full_path", "asia_id",
                         "n_warnings", "x_coord", "y_coord", "source_id", "timestamp", "district", "neighborhood",

@@ -112,6 +112,11 @@ def _by_block(rows: DataFrame, key: str, per_doc: int) -> DataFrame:
     return rows.withColumn("block", block).repartition("block")
 
 
+def new_place(name) -> "F.Column":
+    """The name, or for a place of region 4 a name that the dictionary lacks."""
+    return F.concat(F.when(F.col("r_regionkey") == 4, F.lit("New ")).otherwise(F.lit("")), name)
+
+
 def name_variant(name, region, k) -> "F.Column":
     """A free-text spelling of a place name: exact, lowercase, capitalised, the region's name,
     trailing space (never matches), missing, lowercase region. ``k`` picks one of the seven."""
@@ -256,7 +261,7 @@ def facility_envelopes(spark: SparkSession, d: str, per_doc: int = 4) -> DataFra
     g = _geo(spark, d)
     cap = F.concat(F.upper(F.substring("n_name", 1, 1)), F.lower(F.substr("n_name", F.lit(2))))
     m3 = F.col("l_partkey") % 3
-    hood = F.when(m3 == 0, F.col("n_name")).when(m3 == 1, F.lower("n_name")).otherwise(cap)
+    hood = new_place(F.when(m3 == 0, F.col("n_name")).when(m3 == 1, F.lower("n_name")).otherwise(cap))
     addr_t = ("array<struct<address_name:string,level:int,district_id:string,district_name:string,"
               "neighborhood_id:string,neighborhood_name:string>>")
     cls_t = "array<struct<full_path:string,asia_id:string,level:int>>"

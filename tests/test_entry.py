@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from citylake.plans.registry import ORACLE, QUERIES
 
 SF = "/root/testdata/sf0.001"
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "documents", "labels"]
@@ -42,7 +43,7 @@ def test_every_oracle_has_a_query():
 
 
 @pytest.mark.skipif(not os.path.exists(SF), reason="test tables absent")
-@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_matches_oracle(spark, duck, name):
     df = E.queries()[name](spark, SF)
     rows, cols = [tuple(r) for r in df.collect()], df.columns
@@ -52,7 +53,7 @@ def test_query_matches_oracle(spark, duck, name):
     assert canon(rows, cols) == canon(res.fetchall(), ocols)
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_plans_have_no_python_or_cartesian(spark, name):
     df = E.queries()[name](spark, SF)
     plan = df._jdf.queryExecution().executedPlan().toString()
