@@ -51,28 +51,7 @@ def size_by_district(mvidealista: DataFrame) -> DataFrame:
     return mvidealista.groupBy("district").agg(F.avg("mean_size").alias("mean_size"))
 
 
-# The four dashboard statements in Spark SQL over the mart views. Two changes from the source SQL:
-# the bare ``district, numMarkets`` columns are pinned with min / min_by (Spark rejects bare
-# columns), and the facility-income join is reduced to one row per place on each side first (the
-# same average, without producing every facility x income pair). ``try_divide`` skips zero
-# denominators as the source database's NULL division did.
-DASHBOARD_SQL = {
-    "markets_vs_income": """
-        WITH m AS (SELECT neighborhood_id, min(district) AS district, min_by(numMarkets, district) AS numMarkets
-                   FROM mvmarkets GROUP BY neighborhood_id),
-             i AS (SELECT neighborhood_id, avg(average) AS average FROM mvincome GROUP BY neighborhood_id)
-        SELECT m.neighborhood_id, m.district, m.numMarkets, i.average FROM m JOIN i ON i.neighborhood_id = m.neighborhood_id""",
-    "rooms_vs_price": "SELECT (m.rooms + m.bathrooms) AS rooms_bathrooms, m.pba AS rph, m.district FROM mvidealista m",
-    "price_per_room": """
-        SELECT avg(try_divide(m.price, m.totalrooms + m.totalbathrooms)) AS PricePerRoom, avg(m.pba) AS pba, m.district
-        FROM mvidealista m GROUP BY m.district""",
-    "size_by_district": "SELECT avg(m.mean_size) AS mean_size, m.district FROM mvidealista m GROUP BY m.district",
-}
-
-
-def run_sql(spark, mvidealista: DataFrame, mvmarkets: DataFrame, mvincome: DataFrame) -> dict[str, DataFrame]:
-    """Register the marts as temporary views and run the dashboard statements with ``spark.sql``."""
-    mvidealista.createOrReplaceTempView("mvidealista")
-    mvmarkets.createOrReplaceTempView("mvmarkets")
-    mvincome.createOrReplaceTempView("mvincome")
-    return {name: spark.sql(q) for name, q in DASHBOARD_SQL.items()}
+def run_sql(spark, statement: str, **marts: DataFrame) -> DataFrame:
+    """Run a caller's statement, in which ``{name}`` stands for the mart given under that name. The
+    session's own views are left alone."""
+    return spark.sql(statement, **marts)

@@ -170,24 +170,53 @@ def q_size_by_district(spark, d):
     return rounded(dashboard.size_by_district(_mvidealista(spark, d)))
 
 
-def _dashboard_sql(spark, d) -> dict:
-    return dashboard.run_sql(spark, _mvidealista(spark, d), marts.facility_mart(standins.facilities(spark, d)),
-                             marts.income_mart(standins.income(spark, d)))
+# The same four results asked for in SQL. A place has one facility row per district and one income row per year; the mean over
+# their pairs is the mean over its income rows, so each side is reduced to a row per place before they meet.
+DASHBOARD_SQL = {
+    "markets_vs_income": """
+        SELECT neighborhood_id, district, numMarkets, average
+        FROM (SELECT neighborhood_id, min(district) AS district, min_by(numMarkets, district) AS numMarkets FROM {facilities} GROUP BY ALL)
+        JOIN (SELECT neighborhood_id, avg(average) AS average FROM {income} GROUP BY ALL) USING (neighborhood_id)""",
+    "rooms_vs_price": "SELECT district, rooms + bathrooms AS rooms_bathrooms, pba AS rph FROM {listings}",
+    "price_per_room": """
+        SELECT district, avg(pba) AS pba, avg(try_divide(price, totalrooms + totalbathrooms)) AS PricePerRoom
+        FROM {listings} GROUP BY ALL""",
+    "size_by_district": "SELECT district, avg(mean_size) AS mean_size FROM {listings} GROUP BY ALL",
+}
+
+
+def _dashboard_sql(spark, d, name) -> DataFrame:
+    statement = DASHBOARD_SQL[name]
+    given = {"facilities": lambda: marts.facility_mart(standins.facilities(spark, d)), "income": lambda: marts.income_mart(standins.income(spark, d)),
+             "listings": lambda: _mvidealista(spark, d)}
+    return dashboard.run_sql(spark, statement, **{k: f() for k, f in given.items() if f"{{{k}}}" in statement})
 
 
 @register("markets_vs_income_sql", _with(GEO, FACILITIES, INCOME, MVMARKETS, MVINCOME, MARKETS_VS_INCOME) +
           "SELECT neighborhood_id, district, numMarkets, round((average) * 1.000000000001e0, 4) AS average FROM mvi")
 def q_markets_vs_income_sql(spark, d):
-    """The dashboard's first statement run with spark.sql over the marts registered as views."""
-    return rounded(_dashboard_sql(spark, d)["markets_vs_income"])
+    """Facilities against income, asked for in SQL."""
+    return rounded(_dashboard_sql(spark, d, "markets_vs_income"))
 
 
 @register("price_per_room_sql", _with(GEO, LISTINGS, MVIDEALISTA) + """SELECT district,
   round((avg(price / nullif(CAST(totalrooms + totalbathrooms AS DOUBLE), 0))) * 1.000000000001e0, 4) AS PricePerRoom,
   round((avg(pba)) * 1.000000000001e0, 4) AS pba FROM mvidealista GROUP BY district""")
 def q_price_per_room_sql(spark, d):
-    """The dashboard's third statement run with spark.sql over the marts registered as views."""
-    return rounded(_dashboard_sql(spark, d)["price_per_room"])
+    """Price per room, asked for in SQL."""
+    return rounded(_dashboard_sql(spark, d, "price_per_room"))
+
+
+@register("rooms_vs_price_sql", ORACLE["rooms_vs_price"])
+def q_rooms_vs_price_sql(spark, d):
+    """Rooms against price, asked for in SQL."""
+    return rounded(_dashboard_sql(spark, d, "rooms_vs_price"))
+
+
+@register("size_by_district_sql", ORACLE["size_by_district"])
+def q_size_by_district_sql(spark, d):
+    """Mean sizes, asked for in SQL."""
+    return rounded(_dashboard_sql(spark, d, "size_by_district"))
 
 
 # ---- keyed aggregation (A1 A2 A2b) -----------------------------------------------------------

@@ -5,10 +5,6 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 
-def _s(ddl: str) -> str:
-    return ddl
-
-
 def envelope(record: T.StructType) -> T.StructType:
     """``{_id, filename, timestamp, data: [record]}``."""
     return T.StructType([
@@ -19,10 +15,11 @@ def envelope(record: T.StructType) -> T.StructType:
     ])
 
 
-LOOKUP_RECORD = _s("district string, neighborhood string, district_n_reconciled string, district_n string, "
+# The fields of the landing documents, in the documents' own order.
+LOOKUP_RECORD = ("district string, neighborhood string, district_n_reconciled string, district_n string, "
                    "district_id string, neighborhood_n_reconciled string, neighborhood_n string, neighborhood_id string")
 
-LISTING_RECORD = _s(
+LISTING_RECORD = (
     "propertyCode string, thumbnail string, externalReference string, numPhotos int, floor string, price double, "
     "propertyType string, operation string, size double, exterior boolean, rooms int, bathrooms int, address string, "
     "province string, municipality string, district string, country string, neighborhood string, latitude double, "
@@ -33,7 +30,7 @@ LISTING_RECORD = _s(
     "detailedType struct<typology:string,subTypology:string>, "
     "suggestedTexts struct<subtitle:string,title:string>")
 
-FACILITY_RECORD = _s(
+FACILITY_RECORD = (
     "id string, register_id string, name string, created string, modified string, status string, status_name string, "
     "core_type string, core_type_name string, body string, ical string, place string, "
     "addresses array<struct<address_name:string,address_id:bigint,start_street_number:int,end_street_number:int,"
@@ -50,10 +47,10 @@ FACILITY_RECORD = _s(
     "sections_data array<string>, tickets_data array<string>, from_relationships array<string>, "
     "to_relationships array<string>, timetable string")
 
-INCOME_RECORD = _s("Any string, Codi_Districte string, Nom_Districte string, Codi_Barri string, Nom_Barri string, "
+INCOME_RECORD = ("Any string, Codi_Districte string, Nom_Districte string, Codi_Barri string, Nom_Barri string, "
                    "`Població` string, `Índex RFD Barcelona = 100` string")
 
-MODEL_DATA = _s("neighborhood_id string not null, n_markets bigint, price double, size double, rooms double, "
+MODEL_DATA = ("neighborhood_id string not null, n_markets bigint, price double, size double, rooms double, "
                 "bathrooms double, priceByArea double, index_rfd string, population double")
 
 _RECORDS = {"LOOKUP": LOOKUP_RECORD, "LISTING": LISTING_RECORD, "FACILITY": FACILITY_RECORD, "INCOME": INCOME_RECORD}

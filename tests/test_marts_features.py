@@ -3,6 +3,7 @@ from pyspark.errors import ArithmeticException, NumberFormatException
 from pyspark.sql import functions as F
 
 from citylake.operators.aggregate import count_by, mean_by
+from citylake.plans.registry import DASHBOARD_SQL
 from citylake.plans import dashboard, marts
 from citylake.plans.features import FEATURE_COLUMNS, build_features
 
@@ -88,7 +89,10 @@ def test_dashboard_sql_matches_dataframe_form(spark):
                                   ("n2", "2021", "D1", 300.0, 2, 1, 4.0, 2.0, 1.0, 30.0)],
                                  "neighborhood_id string, Year string, district string, price double, totalrooms long, "
                                  "totalbathrooms long, pba double, rooms double, bathrooms double, mean_size double")
-    got = dashboard.run_sql(spark, mvid, mvm, mvi)
+    spark.range(3).createOrReplaceTempView("listings")  # a view of the caller's, which stays
+    got = {k: dashboard.run_sql(spark, q, **{n: df for n, df in (("facilities", mvm), ("income", mvi), ("listings", mvid)) if f"{{{n}}}" in q})
+           for k, q in DASHBOARD_SQL.items()}
+    assert spark.table("listings").count() == 3
     want = {"markets_vs_income": dashboard.markets_vs_income(mvm, mvi), "rooms_vs_price": dashboard.rooms_vs_price(mvid),
             "price_per_room": dashboard.price_per_room(mvid), "size_by_district": dashboard.size_by_district(mvid)}
     for k, df in want.items():
