@@ -38,6 +38,8 @@ NAMES = re.compile(r"""(?:^|[\s_-])(?:nav\w*|menu\w*|breadcrumb\w*|footer|foot|h
 GOOD_NAMES = re.compile(r"(?:^|[\s_-])(?:article\w*|content|main|post|story|entry|body|text|prose)(?=$|[\s_\d-])", re.I)
 ROLES = {"navigation": 9.0, "banner": 6.0, "contentinfo": 9.0, "complementary": 9.0, "search": 9.0, "dialog": 9.0, "alert": 9.0, "form": 9.0, "menu": 9.0,
          "main": -4.0, "article": -5.0}
+#: Names that say what a page has beside the element, not what the element is.
+BESIDE = re.compile(r"(?:^|(?<=\s))(?:has|with|without|no)[-_]\S+", re.I)
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|</([a-zA-Z][^\s/>]*)[^>]*>?|<([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
 ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.S)
 
@@ -58,6 +60,7 @@ def _container_cost(tag: str, attributes: str) -> tuple[float, bool]:
             for m in ATTRIBUTE.finditer(attributes):
                 name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
                 if name in ("class", "id"):
+                    value = BESIDE.sub(" ", value)
                     if NAMES.search(value):
                         cost = max(cost, 0.0) + 7.0
                     elif GOOD_NAMES.search(value):
@@ -151,8 +154,8 @@ def blocks(html: str) -> list[Block]:
                 continue
             cost, hidden = _container_cost(tag, attributes)
             above = stack[-1] if stack else ("", 0.0, False, 0)
-            if cost < 0 and above[1] > 0:
-                cost = 0.0  # an article inside a sidebar or comment list stays there
+            if cost < 0 and above[1] > 0 or tag == "header" and above[1] < 0:
+                cost = 0.0  # an article inside a sidebar or comment list stays there; an article's own header is its title
             state[0] += 1
             if tag == "a":
                 state[1] += 1

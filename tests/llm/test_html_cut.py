@@ -37,6 +37,8 @@ CASES = [
     (f"<article><p>{PROSE} <a href='x'>a link</a> inside</p><ul><li>One<li>Two</ul><table><tr><td>a<td>b</table></article>", f"{PROSE} a link inside\nOne\nTwo\na\nb"),
     (f"<article><p>{PROSE}</p>tail text <div>in a div</div> after</article>", f"{PROSE}\ntail text\nin a div\nafter"),
     ("<nav><a href='/'>A</a> <a href='/b'>B</a></nav>", ""),
+    (f"<div class='post has-sidebar'><p>{PROSE}</p></div><div class='sidebar'><p>{PROSE}</p></div>", PROSE),
+    (f"<header><p>Site name</p></header><article><header><h1>Title here</h1></header><p>{PROSE}</p></article>", f"Title here\n{PROSE}"),
     (f"<p title='a > b'>{PROSE}</p><p>1 < 2 and 3", f"{PROSE}\n1 < 2 and 3"),
 ]
 
