@@ -212,19 +212,27 @@ def odds(words: Words, y: np.ndarray, of_text: np.ndarray) -> tuple[np.ndarray,
     t, w = pair // max(len(words.bucket), 1), pair % max(len(words.bucket), 1)
     n1, n0 = (y[of_text] == 1).sum(), (y[of_text] == 0).sum()
 
-    def table(texts, items, size):
-        key = np.unique(texts * np.int64(size) + items)
-        texts, items = key // size, key % size
-        a = np.bincount(items[y[texts] == 1], minlength=size)
-        b = np.bincount(items[y[texts] == 0], minlength=size)
-        value = np.log((a + 0.5) / (n1 + 1)) - np.log((b + 0.5) / (n0 + 1))
-        return (value * (a + b) / (a + b + 8.0)).astype(np.float32)
-
     per = np.bincount(words.of, minlength=len(words.bucket))
     start = np.cumsum(per) - per
-    many = per[w]
-    grams = words.gram[np.repeat(start[w], many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)]
-    return table(t, words.bucket[w], WORDS), table(np.repeat(t, many), grams, GRAMS)
+    seen = [np.zeros((2, WORDS), np.int64), np.zeros((2, GRAMS), np.int64)]
+    # some texts at a time bound the memory; a bucket counts once per text
+    edges = [*range(0, len(t), 20_000), len(t)]
+    edges = sorted({int(np.searchsorted(t, t[e], "left")) if 0 < e < len(t) else e for e in edges})
+    for lo, hi in zip(edges, edges[1:]):
+        texts, held = t[lo:hi], w[lo:hi]
+        many = per[held]
+        grams = words.gram[np.repeat(start[held], many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)]
+        for table, of, items in ((seen[0], texts, words.bucket[held]), (seen[1], np.repeat(texts, many), grams)):
+            key = np.unique(of * np.int64(table.shape[1]) + items)
+            of, items = key // table.shape[1], key % table.shape[1]
+            for v in (0, 1):
+                table[v] += np.bincount(items[y[of] == v], minlength=table.shape[1])
+
+    def shrunk(table):
+        b, a = table
+        return ((np.log((a + 0.5) / (n1 + 1)) - np.log((b + 0.5) / (n0 + 1))) * (a + b) / (a + b + 8.0)).astype(np.float32)
+
+    return shrunk(seen[0]), shrunk(seen[1])
 
 
 def train(texts: list[bytes], labels: np.ndarray, share: float, steps: int = 300, batch: int = 32, rate: float = 0.01, seed: int = 0) -> Net:
