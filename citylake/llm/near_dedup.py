@@ -14,7 +14,7 @@ from citylake.llm.components import components
 BANDS = 32
 ROWS = 5
 #: Leaders of a bucket multiply by this each round.
-LEADERS = 64
+LEADERS = 4
 
 
 def _new_texts(batches, remember: int = 100_000):
