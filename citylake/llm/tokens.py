@@ -36,8 +36,11 @@ class _Table(dict):
         owner, raw = self.owner, self.owner.raw
         if self.prefix and (not piece or piece[0].isspace()):
             raise _Odd
-        if owner.encode_joined and (self.prefix or owner.kind == "words" and _words(piece)):
-            owner.joined.append((len(raw), self.prefix + piece))
+        size = 0
+        if owner.encode_joined:
+            size = _words(piece) if owner.kind == "words" else len(piece.encode("utf-8", "surrogatepass")) + 1 if self.prefix else 0
+        if size:
+            owner.joined.append((len(raw), self.prefix + piece, size))
         else:
             owner.pending.append((len(raw), self.prefix + piece))
         index = len(raw)
@@ -58,9 +61,9 @@ class ChunkEncoder:
     whose pre-tokens take one leading space, "words" for a lower-casing tokenizer that drops white
     space. ``special``: strings that make a text go whole. ``max_chunks`` bounds the cache: beyond it the
     chunks used least go. ``encode_joined``: the same as ``encode_many`` for chunks that may be joined,
-    returning the bytes of each chunk's ids."""
+    returning the bytes of each chunk's ids; it also gets each chunk's size, in bytes or words."""
 
-    def __init__(self, encode_many, kind: str, special=(), max_chunks: int = 600_000, encode_joined=None):
+    def __init__(self, encode_many, kind: str, special=(), max_chunks: int = 900_000, encode_joined=None):
         self.encode_many, self.kind, self.special, self.max_chunks = encode_many, kind, tuple(special), max_chunks
         self.encode_joined = encode_joined
         self.clear()
@@ -119,8 +122,9 @@ class ChunkEncoder:
             for (index, _), one in zip(self.pending, ids, strict=True):
                 self.raw[index] = array("H", one).tobytes()
         if self.joined:
-            for (index, _), one in zip(self.joined, self.encode_joined([text for _, text in self.joined]), strict=True):
-                self.raw[index] = one
+            index, texts, sizes = zip(*self.joined, strict=True)
+            for i, one in zip(index, self.encode_joined(texts, sizes), strict=True):
+                self.raw[i] = one
         self.pending, self.joined = [], []
         if self.known < len(self.raw):
             new = self.raw[self.known:]
@@ -163,20 +167,20 @@ def tokenizers_encoder(path: str, kind: str) -> ChunkEncoder:
             width[i] = len(token) if kind == "bytes" else token.endswith("</w>")
         _KEPT[path, kind] = ChunkEncoder(
             lambda texts: [e.ids for e in tok.encode_batch_fast(texts, add_special_tokens=False)], kind, special,
-            encode_joined=lambda chunks: _joined(tok, chunks, kind, width))
+            encode_joined=lambda chunks, sizes: _joined(tok, chunks, sizes, kind, width))
     return _KEPT[path, kind]
 
 
-def _joined(tok, chunks: list[str], kind: str, width: np.ndarray, group: int = 64) -> list[bytes]:
+def _joined(tok, chunks, sizes, kind: str, width: np.ndarray, group: int = 64) -> list[bytes]:
     """Ids of chunks that are encoded many at a time. Chunks that begin with a space are told apart in the
     ids by their bytes, words of letters by the ids that end a word."""
     groups = [chunks[i:i + group] for i in range(0, len(chunks), group)]
     found = tok.encode_batch_fast([("" if kind == "bytes" else " ").join(g) for g in groups], add_special_tokens=False)
     out = []
-    for g, e in zip(groups, found, strict=True):
+    for k, (g, e) in enumerate(zip(groups, found, strict=True)):
         ids = np.array(e.ids, np.uint16)
         done = np.cumsum(width[ids])
-        goal = np.cumsum([len(c.encode("utf-8", "surrogatepass")) if kind == "bytes" else _words(c) for c in g])
+        goal = np.cumsum(sizes[k * group:k * group + len(g)])
         ends = np.searchsorted(done, goal)
         if len(done) and done[-1] == goal[-1] and (done[np.minimum(ends, len(done) - 1)] == goal).all():
             raw, ends = ids.tobytes(), [0, *(2 * (ends + 1)).tolist()]
