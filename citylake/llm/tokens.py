@@ -103,7 +103,10 @@ class ChunkEncoder:
             if _CONTROL.search(text):
                 return self._whole(text)
             if text.isascii() or not _ABOVE_LATIN.search(text):
-                text = text.lower()
+                low = text.lower()
+                if any(s in low for s in self.special):  # ordinary text that lower case would make special
+                    return self._whole(text)
+                text = low
             pieces = text.split()
             return np.fromiter(map(self.plain.__getitem__, pieces), np.int64, len(pieces))
         if not text:

@@ -50,3 +50,16 @@ def test_tiktoken_chunks():
         assert ids[at:at + n].tolist() == whole.encode_ordinary(t), repr(t)
         assert lengths[ids[at:at + n]].sum() == len(t.encode())
         at += n
+
+
+@pytest.mark.parametrize("name, kind", [("byte_bpe_50k.json", "bytes"), ("word_bpe_49k.json", "words")])
+def test_special_strings_in_other_case_are_ordinary_text(name, kind):
+    path = public_tokenizers.path(name)
+    whole = Tokenizer.from_file(path)
+    many = [t for s in ("<|EndOfText|>", "<|ENDOFTEXT|>", "<|StartOfText|>", "<|endoftext|>", "<|STARTOFTEXT|>")
+            for t in (s, f"a {s} b", f"a{s}b", f"é {s}", f"日 {s}", f"{s} <|endoftext|>", f"{s}\n{s.lower()} {s}")]
+    ids, counts = tokenizers_encoder(path, kind).encode(many)
+    at = 0
+    for t, n in zip(many, counts, strict=True):
+        assert ids[at:at + n].tolist() == whole.encode(t, add_special_tokens=False).ids, repr(t)
+        at += n
