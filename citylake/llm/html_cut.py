@@ -9,7 +9,7 @@ labelling of least total cost.
 from __future__ import annotations
 
 import re
-from collections import deque
+from collections import defaultdict, deque
 from html import unescape
 
 import pyarrow as pa
@@ -29,6 +29,7 @@ ENDS_P = BLOCK - frozenset(("br",)) | frozenset(("p",))
 SAME_ENDS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"),
              "option": ("option",)}
 SCOPE = frozenset("article aside body div section main nav header footer table ul ol dl form blockquote td th li html".split())
+HEADINGS = ("h1", "h2", "h3", "h4", "h5", "h6")
 #: What containers say about their text, in units of cost: boilerplate above 0, content below 0.
 TAG_COST = {"nav": 9.0, "footer": 9.0, "header": 6.0, "aside": 9.0, "form": 9.0, "menu": 9.0, "dialog": 9.0, "fieldset": 9.0, "address": 3.0,
             "article": -5.0, "main": -4.0}
@@ -45,10 +46,13 @@ ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'
 
 
 class Block:
-    __slots__ = ("text", "cost", "path", "linked", "heading")
+    """``depth``: open elements around the text; ``shared``: those of them also around the block before; ``parent``:
+    number of the element around the innermost one, or 0."""
 
-    def __init__(self, text, cost, path, linked, heading):
-        self.text, self.cost, self.path, self.linked, self.heading = text, cost, path, linked, heading
+    __slots__ = ("text", "cost", "depth", "shared", "parent", "linked", "heading")
+
+    def __init__(self, text, cost, depth, shared, parent, linked, heading):
+        self.text, self.cost, self.depth, self.shared, self.parent, self.linked, self.heading = text, cost, depth, shared, parent, linked, heading
 
 
 def _container_cost(tag: str, attributes: str) -> tuple[float, bool]:
@@ -73,11 +77,41 @@ def _container_cost(tag: str, attributes: str) -> tuple[float, bool]:
 
 
 def blocks(html: str) -> list[Block]:
-    """The visible text blocks of a page, white space joined, in page order."""
+    """The visible text blocks of a page, white space joined, in page order. Every element is on the stack at any
+    depth; the places of the open elements are kept per tag, so that a tag costs the same at every depth."""
     out: list[Block] = []
     stack: list[tuple[str, float, bool, int]] = []  # tag, cost so far, hidden, number of the element
+    places: dict[str, list[int]] = defaultdict(list)  # of the open elements of a tag in the stack
+    scopes, block_places = [-1], [-1]  # of the open elements in SCOPE and BLOCK
     parts: list[str] = []
-    state = [0, 0, 0]  # elements so far, open links, characters inside links
+    state = [0, 0, 0, 0]  # elements so far, open links, characters inside links, least depth since the last block
+
+    def push(tag, cost, hidden):
+        state[0] += 1
+        k = len(stack)
+        places[tag].append(k)
+        if tag in SCOPE:
+            scopes.append(k)
+        if tag in BLOCK:
+            block_places.append(k)
+        if tag == "a":
+            state[1] += 1
+        stack.append((tag, cost, hidden, state[0]))
+
+    def drop_to(k):
+        while len(stack) > k:
+            tag = stack.pop()[0]
+            places[tag].pop()
+            if tag in SCOPE:
+                scopes.pop()
+            if tag in BLOCK:
+                block_places.pop()
+            if tag == "a":
+                state[1] -= 1
+        state[3] = min(state[3], len(stack))
+
+    def place(*tags):
+        return max(places[t][-1] if places[t] else -1 for t in tags)
 
     def close():
         if parts:
@@ -85,8 +119,8 @@ def blocks(html: str) -> list[Block]:
             parts.clear()
             if text:
                 top = stack[-1] if stack else ("", 0.0, False, 0)
-                out.append(Block(text, top[1], tuple(s[3] for s in stack), state[2], any(s[0] in ("h1", "h2", "h3", "h4", "h5", "h6") for s in stack[-3:])))
-        parts.clear()
+                out.append(Block(text, top[1], len(stack), state[3], stack[-2][3] if len(stack) > 1 else 0, state[2], any(s[0] in HEADINGS for s in stack[-3:])))
+                state[3] = len(stack)
         state[2] = 0
 
     def text_between(a, b):
@@ -98,9 +132,7 @@ def blocks(html: str) -> list[Block]:
 
     def pop_to(k):
         close()
-        while len(stack) > k:
-            if stack.pop()[0] == "a":
-                state[1] = max(0, state[1] - 1)
+        drop_to(k)
 
     at, end = 0, len(html)
     while at < end:
@@ -112,20 +144,14 @@ def blocks(html: str) -> list[Block]:
         at = m.end()
         if m[1]:
             tag = m[1].lower()
-            if tag == "br" or tag == "p" and not any(s[0] == "p" for s in stack):
+            k = place(tag)
+            if tag == "br" or tag == "p" and k < 0:
                 close()
-                continue
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == tag:
-                    if tag in BLOCK or tag in HIDDEN or any(s[0] in BLOCK for s in stack[k + 1:]):
-                        pop_to(k)
-                    else:
-                        while len(stack) > k:
-                            if stack.pop()[0] == "a":
-                                state[1] = max(0, state[1] - 1)
-                    break
-                if stack[k][0] in SCOPE and tag not in SCOPE:
-                    break
+            elif k >= 0 and (tag in SCOPE or k > scopes[-1]):
+                if tag in BLOCK or tag in HIDDEN or block_places[-1] > k:
+                    pop_to(k)
+                else:
+                    drop_to(k)
         elif m[2]:
             tag, attributes = m[2].lower(), m[3]
             if tag in RAW:  # its text runs to its own end tag
@@ -134,20 +160,12 @@ def blocks(html: str) -> list[Block]:
                 continue
             if tag in BLOCK:
                 close()
-            if tag in ENDS_P:
-                for k in range(len(stack) - 1, -1, -1):
-                    if stack[k][0] == "p":
-                        pop_to(k)
-                        break
-                    if stack[k][0] in SCOPE:
-                        break
+            if tag in ENDS_P and place("p") > scopes[-1]:
+                pop_to(place("p"))
             if tag in SAME_ENDS:
-                for k in range(len(stack) - 1, -1, -1):
-                    if stack[k][0] in SAME_ENDS[tag]:
-                        pop_to(k)
-                        break
-                    if stack[k][0] in SCOPE and stack[k][0] not in ("tr",):
-                        break
+                k = place(*SAME_ENDS[tag])
+                if k >= 0 and k >= scopes[-1]:
+                    pop_to(k)
             if tag in VOID:
                 continue
             if tag == "body" or tag == "html":
@@ -156,11 +174,7 @@ def blocks(html: str) -> list[Block]:
             above = stack[-1] if stack else ("", 0.0, False, 0)
             if cost < 0 and above[1] > 0 or tag == "header" and above[1] < 0:
                 cost = 0.0  # an article inside a sidebar or comment list stays there; an article's own header is its title
-            state[0] += 1
-            if tag == "a":
-                state[1] += 1
-            if len(stack) < 400:
-                stack.append((tag, above[1] + cost, above[2] or hidden, state[0]))
+            push(tag, above[1] + cost, above[2] or hidden)
     close()
     return out
 
@@ -185,15 +199,8 @@ def smoothness(blocks_: list[Block]) -> list[tuple[int, int, float]]:
     last: dict[int, int] = {}
     for i, b in enumerate(blocks_):
         if i:
-            a = blocks_[i - 1].path
-            shared = 0
-            for x, y in zip(a, b.path):
-                if x != y:
-                    break
-                shared += 1
-            depth = max(len(a), len(b.path), 1)
-            arcs.append((i - 1, i, 0.2 + 0.8 * shared / depth))
-        parent = b.path[-2] if len(b.path) > 1 else 0
+            arcs.append((i - 1, i, 0.2 + 0.8 * b.shared / max(blocks_[i - 1].depth, b.depth, 1)))
+        parent = b.parent
         if parent in last and last[parent] < i - 1:
             arcs.append((last[parent], i, 0.5))
         last[parent] = i

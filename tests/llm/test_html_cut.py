@@ -1,11 +1,12 @@
 import itertools
 import random
 import re
+import time
 from html import unescape
 
 import pytest
 
-from citylake.llm.html_cut import extract, main_text, minimum_cut
+from citylake.llm.html_cut import blocks, extract, main_text, minimum_cut
 from tests.llm.helpers import with_extra
 
 PROSE = "A long sentence of plain words that a reader would call an article, with a comma or two."
@@ -69,3 +70,21 @@ def test_long_and_broken_pages():
     assert main_text("<div>" * 50_000 + PROSE) == PROSE
     assert main_text("<" * 20_000 + PROSE).endswith(PROSE)
     assert len(main_text("".join(f"<p>{PROSE} {i}</p>" for i in range(5000))).split("\n")) == 5000
+
+
+@pytest.mark.parametrize("above", ["<div>" * 500, "<font>" * 500, "<b><i><span>" * 300, "<p><a name='x'><font>" * 3 + "<span>" * 600])
+def test_elements_count_at_any_depth(above):
+    page = f"<article>{above}<p>{PROSE}</p><nav>{PROSE}</nav><div hidden>{PROSE}</div><select><option>{PROSE}</select><aside>{PROSE}</aside><p>{PROSE}</p></article>"
+    assert main_text(page) == f"{PROSE}\n{PROSE}"
+    deep = "<div>" * 500 + f"<div><p>{PROSE}</p></div>" + "</div>" * 500
+    assert main_text(f"<div class='sidebar'>{deep}{PROSE}</div><article><p>{PROSE}</p></article>") == PROSE  # the sidebar stays open
+
+
+def test_cost_of_deep_pages_is_in_proportion():
+    took = []
+    for n in (2_000, 20_000):
+        page = "".join(f"<div><font><p>word {i}</b></p>" for i in range(n))
+        start = time.process_time()
+        assert len(blocks(page)) == n
+        took.append(time.process_time() - start)
+    assert took[1] < 40 * max(took[0], 0.01)
