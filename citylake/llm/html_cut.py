@@ -41,7 +41,11 @@ ROLES = {"navigation": 9.0, "banner": 6.0, "contentinfo": 9.0, "complementary":
          "main": -4.0, "article": -5.0}
 #: Names that say what a page has beside the element, not what the element is.
 BESIDE = re.compile(r"(?:^|(?<=\s))(?:has|with|without|no)[-_]\S+", re.I)
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|</([a-zA-Z][^\s/>]*)[^>]*>?|<([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+#: What may stand in a head; at anything else an open head ends.
+IN_HEAD = frozenset("base basefont bgsound head html link meta noframes noscript script style template title".split())
+#: A start tag ends at its first ">" outside an attribute value; a quote elsewhere is part of a name.
+TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>?|</([a-zA-Z][^\s/>]*)[^>]*>?|<([a-zA-Z][^\s/>]*+)((?:
+    [\s/]++|[^\s/>][^\s/>=]*+(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s"'>][^\s>]*+)?+)?+)*+)>""", re.S | re.X)
 ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.S)
 
 
@@ -123,7 +127,13 @@ def blocks(html: str) -> list[Block]:
                 state[3] = len(stack)
         state[2] = 0
 
+    def end_head():
+        if places["head"]:
+            pop_to(places["head"][-1])
+
     def text_between(a, b):
+        if b > a and places["head"] and html[a:b].strip(" \t\n\r\f"):
+            end_head()
         if b > a and not (stack and stack[-1][2]):
             t = html[a:b]
             parts.append(t)
@@ -144,6 +154,8 @@ def blocks(html: str) -> list[Block]:
         at = m.end()
         if m[1]:
             tag = m[1].lower()
+            if tag in ("body", "html", "br"):
+                end_head()
             k = place(tag)
             if tag == "br" or tag == "p" and k < 0:
                 close()
@@ -154,6 +166,8 @@ def blocks(html: str) -> list[Block]:
                     drop_to(k)
         elif m[2]:
             tag, attributes = m[2].lower(), m[3]
+            if tag not in IN_HEAD:
+                end_head()
             if tag in RAW:  # its text runs to its own end tag
                 stop = re.compile(rf"</{tag}\s*>?", re.I).search(html, at) if not attributes.rstrip().endswith("/") else None
                 at = (stop.end() if stop else end) if not attributes.rstrip().endswith("/") else at

@@ -88,3 +88,24 @@ def test_cost_of_deep_pages_is_in_proportion():
         assert len(blocks(page)) == n
         took.append(time.process_time() - start)
     assert took[1] < 40 * max(took[0], 0.01)
+
+
+@pytest.mark.parametrize("html, text", [
+    (f"<html><head><meta charset=utf-8><title>T</title><body><p>{PROSE}</p></body></html>", PROSE),
+    (f"<html><head>\n<title>T</title>\n<link rel=x href=y>\n<script>var a;</script><style>p{{}}</style>\n<p>{PROSE}</p>", PROSE),
+    (f"<head><title>T</title>{PROSE}<p>{PROSE}</p>", f"{PROSE}\n{PROSE}"),
+    (f"<head><title>T</title></body>{PROSE}", PROSE),
+    (f"<html><head><title>T</title></head><body><p>{PROSE}</p></body></html>", PROSE),
+    (f"<head><title>T</title><body><nav>{PROSE}</nav><p>{PROSE}</p><div hidden>{PROSE}</div>", PROSE),
+])
+def test_head_without_end_tag(html, text):
+    assert main_text(html) == text
+
+
+@pytest.mark.parametrize("tag", ['<b title="x"">', "<b title='x''>", '<b title="x" ">', '<b "title=x>', "<b title=it's>", '<b title=x">', '<b title = "a > b"">', '<b title="x>'])
+def test_stray_quote_in_a_tag(tag):
+    end = "</b>"
+    assert main_text(f"<p>{tag}{PROSE}{end}</p><p>{PROSE}</p>") == f"{PROSE}\n{PROSE}"
+    if tag != '<b title="x>':  # there the value runs to the next quote
+        assert main_text(f"<p>{tag}{PROSE}{end}</p><p title=\"it's\">{PROSE}</p><nav class='n'>{PROSE}</nav>") == f"{PROSE}\n{PROSE}"
+    assert main_text(tag * 20_000 + PROSE).endswith(PROSE)
