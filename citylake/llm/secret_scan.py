@@ -29,6 +29,8 @@ JWT = re.compile(r"eyJ[A-Za-z0-9_-]{17,}\.[A-Za-z0-9_-]{4,}\.[A-Za-z0-9_-]{4,}")
 URL = re.compile(r"://[^\s:/@]{1,64}:([^\s/@]{3,256})@")
 RANDOM = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
 PLACEHOLDER = re.compile(r"example|sample|dummy|changeme|placeholder|your|test|xxxx|0000|1234567|abcdef", re.I)
+#: A longer value may hold a placeholder word by chance; there they must make up most of it.
+SHORT = 64
 WORDS = ("password", "passwd", "secret", "token", "api_key", "apikey")
 #: A text without a match of this has no candidate.
 GATE = r"(?i:password|passwd|secret|token|api_?key)|AKIA|://|-----BEGIN|[A-Za-z0-9+/_=-]{20}"
@@ -41,9 +43,16 @@ def entropy(value: str) -> float:
     return -sum(c / n * math.log2(c / n) for c in Counter(value).values()) if n else 0.0
 
 
-def live_looking(value: str) -> bool:
-    """Many different characters with a digit among them, and no placeholder word."""
-    return len(value) >= 12 and entropy(value) >= 3.0 and any(c.isdigit() for c in value) and not PLACEHOLDER.search(value)
+def placeholder(value: str) -> bool:
+    held = sum(map(len, PLACEHOLDER.findall(value)))
+    return held > 0 and (len(value) <= SHORT or 2 * held > len(value))
+
+
+def live_looking(value: str, kind: int = 0) -> bool:
+    """A private key or JWT; of the other kinds, many different characters with a digit among them, and no placeholder."""
+    if KINDS[kind] in ("private_key", "jwt"):
+        return True
+    return len(value) >= 12 and entropy(value) >= 3.0 and any(c.isdigit() for c in value) and not placeholder(value)
 
 
 def scan(text: str) -> list[tuple[int, int, int, str]]:
@@ -95,7 +104,7 @@ def _scan(batches):
         yield pa.RecordBatch.from_arrays(
             [*(batch.column(n) for n in ("key", "owner", "repository")), *(pa.array(c, pa.int64()) for c in counts),
              pa.array([hashlib.sha256(named(b).encode()).hexdigest() for b in base]),
-             pa.array([[{"start": s, "kind": k, "end": e, "looks": live_looking(v),
+             pa.array([[{"start": s, "kind": k, "end": e, "looks": live_looking(v, k),
                          "hash": hashlib.blake2b(v.encode("utf-8", "surrogatepass"), digest_size=16).digest()} for s, k, e, v in f] for f in found], arrow)],
             ["key", "owner", "repository", "n_assign", "n_access", "n_hex", "base_sha256", "found"])
 
