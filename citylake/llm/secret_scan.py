@@ -1,7 +1,7 @@
 """Secret scans with corpus-wide ownership frequency.
 
 Candidate credentials are found in every whole text and hashed. Over the whole corpus each hash is
-aggregated by the distinct repositories and owners that hold it: a value that several owners hold is a
+aggregated by the distinct owners that hold it (repositories are counted but decide nothing): a value that several owners hold is a
 widely copied example, a value that few hold and that looks random is a live-looking credential.
 """
 
