@@ -10,6 +10,9 @@ probability of their weighted Jaccard similarity.
 
 from __future__ import annotations
 
+import re
+import unicodedata
+
 import numpy as np
 
 _U = np.uint64
@@ -20,6 +23,36 @@ for _b in range(256):
         _CLASS[_b] = _b
     elif 65 <= _b <= 90:
         _CLASS[_b] = _b + 32
+#: Scripts written without spaces: Thai, Lao, Myanmar, Khmer, Tai, kana, Bopomofo, Han, Yi.
+_UNSPACED = ((0xE00, 0xEFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x1950, 0x19DF), (0x1A20, 0x1AAF), (0x2E80, 0x2FDF), (0x3005, 0x3007), (0x3021, 0x312F),
+             (0x31A0, 0x31BF), (0x31F0, 0x31FF), (0x3400, 0x4DBF), (0x4E00, 0xA4CF), (0xF900, 0xFAFF), (0xFF66, 0xFF9F), (0x1AFF0, 0x1B16F), (0x20000, 0x3FFFF))
+
+
+def _apart_rules():
+    """Patterns of what separates words beyond ASCII and of the characters that are words alone, with their
+    marks; and the bytes that begin none of these."""
+    kinds = {c: unicodedata.category(chr(c)) for c in range(0x80, 0x20000)}
+    between = [c for c, k in kinds.items() if k[0] in "PZ" or chr(c).isspace()]
+    marks = {c for c, k in kinds.items() if k[0] == "M"} | {*range(0xE0100, 0xE01F0)}
+    odd = {*between} | marks
+    alone = [c for a, b in _UNSPACED if b < 0x20000 for c in range(a, b + 1) if c not in odd]
+    leads = {chr(c).encode("utf-8", "surrogatepass")[0] for c in between + alone} | {*range(0xF0, 0xF5)}
+
+    def of(codes):
+        return "".join(re.escape(chr(c)) for c in sorted(codes))
+
+    return (re.compile(f"[{of(between)}]"), re.compile(f"[{of(alone)}\U00020000-\U0003ffff][{of(marks)}]*"),
+            bytes(b for b in range(256) if b not in leads))
+
+
+_BETWEEN, _ALONE, _PLAIN = _apart_rules()
+
+
+def apart(texts: list[bytes]) -> list[bytes]:
+    """The texts with spaces for Unicode white space and punctuation, and around each character (with its marks)
+    of a script that is written without spaces, so that ``split_words`` finds words there too."""
+    return [t if t.isascii() or not t.translate(None, _PLAIN) else
+            _ALONE.sub(r" \g<0> ", _BETWEEN.sub(" ", t.decode("utf-8", "surrogatepass"))).encode("utf-8", "surrogatepass") for t in texts]
 
 
 def mix(x: np.ndarray) -> np.ndarray:

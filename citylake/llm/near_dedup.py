@@ -37,7 +37,7 @@ def _new_texts(batches, remember: int = 100_000):
 def _sketch(width: int, bands: int, rows: int, weighting: str):
     def run(batches):
         for digests, part in _new_texts(batches):
-            text, shingle, count = D.shingles(*D.word_hashes(part), width)
+            text, shingle, count = D.shingles(*D.word_hashes(D.apart(part)), width)
             weight = np.ones(len(shingle)) if weighting == "set" else count.astype(float)
             signature, some = D.signatures(text, shingle, weight, len(part), bands * rows)
             keys = D.band_keys(signature, bands)
@@ -49,7 +49,7 @@ def _sketch(width: int, bands: int, rows: int, weighting: str):
 def _sets(width: int):
     def run(batches):
         for digests, part in _new_texts(batches):
-            text, shingle, count = D.shingles(*D.word_hashes(part), width)
+            text, shingle, count = D.shingles(*D.word_hashes(D.apart(part)), width)
             offsets = pa.array(np.searchsorted(text, np.arange(len(part) + 1)).astype(np.int32))
             yield pa.RecordBatch.from_arrays([digests, pa.ListArray.from_arrays(offsets, pa.array(shingle.view(np.int64))),
                                               pa.ListArray.from_arrays(offsets, pa.array(count.astype(np.int32)))], ["digest", "shingles", "counts"])
@@ -165,7 +165,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, threshold: float = 0.8, ban
 
     Two texts are linked if the Jaccard similarity of their ``width``-word shingles is at least
     ``threshold``; words are runs of ASCII letters and digits, in lower case, and of all other
-    characters; a text of fewer words is one shingle. Classes are the connected components, and equal texts are one
+    characters but Unicode white space and punctuation; in scripts without spaces each character is one; a text of fewer words is one shingle. Classes are the connected components, and equal texts are one
     class (so are empty ones; different texts without words are not linked). A row with a null text is a class of its
     own, with a null id too. Repeated rows are one class, of which one stays. Other columns are ignored.
     """

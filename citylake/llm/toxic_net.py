@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import numpy as np
 
-from citylake.llm.dartminhash import mix, split_words
+from citylake.llm.dartminhash import apart, mix, split_words
 
 WORDS, GRAMS = 1 << 14, 1 << 15
 #: Lengths of n-grams, in UTF-8 bytes; a word's bounds count as a byte.
@@ -26,10 +26,11 @@ def _sigmoid(x):
 
 class Words:
     """The words of some texts: ``bucket`` and trigram ids of the distinct ones, and the texts as
-    indexes of those. Words are lower-cased runs of ASCII letters and digits, and of other characters."""
+    indexes of those. Words are lower-cased runs of ASCII letters and digits, and of other characters but Unicode
+    white space and punctuation; in scripts without spaces each character is one."""
 
     def __init__(self, texts: list[bytes]):
-        low, first, last, hashes, counts = split_words(texts)
+        low, first, last, hashes, counts = split_words(apart(texts))
         distinct, where, self.ids = np.unique(hashes, return_index=True, return_inverse=True)
         self.counts = counts
         self.bucket = (distinct % np.uint64(WORDS)).astype(np.int64)

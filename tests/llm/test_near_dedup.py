@@ -52,6 +52,19 @@ def test_agreement_is_weighted_jaccard(kind):
     assert (alone[0] == sig[0]).all()  # a set's signature doesn't depend on its batch
 
 
+def test_words_beyond_ascii(spark):
+    texts = ["日本語、テスト。", "全\u3000角 か\u3099", "l\u2019été\u00a0«là»", "สวัสดี", "Été 日a本1", "ascii, only", "straße \u2026 x", "\U00020000\U00020001"]
+    want = [6, 3, 3, 4, 5, 2, 2, 2]
+    assert D.word_hashes(D.apart([t.encode() for t in texts]))[1].tolist() == want
+    rng = random.Random(2)
+    base = [chr(0x4E00 + rng.randrange(3000)) for _ in range(400)]
+    near = list(base)
+    near[100], near[300] = "一", "丁"
+    other = [chr(0x4E00 + rng.randrange(3000)) for _ in range(400)]
+    rows = near_duplicates(docs(spark, ["".join(base), "".join(near) + "。", "".join(other)])).collect()
+    assert {r.doc_id: r.class_id for r in rows} == {0: 0, 1: 0, 2: 2}
+
+
 def test_components(spark):
     rng = random.Random(3)
     edges = [(rng.randrange(200), rng.randrange(200)) for _ in range(120)] + [(500 + i, 501 + i) for i in range(60)] + [(900, x) for x in range(901, 960)]

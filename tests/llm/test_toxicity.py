@@ -54,6 +54,11 @@ def test_scores_do_not_depend_on_the_batch():
     assert together[0] == together[4] and ((together > 0) & (together < 1)).all()
 
 
+def test_text_without_spaces_has_many_windows():
+    words = T.Words([("日本語のテキスト。" * 200).encode(), b"a short text"])
+    assert words.counts.tolist() == [1600, 3] and (T.windows(words.counts)[0] == 0).sum() > 1
+
+
 @pytest.fixture(scope="module")
 def sf(spark):
     d = "/root/testdata/sf0.1"
