@@ -27,6 +27,16 @@ def staged(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def dropped(*frames: DataFrame) -> None:
+    """Delete the written tables that ``staged`` returned, once nothing reads them any more."""
+    for df in frames:
+        spark = df.sparkSession
+        for name in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            if "/llm-staged/" in name:
+                path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
+                path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def drop_staged(spark: SparkSession) -> None:
     """Delete every table this session has staged (call it when the results have been written)."""
     jvm = spark.sparkContext._jvm

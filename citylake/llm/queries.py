@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citylake.llm import decontamination, html_cut, near_dedup, packing, quality_rules, secret_scan, sharding, token_counts, token_files, toxicity
+from citylake.llm import (centroids, decontamination, fingerprints, html_cut, lexical_search, near_dedup, packing, quality_rules, secret_scan, sharding,
+                          token_counts, token_files, toxicity)
 from citylake.llm.common import fresh_folder
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -75,6 +76,21 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.secret_report(table(spark, sf_dir, "documents"), owner_col="source", repository_cols=("source", "lang"), min_owners=3)
 
 
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vectors in 40 clusters after five rounds of exact integer k-means."""
+    return centroids.cluster_report(table(spark, sf_dir, "embeddings"), k=40, rounds=5, dims=64, scale=256)
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best documents of every benchmark item."""
+    return lexical_search.search_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), top=20)
+
+
+def op13_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and its edited text, and how alike they are."""
+    return fingerprints.fingerprint_report(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_sharding": op2_sharding,
@@ -86,6 +102,13 @@ QUERIES = {
     "op8_token_files": op8_token_files,
     "op9_decontamination": op9_decontamination,
     "op10_secret_scan": op10_secret_scan,
+    "op11_centroids": op11_centroids,
+    "op12_lexical_search": op12_lexical_search,
+    "op13_fingerprints": op13_fingerprints,
 }
 
-ORACLE = {"op9_decontamination": decontamination.ORACLE}
+ORACLE = {
+    "op9_decontamination": decontamination.ORACLE,
+    "op11_centroids": centroids.ORACLE,
+    "op12_lexical_search": lexical_search.ORACLE,
+}
