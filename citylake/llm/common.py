@@ -44,16 +44,19 @@ def drop_staged(spark: SparkSession) -> None:
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def own_columns(df: DataFrame, *names: str) -> DataFrame:
-    """Only the named columns, so that extra columns of the input can clash with nothing."""
-    return df.select(*(F.col(f"`{n}`") for n in names))
+def unused(df: DataFrame, name: str) -> str:
+    """A column name like ``name`` that ``df`` doesn't have (names compare without case)."""
+    have = {c.lower() for c in df.columns}
+    while name.lower() in have:
+        name += "_"
+    return name
 
 
-def byte_slices(texts: list[str], most: int = 4_000_000):
-    """Consecutive (first, last) ranges of about ``most`` characters, at least one text each."""
+def byte_slices(texts: list[str], most: int = 4_000_000, rows: int = 1 << 30):
+    """Consecutive (first, last) ranges of about ``most`` characters and at most ``rows`` texts, at least one text each."""
     first = total = 0
     for i, t in enumerate(texts):
-        if total and total + len(t) > most:
+        if i > first and (total + len(t) > most or i - first >= rows):
             yield first, i
             first, total = i, 0
         total += len(t)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from citylake.llm.common import staged
+from citylake.llm.common import dropped, staged
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -30,11 +30,13 @@ def components(edges: DataFrame) -> DataFrame:
         least = two.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         large = two.join(least, "a").where(F.col("b") > F.col("a")).select(F.col("m").alias("a"), "b").where(F.col("a") != F.col("b")).distinct()
         # small star: a node and its smaller neighbours link to the least of these
-        down = staged(large, "large").select(F.col("b").alias("n"), F.col("a").alias("s"))
+        stars = staged(large, "large")
+        down = stars.select(F.col("b").alias("n"), F.col("a").alias("s"))
         least = down.groupBy("n").agg(F.min("s").alias("m"))
         small = down.join(least, "n")
-        now = staged(small.select(F.col("m").alias("a"), F.col("s").alias("b")).union(small.select(F.col("m").alias("a"), F.col("n").alias("b")))
+        old, now = now, staged(small.select(F.col("m").alias("a"), F.col("s").alias("b")).union(small.select(F.col("m").alias("a"), F.col("n").alias("b")))
                      .where(F.col("a") != F.col("b")).distinct(), "edges")
+        dropped(old, stars)
         this = summary(now)
         if this == last:
             break

@@ -69,14 +69,12 @@ def _unit(x: np.ndarray) -> np.ndarray:
 
 
 _BASE = 0xD6E8FEB86659FD93
-_POWERS = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+_INVERSE = pow(_BASE, -1, 1 << 64)
 
 
 def _powers(n: int):
-    if len(_POWERS[0]) < n:
-        for k, base in enumerate((_BASE, pow(_BASE, -1, 1 << 64))):
-            _POWERS[k] = np.concatenate([[_U(1)], np.cumprod(np.full(n, base, np.uint64), dtype=np.uint64)])
-    return _POWERS
+    """The first n + 1 powers of the base and of its inverse; made for each call, so that a long text leaves nothing behind."""
+    return [np.concatenate([[_U(1)], np.cumprod(np.full(n, base, np.uint64), dtype=np.uint64)]) for base in (_BASE, _INVERSE)]
 
 
 def split_words(texts: list[bytes]):

@@ -8,13 +8,17 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from citylake.llm import dartminhash as D
-from citylake.llm.common import byte_slices, staged
+from citylake.llm.common import byte_slices, dropped, staged, unused
 from citylake.llm.components import components
 
 BANDS = 32
 ROWS = 5
-#: Leaders of a bucket multiply by this each round.
-LEADERS = 4
+#: Members of one leader that a task verifies, about.
+PER_TASK = 512
+#: Tasks to which the copies of a text are dealt.
+COPY_PARTS = 8
+#: What rounding may lose in comparisons of sizes with the threshold.
+SLACK = 1e-6
 
 
 def _new_texts(batches, remember: int = 100_000):
@@ -30,7 +34,7 @@ def _new_texts(batches, remember: int = 100_000):
                 seen.add(name)
                 fresh.append(i)
         texts = batch.column("text").take(pa.array(fresh, pa.int64())).to_pylist()
-        for first, last in byte_slices(texts, 2_000_000):
+        for first, last in byte_slices(texts, 1_000_000, 256):
             yield pa.array([names[i] for i in fresh[first:last]], pa.binary()), [t.encode("utf-8", "surrogatepass") for t in texts[first:last]]
 
 
@@ -46,116 +50,158 @@ def _sketch(width: int, bands: int, rows: int, weighting: str):
     return run
 
 
-def _sets(width: int):
+def _sets(width: int, weighting: str):
     def run(batches):
         for digests, part in _new_texts(batches):
             text, shingle, count = D.shingles(*D.word_hashes(D.apart(part)), width)
+            if weighting == "count":  # the k-th occurrence of a shingle is an element
+                number = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+                text, shingle = np.repeat(text, count), np.repeat(shingle, count)
+                shingle = np.where(number > 0, D.mix(shingle ^ D.mix(number.astype(np.uint64))), shingle)
             offsets = pa.array(np.searchsorted(text, np.arange(len(part) + 1)).astype(np.int32))
-            yield pa.RecordBatch.from_arrays([digests, pa.ListArray.from_arrays(offsets, pa.array(shingle.view(np.int64))),
-                                              pa.ListArray.from_arrays(offsets, pa.array(count.astype(np.int32)))], ["digest", "shingles", "counts"])
+            yield pa.RecordBatch.from_arrays([digests, pa.ListArray.from_arrays(offsets, pa.array(shingle.view(np.int64)))], ["digest", "shingles"])
     return run
 
 
-def _similarity(weighting: str, threshold: float):
+def _similarity(threshold: float):
+    """For each pair whether it is linked, the size of the sets' symmetric difference (``apart``) and the sets' sizes."""
+    share = _gap_share(threshold)
+
+    def run(batches):
+        for batch in batches:
+            sa, sb = batch.column("sa"), batch.column("sb")
+            apart, size_a, size_b = (np.zeros(batch.num_rows, np.int64) for _ in range(3))
+            for i in range(batch.num_rows):
+                x, y = sa[i].values.to_numpy(), sb[i].values.to_numpy()
+                size_a[i], size_b[i] = len(x), len(y)
+                apart[i] = len(x) + len(y) - 2 * len(np.intersect1d(x, y, assume_unique=True))
+            linked = apart <= share * (size_a + size_b) + SLACK
+            yield pa.RecordBatch.from_arrays([batch.column("leader"), batch.column("member"), pa.array(linked), pa.array(apart), pa.array(size_a), pa.array(size_b)],
+                                             ["leader", "member", "linked", "apart", "leader_size", "size"])
+    return run
+
+
+def _gap_share(threshold: float) -> float:
+    """Sets are at least ``threshold`` alike just if their symmetric difference is at most this share of their sizes' sum."""
+    return (1 - threshold) / (1 + threshold)
+
+
+def _prefixes(threshold: float):
+    """The elements of each member's difference from its leader by which a link to a member of another class must be found."""
+    share = _gap_share(threshold)
+
     def run(batches):
         for batch in batches:
-            a, b = batch.column("leader"), batch.column("member")
-            sa, ca, sb, cb = (batch.column(n) for n in ("sa", "ca", "sb", "cb"))
-            keep = np.zeros(batch.num_rows, bool)
+            sa, sb = batch.column("sa"), batch.column("sb")
+            least = batch.column("least_gap").to_numpy()
+            rows, elements, places, sizes, gaps, opens = [], [], [], [], [], []
             for i in range(batch.num_rows):
                 x, y = sa[i].values.to_numpy(), sb[i].values.to_numpy()
-                _, p, q = np.intersect1d(x, y, assume_unique=True, return_indices=True)
-                if weighting == "set":
-                    both, every = len(p), len(x) + len(y)
-                else:
-                    u, v = ca[i].values.to_numpy(), cb[i].values.to_numpy()
-                    both, every = int(np.minimum(u[p], v[q]).sum()), int(u.sum() + v.sum())
-                keep[i] = both >= threshold * (every - both) - 1e-9
-            keep = pa.array(keep)
-            yield pa.RecordBatch.from_arrays([a.filter(keep), b.filter(keep)], ["a", "b"])
+                gained, lost = np.sort(np.setdiff1d(y, x, assume_unique=True)), np.sort(np.setdiff1d(x, y, assume_unique=True))
+                n, own = len(gained) + len(lost), share * len(x)
+                gap = n - share * len(y)
+                open_ = gap > own + SLACK
+                # a partner's gap is at least this: that of any text near enough to an open one, or that of the least open one
+                other = (gap - own) / (1 + share) * (1 - share) - own if open_ else least[i]
+                first = np.concatenate([gained, lost])[:max(0, n - max(1, int(np.ceil((gap + other) / 2 - 1e-6))) + 1)]
+                rows.append(np.full(len(first), i))
+                elements.append(first)
+                places.append(np.arange(len(first)))
+                sizes.append(n)
+                gaps.append(gap)
+                opens.append(open_)
+            which = pa.array(np.concatenate(rows) if rows else np.zeros(0, np.int64))
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(n).take(which) for n in ("leader", "member", "root")), pa.array(np.concatenate(elements) if elements else np.zeros(0, np.int64)),
+                 pa.array(np.concatenate(places).astype(np.int32) if places else np.zeros(0, np.int32)),
+                 *(pa.array(v).take(which) for v in (np.array(sizes, np.int32), np.array(gaps, np.float64), np.array(opens, bool)))],
+                ["leader", "member", "root", "element", "place", "apart", "gap", "open"])
     return run
 
 
+def _with_sets(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """``pairs`` (leader, member, ...) with the elements of both (sa, sb). A leader of many members is dealt to several tasks."""
+    counts = pairs.groupBy("leader").agg(F.ceil(F.count("*") / PER_TASK).cast("int").alias("_parts"))
+    leaders = (counts.join(sets.select(F.col("digest").alias("leader"), F.col("shingles").alias("sa")), "leader")
+               .select("leader", "_parts", "sa", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)).alias("_part")))
+    members = pairs.join(counts, "leader").withColumn("_part", F.pmod(F.xxhash64("member"), F.col("_parts")).cast("int")).drop("_parts")
+    return (members.join(sets.select(F.col("digest").alias("member"), F.col("shingles").alias("sb")), "member")
+            .join(leaders.drop("_parts"), ["leader", "_part"]).drop("_part"))
+
+
 def near_links(docs: DataFrame, width: int = 5, threshold: float = 0.8, bands: int = BANDS, rows: int = ROWS, weighting: str = "set",
                text_col: str = "text") -> DataFrame:
     """(node, root): the classes of distinct texts, by md5, that have a verified link to another text.
 
-    ``weighting`` "set" compares the distinct shingles, "count" weights each by its occurrences. Texts of one band
-    key form a bucket; buckets of the same texts count once. Instead of all pairs of a bucket, its members are
-    verified against a leader, and components are taken. Buckets that then still hold several classes go round again
-    with more leaders, but only for pairs of different classes whose shingles that other open texts have could
-    reach the threshold. A bucket ends when those of its members that could be linked and haven't led are of one class, which is
-    exact: no pair that shared a bucket is left out unless it is connected already or cannot reach the threshold.
+    ``weighting`` "set" compares the distinct shingles, "count" weights each by its occurrences: then its k-th occurrence is an element of its
+    own. Texts of one band key form a bucket; buckets of the same texts count once. Each bucket is led by its text that meets the most
+    others, and every text is verified against its leaders, instead of all pairs of a bucket. The texts under one leader may hold
+    further links, which an exact prefix join finds: let D be the symmetric difference of a text's set and its leader's. Two
+    texts are alike enough just if their D sets share at least half of by how far they miss the threshold together, which is above 0 unless
+    both are linked to the leader. So they share one of the first elements of their D sets, in an order that puts what a text
+    has beyond its leader first, as that is rarest. Only elements under one leader that occur in several classes are joined, texts of one class
+    never meet, and place and size bounds thin out what is verified. No pair that shared a bucket is left out.
     """
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     digest = F.unhex(F.md5(text.cast("binary")))
     given = docs.where(F.col(f"`{text_col}`").isNotNull()).select(digest.alias("digest"), text.alias("text"))
     sketched = given.mapInArrow(_sketch(width, bands, rows, weighting), "digest binary, keys array<long>")
-    keys = staged(sketched.dropDuplicates(["digest"]), "bands").select("digest", F.explode("keys").alias("key"))
+    signed = staged(sketched.dropDuplicates(["digest"]), "bands")
+    keys = signed.select("digest", F.explode("keys").alias("key"))
     # bands in which the same texts meet, told by two hashes over them, need one bucket
     shared = (keys.groupBy("key").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("digest")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "digest")).alias("y"))
-              .where("n > 1").groupBy("n", "x", "y").agg(F.min("key").alias("key")).select("key"))
-    open_ = staged(keys.join(shared, "key").select("key", "digest", F.lit(False).alias("led"), F.col("digest").alias("root")), "buckets")
-    wanted = open_.select("digest").distinct()
-    sets = staged(given.join(wanted, "digest", "left_semi").mapInArrow(_sets(width), "digest binary, shingles array<long>, counts array<int>")
-                  .dropDuplicates(["digest"]), "sets")
-    one = sets.select(F.col("digest").alias("leader"), F.col("shingles").alias("sa"), F.col("counts").alias("ca"))
-    two = sets.select(F.col("digest").alias("member"), F.col("shingles").alias("sb"), F.col("counts").alias("cb"))
-    roots, n = None, 1
-    bound = None  # digest, size, most: what any text that is still open can share with another open one
-    while True:
-        # members of a bucket's rarest classes lead first: once only one class is left waiting, all pairs across classes
-        # have been compared. Tasks keep n rows per key before the exchange.
-        waiting = open_.where(~F.col("led"))
-        ranked = waiting.withColumn("_n", F.lit(1)) if bound is None else waiting.join(waiting.groupBy("key", "root").agg(F.count("*").alias("_n")), ["key", "root"])
-        order = Window.partitionBy("key").orderBy("_n", "digest")
-        lead = staged(ranked.withColumn("_k", F.row_number().over(order)).where(F.col("_k") <= n).drop("_k", "_n", "led"), "leaders")
-        named = lead.withColumnsRenamed({"digest": "leader", "root": "leader_root", "size": "leader_size", "most": "leader_most"})
-        different = (F.col("digest") != F.col("leader")) & (F.col("root") != F.col("leader_root"))
-        if bound is not None:
-            both = F.least("most", "leader_most")
-            different &= both >= threshold * (F.col("size") + F.col("leader_size") - both) - 1e-9
-        pairs = waiting.join(named, (waiting["key"] == named["key"]) & different).select(
-            F.least("leader", "digest").alias("leader"), F.greatest("leader", "digest").alias("member")).distinct()
-        found = staged(pairs.join(two, "member").join(one, "leader").select("leader", "member", "sa", "ca", "sb", "cb")
-                       .mapInArrow(_similarity(weighting, threshold), "a binary, b binary"), "links")
-        if roots is None or not found.isEmpty():
-            roots = components(found if roots is None else found.union(roots.select(F.col("root").alias("a"), F.col("node").alias("b"))))
-        led = lead.select("key", "digest", F.lit(True).alias("now"))
-        state = (open_.drop("root").join(led, ["key", "digest"], "left").withColumn("led", F.col("led") | F.coalesce("now", F.lit(False))).drop("now")
-                 .join(roots.withColumnRenamed("node", "digest"), "digest", "left").withColumn("root", F.coalesce("root", "digest")))
-        if bound is None:
-            state = staged(_unresolved(state), "state")
-            bound = _most_shared(sets, state.select("digest").distinct(), weighting)
-            state = state.join(bound, "digest")
-        state = staged(state, "state")
-        # a member that can't reach the threshold with any member's size is done
-        least = state.groupBy("key").agg(F.min("size").alias("least"))
-        most, least_size = F.col("most"), F.greatest("least", "most")
-        able = state.join(least, "key").where(most >= threshold * (F.col("size") + least_size - most) - 1e-9).drop("least")
-        open_ = staged(_unresolved(able), "open")
-        if open_.isEmpty():
-            return roots
-        n *= LEADERS
-
-
-def _unresolved(state: DataFrame) -> DataFrame:
-    """The rows of buckets in which members of several classes haven't led."""
-    still = (state.where(~F.col("led")).groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
-             .where("lo != hi").select("key"))
-    return state.join(still, "key", "left_semi")
-
-
-def _most_shared(sets: DataFrame, wanted: DataFrame, weighting: str) -> DataFrame:
-    """(digest, size, most) of the wanted texts: ``most`` is the weight of their shingles but for those that
-    no other wanted text has, so no pair of them can share more."""
-    weight = F.lit(1).cast("long") if weighting == "set" else F.col("x.counts").cast("long")
-    each = staged(sets.join(wanted, "digest", "left_semi").select("digest", F.explode(F.arrays_zip("shingles", "counts")).alias("x"))
-                  .select("digest", F.col("x.shingles").alias("s"), weight.alias("w")), "open-shingles")
-    own = each.groupBy("s").agg(F.count("*").alias("n"), F.min("digest").alias("digest"), F.min("w").alias("w")).where("n = 1")
-    own = own.groupBy("digest").agg(F.sum("w").alias("own"))
-    return (each.groupBy("digest").agg(F.sum("w").alias("size")).join(own, "digest", "left")
-            .select("digest", "size", (F.col("size") - F.coalesce("own", F.lit(0).cast("long"))).alias("most")))
+              .where("n > 1").groupBy("n", "x", "y").agg(F.min("key").alias("key")).select("key", "n"))
+    buckets = staged(keys.join(shared, "key"), "buckets")
+    dropped(signed)
+    # copies of one text come from many tasks; they meet its digest in COPY_PARTS tasks, which reduce them
+    wanted = buckets.select("digest").distinct().withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(COPY_PARTS - 1))))
+    sets = staged(given.withColumn("_part", F.spark_partition_id() % COPY_PARTS).join(wanted, ["digest", "_part"], "left_semi").select("digest", "text")
+                  .mapInArrow(_sets(width, weighting), "digest binary, shingles array<long>").dropDuplicates(["digest"]), "sets")
+    meets = buckets.groupBy("digest").agg(F.sum("n").alias("meets"))
+    leaders = buckets.join(meets, "digest").groupBy("key").agg(F.max(F.struct("meets", "digest")).alias("m")).select("key", F.col("m.digest").alias("leader"))
+    pairs = staged(buckets.select("key", F.col("digest").alias("member")).join(leaders, "key").where("leader != member").select("leader", "member").distinct(), "pairs")
+    verified = staged(_with_sets(pairs, sets).select("leader", "member", "sa", "sb").mapInArrow(
+        _similarity(threshold), "leader binary, member binary, linked boolean, apart long, leader_size long, size long"), "verified")
+    dropped(buckets, pairs)
+    links = verified.where("linked").select(F.col("leader").alias("a"), F.col("member").alias("b"))
+    roots = components(links)
+
+    # texts under a leader that may have links across classes: open ones, which the leader isn't linked with, beside others
+    share = _gap_share(threshold)
+    gap = F.col("apart") - share * F.col("size")
+    placed = (verified.join(roots.withColumnRenamed("node", "member"), "member", "left")
+              .select("leader", "member", F.coalesce("root", "member").alias("root"), "apart", "size", gap.alias("gap"), (~F.col("linked")).alias("open")))
+    # an open text needs a partner of another class whose difference can hold what they must share
+    reach = F.col("apart") + share * F.col("size")
+    some = (placed.groupBy("leader", "root").agg(F.max(reach).alias("reach"), F.min(F.when(F.col("open"), F.col("gap"))).alias("gap"))
+            .groupBy("leader").agg(F.min("gap").alias("least_gap"), F.max(F.struct("reach", "root")).alias("far"), F.count("*").alias("n"))
+            .where("n > 1 AND least_gap IS NOT NULL"))
+    able = (placed.join(some.select("leader", "least_gap", "far"), "leader")
+            .where(F.when(F.col("open"), (F.col("root") == F.col("far.root")) | (F.col("gap") <= F.col("far.reach") + SLACK))
+                   .otherwise(F.col("apart") + share * F.col("size") + SLACK >= F.col("least_gap")))
+            .select("leader", "member", "root", "least_gap"))
+    able = staged(able, "able")
+    first = staged(_with_sets(able, sets).select("leader", "member", "root", "least_gap", "sa", "sb").mapInArrow(
+        _prefixes(threshold), "leader binary, member binary, root binary, element long, place int, apart int, gap double, open boolean"), "prefixes")
+    crossing = (first.groupBy("leader", "element").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.max("open").alias("any"))
+                .where("lo != hi AND any").select("leader", "element"))
+    each = staged(first.join(crossing, ["leader", "element"], "left_semi"), "crossing")
+    left = each.where("open").select("leader", "element", *(F.col(c).alias(f"{c}_") for c in ("member", "root", "place", "apart", "gap")))
+    must = F.ceil((F.col("gap") + F.col("gap_")) / 2 - 1e-6)
+    candidates = (left.join(each, ["leader", "element"])
+                  .where((F.col("root") != F.col("root_")) & (~F.col("open") | (F.col("member_") < F.col("member")))
+                         & (F.least(F.col("apart") - F.col("place"), F.col("apart_") - F.col("place_")) >= must))
+                  .select(F.col("member_").alias("leader"), "member").distinct())
+    candidates = staged(candidates, "candidates")
+    more = staged(_with_sets(candidates, sets).select("leader", "member", "sa", "sb").mapInArrow(
+        _similarity(threshold), "leader binary, member binary, linked boolean, apart long, leader_size long, size long")
+        .where("linked").select(F.col("leader").alias("a"), F.col("member").alias("b")), "links")
+    if not more.isEmpty():
+        old = roots
+        roots = components(more.union(old.select(F.col("root").alias("a"), F.col("node").alias("b"))))
+        dropped(old)
+    dropped(sets, verified, able, first, each, candidates, more)
+    return roots
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, threshold: float = 0.8, bands: int = BANDS, rows: int = ROWS, weighting: str = "set",
@@ -189,9 +235,12 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """The rows of ``docs``, all columns, without near duplicates: one row of each class, with the least id,
     and every row with a null text. Rows repeated under one id and text are reduced to one."""
     classes = near_duplicates(docs, id_col=id_col, text_col=text_col, **options)
-    stay = classes.where("kept AND digest IS NOT NULL").select(F.col(f"`{id_col}`").alias("_kept_id"), F.col("digest").alias("_kept_digest"))
-    text, key = F.col(f"`{text_col}`"), F.col(f"`{id_col}`")
-    have = docs.where(text.isNotNull()).withColumn("_text_digest", F.unhex(F.md5(text.cast("binary"))))
-    kept = (have.join(stay, key.eqNullSafe(F.col("_kept_id")) & (F.col("_text_digest") == F.col("_kept_digest")), "left_semi")
-            .dropDuplicates([id_col, "_text_digest"]).drop("_text_digest"))
-    return kept.unionAll(docs.where(text.isNull()))
+    name = unused(docs, "near_key")
+
+    def key(id_, digest):  # one binary column, so that one exchange serves the join and what follows
+        return F.unhex(F.md5(F.concat(F.coalesce(id_.cast("string"), F.lit("-")).cast("binary"), F.lit(b":"), digest)))
+
+    stay = classes.where("kept AND digest IS NOT NULL").select(key(F.col(f"`{id_col}`"), F.col("digest")).alias(name))
+    text = F.col(f"`{text_col}`")
+    have = docs.where(text.isNotNull()).withColumn(name, key(F.col(f"`{id_col}`"), F.unhex(F.md5(text.cast("binary")))))
+    return have.join(stay, name, "left_semi").dropDuplicates([name]).drop(name).unionAll(docs.where(text.isNull()))

@@ -144,3 +144,64 @@ def test_edges_of_the_input(spark):
     assert sum(r.kept for r in rows) == 2 and len(rows) == 5
     near = near_duplicates(docs(spark, ["q " * 5 + "a b c"] * 3), weighting="count").collect()
     assert {r.class_id for r in near} == {0}
+
+
+def classes_by_all_pairs(texts, width=5, threshold=0.8):
+    """Classes of distinct texts by all pairs, by a matrix over the shingles that two texts or more have."""
+    sets = [{tuple(t.split()[k:k + width]) for k in range(len(t.split()) - width + 1)} for t in texts]
+    held = {}
+    for i, s in enumerate(sets):
+        for x in s:
+            held.setdefault(x, []).append(i)
+    common = [v for v in held.values() if len(v) > 1]
+    m = np.zeros((len(texts), len(common)), np.float32)
+    for k, v in enumerate(common):
+        m[v, k] = 1
+    both, size = m @ m.T, np.array([len(s) for s in sets])
+    linked = both >= threshold * (size[:, None] + size[None] - both) - 1e-6
+    np.fill_diagonal(linked, True)
+    root = np.arange(len(texts))
+    while True:
+        new = np.array([root[linked[i]].min() for i in range(len(texts))])
+        new = new[new]
+        if (new == root).all():
+            return root
+        root = new
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_a_large_group_around_the_threshold_loses_no_link(spark, seed):
+    rng = random.Random(seed)
+    vocabulary = [f"w{i}" for i in range(4000)]
+    base = [rng.choice(vocabulary) for _ in range(150)]
+    variant = [w if k % 50 else "variant" for k, w in enumerate(base)]  # a second form, just apart from the first
+    texts = []
+    for i in range(1500):
+        copy = list(rng.choice([base, base, variant]))
+        for _ in range(rng.choice([1, 2, 2, 3, 4, 5, 6])):
+            copy[rng.randrange(150)] = rng.choice(vocabulary)
+        texts.append(" ".join(copy))
+    texts = sorted(set(texts))
+    want = classes_by_all_pairs(texts)
+    assert len(set(want.tolist())) > 50
+    rows = near_duplicates(docs(spark, texts)).collect()
+    assert {r.doc_id: r.class_id for r in rows} == dict(enumerate(want.tolist()))
+
+
+def test_clashing_names_and_many_short_texts(spark):
+    from citylake.llm.near_dedup import deduplicate
+    from pyspark.sql import functions as F
+    df = docs(spark, [f"a b c d e f g {i % 9}" for i in range(3000)] + [None])
+    for name in ("near_key", "NEAR_KEY_", "_kept_id", "_kept_digest", "_text_digest", "leader", "member", "root", "place"):
+        df = df.withColumn(name, F.lit("clash"))
+    kept = deduplicate(df)
+    assert kept.columns == df.columns and kept.count() == 10
+
+
+def test_a_very_long_text(spark):
+    rng = random.Random(6)
+    words = [f"w{rng.randrange(50_000)}" for _ in range(300_000)]
+    other = list(words)
+    other[1000] = other[200_000] = "changed"
+    rows = near_duplicates(docs(spark, [" ".join(words), " ".join(other), "short one " * 9])).collect()
+    assert {r.doc_id: r.class_id for r in rows} == {0: 0, 1: 0, 2: 2}
