@@ -64,6 +64,21 @@ def byte_slices(texts: list[str], most: int = 4_000_000, rows: int = 1 << 30):
         yield first, len(texts)
 
 
+def column_slices(column, most: int, rows: int = 1 << 30):
+    """(first, last, texts) of consecutive slices of an Arrow text column, of about ``most`` bytes and at most ``rows`` texts each, at
+    least one; only one slice at a time is held as Python strings. A null is an empty text."""
+    import pyarrow.compute as pc
+
+    first = total = 0
+    for i, n in enumerate(pc.fill_null(pc.binary_length(column), 0).to_pylist()):
+        if i > first and (total + n > most or i - first >= rows):
+            yield first, i, [t or "" for t in column.slice(first, i - first).to_pylist()]
+            first, total = i, 0
+        total += n
+    if first < len(column):
+        yield first, len(column), [t or "" for t in column.slice(first).to_pylist()]
+
+
 def numbered(df: DataFrame, group: str, order: list[str], number: str, weight: str | None = None) -> DataFrame:
     """Gapless numbers from 0 in each ``group``, in the order of ``order``; with ``weight``, the sum
     of the weights before the row instead.

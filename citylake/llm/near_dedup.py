@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from citylake.llm import dartminhash as D
-from citylake.llm.common import byte_slices, dropped, staged, unused
+from citylake.llm.common import column_slices, dropped, staged, unused
 from citylake.llm.components import components
 
 BANDS = 32
@@ -33,9 +33,10 @@ def _new_texts(batches, remember: int = 100_000):
             if name not in seen:
                 seen.add(name)
                 fresh.append(i)
-        texts = batch.column("text").take(pa.array(fresh, pa.int64())).to_pylist()
-        for first, last in byte_slices(texts, 1_000_000, 256):
-            yield pa.array([names[i] for i in fresh[first:last]], pa.binary()), [t.encode("utf-8", "surrogatepass") for t in texts[first:last]]
+        fresh = pa.array(fresh, pa.int64())
+        names = batch.column("digest").take(fresh)
+        for first, last, texts in column_slices(batch.column("text").take(fresh), 500_000, 128):
+            yield names.slice(first, last - first), [t.encode("utf-8", "surrogatepass") for t in texts]
 
 
 def _sketch(width: int, bands: int, rows: int, weighting: str):

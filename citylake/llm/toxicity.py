@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from citylake.llm import toxic_net
-from citylake.llm.common import byte_slices
+from citylake.llm.common import column_slices
 
 #: Rows used for fitting, at most, of either label: those of the least xxhash64(id).
 FIT_ONES, FIT_ZEROS = 600, 1200
@@ -41,9 +41,8 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, ones: int = FIT_ONES, zeros
 def _scorer(net: toxic_net.Net, column: int):
     def run(batch):
         out = np.zeros(batch.num_rows)
-        texts = [(t or "").encode("utf-8", "surrogatepass") for t in batch.column(column).to_pylist()]
-        for first, last in byte_slices(texts, 1_000_000):
-            out[first:last] = net.probability(texts[first:last])
+        for first, last, texts in column_slices(batch.column(column), 300_000):
+            out[first:last] = net.probability([t.encode("utf-8", "surrogatepass") for t in texts])
         return out
     return run
 
