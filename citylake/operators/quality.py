@@ -45,3 +45,8 @@ def observe_counts(df: DataFrame, name: str, **conditions) -> tuple[DataFrame, O
     metrics = [F.count(F.lit(1)).alias("rows")]
     metrics += [F.count_if(cond).alias(k) for k, cond in conditions.items()]
     return df.observe(obs, *metrics), obs
+
+
+def reject_counts(rejected: DataFrame, reason: str = "reject_reason") -> DataFrame:
+    """(reason, rejected): number of rejected rows by reason, counted in each task before the shuffle."""
+    return rejected.groupBy(F.col(reason).alias("reason")).agg(F.count(F.lit(1)).alias("rejected"))

@@ -11,6 +11,7 @@ from pyspark.ml.feature import IndexToString, StringIndexer, VectorAssembler, Ve
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from citylake.operators.encode import confusion, evaluation
 from citylake.session import materialize
 
 # Fixed values from the reference model: 10 trees, 70/30 split, categorical features up to 3 values.
@@ -70,10 +71,8 @@ def preview(model: PipelineModel, df: DataFrame, n: int = 5) -> DataFrame:
 
 
 def evaluate(predictions: DataFrame) -> DataFrame:
-    """One row: accuracy and test error (1 - accuracy), computed as one distributed aggregation."""
-    hit = (F.col("prediction") == F.col("indexedLabel")).cast("double")
-    return predictions.agg(F.avg(hit).alias("accuracy"), F.count(F.lit(1)).alias("n_test")) \
-                      .select("accuracy", (F.lit(1.0) - F.col("accuracy")).alias("test_error"), "n_test")
+    """One row: accuracy and test error (1 - accuracy), from the confusion table."""
+    return evaluation(confusion(predictions, "indexedLabel", "prediction"))
 
 
 def accuracy(predictions: DataFrame) -> float:

@@ -753,3 +753,6 @@ def q_quality_report(spark, d):
     rows = unnest_envelope(standins.listing_envelopes(spark, d), snapshot_from_filename=True)
     rows = reconcile(rows, standins.places(spark, d), "neighborhood", take=[], how="left", match_pos="_mp")
     return quality_report(rows, ["propertyCode", "timestamp"], matched="_mp", null_check=["neighborhood", "parkingSpace"])
+
+
+from citylake.plans import lake_queries  # noqa: E402,F401  (registers its queries)

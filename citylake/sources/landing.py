@@ -54,3 +54,27 @@ def read_lookup(docs: DataFrame, *, marker: str = LISTING_LOOKUP_FILE, filename:
     marked = _last_doc(docs, is_marked, list(order))
     other = _last_doc(docs, ~is_marked | F.col(filename).isNull(), list(order))
     return explode_lookup(marked, data), explode_lookup(other, data)
+
+
+CORRUPT = "_corrupt_record"
+
+
+def read_landing_checked(spark: SparkSession, path: str, schema: T.StructType, *, required: Sequence[str] = ("_id", "data"),
+                         multi_line: bool = False) -> DataFrame:
+    """Every JSON envelope under ``path``, readable or not, with ``reject_reason``: NULL for an accepted one, ``malformed`` for text
+    that isn't JSON or doesn't fit ``schema``, ``missing <field>`` for the first required field that is absent or NULL.
+    ``raw`` holds a malformed envelope's text. Fields that ``schema`` lacks are ignored; absent optional ones are NULL. Empty lines are no
+    records. One scan, and no inference."""
+    fields = T.StructType([f for f in schema.fields if f.name != CORRUPT] + [T.StructField(CORRUPT, T.StringType())])
+    rows = (spark.read.schema(fields).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
+            .option("multiLine", multi_line).json(path))
+    reason = F.when(F.col(CORRUPT).isNotNull(), F.lit("malformed"))
+    for name in required:
+        reason = reason.when(F.col(f"`{name}`").isNull(), F.lit(f"missing {name}"))
+    return rows.select(*[F.col(f"`{f.name}`") for f in schema.fields if f.name != CORRUPT], F.col(CORRUPT).alias("raw"), reason.alias("reject_reason"))
+
+
+def split_landing(checked: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(accepted envelopes, rejected ones with ``raw`` and ``reject_reason``) of ``read_landing_checked``."""
+    accepted = checked.where(F.col("reject_reason").isNull()).drop("raw", "reject_reason")
+    return accepted, checked.where(F.col("reject_reason").isNotNull())
