@@ -14,7 +14,7 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from citylake.llm.common import staged
+from citylake.llm.common import staged, unused
 
 #: What separates words: ASCII but digits and lower-case letters.
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -142,10 +142,12 @@ def contamination_report(docs: DataFrame, benchmark: DataFrame, window: int = 10
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs``, all columns, whose text holds no benchmark window."""
-    found = contamination(docs, benchmark, **options).select(F.col("digest").alias("_contaminated_digest"))
+    """The rows of ``docs``, all columns (any names), whose text holds no benchmark window. A row with a null text stays; repeated rows stay or go
+    together."""
+    name = unused(docs, "_contaminated_digest")
+    found = contamination(docs, benchmark, **options).select(F.col("digest").alias(name))
     text = F.col(f"`{options.get('text_col', 'text')}`")
-    return docs.join(found, digest_of(text) == F.col("_contaminated_digest"), "left_anti")
+    return docs.join(found, digest_of(text) == F.col(name), "left_anti")
 
 
 ORACLE = """

@@ -8,6 +8,7 @@ labelling of least total cost.
 
 from __future__ import annotations
 
+import math
 import re
 from collections import defaultdict, deque
 from html import unescape
@@ -46,6 +47,10 @@ IN_HEAD = frozenset("base basefont bgsound head html link meta noframes noscript
 #: A start tag ends at its first ">" outside an attribute value; a quote elsewhere is part of a name.
 TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>?|</([a-zA-Z][^\s/>]*)[^>]*>?|<([a-zA-Z][^\s/>]*+)((?:
     [\s/]++|[^\s/>][^\s/>=]*+(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s"'>][^\s>]*+)?+)?+)*+)>""", re.S | re.X)
+#: Where no ">" follows, no start tag can end; what a comment, a declaration or an end tag opens runs to the end of the page.
+TAIL = re.compile(r"<[!?]|</[a-zA-Z]")
+#: A slash that belongs to an attribute's unquoted value.
+SLASH_IN_VALUE = re.compile(r"""=\s*[^\s"'>][^\s>]*/\Z""")
 ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.S)
 
 
@@ -145,13 +150,21 @@ def blocks(html: str) -> list[Block]:
         drop_to(k)
 
     at, end = 0, len(html)
+    closed = html.rfind(">") + 1
     while at < end:
-        m = TOKEN.search(html, at)
+        m = TOKEN.search(html, at, closed) if at < closed else None
+        if not m and at < closed:
+            text_between(at, closed)
+            at = closed
+            continue
         if not m:
-            text_between(at, end)
+            m = TAIL.search(html, at)
+            text_between(at, m.start() if m else end)
             break
         text_between(at, m.start())
         at = m.end()
+        if at == closed and m[0].startswith("<!--") and not m[0].endswith("-->"):
+            break  # a comment that never ends
         if m[1]:
             tag = m[1].lower()
             if tag in ("body", "html", "br"):
@@ -169,8 +182,11 @@ def blocks(html: str) -> list[Block]:
             if tag not in IN_HEAD:
                 end_head()
             if tag in RAW:  # its text runs to its own end tag
-                stop = re.compile(rf"</{tag}\s*>?", re.I).search(html, at) if not attributes.rstrip().endswith("/") else None
-                at = (stop.end() if stop else end) if not attributes.rstrip().endswith("/") else at
+                attributes = attributes.rstrip()
+                if tag in ("svg", "math") and attributes.endswith("/") and not SLASH_IN_VALUE.search(attributes):
+                    continue  # only foreign elements can close themselves
+                stop = re.compile(rf"</{tag}\s*>?", re.I).search(html, at)
+                at = stop.end() if stop else end
                 continue
             if tag in BLOCK:
                 close()
@@ -222,46 +238,64 @@ def smoothness(blocks_: list[Block]) -> list[tuple[int, int, float]]:
 
 
 def minimum_cut(content: list[float], boilerplate: list[float], arcs: list[tuple[int, int, float]]) -> list[bool]:
-    """True for content. The source arc of a node is its cost as boilerplate, the sink arc its cost as content;
-    shortest augmenting paths until none is left; content is what the source still reaches."""
+    """True for content. The source arc of a node is its cost as boilerplate, the sink arc its cost as content. The flow grows in
+    phases: distances from the source by one search, then all paths along them, so that many short paths, as a long page has,
+    cost one search together. Content is what the source still reaches."""
     n = len(content)
     source = [max(0.0, b - c) for b, c in zip(boilerplate, content, strict=True)]
     sink = [max(0.0, c - b) for b, c in zip(boilerplate, content, strict=True)]
-    near: list[dict[int, float]] = [{} for _ in range(n)]
+    ends: list[int] = []
+    room: list[float] = []
+    near: list[list[int]] = [[] for _ in range(n)]  # arcs of a node; arc k ^ 1 is the way back
     for a, b, w in arcs:
-        near[a][b] = near[a].get(b, 0.0) + w
-        near[b][a] = near[b].get(a, 0.0) + w
+        near[a].append(len(ends))
+        near[b].append(len(ends) + 1)
+        ends += (b, a)
+        room += (w, w)
     eps = 1e-9
     while True:
-        parent = [-2] * n
+        level = [-1] * n
         queue = deque(i for i in range(n) if source[i] > eps)
         for i in queue:
-            parent[i] = -1
-        goal = -1
-        while queue and goal < 0:
+            level[i] = 0
+        reached = False
+        while queue:
             i = queue.popleft()
-            for j, w in near[i].items():
-                if w > eps and parent[j] == -2:
-                    parent[j] = i
-                    if sink[j] > eps:
-                        goal = j
+            reached = reached or sink[i] > eps
+            for k in near[i]:
+                if room[k] > eps and level[ends[k]] < 0:
+                    level[ends[k]] = level[i] + 1
+                    queue.append(ends[k])
+        if not reached:
+            return [x >= 0 for x in level]
+        next_arc = [0] * n
+        for start in range(n):
+            path: list[int] = []
+            at = start
+            while source[start] > eps and level[start] == 0:
+                if sink[at] > eps:
+                    flow = min(source[start], sink[at], min((room[k] for k in path), default=math.inf))
+                    source[start] -= flow
+                    sink[at] -= flow
+                    for k in path:
+                        room[k] -= flow
+                        room[k ^ 1] += flow
+                    path, at = [], start
+                    continue
+                while next_arc[at] < len(near[at]):
+                    k = near[at][next_arc[at]]
+                    if room[k] > eps and level[ends[k]] == level[at] + 1:
                         break
-                    queue.append(j)
-        if goal < 0:
-            return [p != -2 for p in parent]
-        flow, j = sink[goal], goal
-        while parent[j] >= 0:
-            flow = min(flow, near[parent[j]][j])
-            j = parent[j]
-        flow = min(flow, source[j])
-        source[j] -= flow
-        sink[goal] -= flow
-        j = goal
-        while parent[j] >= 0:
-            i = parent[j]
-            near[i][j] -= flow
-            near[j][i] += flow
-            j = i
+                    next_arc[at] += 1
+                else:  # no way on from here in this phase
+                    if at == start:
+                        break
+                    level[at] = -1
+                    at = ends[path.pop() ^ 1]
+                    next_arc[at] += 1
+                    continue
+                path.append(k)
+                at = ends[k]
 
 
 def main_text(html: str) -> str:

@@ -1,12 +1,14 @@
 """Secret scans with corpus-wide ownership frequency.
 
 Candidate credentials are found in every whole text and hashed. Over the whole corpus each hash is
-aggregated by the distinct owners that hold it (repositories are counted but decide nothing): a value that several owners hold is a
-widely copied example, a value that few hold and that looks random is a live-looking credential.
+aggregated by the distinct owners and repositories that hold it: a value that several owners hold, or many repositories of more than
+one owner, is a widely copied example; a value of few, or of one owner however many repositories it has, that looks random is a
+live-looking credential.
 """
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import math
 import re
@@ -16,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from citylake.llm.common import staged
+from citylake.llm.common import staged, unused
 
 #: Kinds in the order of a tie at one place; the first three are always reported.
 KINDS = ("assign", "access", "hex", "private_key", "jwt", "url", "random")
@@ -24,13 +26,14 @@ BASE = 3
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]+")
-PRIVATE_KEY = re.compile(r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----[^-]+-----END")
-JWT = re.compile(r"eyJ[A-Za-z0-9_-]{17,}\.[A-Za-z0-9_-]{4,}\.[A-Za-z0-9_-]{4,}")
-URL = re.compile(r"://[^\s:/@]{1,64}:([^\s/@]{3,256})@")
+PRIVATE_KEY = re.compile(r"-----BEGIN [A-Z ]*PRIVATE KEY-----[^-]++-----END")
+#: Where a JWT may lie: runs of its characters and dots.
+JWT_RUN = re.compile(r"[A-Za-z0-9_.-]+")
+URL = re.compile(r"://[^\s:/@]++:([^\s/@]{3,}+)@")
 RANDOM = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
 PLACEHOLDER = re.compile(r"example|sample|dummy|changeme|placeholder|your|test|xxxx|0000|1234567|abcdef", re.I)
-#: A longer value may hold a placeholder word by chance; there they must make up most of it.
-SHORT = 64
+#: Placeholder words make a value one if they are at least this share of it; a long value may hold some by chance.
+PLACEHOLDER_SHARE = 8
 WORDS = ("password", "passwd", "secret", "token", "api_key", "apikey")
 #: A text without a match of this has no candidate.
 GATE = r"(?i:password|passwd|secret|token|api_?key)|AKIA|://|-----BEGIN|[A-Za-z0-9+/_=-]{20}"
@@ -45,7 +48,27 @@ def entropy(value: str) -> float:
 
 def placeholder(value: str) -> bool:
     held = sum(map(len, PLACEHOLDER.findall(value)))
-    return held > 0 and (len(value) <= SHORT or 2 * held > len(value))
+    return held > 0 and PLACEHOLDER_SHARE * held >= len(value)
+
+
+def jwts(text: str):
+    """(start, end) of JWTs: three segments joined by dots, the first from "eyJ" on of 20 characters or more, the others of 4 or more. Each run of
+    such characters is cut at its dots once."""
+    for m in JWT_RUN.finditer(text):
+        if "eyJ" not in m[0]:
+            continue
+        segments, starts, at = m[0].split("."), [], m.start()
+        for x in segments:
+            starts.append(at)
+            at += len(x) + 1
+        i = 0
+        while i + 2 < len(segments):
+            k = segments[i].find("eyJ")
+            if k >= 0 and len(segments[i]) - k >= 20 and len(segments[i + 1]) >= 4 and len(segments[i + 2]) >= 4:
+                yield starts[i] + k, starts[i + 2] + len(segments[i + 2])
+                i += 3
+            else:
+                i += 1
 
 
 def live_looking(value: str, kind: int = 0) -> bool:
@@ -68,26 +91,43 @@ def scan(text: str) -> list[tuple[int, int, int, str]]:
     long_run = b"a" * 20 in raw.translate(_RUN)
     if long_run and b"a" * 24 in raw.translate(_HEX_RUN):
         found += [(m.start(), 2, m.end(), m[0]) for m in HEX.finditer(text) if m.end() - m.start() >= 24]
-    taken = sorted((s, e) for s, _, e, _ in found)
-    more: list[tuple[int, int, int, str]] = []
+    more: list[list[tuple[int, int, int, str]]] = [[] for _ in KINDS]
     if "-----BEGIN" in text:
-        more += [(m.start(), 3, m.end(), m[0]) for m in PRIVATE_KEY.finditer(text)]
+        more[3] = [(m.start(), 3, m.end(), m[0]) for m in PRIVATE_KEY.finditer(text)]
     if "eyJ" in text:
-        more += [(m.start(), 4, m.end(), m[0]) for m in JWT.finditer(text)]
+        more[4] = [(s, 4, e, text[s:e]) for s, e in jwts(text)]
     if "://" in text:
-        more += [(m.start(1), 5, m.end(1), m[1]) for m in URL.finditer(text)]
+        more[5] = [(m.start(1), 5, m.end(1), m[1]) for m in URL.finditer(text)]
     if long_run:
         for m in RANDOM.finditer(text):
             v = m[0]
             if any(c.isdigit() for c in v) and any(c.isupper() for c in v) and any(c.islower() for c in v) and entropy(v) >= 3.5:
-                more.append((m.start(), 6, m.end(), v))
-    for c in sorted(more, key=lambda c: (c[1], c[0])):
-        if all(c[2] <= s or e <= c[0] for s, e in taken):
-            taken.append((c[0], c[2]))
-            found.append(c)
+                more[6].append((m.start(), 6, m.end(), v))
+    for kind in more[BASE:]:  # the candidates of one kind don't overlap each other
+        if kind:
+            starts, ends = _joined(found)
+            free = []
+            for c in kind:
+                i = bisect.bisect_right(starts, c[0])
+                if (i == 0 or ends[i - 1] <= c[0]) and (i == len(starts) or starts[i] >= c[2]):
+                    free.append(c)
+            found += free
     return sorted(found)
 
 
+def _joined(found) -> tuple[list[int], list[int]]:
+    """Starts and ends of the stretches that the candidates cover."""
+    starts: list[int] = []
+    ends: list[int] = []
+    for s, _, e, _ in sorted(found):
+        if ends and s <= ends[-1]:
+            ends[-1] = max(ends[-1], e)
+        else:
+            starts.append(s)
+            ends.append(e)
+    return starts, ends
+
+
 def named(spans) -> str:
     return ",".join(f"{KINDS[k]}:{s}:{e}" for s, k, e, *_ in spans)
 
@@ -118,58 +158,62 @@ def candidates(docs: DataFrame, key, owner_col: str, repository_cols: tuple[str,
         _scan, f"key {key_type}, owner string, repository string, n_assign long, n_access long, n_hex long, base_sha256 string, found {CANDIDATES}")
 
 
-def verdicts(found: DataFrame, min_owners: int) -> DataFrame:
-    """The candidates one per row (key, start, kind, end, n_owners, n_repositories, verdict). A hash that
-    ``min_owners`` owners or more hold is an "example"; of others, one that looks random is "live" and
-    the rest "weak". Holders are made distinct, map-side first, before they are counted."""
+def verdicts(found: DataFrame, min_owners: int, min_repositories: int) -> DataFrame:
+    """The candidates one per row (key, start, kind, end, n_owners, n_repositories, verdict). A hash that ``min_owners`` owners or
+    more hold, or ``min_repositories`` repositories or more of at least two owners, is an "example"; of others, one that looks
+    random is "live" and the rest "weak". Holders are made distinct, map-side first, before they are counted."""
     each = found.where(F.size("found") > 0).select("key", "owner", "repository", F.inline("found"))
     holders = each.select("hash", "owner", "repository").distinct()
     owners = (holders.groupBy("hash", "owner").agg(F.count("*").alias("r")).groupBy("hash")
               .agg(F.count("*").alias("n_owners"), F.sum("r").alias("n_repositories")))
-    verdict = F.when(F.col("n_owners") >= min_owners, "example").when(F.col("looks"), "live").otherwise("weak")
+    wide = (F.col("n_owners") >= min_owners) | ((F.col("n_owners") >= 2) & (F.col("n_repositories") >= min_repositories))
+    verdict = F.when(wide, "example").when(F.col("looks"), "live").otherwise("weak")
     return each.join(owners, "hash").select("key", "start", "kind", "end", "n_owners", "n_repositories", verdict.alias("verdict"))
 
 
 def secret_report(docs: DataFrame, id_col: str = "doc_id", owner_col: str = "source", repository_cols: tuple[str, ...] = ("source", "lang"),
-                  text_col: str = "text", min_owners: int = 3) -> DataFrame:
+                  text_col: str = "text", min_owners: int = 3, min_repositories: int = 5) -> DataFrame:
     """One row per input row: id, ``n_assign``, ``n_access``, ``n_hex``, ``base_sha256`` (of the base spans
     as kind:start:end), ``spans`` (the base spans and the live-looking others, in the same form),
-    ``n_live``, ``n_examples`` and ``most_owners`` over its candidates. Spans are in code points, end exclusive. A null
+    ``n_live``, ``n_examples``, ``most_owners`` and ``most_repositories`` over its candidates. Spans are in code points, end exclusive. A null
     or empty text has none; a null owner counts as one owner; repeated rows are one holder but each has its row;
     other columns are ignored."""
     rows = staged(candidates(docs, F.col(f"`{id_col}`"), owner_col, repository_cols, text_col).withColumnRenamed("key", "id")
                   .withColumn("key", F.monotonically_increasing_id()), "candidates")
-    judged = verdicts(rows, min_owners)
+    judged = verdicts(rows, min_owners, min_repositories)
     kinds = F.array(*(F.lit(k) for k in KINDS))
     shown = (F.col("kind") < BASE) | (F.col("verdict") == "live")
     spans = judged.groupBy("key").agg(
         F.sort_array(F.collect_list(F.when(shown, F.struct("start", "kind", "end")))).alias("s"),
-        F.count_if(F.col("verdict") == "live").alias("n_live"), F.count_if(F.col("verdict") == "example").alias("n_examples"), F.max("n_owners").alias("most_owners"))
+        F.count_if(F.col("verdict") == "live").alias("n_live"), F.count_if(F.col("verdict") == "example").alias("n_examples"), F.max("n_owners").alias("most_owners"),
+        F.max("n_repositories").alias("most_repositories"))
     spans = spans.withColumn("s", F.array_join(F.transform("s", lambda x: F.concat_ws(":", F.get(kinds, x["kind"]), x["start"].cast("string"), x["end"].cast("string"))), ","))
     zero = F.lit(0).cast("long")
     return rows.join(spans, "key", "left").select(
         F.col("id").alias(id_col), "n_assign", "n_access", "n_hex", "base_sha256", F.coalesce("s", F.lit("")).alias("spans"),
-        F.coalesce("n_live", zero).alias("n_live"), F.coalesce("n_examples", zero).alias("n_examples"), F.coalesce("most_owners", zero).alias("most_owners"))
+        F.coalesce("n_live", zero).alias("n_live"), F.coalesce("n_examples", zero).alias("n_examples"), F.coalesce("most_owners", zero).alias("most_owners"),
+        F.coalesce("most_repositories", zero).alias("most_repositories"))
 
 
 def redact(docs: DataFrame, mask: str = "[SECRET]", owner_col: str = "source", repository_cols: tuple[str, ...] = ("source", "lang"),
-           text_col: str = "text", min_owners: int = 3, length_col: str | None = None) -> DataFrame:
+           text_col: str = "text", min_owners: int = 3, min_repositories: int = 5, length_col: str | None = None) -> DataFrame:
     """``docs`` with base spans that aren't widely copied examples, and live-looking others, replaced by
     ``mask``; overlapping spans become one mask. ``length_col``, if given, becomes the length of the new text. Rows and all other columns stay as they are. Texts that cannot hold a
     candidate are not shuffled; the others meet their spans by the md5 of the text."""
     text = F.col(f"`{text_col}`")
     digest = F.unhex(F.md5(F.coalesce(text, F.lit("")).cast("binary")))
     may = F.coalesce(text.rlike(GATE), F.lit(False))
+    name, at = unused(docs, "_secret_digest"), unused(docs, "_secret_spans")
     found = staged(candidates(docs.where(may), digest, owner_col, repository_cols, text_col), "candidates")
     cut = ((F.col("kind") < BASE) & (F.col("verdict") != "example")) | (F.col("verdict") == "live")
-    spans = (verdicts(found, min_owners).where(cut).groupBy("key").agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("_secret_spans"))
-             .withColumnRenamed("key", "_secret_digest"))
-    held = docs.where(may).join(spans, digest == F.col("_secret_digest"), "left")
+    spans = (verdicts(found, min_owners, min_repositories).where(cut).groupBy("key").agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias(at))
+             .withColumnRenamed("key", name))
+    held = docs.where(may).join(spans, digest == F.col(name), "left")
     # outside parts: from the end of the spans before to the start of the next
-    state = F.aggregate("_secret_spans", F.struct(F.lit("").alias("out"), F.lit(0).alias("at")), lambda a, s: F.when(
+    state = F.aggregate(at, F.struct(F.lit("").alias("out"), F.lit(0).alias("at")), lambda a, s: F.when(
         s["start"] >= a["at"], F.struct(F.concat(a["out"], F.substring(text, a["at"] + 1, s["start"] - a["at"]), F.lit(mask)).alias("out"), s["end"].alias("at")))
         .otherwise(F.struct(a["out"].alias("out"), F.greatest(a["at"], s["end"]).alias("at"))))
-    whole = F.when(F.col("_secret_spans").isNull(), text).otherwise(F.concat(state["out"], F.substring(text, state["at"] + 1, F.length(text))))
-    masked = held.select(*((whole.alias(c) if c == text_col else F.when(F.col("_secret_spans").isNull(), F.col(f"`{c}`"))
+    whole = F.when(F.col(at).isNull(), text).otherwise(F.concat(state["out"], F.substring(text, state["at"] + 1, F.length(text))))
+    masked = held.select(*((whole.alias(c) if c == text_col else F.when(F.col(at).isNull(), F.col(f"`{c}`"))
                             .otherwise(F.length(whole)).cast(docs.schema[c].dataType).alias(c) if c == length_col else F.col(f"`{c}`")) for c in docs.columns))
     return docs.where(~may).unionAll(masked)

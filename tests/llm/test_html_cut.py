@@ -109,3 +109,43 @@ def test_stray_quote_in_a_tag(tag):
     if tag != '<b title="x>':  # there the value runs to the next quote
         assert main_text(f"<p>{tag}{PROSE}{end}</p><p title=\"it's\">{PROSE}</p><nav class='n'>{PROSE}</nav>") == f"{PROSE}\n{PROSE}"
     assert main_text(tag * 20_000 + PROSE).endswith(PROSE)
+
+
+def test_text_of_scripts_and_frames_never_leaks():
+    page = "<body><article><p>Kept words of the article, long enough to count as content here.</p>{}<p>More kept words of the article.</p></article>"
+    for odd in ("<script src=/js/>var leaked = 1;</script>", "<iframe src=//ads.example/>frame text</iframe>", "<script/>var leaked = 2;</script>",
+                "<style media=all/>p{leaked:1}</style>", "<textarea/>leaked</textarea>", "<svg viewBox='0 0 1 1'/>", "<svg width=1/>leaked</svg>"):
+        text = main_text(page.format(odd))
+        assert text.split("\n") == ["Kept words of the article, long enough to count as content here.", "More kept words of the article."], odd
+
+
+def test_pages_that_end_inside_a_tag_or_comment():
+    start = "<body><article><p>Kept words of the article, long enough to count as content here.</p>"
+    want = "Kept words of the article, long enough to count as content here."
+    assert main_text(start + "<!-- never ends <p>x</p>") == want
+    assert main_text(start + "</article") == want and main_text(start + "<!doctype") == want
+    assert main_text(start + "<p>more words <a href=") == want + "\nmore words <a href="
+
+
+def test_long_and_odd_pages_take_about_linear_time():
+    import time
+    t = time.time()
+    page = "<body>" + "".join(f"<p>paragraph {i} " + "with some words of plain text " * 3 + f"</p><p><a href='/{i}'>link {i} to another page</a></p>" for i in range(4000))
+    assert main_text(page).count("paragraph") > 0
+    main_text("<a " * 33_000)
+    main_text("<p>x</p>" + "<a b='" * 20_000)
+    assert time.time() - t < 8
+
+
+def test_cut_of_long_random_graphs_is_least():
+    rng = random.Random(9)
+    for _ in range(200):
+        n = rng.randrange(1, 9)
+        content, boilerplate = [[rng.choice([0.0, 0.5, 1.0, 2.0, 5.0]) for _ in range(n)] for _ in range(2)]
+        arcs = [(a, b, rng.choice([0.2, 0.5, 1.0, 3.0])) for a in range(n) for b in range(a + 1, n) if rng.random() < 0.5]
+
+        def cost(mask):
+            return sum(content[i] if mask >> i & 1 else boilerplate[i] for i in range(n)) + sum(w for a, b, w in arcs if (mask >> a & 1) != (mask >> b & 1))
+
+        got = minimum_cut(content, boilerplate, arcs)
+        assert abs(cost(sum(1 << i for i, k in enumerate(got) if k)) - min(map(cost, range(1 << n)))) < 1e-6

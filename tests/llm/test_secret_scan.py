@@ -80,3 +80,87 @@ def test_placeholder_words_by_chance_in_long_values(spark):
     assert (out[3], out[4]) == (texts[3], texts[4])
     wide = [(i, texts[0], "en", f"s{i}", 1) for i in range(3)]
     assert all(r.n_examples == 1 and r.spans == "" for r in secret_report(spark.createDataFrame(wide, DOCS)).collect())
+
+
+JWT_SLOW = re.compile(r"eyJ[A-Za-z0-9_-]{17,}\.[A-Za-z0-9_-]{4,}\.[A-Za-z0-9_-]{4,}")
+
+
+def slow_scan(text):
+    """All candidates, each kind by its plain pattern and each compared with all before it."""
+    from citylake.llm.secret_scan import entropy
+    found = list(slow_base(text))
+    kinds = [(3, [(m.start(), m.end()) for m in re.finditer(r"-----BEGIN [A-Z ]*PRIVATE KEY-----[^-]+-----END", text)]),
+             (4, [(m.start(), m.end()) for m in JWT_SLOW.finditer(text)]),
+             (5, [m.span(1) for m in re.finditer(r"://[^\s:/@]+:([^\s/@]{3,})@", text)]),
+             (6, [m.span() for m in re.finditer(r"[A-Za-z0-9+/_=-]{20,}", text)
+                  if re.search("[0-9]", m[0]) and re.search("[A-Z]", m[0]) and re.search("[a-z]", m[0]) and entropy(m[0]) >= 3.5])]
+    for k, spans in kinds:
+        for s, e in spans:
+            if all(e <= a or b <= s for a, _, b in found):
+                found.append((s, k, e))
+    return sorted(found)
+
+
+def test_all_spans_against_a_slow_form(spark):
+    from citylake.llm.secret_scan import KINDS, live_looking
+    rng = random.Random(7)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+
+    def some(n, more=""):
+        return "".join(rng.choice(letters + more) for _ in range(n))
+
+    makers = [lambda: f"password={some(rng.randrange(3, 30))}", lambda: "AKIA" + some(rng.randrange(10, 20)).upper(), lambda: some(30, "+/"),
+              lambda: f"eyJ{some(rng.randrange(10, 30))}.{some(rng.randrange(2, 8))}.{some(rng.randrange(2, 30), '_-')}", lambda: "a.b.eyJ" + some(20) + ".bbbb.cccc.dddd",
+              lambda: f"https://{some(rng.choice([3, 80]))}:{some(rng.choice([2, 9, 400]))}@host/x", lambda: "".join(rng.choice("0123456789abcdef") for _ in range(rng.randrange(20, 45))),
+              lambda: f"-----BEGIN {'VERY ' * rng.randrange(12)}PRIVATE KEY-----\n{some(90, '+/')}\n-----END", lambda: "plain words", lambda: "eyJ" * 8, lambda: "test" * 6]
+    texts = [rng.choice([" ", "\n", "", ";"]).join(rng.choice(makers)() for _ in range(rng.randrange(1, 9))) for _ in range(300)]
+    for t in texts:
+        assert [c[:3] for c in scan(t)] == slow_scan(t), t
+    rows = [(i, t, "en", f"s{i % 4}", 1) for i, t in enumerate(texts)] + [(500 + i, t, f"l{i % 3}", f"s{i % 2}", 1) for i, t in enumerate(texts[:60])]
+    holders = {}
+    for _, t, lang, source, _ in rows:
+        for s, k, e, v in scan(t):
+            holders.setdefault(v, set()).add((source, lang))
+    got = {r.doc_id: r for r in secret_report(spark.createDataFrame(rows, DOCS)).collect()}
+    for i, t, _, _, _ in rows:
+        shown = []
+        for s, k, e, v in scan(t):
+            owners, repositories = {o for o, _ in holders[v]}, holders[v]
+            example = len(owners) >= 3 or len(owners) >= 2 and len(repositories) >= 5
+            if k < 3 or not example and live_looking(v, k):
+                shown.append(f"{KINDS[k]}:{s}:{e}")
+        assert got[i].spans == ",".join(shown)
+        assert got[i].most_repositories == max((len(holders[v]) for *_, v in scan(t)), default=0)
+
+
+def test_repositories_count_beside_owners(spark):
+    blob = "Zx81kQmPw73LrTv95BnYs2"
+
+    def verdict(holders):
+        rows = [(i, f"copied {blob} here", lang, owner, 1) for i, (owner, lang) in enumerate(holders)]
+        return {(r.n_live, r.n_examples, r.most_owners, r.most_repositories) for r in secret_report(spark.createDataFrame(rows, DOCS)).collect()}
+
+    assert verdict([("o", f"l{i}") for i in range(9)]) == {(1, 0, 1, 9)}  # one owner's many repositories
+    assert verdict([(f"o{i % 2}", f"l{i}") for i in range(5)]) == {(0, 1, 2, 5)}
+    assert verdict([(f"o{i % 2}", f"l{i}") for i in range(4)]) == {(1, 0, 2, 4)}
+
+
+def test_long_texts_take_about_linear_time():
+    import time
+    t = time.time()
+    rng = random.Random(1)
+    scan("".join(rng.choice("ABCDEFGHabcdefgh01234567+/") for _ in range(1_000_000)))
+    scan("eyJ" * 100_000)
+    scan("eyJaaaaaaaaaaaaaaaaaaaaaa." * 30_000)
+    assert len(scan("\n".join(f"password=Xy{i}abcdEF token Zx81kQmPw73LrTv95B{i:06d}" for i in range(50_000)))) == 100_000
+    scan("://user" * 50_000 + "://a:b" * 50_000)
+    assert time.time() - t < 30
+
+
+def test_names_that_clash_with_inner_ones(spark):
+    from pyspark.sql import functions as F
+    df = docs(spark, [f"a password={LIVE} b", "clean"])
+    for name in ("_secret_spans", "_SECRET_DIGEST", "key", "found", "hash"):
+        df = df.withColumn(name, F.lit("clash"))
+    got = redact(df)
+    assert got.columns == df.columns and sorted(r.text for r in got.collect()) == ["a [SECRET] b", "clean"]
