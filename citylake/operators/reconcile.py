@@ -5,10 +5,10 @@ name, or its lowercase form, equals *any* of the row's values. Here that nested
 
 1. a value table: every dictionary value with the smallest position it occurs at, plus the
    columns to take from that row (one aggregation over the dictionary, which is small);
-2. two equi left joins of the distinct names (combined map-side) against it, on the name and on
-   ``lower(name)``; the smaller of the two positions wins;
-3. one join of the records with the resolved names. It is one plan at every size: the engine
-   broadcasts a side by its bytes, or splits a hot name. Records without a name are spread by a salt.
+2. two equi left joins of the records against it, on the name and on ``lower(name)``; the smaller of the two positions
+   wins. The records are evaluated once. It is one plan at every size: the engine broadcasts the value table by
+   its bytes, and then the records aren't shuffled; a larger one meets them by name, hot names split by AQE, and records
+   without a name are spread over the tasks.
 """
 
 from __future__ import annotations
@@ -39,11 +39,12 @@ def _value_table(lookup: DataFrame, match_cols: Sequence[str], take: Sequence[st
                 .agg(F.min(F.struct("_pos", *[f"_t_{c}" for c in take])).alias("_m")))
 
 
-def _best_match(df: DataFrame, name, vt: DataFrame) -> DataFrame:
-    """Join on the name and on its lowercase form; keep the match with the smaller position."""
+def _best_match(df: DataFrame, name, vt: DataFrame, valid=None) -> DataFrame:
+    """Join on the name and on its lowercase form, where ``valid``; keep the match with the smaller position."""
     exact = vt.select(F.col("_v").alias("_v1"), F.col("_m").alias("_m1"))
     lower = vt.select(F.col("_v").alias("_v2"), F.col("_m").alias("_m2"))
-    j = df.join(exact, name == F.col("_v1"), "left").join(lower, F.lower(name) == F.col("_v2"), "left")
+    also = F.lit(True) if valid is None else valid
+    j = df.join(exact, (name == F.col("_v1")) & also, "left").join(lower, (F.lower(name) == F.col("_v2")) & also, "left")
     best = (F.when(F.col("_m1").isNull(), F.col("_m2"))
              .when(F.col("_m2").isNull(), F.col("_m1"))
              .when(F.col("_m1._pos") <= F.col("_m2._pos"), F.col("_m1"))
@@ -68,15 +69,12 @@ def reconcile(df: DataFrame, lookup: DataFrame, on: str, *, columns: Sequence[st
     match_cols = list(columns) if columns is not None else [c for c in lookup.columns if c != pos]
     vt = _value_table(lookup, match_cols, take, pos)
     name = F.col(f"`{on}`")
-    # each distinct name (combined map-side) meets the value table once; the records take part in one join. Which
-    # sides are broadcast is the engine's choice by size
-    names = df.select(name.alias("_n")).where(F.col("_n").isNotNull()).distinct()
-    resolved = _best_match(names, F.col("_n"), vt).where(F.col("_best").isNotNull()).select("_n", "_best", F.lit(0).cast("long").alias("_s"))
+    # a record without a name gets a key that no value has: a flag keeps it apart, a number spreads such records over the tasks
+    spread = F.concat(F.lit("no name "), (F.monotonically_increasing_id() % 1024).cast("string"))
+    keyed = df.withColumn("_named", name.isNotNull()).withColumn("_key", F.coalesce(name.cast("string"), spread))
+    j = _best_match(keyed, F.col("_key"), vt, F.col("_named"))
     if how == "inner":
-        j = df.join(resolved, name == F.col("_n"))
-    else:  # records without a name match nothing; a salt spreads them over the join's partitions
-        salted = df.withColumn("_salt", F.when(name.isNull(), F.monotonically_increasing_id() % 1024).otherwise(F.lit(0).cast("long")))
-        j = salted.join(resolved, (name == F.col("_n")) & (F.col("_salt") == F.col("_s")), "left")
+        j = j.where(F.col("_best").isNotNull())
     matched = F.col("_best").isNotNull()
     out = []
     for c in df.columns:

@@ -184,3 +184,35 @@ def test_reconcile_with_fallback_large_dictionary_path(spark):
     with no_broadcast(spark):
         large = {r.id: tuple(r) for r in reconcile_with_fallback(probe, lk, fine_on="hood", coarse_on="dist").collect()}
     assert small == large and small[5][-2:] == (None, None)
+
+
+def _plan(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+def test_records_are_evaluated_once_and_not_shuffled_by_name(spark):
+    lookup = spark.createDataFrame([(0, "d", "A", "d", "d", "1", "a", "a", "2")], "pos long, " + ", ".join(f"{c} string" for c in LOOKUP_COLUMNS))
+    records = spark.range(1000).selectExpr("id", "CASE WHEN id % 3 = 0 THEN NULL ELSE 'A' END AS name")
+    for how, n in (("inner", 666), ("left", 1000)):
+        out = reconcile(records, lookup, "name", how=how)
+        assert out.count() == n
+        plan = _plan(out)
+        assert "SortMergeJoin" not in plan and "hashpartitioning(_key" not in plan and plan.count("Range (0, 1000") == 1
+
+
+def test_records_without_a_name_are_spread(spark):
+    from pyspark.sql import functions as F
+    lookup = spark.createDataFrame([(0, "d", "A", "d", "d", "1", "a", "no name 5", "2")], "pos long, " + ", ".join(f"{c} string" for c in LOOKUP_COLUMNS))
+    records = spark.range(20_000).selectExpr("id", "CASE WHEN id % 10 = 0 THEN 'a' ELSE NULL END AS name")
+    old = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        out = reconcile(records, lookup, "name", how="left")
+        parts = [r["n"] for r in out.where("name IS NULL").groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+        assert out.where("name IS NULL AND district IS NOT NULL").count() == 0 and out.where("district = 'd'").count() == 2000
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert len(parts) == 4 and max(parts) < 2 * min(parts)
