@@ -192,7 +192,7 @@ def _plan(df):
 
 
 def test_records_are_evaluated_once_and_not_shuffled_by_name(spark):
-    lookup = spark.createDataFrame([(0, "d", "A", "d", "d", "1", "a", "a", "2")], "pos long, " + ", ".join(f"{c} string" for c in LOOKUP_COLUMNS))
+    lookup = spark.range(1).selectExpr("id AS pos", *(f"'{v}' AS {c}" for v, c in zip("dAdd1aa2", LOOKUP_COLUMNS)))  # of known size
     records = spark.range(1000).selectExpr("id", "CASE WHEN id % 3 = 0 THEN NULL ELSE 'A' END AS name")
     for how, n in (("inner", 666), ("left", 1000)):
         out = reconcile(records, lookup, "name", how=how)
