@@ -4,103 +4,160 @@ from __future__ import annotations
 
 import numpy as np
 
+#: The linear program is solved until its value is within this share of a lower bound on it.
+GAP = 0.01
+_PIVOT = 1e-7
 
-def best_pattern(lengths: np.ndarray, value: np.ndarray, window: int) -> tuple[float, np.ndarray]:
-    """Unbounded knapsack by dynamic programming: the multiset of lengths that fits the window with
-    the largest value, as (value, copies of each length)."""
+
+def _knapsack(sizes: np.ndarray, worth: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """Unbounded knapsack by dynamic programming over the room, ``sizes`` ascending: the best value of each room
+    and the item taken last there (-2: one unit stays empty)."""
     best, last = np.zeros(window + 1), np.full(window + 1, -1)
-    order = np.argsort(lengths)
-    sizes, worth = lengths[order], value[order]
+    reach = np.searchsorted(sizes, np.arange(window + 1), "right")
     for room in range(1, window + 1):
-        n = np.searchsorted(sizes, room, "right")
-        best[room], last[room] = best[room - 1], -2  # -2: one unit stays empty
+        best[room], last[room] = best[room - 1], -2
+        n = reach[room]
         if n:
             got = best[room - sizes[:n]] + worth[:n]
-            k = int(np.argmax(got))
+            k = int(got.argmax())
             if got[k] > best[room] + 1e-12:
                 best[room], last[room] = got[k], k
-    copies, room = np.zeros(len(lengths), np.int64), window
+    return best, last
+
+
+def _traced(sizes: np.ndarray, last: np.ndarray, room: int) -> np.ndarray:
+    """Copies of each item in the best filling of ``room``."""
+    copies = np.zeros(len(sizes), np.int64)
     while room > 0:
         if last[room] == -2:
             room -= 1
         else:
-            copies[order[last[room]]] += 1
+            copies[last[room]] += 1
             room -= sizes[last[room]]
+    return copies
+
+
+def best_pattern(lengths: np.ndarray, value: np.ndarray, window: int) -> tuple[float, np.ndarray]:
+    """The multiset of lengths that fits the window with the largest value, as (value, copies of each length)."""
+    order = np.argsort(lengths)
+    best, last = _knapsack(lengths[order], value[order], window)
+    copies = np.zeros(len(lengths), np.int64)
+    copies[order] = _traced(lengths[order], last, window)
     return float(best[window]), copies
 
 
-def patterns(lengths: np.ndarray, demand: np.ndarray, window: int, max_columns: int = 400) -> list[tuple[np.ndarray, float]]:
-    """A basic solution of: least number of windows, each filled by a pattern, that covers the demand.
+def first_fit(lengths: np.ndarray, demand: np.ndarray, window: int) -> list[tuple[np.ndarray, int]]:
+    """Patterns that serve the demand greedily: each takes the longest lengths still open that fit, and is repeated
+    while all of it is open. (copies of each length, times)."""
+    open_, found = demand.astype(np.int64).copy(), []
+    while open_.any():
+        copies, room = np.zeros(len(lengths), np.int64), window
+        for k in np.flatnonzero(open_)[::-1]:
+            if lengths[k] <= room:
+                copies[k] = min(open_[k], room // lengths[k])
+                room -= copies[k] * lengths[k]
+                if not room:
+                    break
+        some = copies > 0
+        times = int((open_[some] // copies[some]).min())
+        open_ -= times * copies
+        found.append((copies, times))
+    return found
 
-    The first basis pairs complementary lengths and otherwise repeats one length. Each round prices a
-    column with the knapsack at the basis's dual values and pivots it in, until none improves or
-    ``max_columns`` have come in; the solution is feasible at any time. Returns (copies per length, uses).
+
+def patterns(lengths: np.ndarray, demand: np.ndarray, window: int, max_columns: int | None = None,
+             gap: float = GAP, columns_a_round: int = 64) -> list[tuple[np.ndarray, float]]:
+    """A basic solution of: least number of windows, each filled by a pattern, that covers the demand; lengths ascend.
+
+    The first basis repeats one length each, and the first columns to come in are those of ``first_fit``. Each round
+    one knapsack at the dual values prices the best pattern around every length; up to ``columns_a_round`` that improve join the pool, and pool
+    columns are pivoted in while any improves. value / (worth of the best pattern) is a lower bound on the program,
+    as are the lengths' sum and the number of lengths over half a window. It ends when the value is within ``gap`` of the best bound
+    seen, or no pattern improves, or ``max_columns`` (none: without such a limit) have come in. Returns (copies per length, uses).
     """
     m = len(lengths)
     if not m:
         return []
     repeat = window // lengths
     columns, inverse = np.diag(repeat).astype(float), np.diag(1.0 / repeat)
-    uses = demand / repeat
-    where = {int(x): i for i, x in enumerate(lengths)}
-    for i, length in enumerate(lengths):
-        j = where.get(int(window - length))
-        if j is None or length <= window - length:
-            continue
-        few, many = (i, j) if demand[i] <= demand[j] else (j, i)
-        columns[:, few] = 0
-        columns[few, few] = columns[many, few] = 1
-        inverse[few, few], inverse[many, few] = 1.0, -1.0 / repeat[many]
-        uses[few], uses[many] = demand[few], (demand[many] - demand[few]) / repeat[many]
-    for _ in range(max_columns):
-        value, copies = best_pattern(lengths, inverse.sum(0), window)
-        if value <= 1 + 1e-7:
-            break
-        step = inverse @ copies
-        ok = step > 1e-9
-        if not ok.any():
+    # a little more of each length, so that no step of the simplex method has length 0
+    goal = demand + 1e-6 * (1 + np.arange(m) * 0.6180339887 % 1)
+    uses, dual = goal / repeat, 1.0 / repeat
+    pool = np.array([c for c, _ in first_fit(lengths, demand, window)], float).reshape(-1, m)
+    bound = max(float(lengths @ demand) / window, float(demand[2 * lengths > window].sum()))
+    pivots = 0
+    while True:
+        while len(pool):
+            gain = pool @ dual - 1
+            pick = int(gain.argmax())
+            if gain[pick] <= _PIVOT:
+                break
+            column = pool[pick]
+            some = np.flatnonzero(column)
+            step = inverse[:, some] @ column[some]
+            ok = step > 1e-9
+            ratio = np.full(m, np.inf)
+            ratio[ok] = uses[ok] / step[ok]
+            out = int(ratio.argmin())
+            grown = ratio[out]
+            uses -= grown * step
+            np.maximum(uses, 0, out=uses)
+            uses[out] = grown
+            columns[:, out] = column
+            row = inverse[out] / step[out]
+            dual = dual - gain[pick] * row
+            step[out] -= 1
+            inverse -= np.multiply.outer(step, row)
+            pivots += 1
+            if pivots % 500 == 0:
+                inverse = np.linalg.inv(columns)
+                uses, dual = np.maximum(inverse @ goal, 0), inverse.sum(0)
+        best, last = _knapsack(lengths, dual, window)
+        bound = max(bound, float(uses.sum()) / max(best[window], 1.0))
+        around, new = dual + best[window - lengths], {}
+        for k in np.argsort(-around, kind="stable")[:columns_a_round]:
+            if around[k] > 1 + _PIVOT:
+                copies = _traced(lengths, last, int(window - lengths[k]))
+                copies[k] += 1
+                new[copies.tobytes()] = copies
+        if not new or uses.sum() <= (1 + gap) * bound or (max_columns is not None and pivots >= max_columns):
             break
-        ratio = np.where(ok, uses / np.where(ok, step, 1), np.inf)
-        out = int(np.argmin(ratio))
-        grown = ratio[out]
-        uses = np.maximum(uses - grown * step, 0)
-        uses[out] = grown
-        columns[:, out] = copies
-        inverse[out] /= step[out]
-        step[out] = 0
-        inverse -= np.outer(step, inverse[out])
-    return [(columns[:, k].astype(np.int64), float(uses[k])) for k in range(m) if uses[k] > 1e-9]
-
-
-def plan(histogram: dict[int, int], window: int, max_padding: int, max_columns: int = 400):
-    """Whole uses of the patterns. Returns (allocations, left): an allocation (length, lo, hi, copies,
+        pool = np.array(list(new.values()), float)
+    return [(columns[:, k].astype(np.int64), float(uses[k])) for k in range(m) if uses[k] > 1e-5]
+
+
+def plan(histogram: dict[int, int], window: int, max_padding: int, max_columns: int | None = None, gap: float = GAP):
+    """Whole uses of the patterns. Returns (allocations, left, sequences): an allocation (length, lo, hi, copies,
     sequence, offset) gives the documents of a length with rank in [lo, hi) to sequences from
     ``sequence`` on, ``copies`` in each, the first at ``offset``; ``left`` has the rank from which a
-    length is left over. Patterns that leave more than ``max_padding`` of the window empty aren't used."""
+    length is left over.
+
+    The program's uses are rounded down, and its patterns, those with the largest rest first, are used again while what is open
+    allows; the program is then solved anew for what is open, until none of its patterns can be used
+    whole. Patterns that leave more than ``max_padding`` of the window empty aren't used."""
     lengths = np.array(sorted(histogram), np.int64)
     demand = np.array([histogram[int(x)] for x in lengths], np.int64)
     given, sequence, allocations = np.zeros(len(lengths), np.int64), 0, []
-    found = [(c, u) for c, u in patterns(lengths, demand.astype(float), window, max_columns) if window - int(c @ lengths) <= max_padding]
-    found.sort(key=lambda p: (-int(p[0] @ lengths), -p[1], p[0].tolist()))
-
-    def use(copies, times):
-        nonlocal sequence
-        offset = 0
-        for k in np.flatnonzero(copies)[::-1]:
-            n = int(copies[k])
-            allocations.append((int(lengths[k]), int(given[k]), int(given[k] + n * times), n, sequence, offset))
-            given[k] += n * times
-            offset += n * int(lengths[k])
-        sequence += times
-
-    for copies, uses in found:  # rounded down
-        some = copies > 0
-        times = min(int(uses + 1e-6), int(((demand - given)[some] // copies[some]).min()))
-        if times:
-            use(copies, times)
-    for copies, _ in found:  # and again while what is left allows
-        some = copies > 0
-        times = int(((demand - given)[some] // copies[some]).min())
-        if times:
-            use(copies, times)
+    while True:
+        open_ = np.flatnonzero(demand > given)
+        found = patterns(lengths[open_], (demand - given)[open_].astype(float), window, max_columns, gap)
+        found = [(c, u) for c, u in found if window - int(c @ lengths[open_]) <= max_padding]
+        whole = sorted(found, key=lambda p: (-int(p[1] + 1e-4), p[0].tolist()))
+        again = sorted(found, key=lambda p: (int(p[1] + 1e-4) - p[1], p[0].tolist()))
+        before = sequence
+        for copies, limit in [(c, int(u + 1e-4)) for c, u in whole] + [(c, None) for c, _ in again]:
+            some = np.flatnonzero(copies)
+            times = int(((demand - given)[open_[some]] // copies[some]).min())
+            times = times if limit is None else min(times, limit)
+            if not times:
+                continue
+            offset = 0
+            for k in some[::-1]:
+                at, n = open_[k], int(copies[k])
+                allocations.append((int(lengths[at]), int(given[at]), int(given[at] + n * times), n, sequence, offset))
+                given[at] += n * times
+                offset += n * int(lengths[at])
+            sequence += times
+        if sequence == before:
+            break
     return allocations, {int(x): int(g) for x, g in zip(lengths, given, strict=True)}, sequence

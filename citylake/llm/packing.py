@@ -2,9 +2,9 @@
 
 Documents longer than the window give full windows; the remainders are the items of a cutting-stock
 problem whose demand is the histogram of remainder lengths (at most window - 1 counts reach the driver).
-A linear program over patterns, with columns priced by a knapsack, is rounded down, and the documents of each length, ranked,
-fill the rounded patterns. What rounding leaves over, and lengths that no tight pattern takes, are laid
-end to end and cut at the window, so that only the last sequence is short.
+A linear program over patterns, with columns priced by a knapsack, is rounded down and solved anew for what that leaves, and the
+documents of each length, ranked, fill the rounded patterns. What the last round leaves over, and lengths that no tight pattern takes, are
+laid end to end and cut at the window, so that only the last sequence is short.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ from citylake.llm.token_files import binary_rows, encode_documents
 ALLOCATION = "length int, lo long, hi long, copies int, first long, at int, left boolean"
 
 
-def allocation_rows(histogram: dict[int, int], window: int, max_padding: int, max_columns: int) -> tuple[list[tuple], int]:
+def allocation_rows(histogram: dict[int, int], window: int, max_padding: int, max_columns: int | None) -> tuple[list[tuple], int]:
     """Where the ranked remainders go, and the number of sequences that takes. Rows with ``left`` hold
     in ``first`` the place of their first token, as sequence * window + offset."""
     allocations, given, sequences = plan(histogram, window, max_padding, max_columns)
@@ -37,11 +37,11 @@ def allocation_rows(histogram: dict[int, int], window: int, max_padding: int, ma
     return rows, -(-place // window)
 
 
-def pack_lengths(docs: DataFrame, window: int = 1024, max_padding: int = 2, max_columns: int = 400) -> DataFrame:
+def pack_lengths(docs: DataFrame, window: int = 1024, max_padding: int = 2, max_columns: int | None = None) -> DataFrame:
     """(rid, n) -> (rid, n, pieces): where each of a document's tokens goes, as
     array<struct<start, length, sequence_id, offset>>. ``rid`` is unique; a document with n = 0 gets
     no piece. Only these two columns are shuffled, and the broadcast table has at most a row per
-    length and pattern (below 2 * window patterns)."""
+    length and pattern of each round of the program (each round below 2 * window patterns)."""
     spark = docs.sparkSession
     small = docs.select("rid", "n", (F.col("n") % window).cast("int").alias("rest"), F.expr(f"n div {window}").alias("full"), F.lit(0).alias("all"))
     counts = {r["rest"]: r["k"] for r in small.groupBy("rest").agg(F.count("*").alias("k")).collect()}
@@ -72,7 +72,7 @@ def pack_lengths(docs: DataFrame, window: int = 1024, max_padding: int = 2, max_
 
 
 def pack_documents(docs: DataFrame, tokenizer_path: str, window: int = 1024, id_col: str = "doc_id", text_col: str = "text",
-                   end_id: int = 0, max_padding: int = 2, max_columns: int = 400, digest: bool = False) -> DataFrame:
+                   end_id: int = 0, max_padding: int = 2, max_columns: int | None = None, digest: bool = False) -> DataFrame:
     """One row per piece: id, ``start`` (the document's ids before it), ``length``, its ids as ``ids``
     (binary, little-endian unsigned 32 bits) or, with ``digest``, their crc32 ``ids_crc32``,
     ``doc_tokens`` (with ``end_id``), ``sequence_id`` and ``offset`` there.

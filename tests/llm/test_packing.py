@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from citylake.llm.cutting_stock import best_pattern, patterns, plan
+from citylake.llm.cutting_stock import best_pattern, first_fit, patterns, plan
 from citylake.llm.packing import pack_documents, pack_lengths
 from tests.llm.helpers import docs, with_extra
 
@@ -90,3 +90,28 @@ def test_documents(spark):
     assert pack_documents(docs(spark, []), PATH).count() == 0
     twice = pack_documents(docs(spark, ["a b c"] * 3, ids=[1, 1, None]), PATH, window=8).collect()
     assert sum(r.length for r in twice) == 3 * len(tok.encode("a b c").ids) + 3
+
+
+def test_little_is_left_to_cut():
+    rng = np.random.default_rng(4)
+    h = {int(x): int(k) for x, k in zip(*np.unique(rng.integers(1, 128, 5000), return_counts=True))}
+    allocations, given, n = plan(h, 128, 2)
+    assert sum((h[x] - given[x]) * x for x in h) < 0.05 * sum(k * x for x, k in h.items())
+    fill = np.zeros(n, int)
+    for length, lo, hi, copies, first, _ in allocations:
+        fill[first:first + (hi - lo) // copies] += copies * length
+    assert fill.min() >= 126 and fill.max() <= 128
+    assert plan({}, 128, 2) == ([], {}, 0)
+
+
+def test_columns_are_priced_beyond_the_first_fit():
+    lengths, demand, window = np.array([3, 4, 5]), np.array([60.0, 40.0, 50.0]), 12
+    got = patterns(lengths, demand, window, gap=0.0)
+    assert (sum(c * u for c, u in got) >= demand - 1e-6).all()
+    every = [c for c in itertools.product(range(5), range(4), range(3)) if np.dot(c, lengths) <= window]
+    first = sum(n for _, n in first_fit(lengths, demand, window))
+    best = sum(u for _, u in got)
+    assert best <= first + 1e-3
+    # optimal: the dual values of the result price no pattern over 1
+    basis = np.array([c for c, _ in got], float)
+    assert len(basis) == 3 and (np.array(every) @ np.linalg.solve(basis, np.ones(3)) <= 1 + 1e-6).all()
