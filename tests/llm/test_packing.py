@@ -94,7 +94,7 @@ def test_documents(spark):
 
 def test_little_is_left_to_cut():
     rng = np.random.default_rng(4)
-    h = {int(x): int(k) for x, k in zip(*np.unique(rng.integers(1, 128, 5000), return_counts=True))}
+    h = {int(x): int(k) for x, k in zip(*np.unique(rng.integers(1, 128, 50_000), return_counts=True))}
     allocations, given, n = plan(h, 128, 2)
     assert sum((h[x] - given[x]) * x for x in h) < 0.05 * sum(k * x for x, k in h.items())
     fill = np.zeros(n, int)
