@@ -67,8 +67,8 @@ for _b in range(256):
 
 def fit_quality(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, id_col: str = "doc_id", text_col: str = "text",
                 label_col: str = "quality") -> boosting.Trees:
-    """Fit on at most ``fit_rows`` labelled rows, chosen by hash of the id; only their statistics reach
-    the driver. Null labels and ids are left out."""
+    """Fit on at most ``fit_rows`` labelled rows, chosen by hash of the id; their texts are measured where they lie, and only
+    their statistics are sorted and reach the driver. Null labels and ids are left out."""
     key = F.col(f"`{id_col}`")
     picked = (labels.where(F.col(f"`{label_col}`").isNotNull() & key.isNotNull()).select(key.alias("_label_id"), F.col(f"`{label_col}`").cast("double").alias("_label"))
               .orderBy(F.xxhash64("_label_id"), "_label_id", "_label").limit(fit_rows))
@@ -76,11 +76,11 @@ def fit_quality(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, id
     def measure(batches):
         for batch in batches:
             rows = [statistics(t or "")[1] for t in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.list_(pa.float64())), batch.column(1)], ["x", "y"])
+            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.list_(pa.float64())), batch.column(1), batch.column(2)], ["x", "y", "h"])
 
     rows = (docs.select(key.alias("_id"), F.col(f"`{text_col}`").alias("_text")).join(F.broadcast(picked), F.col("_id") == F.col("_label_id"))
-            .select("_text", "_label", F.xxhash64("_id", "_text").alias("_order")).orderBy("_order").limit(2 * fit_rows).select("_text", "_label")
-            .mapInArrow(measure, "x array<double>, y double").collect())
+            .select("_text", "_label", F.xxhash64("_id", "_text").alias("_order"))
+            .mapInArrow(measure, "x array<double>, y double, h long").orderBy("h", "y", "x").limit(2 * fit_rows).select("x", "y").collect())
     rows.sort(key=lambda r: (r["x"], r["y"]))
     x = np.array([r["x"] for r in rows]).reshape(len(rows), len(FEATURES))
     return boosting.fit(x, np.array([r["y"] for r in rows]), {FEATURES.index(k): v for k, v in MONOTONE.items()})
