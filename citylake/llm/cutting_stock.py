@@ -87,8 +87,11 @@ def patterns(lengths: np.ndarray, demand: np.ndarray, window: int, max_columns:
     bound = max(float(lengths @ demand) / window, float(demand[2 * lengths > window].sum()))
     pivots = 0
     while True:
+        width = max((np.count_nonzero(c) for c in pool), default=0)
+        item = np.argsort(pool == 0, axis=1, kind="stable")[:, :width] if len(pool) else None  # the lengths that a pattern holds, first
+        copies_of = np.take_along_axis(pool, item, 1) if len(pool) else None
         while len(pool):
-            gain = pool @ dual - 1
+            gain = (dual[item] * copies_of).sum(1) - 1
             pick = int(gain.argmax())
             if gain[pick] <= _PIVOT:
                 break
@@ -107,7 +110,11 @@ def patterns(lengths: np.ndarray, demand: np.ndarray, window: int, max_columns:
             row = inverse[out] / step[out]
             dual = dual - gain[pick] * row
             step[out] -= 1
-            inverse -= np.multiply.outer(step, row)
+            r, c = np.flatnonzero(np.abs(step) > 1e-14), np.flatnonzero(np.abs(row) > 1e-14)
+            if 4 * len(r) * len(c) < m * m:
+                inverse[np.ix_(r, c)] -= np.multiply.outer(step[r], row[c])
+            else:
+                inverse -= np.multiply.outer(step, row)
             pivots += 1
             if pivots % 500 == 0:
                 inverse = np.linalg.inv(columns)
