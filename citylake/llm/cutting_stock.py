@@ -6,7 +6,10 @@ import numpy as np
 
 #: The linear program is solved until its value is within this share of a lower bound on it.
 GAP = 0.01
+#: Columns are priced at duals moved by this share towards those of the best bound, which steadies them.
+SMOOTH = 0.8
 _PIVOT = 1e-7
+_DRIFT = 1e-7  # the basis is inverted anew where rounding has moved the solution by more
 
 
 def _knapsack(sizes: np.ndarray, worth: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
@@ -65,13 +68,19 @@ def first_fit(lengths: np.ndarray, demand: np.ndarray, window: int) -> list[tupl
     return found
 
 
+def _held(rows: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """The lengths that each pattern holds, as places (those it doesn't hold come last, with 0 copies), and their copies."""
+    item = np.argsort(rows == 0, axis=1, kind="stable")[:, :width]
+    return item, np.take_along_axis(rows, item, 1)
+
+
 def patterns(lengths: np.ndarray, demand: np.ndarray, window: int, max_columns: int | None = None,
              gap: float = GAP, columns_a_round: int = 64) -> list[tuple[np.ndarray, float]]:
     """A basic solution of: least number of windows, each filled by a pattern, that covers the demand; lengths ascend.
 
     The first basis repeats one length each, and the first columns to come in are those of ``first_fit``. Each round
-    one knapsack at the dual values prices the best pattern around every length; up to ``columns_a_round`` that improve join the pool, and pool
-    columns are pivoted in while any improves. value / (worth of the best pattern) is a lower bound on the program,
+    one knapsack at smoothed dual values (at the plain ones where that finds nothing) prices the best pattern around every length; up to
+    ``columns_a_round`` that improve join the pool, and pool columns are pivoted in while any improves. value / (worth of the best pattern) is a lower bound on the program,
     as are the lengths' sum and the number of lengths over half a window. It ends when the value is within ``gap`` of the best bound
     seen, or no pattern improves, or ``max_columns`` (none: without such a limit) have come in. Returns (copies per length, uses).
     """
@@ -83,53 +92,68 @@ def patterns(lengths: np.ndarray, demand: np.ndarray, window: int, max_columns:
     # a little more of each length, so that no step of the simplex method has length 0
     goal = demand + 1e-6 * (1 + np.arange(m) * 0.6180339887 % 1)
     uses, dual = goal / repeat, 1.0 / repeat
-    pool = np.array([c for c, _ in first_fit(lengths, demand, window)], float).reshape(-1, m)
+    # a pattern holds no more different lengths than the shortest ones that fit together; the pool keeps the held ones alone
+    width = max(1, int(np.searchsorted(np.cumsum(lengths), window, "right")))
+    item, held = _held(np.array([c for c, _ in first_fit(lengths, demand, window)], float).reshape(-1, m), width)
     bound = max(float(lengths @ demand) / window, float(demand[2 * lengths > window].sum()))
-    pivots = 0
+    pivots, centre = 0, None
     while True:
-        width = max((np.count_nonzero(c) for c in pool), default=0)
-        item = np.argsort(pool == 0, axis=1, kind="stable")[:, :width] if len(pool) else None  # the lengths that a pattern holds, first
-        copies_of = np.take_along_axis(pool, item, 1) if len(pool) else None
-        while len(pool):
-            gain = (dual[item] * copies_of).sum(1) - 1
-            pick = int(gain.argmax())
-            if gain[pick] <= _PIVOT:
+        while True:
+            gain = (dual[item] * held).sum(1) - 1
+            worth = np.argsort(-gain, kind="stable")[:columns_a_round]
+            worth = worth[gain[worth] > _PIVOT]
+            if not len(worth):
                 break
-            column = pool[pick]
-            some = np.flatnonzero(column)
-            step = inverse[:, some] @ column[some]
-            ok = step > 1e-9
-            ratio = np.full(m, np.inf)
-            ratio[ok] = uses[ok] / step[ok]
-            out = int(ratio.argmin())
-            grown = ratio[out]
-            uses -= grown * step
-            np.maximum(uses, 0, out=uses)
-            uses[out] = grown
-            columns[:, out] = column
-            row = inverse[out] / step[out]
-            dual = dual - gain[pick] * row
-            step[out] -= 1
-            r, c = np.flatnonzero(np.abs(step) > 1e-14), np.flatnonzero(np.abs(row) > 1e-14)
-            if 4 * len(r) * len(c) < m * m:
-                inverse[np.ix_(r, c)] -= np.multiply.outer(step[r], row[c])
-            else:
-                inverse -= np.multiply.outer(step, row)
-            pivots += 1
-            if pivots % 500 == 0:
-                inverse = np.linalg.inv(columns)
-                uses, dual = np.maximum(inverse @ goal, 0), inverse.sum(0)
-        best, last = _knapsack(lengths, dual, window)
-        bound = max(bound, float(uses.sum()) / max(best[window], 1.0))
-        around, new = dual + best[window - lengths], {}
-        for k in np.argsort(-around, kind="stable")[:columns_a_round]:
-            if around[k] > 1 + _PIVOT:
+            while True:
+                gain = (dual[item[worth]] * held[worth]).sum(1) - 1
+                pick = int(gain.argmax())
+                if gain[pick] <= _PIVOT:
+                    break
+                some, copies = item[worth[pick]], held[worth[pick]]
+                step = (inverse[:, some] * copies).sum(1)
+                ok = step > 1e-9
+                ratio = np.full(m, np.inf)
+                ratio[ok] = uses[ok] / step[ok]
+                out = int(ratio.argmin())
+                grown = ratio[out]
+                uses -= grown * step
+                np.maximum(uses, 0, out=uses)
+                uses[out] = grown
+                columns[:, out] = 0
+                columns[some, out] = copies
+                row = inverse[out] / step[out]
+                dual = dual - gain[pick] * row
+                step[out] -= 1
+                r, c = np.flatnonzero(np.abs(step) > 1e-14), np.flatnonzero(np.abs(row) > 1e-14)
+                if 4 * len(r) * len(c) < m * m:
+                    inverse[np.ix_(r, c)] -= np.multiply.outer(step[r], row[c])
+                else:
+                    inverse -= np.multiply.outer(step, row)
+                pivots += 1
+                if pivots % 500 == 0 and (np.abs((columns * uses).sum(1) - goal).max() > _DRIFT * goal.max()
+                                          or np.abs((columns * dual[:, None]).sum(0) - 1).max() > _DRIFT):
+                    inverse = np.linalg.inv(columns)
+                    uses, dual = np.maximum(inverse @ goal, 0), inverse.sum(0)
+        centre = dual if centre is None else centre
+        for share in (SMOOTH, 0.0):
+            at = share * centre + (1 - share) * dual
+            best, last = _knapsack(lengths, at, window)
+            reached = float(goal @ at) / max(best[window], 1.0)
+            if reached > bound:
+                bound, centre = reached, at
+            around, new = at + best[window - lengths], {}
+            for k in np.argsort(-around, kind="stable")[:columns_a_round]:
                 copies = _traced(lengths, last, int(window - lengths[k]))
                 copies[k] += 1
-                new[copies.tobytes()] = copies
+                if dual @ copies > 1 + _PIVOT:
+                    new[copies.tobytes()] = copies
+            if new:
+                break
         if not new or uses.sum() <= (1 + gap) * bound or (max_columns is not None and pivots >= max_columns):
             break
-        pool = np.array(list(new.values()), float)
+        # no pattern of the pool prices above 1 now, so no new one is among them
+        more = _held(np.array(list(new.values()), float), width)
+        item, held = np.concatenate([item, more[0]]), np.concatenate([held, more[1]])
     return [(columns[:, k].astype(np.int64), float(uses[k])) for k in range(m) if uses[k] > 1e-5]
 
 
