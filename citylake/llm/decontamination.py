@@ -20,14 +20,15 @@ from citylake.llm.common import staged, unused
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: Characters that lower() may change although A-Z doesn't hold them.
 OTHER_UPPER = r"[\p{IsUppercase}\p{Lt}&&[^A-Z]]"
-#: Bits of the shingle filter: its size doesn't depend on the data.
-FILTER_BITS = 18
+#: The shingle filter has at least 8 bits a hash: a power of two from 2 ** 12 to 2 ** 25 bits (4 MB). With more hashes than fit there it lets
+#: more through to the exact join after it.
+MIN_FILTER_BITS, MAX_FILTER_BITS = 12, 25
 
 
 def words_of(text: Column) -> Column:
     """Words of the text with A-Z, and nothing else, in lower case; null has none."""
     text = F.coalesce(text, F.lit(""))
-    lowered = F.when(text.rlike(OTHER_UPPER), F.translate(text, string.ascii_uppercase, string.ascii_lowercase)).otherwise(F.lower(text))
+    lowered = F.when((F.octet_length(text) > F.char_length(text)) & text.rlike(OTHER_UPPER), F.translate(text, string.ascii_uppercase, string.ascii_lowercase)).otherwise(F.lower(text))
     return F.array_remove(F.split(lowered, SEPARATORS, -1), "")
 
 
@@ -39,23 +40,31 @@ def _hash(words: Column, at: Column, size: int) -> Column:
     return F.xxhash64(*(F.get(words, at + k) for k in range(size)), F.lit(size))
 
 
+def filter_bits(n: int) -> int:
+    """log2 of the filter's bits for ``n`` hashes."""
+    return min(max((8 * n - 1).bit_length(), MIN_FILTER_BITS), MAX_FILTER_BITS)
+
+
 def _filter(hashes: DataFrame):
-    """A Bloom filter with two probes over the column ``h``, as a test of a hash column. It only
-    thins out what is shuffled; the join after it is exact."""
-    mask = (1 << FILTER_BITS) - 1
-    places = hashes.select(F.explode(F.array(F.col("h").bitwiseAND(mask), F.shiftrightunsigned("h", 24).bitwiseAND(mask))).alias("b"))
-    words = (places.groupBy(F.shiftright("b", 6).alias("w"))
-             .agg(F.expr("bit_or(shiftleft(1L, cast(b & 63 AS int)))").alias("bits")).collect())
-    bits = ["0"] * (1 << FILTER_BITS - 6)
-    for r in words:  # at most 2 ** FILTER_BITS / 64 rows
-        bits[r["w"]] = str(r["bits"])
-    table = F.split(F.lit(",".join(bits)), ",").cast("array<bigint>")
+    """A Bloom filter with two probes over the column ``h``, as a test of a hash column, sized by the number of
+    hashes. It only thins out what is shuffled; the join after it is exact. Its longs are one value of a
+    written table of one row, which plans read by a scalar subquery."""
+    spark = hashes.sparkSession
+    distinct = hashes.select("h").distinct()
+    bits = filter_bits(distinct.count())
+    mask = (1 << bits) - 1
+    places = distinct.select(F.explode(F.array(F.col("h").bitwiseAND(mask), F.shiftrightunsigned("h", 32).bitwiseAND(mask))).alias("b"))
+    words = places.groupBy(F.shiftright("b", 6).alias("w")).agg(F.expr("bit_or(shiftleft(1L, cast(b & 63 AS int)))").alias("bits"))
+    dense = words.unionAll(spark.range(1 << bits - 6).select(F.col("id").alias("w"), F.lit(0).cast("long").alias("bits")))
+    dense = dense.groupBy("w").agg(F.expr("bit_or(bits)").alias("bits"))
+    row = dense.agg(F.sort_array(F.collect_list(F.struct("w", "bits"))).alias("all")).select(F.col("all.bits").alias("bits"))
+    table = staged(row, "filter").scalar()
 
     def bit(at: Column) -> Column:
         return F.getbit(F.get(table, F.shiftright(at, 6).cast("int")), at.bitwiseAND(63).cast("int")) == 1
 
     def test(h: Column) -> Column:
-        return bit(h.bitwiseAND(mask)) & bit(F.shiftrightunsigned(h, 24).bitwiseAND(mask))
+        return bit(h.bitwiseAND(mask)) & bit(F.shiftrightunsigned(h, 32).bitwiseAND(mask))
     return test
 
 
@@ -90,15 +99,13 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10, shing
     texts = docs.select(digest_of(F.col(f"`{text_col}`")).alias("digest"), words_of(F.col(f"`{text_col}`")).alias("words"))
 
     def occurrences(wanted: DataFrame, *columns: Column) -> DataFrame:
-        found = None
-        for s in sizes:
-            test = _filter(wanted.where(F.col("s") == s))
-            exploded = texts.select("digest", "words", F.posexplode("words").alias("pos", "word"))
-            h = F.xxhash64(F.col("word"), *(F.get("words", F.col("pos") + k) for k in range(1, s)), F.lit(s))
-            one = exploded.where(test(h)).select(h.alias("h"), F.lit(s).alias("s"), *columns)
-            found = one if found is None else found.unionAll(one)
-        return found if found is not None else texts.where(F.lit(False)).select(F.lit(0).cast("long").alias("h"), F.lit(0).alias("s"),
-                                                                               *(c for c in columns))
+        """Occurrences of shingles of all sizes, from one pass over the texts."""
+        test = _filter(wanted)
+        each = [F.struct(F.lit(s).alias("s"), F.xxhash64(F.col("word"), *(F.get("words", F.col("pos") + k) for k in range(1, s)), F.lit(s)).alias("h"))
+                for s in sizes]
+        exploded = texts.select("digest", "words", F.posexplode("words").alias("pos", "word"))
+        exploded = exploded.select("digest", "words", "pos", each[0].alias("c") if len(each) == 1 else F.explode(F.array(*each)).alias("c"))
+        return exploded.where(test(F.col("c.h"))).select(F.col("c.h").alias("h"), F.col("c.s").alias("s"), *columns)
 
     if not sizes:
         return staged(texts.where(F.lit(False)).select("digest", F.lit(0).cast("long").alias("n_hit"), F.lit(0).cast("long").alias("n_items"),

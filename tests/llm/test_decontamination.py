@@ -5,7 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from citylake.llm.decontamination import contamination_report, decontaminate, words_of
+from citylake.llm.decontamination import contamination_report, decontaminate, filter_bits, words_of
 from tests.llm.helpers import docs, with_extra
 
 WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
@@ -91,3 +91,30 @@ def test_oracle_at_small_scale(spark):
     want = sorted(tuple(r) for r in cur.fetchall())
     got = sorted(tuple(r[n] for n in names) for r in QUERIES["op9_decontamination"](spark, sf).collect())
     assert got == want and sum(r[-1] for r in got) > 0
+
+
+def test_filter_grows_with_its_hashes():
+    assert [filter_bits(n) for n in (0, 1, 512, 513, 100_000, 4_000_000, 10 ** 9)] == [12, 12, 12, 13, 20, 25, 25]
+
+
+def test_many_items(spark):
+    rng = random.Random(5)
+    items = [(i, " ".join(f"w{rng.randrange(3000)}" for _ in range(rng.choice([1, 2, 4, 12])))) for i in range(100_000)]
+    texts = [(d, " ".join(f"w{rng.randrange(3000)}" for _ in range(30))) for d in range(200)]
+    texts += [(1000 + d, "so " + items[i][1] + " on") for d, i in enumerate(rng.sample(range(100_000), 200))]
+    windows = {}
+    for i, t in items:
+        w = t.split()
+        for k in range(max(len(w) - 9, 1)):
+            windows.setdefault(tuple(w[k:k + 10]), set()).add(str(i))
+    want = {}
+    for d, t in texts:
+        w, hit, found = t.split(), set(), set()
+        for s in range(len(w)):
+            for n in (1, 2, 4, 10):
+                if s + n <= len(w) and (x := tuple(w[s:s + n])) in windows:
+                    hit.update(range(s, s + n))
+                    found |= windows[x]
+        want[d] = (len(w), len(hit), len(found), hashlib.sha256(",".join(sorted(found)).encode()).hexdigest(), bool(hit))
+    got, n = run(spark, texts, items)
+    assert n == len(texts) and got == want
