@@ -20,9 +20,9 @@ from citylake.llm.common import staged, unused
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: Characters that lower() may change although A-Z doesn't hold them.
 OTHER_UPPER = r"[\p{IsUppercase}\p{Lt}&&[^A-Z]]"
-#: The shingle filter has at least 8 bits a hash: a power of two from 2 ** 12 to 2 ** 25 bits (4 MB). With more hashes than fit there it lets
+#: The shingle filter has at least 32 bits a hash: a power of two from 2 ** 12 to 2 ** 26 bits (8 MB). With more hashes than fit there it lets
 #: more through to the exact join after it.
-MIN_FILTER_BITS, MAX_FILTER_BITS = 12, 25
+MIN_FILTER_BITS, MAX_FILTER_BITS = 12, 26
 
 
 def words_of(text: Column) -> Column:
@@ -42,7 +42,7 @@ def _hash(words: Column, at: Column, size: int) -> Column:
 
 def filter_bits(n: int) -> int:
     """log2 of the filter's bits for ``n`` hashes."""
-    return min(max((8 * n - 1).bit_length(), MIN_FILTER_BITS), MAX_FILTER_BITS)
+    return min(max((32 * n - 1).bit_length(), MIN_FILTER_BITS), MAX_FILTER_BITS)
 
 
 def _filter(hashes: DataFrame):

@@ -94,7 +94,7 @@ def test_oracle_at_small_scale(spark):
 
 
 def test_filter_grows_with_its_hashes():
-    assert [filter_bits(n) for n in (0, 1, 512, 513, 100_000, 4_000_000, 10 ** 9)] == [12, 12, 12, 13, 20, 25, 25]
+    assert [filter_bits(n) for n in (0, 1, 128, 129, 100_000, 2_000_000, 10 ** 9)] == [12, 12, 12, 13, 22, 26, 26]
 
 
 def test_many_items(spark):
