@@ -25,9 +25,14 @@ def _tables(spark) -> Tables:
 
 
 # ---- landing JSON, readable or not (S1 X12 K7) -------------------------------------------------
+#: Envelopes of about 8 KB: some 32 MB of text a file.
+LINES_PER_FILE = 4000
+
+
 def _landing_json(spark, envelopes: DataFrame) -> str:
     """The envelopes as JSON lines in a new shared folder, and beside them one broken copy of every second one: cut off, without id, without
-    data, with a text in place of the records, or no JSON at all."""
+    data, with a text in place of the records, or no JSON at all. The files are compressed, as field names repeat in every record, and short,
+    since a compressed file is read by one task."""
     path = f"{checkpoint_dir(spark)}/landing-{uuid.uuid4().hex}"
     whole = F.to_json(F.struct("*"))
     k = F.regexp_extract("_id", "[0-9]+", 0).cast("long")
@@ -38,7 +43,8 @@ def _landing_json(spark, envelopes: DataFrame) -> str:
               .when(k % 10 == 3, F.to_json(F.struct("_id", *records, F.lit("no records").alias("data"))))
               .when(k % 10 == 4, F.lit("<html>not found</html>")))
     lines = F.filter(F.array(whole, broken), lambda x: x.isNotNull())
-    envelopes.select(F.explode(lines).alias("value")).write.text(path)
+    (envelopes.select(F.explode(lines).alias("value")).write.option("compression", "gzip").option("maxRecordsPerFile", LINES_PER_FILE)
+     .text(path))
     return path
 
 

@@ -1,3 +1,5 @@
+from pathlib import Path
+
 from citylake import schemas
 from citylake.operators.quality import reject_counts
 from citylake.sources.landing import read_landing_checked, split_landing
@@ -20,3 +22,18 @@ def test_an_empty_folder_of_lines(spark, tmp_path):
     (tmp_path / "x.json").write_text("")
     accepted, rejected = split_landing(read_landing_checked(spark, str(tmp_path), schemas.INCOME_ENVELOPE))
     assert accepted.count() == 0 and rejected.count() == 0 and reject_counts(rejected).count() == 0
+
+
+def test_landing_json_is_compressed_and_cut_into_short_files(spark, monkeypatch):
+    from citylake.plans import lake_queries
+    monkeypatch.setattr(lake_queries, "LINES_PER_FILE", 100)
+    given = spark.range(0, 1000, 1, 2).selectExpr("concat('M', id) AS _id", "'f' AS filename", "'t' AS timestamp",
+                                                  "transform(sequence(1, 20), i -> named_struct('a_long_field_name', id, 'another_long_field_name', cast(i AS string))) AS data")
+    path = lake_queries._landing_json(spark, given)
+    files = [f for f in Path(path.removeprefix("file:")).iterdir() if f.name.startswith("part-")]
+    assert len(files) == 16 and all(f.name.endswith(".gz") for f in files)
+    plain = sum(len(r.value) for r in spark.read.text(path).collect())
+    assert sum(f.stat().st_size for f in files) < plain / 5
+    accepted, rejected = split_landing(read_landing_checked(spark, path, given.schema))
+    assert sorted(accepted.collect()) == sorted(given.collect())
+    assert {r.reason: r.rejected for r in reject_counts(rejected).collect()} == {"malformed": 300, "missing _id": 100, "missing data": 100}
