@@ -6,9 +6,10 @@ name, or its lowercase form, equals *any* of the row's values. Here that nested
 1. a value table: every dictionary value with the smallest position it occurs at, plus the
    columns to take from that row (one aggregation over the dictionary, which is small);
 2. two equi left joins of the records against it, on the name and on ``lower(name)``; the smaller of the two positions
-   wins. The records are evaluated once. It is one plan at every size: the engine broadcasts the value table by
-   its bytes, and then the records aren't shuffled; a larger one meets them by name, hot names split by AQE, and records
-   without a name are spread over the tasks.
+   wins. The records are evaluated once. It is one plan at every size: the value table is written once, so that its size is
+   known before the records move (an estimate of it is far too large, and they would be shuffled whole by name); the
+   engine broadcasts it by its bytes, and then the records aren't shuffled; a larger one meets them by name, hot names
+   split by AQE, and records without a name are spread over the tasks.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from citylake.operators.rank import global_rank
-from citylake.session import materialize
+from citylake.session import materialize, stored
 
 # The place dictionary's row layout, the columns a match copies onto a record, and the
 # prefix of minted identifiers.
@@ -67,7 +68,7 @@ def reconcile(df: DataFrame, lookup: DataFrame, on: str, *, columns: Sequence[st
     if how not in ("inner", "left"):
         raise ValueError("how must be 'inner' or 'left'")
     match_cols = list(columns) if columns is not None else [c for c in lookup.columns if c != pos]
-    vt = _value_table(lookup, match_cols, take, pos)
+    vt = stored(_value_table(lookup, match_cols, take, pos), "values")
     name = F.col(f"`{on}`")
     # a record without a name gets a key that no value has: a flag keeps it apart, a number spreads such records over the tasks
     spread = F.concat(F.lit("no name "), (F.monotonically_increasing_id() % 1024).cast("string"))

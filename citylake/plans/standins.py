@@ -218,8 +218,12 @@ def listing_envelopes(spark: SparkSession, d: str, per_doc: int = 4) -> DataFram
         name_variant(F.col("n_name"), F.col("r_name"), F.col("l_partkey")).alias("neighborhood"),
         F.col("r_name").alias("district"),
         parking.alias("parkingSpace"))
-    rows = (_by_block(li.join(_order_places(spark, d), li.l_orderkey == F.col("o_orderkey")), "l_orderkey", per_doc)
-              .select("block", "o_orderdate", rec.alias("rec")))
+    # lineitems and orders meet by block, where their records are packed, and only then by key (equality as two comparisons, which don't
+    # become join keys): the lineitems are shuffled once, not by key and again by block, and without the names that the orders bring
+    li = _by_block(li, "l_orderkey", per_doc)
+    places = _by_block(_order_places(spark, d), "o_orderkey", per_doc).withColumnRenamed("block", "_block")
+    joined = li.join(places, (F.col("block") == F.col("_block")) & (F.col("l_orderkey") >= F.col("o_orderkey")) & (F.col("l_orderkey") <= F.col("o_orderkey")))
+    rows = joined.select("block", "o_orderdate", rec.alias("rec"))
     return (rows.groupBy("block")
                 .agg(F.sort_array(F.collect_list("rec")).alias("data"), F.min("o_orderdate").alias("_first"))
                 .select(F.concat(F.lit("L"), F.col("block").cast("string")).alias("_id"),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -62,3 +63,11 @@ def materialize(df):
     """Reliable checkpoint (survives executor loss); used where a small derived table is reused."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def stored(df, name: str):
+    """``df`` written as Parquet to the checkpoint folder and read back: unlike a checkpoint it has its real size in bytes, so that the
+    engine can broadcast it when it is small."""
+    path = f"{checkpoint_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -37,3 +37,28 @@ def test_landing_json_is_compressed_and_cut_into_short_files(spark, monkeypatch)
     accepted, rejected = split_landing(read_landing_checked(spark, path, given.schema))
     assert sorted(accepted.collect()) == sorted(given.collect())
     assert {r.reason: r.rejected for r in reject_counts(rejected).collect()} == {"malformed": 300, "missing _id": 100, "missing data": 100}
+
+
+def test_listing_envelopes_shuffle_lineitems_once(spark, tmp_path):
+    from citylake.plans import standins
+    tables = {"nation": "SELECT 1 AS n_nationkey, 'FRANCE' AS n_name, 3 AS n_regionkey",
+              "region": "SELECT 3 AS r_regionkey, 'EUROPE' AS r_name",
+              "customer": "SELECT 7L AS c_custkey, 1 AS c_nationkey, 1.0D AS c_acctbal",
+              "orders": "SELECT nullif(id, 5) AS o_orderkey, 7L AS o_custkey, timestamp_ntz'2023-01-09' - make_dt_interval(cast(id AS int)) AS o_orderdate FROM range(1, 9) UNION ALL "
+                        "SELECT 6L, 7L, timestamp_ntz'2020-02-02'",
+              "lineitem": "SELECT nullif(o.id, 8) AS l_orderkey, 10 * o.id + n.id AS l_partkey, cast(n.id AS int) AS l_linenumber, 2.0D AS l_quantity, 1.5D AS l_extendedprice, "
+                          "0.0D AS l_discount, 0.02D AS l_tax, 'N' AS l_returnflag, 'F' AS l_linestatus FROM range(0, 11) o, range(1, 4) n"}
+    for name, sql in tables.items():
+        spark.sql(sql).write.parquet(f"{tmp_path}/{name}.parquet")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = standins.listing_envelopes(spark, str(tmp_path))
+        got = {r._id: (r.filename, [x.propertyCode for x in r.data]) for r in out.collect()}
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    lines = {k: [f"{k}-{n}" for n in (1, 2, 3)] for k in range(9)}
+    # order 5 has no key, lines of order 8 neither; order 6 stands there twice
+    assert got == {"L0": ("idealista_2023-01-06.json", lines[1] + lines[2] + lines[3]),
+                   "L1": ("idealista_2020-02-02.json", lines[4] + sorted(2 * lines[6]) + lines[7])}
+    assert "hashpartitioning(l_orderkey" not in plan and plan.count("hashpartitioning(block") > 0

@@ -216,3 +216,14 @@ def test_records_without_a_name_are_spread(spark):
         for k, v in old.items():
             spark.conf.set(k, v)
     assert len(parts) == 4 and max(parts) < 2 * min(parts)
+
+
+def test_records_are_not_shuffled_by_name_when_the_dictionary_size_is_overestimated(spark):
+    ids = spark.range(3).selectExpr("id AS k", "id * 10 AS v")
+    far = ids.alias("a").crossJoin(spark.range(3000).selectExpr("id AS w")).groupBy("k").agg(F.max("w").alias("w"), F.max("v").alias("v"))
+    lookup = far.join(spark.range(1 << 20).selectExpr("id AS n"), F.col("k") == F.col("n")).selectExpr(
+        "k AS pos", *(f"concat('{v}', k) AS {c}" for v, c in zip("dAdd1aa2", LOOKUP_COLUMNS)))
+    records = spark.range(1000).selectExpr("id", "CASE WHEN id % 3 = 0 THEN NULL ELSE 'A1' END AS name")
+    out = reconcile(records, lookup, "name", how="inner")
+    plan = _plan(out)
+    assert out.count() == 666 and "hashpartitioning(_key" not in plan and "SortMergeJoin" not in plan
