@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,6 +28,22 @@ def staged(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextlib.contextmanager
+def short_batches(spark: SparkSession, rows: int = 1000):
+    """Jobs started inside move at most ``rows`` rows at a time to Python: a batch of whole texts lies in the memory of
+    the JVM and of the Python worker, of each task."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    if 0 < int(before) <= rows:
+        yield
+        return
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def dropped(*frames: DataFrame) -> None:
     """Delete the written tables that ``staged`` returned, once nothing reads them any more."""
     for df in frames:

@@ -16,9 +16,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from citylake.llm.common import numbered, staged
+from citylake.llm.common import numbered, short_batches, staged
 from citylake.llm.cutting_stock import plan
 from citylake.llm.token_files import binary_rows, encode_documents
+from citylake.llm.tokens import drop_encoders
 
 ALLOCATION = "length int, lo long, hi long, copies int, first long, at int, left boolean"
 
@@ -83,13 +84,15 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, window: int = 1024, id_
     ``max_padding`` missing in a pattern.
     """
     id_type = docs.schema[id_col].dataType.simpleString()
-    tokens = staged(encode_documents(docs, tokenizer_path, "bytes", id_col, text_col, end_id)
-                    .select("id", "ids", F.expr("octet_length(ids) div 2").cast("long").alias("n"), F.monotonically_increasing_id().alias("rid")), "tokens")
+    with short_batches(docs.sparkSession):
+        tokens = staged(encode_documents(docs, tokenizer_path, "bytes", id_col, text_col, end_id)
+                        .select("id", "ids", F.expr("octet_length(ids) div 2").cast("long").alias("n"), F.monotonically_increasing_id().alias("rid")), "tokens")
     plan_of = pack_lengths(tokens.select("rid", "n"), window, max_padding, max_columns)
     whole = tokens.select("rid", "id", "ids").join(plan_of, "rid").select("id", "ids", "n", "pieces")
 
     def cut(batches):
-        for batch in batches:
+        drop_encoders()  # all texts have been encoded
+        for batch in (b.slice(i, 1000) for b in batches for i in range(0, b.num_rows, 1000)):
             pieces = batch.column(3)
             sizes = pa.compute.list_value_length(pieces).to_numpy(zero_copy_only=False)
             flat = pieces.flatten()

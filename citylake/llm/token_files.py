@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from citylake.llm.common import _partitions, byte_slices, staged
+from citylake.llm.common import _partitions, column_slices, short_batches, staged
 from citylake.llm.huffman import Code, code_lengths
 from citylake.llm.tokens import tokenizers_encoder
 
@@ -39,9 +39,8 @@ def encode_documents(docs: DataFrame, tokenizer_path: str, kind: str, id_col: st
     def encode(batches):
         encoder = tokenizers_encoder(tokenizer_path, kind)
         for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            for first, last in byte_slices(texts):
-                ids, counts = encoder.encode(texts[first:last])
+            for first, last, texts in column_slices(batch.column(1), 1_000_000):
+                ids, counts = encoder.encode(texts)
                 ends = np.cumsum(counts)
                 ids = np.insert(ids, ends, np.uint16(end_id)).astype("<u2")
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, last - first), binary_rows(ids, counts + 1)], ["id", "ids"])
@@ -80,8 +79,9 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, kind: str = "w
     spark = docs.sparkSession
     narrow = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"), F.monotonically_increasing_id().alias("place"))
     ordered = narrow.repartitionByRange(_partitions(docs), "id", "place").sortWithinPartitions("id", "place")
-    tokens = staged(encode_documents(ordered, tokenizer_path, kind, "id", "text", end_id)
-                    .withColumn("seq", F.monotonically_increasing_id()), "tokens")
+    with short_batches(spark):
+        tokens = staged(encode_documents(ordered, tokenizer_path, kind, "id", "text", end_id)
+                        .withColumn("seq", F.monotonically_increasing_id()), "tokens")
     lengths = code_lengths(id_counts(tokens, vocabulary), LIMIT)
     spark.createDataFrame([(bytearray(lengths.tobytes()), LIMIT, block)], "lengths binary, bits int, block int").write.parquet(f"{path}/codebook")
 

@@ -19,6 +19,8 @@ _SPLIT = re.compile(r" (?=\S)")
 _CONTROL = re.compile("[\x1c-\x1f]")
 _ABOVE_LATIN = re.compile("[^\x00-ɏ]")
 _TAIL = frozenset(".,;:!?")
+#: New chunks that are given to the library at a time: what it returns is many times as large as the ids.
+SLICE = 4_096
 
 
 class _Odd(Exception):
@@ -33,18 +35,18 @@ class _Table(dict):
         self.owner, self.prefix = owner, prefix
 
     def __missing__(self, piece):
-        owner, raw = self.owner, self.owner.raw
+        owner = self.owner
         if self.prefix and (not piece or piece[0].isspace()):
             raise _Odd
         size = 0
         if owner.encode_joined:
             size = _words(piece) if owner.kind == "words" else len(piece.encode("utf-8", "surrogatepass")) + 1 if self.prefix else 0
+        index = owner.known + len(owner.fresh)
         if size:
-            owner.joined.append((len(raw), self.prefix + piece, size))
+            owner.joined.append((len(owner.fresh), self.prefix + piece, size))
         else:
-            owner.pending.append((len(raw), self.prefix + piece))
-        index = len(raw)
-        raw.append(None)
+            owner.pending.append((len(owner.fresh), self.prefix + piece))
+        owner.fresh.append(None)
         if len(piece) <= 64:
             self[piece] = index
         return index
@@ -63,14 +65,14 @@ class ChunkEncoder:
     chunks used least go. ``encode_joined``: the same as ``encode_many`` for chunks that may be joined,
     returning the bytes of each chunk's ids; it also gets each chunk's size, in bytes or words."""
 
-    def __init__(self, encode_many, kind: str, special=(), max_chunks: int = 900_000, encode_joined=None):
+    def __init__(self, encode_many, kind: str, special=(), max_chunks: int = 700_000, encode_joined=None):
         self.encode_many, self.kind, self.special, self.max_chunks = encode_many, kind, tuple(special), max_chunks
         self.encode_joined = encode_joined
         self.clear()
 
     def clear(self):
         self.plain, self.spaced = _Table(self, ""), _Table(self, " ")
-        self.pending, self.joined, self.raw = [], [], []
+        self.pending, self.joined, self.fresh = [], [], []  # chunks that have no ids yet; the others' ids lie in ``pool`` alone
         self.known = 0
         self.hits = np.zeros(0, np.int64)
         self.pool = np.zeros(0, np.uint16)
@@ -79,22 +81,26 @@ class ChunkEncoder:
 
     def forget(self):
         """Keep the half of ``max_chunks`` that was used most."""
-        hits = self.hits[:len(self.raw)]
-        keep = np.zeros(len(hits), bool)
-        keep[np.argsort(hits, kind="stable")[-(self.max_chunks // 2):]] = True
-        tables = [[(p, i) for p, i in t.items() if keep[i]] for t in (self.plain, self.spaced)]
-        raw, hits = self.raw, hits // 2
+        keep = np.zeros(self.known, bool)
+        keep[np.argsort(self.hits, kind="stable")[-(self.max_chunks // 2):]] = True
+        tables, hits, pool, start, size = (self.plain, self.spaced), self.hits // 2, self.pool, self.start, self.size
         self.clear()
-        for table, kept in zip((self.plain, self.spaced), tables, strict=True):
-            for piece, i in kept:
-                table[piece] = len(self.raw)
-                self.raw.append(raw[i])
-        self.hits = hits[[i for kept in tables for _, i in kept]] if self.raw else self.hits
+        kept = []
+        for table, old in zip((self.plain, self.spaced), tables, strict=True):
+            for piece, i in old.items():
+                if keep[i]:
+                    table[piece] = len(kept)
+                    kept.append(i)
+            old.clear()
+        kept = np.array(kept, np.int64)
+        self.known, self.hits, self.size = len(kept), hits[kept], size[kept]
+        self.pool = pool[_spans(start[kept], self.size)]
+        self.start = np.cumsum(self.size) - self.size
 
     def _whole(self, text):
-        self.pending.append((len(self.raw), text))
-        self.raw.append(None)
-        return np.array([len(self.raw) - 1], np.int64)
+        self.pending.append((len(self.fresh), text))
+        self.fresh.append(None)
+        return np.array([self.known + len(self.fresh) - 1], np.int64)
 
     def _chunks(self, text):
         if any(s in text for s in self.special):
@@ -120,43 +126,52 @@ class ChunkEncoder:
         return np.concatenate([[self.plain[pieces[0]]] if pieces[0] else [], rest]).astype(np.int64)
 
     def _resolve(self):
-        if self.pending:
-            ids = self.encode_many([text for _, text in self.pending])
-            for (index, _), one in zip(self.pending, ids, strict=True):
-                self.raw[index] = array("H", one).tobytes()
-        if self.joined:
-            index, texts, sizes = zip(*self.joined, strict=True)
+        new = self.fresh
+        for at in range(0, len(self.pending), SLICE):
+            part = self.pending[at:at + SLICE]
+            for (i, _), one in zip(part, self.encode_many([text for _, text in part]), strict=True):
+                new[i] = array("H", one).tobytes()
+        for at in range(0, len(self.joined), SLICE):
+            index, texts, sizes = zip(*self.joined[at:at + SLICE], strict=True)
             for i, one in zip(index, self.encode_joined(texts, sizes), strict=True):
-                self.raw[i] = one
-        self.pending, self.joined = [], []
-        if self.known < len(self.raw):
-            new = self.raw[self.known:]
+                new[i] = one
+        self.pending, self.joined, self.fresh = [], [], []
+        if new:
             size = np.fromiter(map(len, new), np.int64, len(new)) // 2
             start = len(self.pool) + np.cumsum(size) - size
             self.pool = np.concatenate([self.pool, np.frombuffer(b"".join(new), np.uint16)])
             self.start, self.size = np.concatenate([self.start, start]), np.concatenate([self.size, size])
-            self.known = len(self.raw)
+            self.hits = np.concatenate([self.hits, np.zeros(len(new), np.int64)])
+            self.known += len(new)
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids as one uint16 array, and the number of ids of each text."""
-        if len(self.raw) > self.max_chunks or len(self.pool) > 16 * self.max_chunks:
+        if self.known > self.max_chunks or len(self.pool) > 16 * self.max_chunks:
             self.forget()
         chunks = [self._chunks(t) for t in texts]
         self._resolve()
-        counts = np.fromiter((self.size[c].sum() for c in chunks), np.int64, len(chunks))
         every = np.concatenate([np.zeros(0, np.int64), *chunks])
-        if len(self.hits) < len(self.raw):
-            self.hits = np.concatenate([self.hits, np.zeros(len(self.raw) - len(self.hits), np.int64)])
         self.hits += np.bincount(every, minlength=len(self.hits))
         size = self.size[every]
-        ends = np.cumsum(size)
-        at = np.repeat(self.start[every] - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)
-        return self.pool[at], counts
+        last = np.cumsum(np.fromiter(map(len, chunks), np.int64, len(chunks)))
+        counts = np.diff(np.concatenate([[0], np.cumsum(size)])[last], prepend=0)
+        return self.pool[_spans(self.start[every], size)], counts
+
+
+def _spans(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The places start, start + 1, ... of each of the spans, one span after another."""
+    ends = np.cumsum(size)
+    return np.repeat(start - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)
 
 
 _KEPT: dict = {}
 
 
+def drop_encoders() -> None:
+    """Free what this Python worker keeps for encoding."""
+    _KEPT.clear()
+
+
 def tokenizers_encoder(path: str, kind: str) -> ChunkEncoder:
     """The tokenizers library with the vocabulary file at ``path``, one per Python worker."""
     if (path, kind) not in _KEPT:

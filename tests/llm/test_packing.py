@@ -115,3 +115,28 @@ def test_columns_are_priced_beyond_the_first_fit():
     # optimal: the dual values of the result price no pattern over 1
     basis = np.array([c for c, _ in got], float)
     assert len(basis) == 3 and (np.array(every) @ np.linalg.solve(basis, np.ones(3)) <= 1 + 1e-6).all()
+
+
+def test_whole_texts_go_to_python_in_short_batches(spark, monkeypatch):
+    from citylake.llm import packing, token_files
+    seen = spark.sparkContext.accumulator(0)
+
+    def encode(df, *args):
+        def sizes(batches):
+            for b in batches:
+                if b.num_rows > 1000:
+                    seen.add(1)
+                yield b
+        return token_files.encode_documents(df.mapInArrow(sizes, df.schema), *args)
+
+    monkeypatch.setattr(packing, "encode_documents", encode)
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    df = spark.range(0, 6000, 1, 2).selectExpr("id AS doc_id", "concat('text of ', id) AS text")
+    got = pack_documents(df, PATH, window=64).collect()
+    assert seen.value == 0 and spark.conf.get(key) == before
+    tok = Tokenizer.from_file(PATH)
+    ids = {}
+    for r in sorted(got, key=lambda r: (r.doc_id, r.start)):
+        ids[r.doc_id] = ids.get(r.doc_id, []) + np.frombuffer(r.ids, "<u4").tolist()
+    assert ids == {i: [*tok.encode(f"text of {i}", add_special_tokens=False).ids, 0] for i in range(6000)}

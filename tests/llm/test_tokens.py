@@ -63,3 +63,22 @@ def test_special_strings_in_other_case_are_ordinary_text(name, kind):
     for t, n in zip(many, counts, strict=True):
         assert ids[at:at + n].tolist() == whole.encode(t, add_special_tokens=False).ids, repr(t)
         at += n
+
+
+def test_the_library_gets_few_chunks_at_a_time_and_kept_chunks_keep_their_ids():
+    from citylake.llm import tokens
+    path, seen = public_tokenizers.path("byte_bpe_50k.json"), []
+    whole = Tokenizer.from_file(path)
+    encoder = tokenizers_encoder(path, "bytes")
+    joined = encoder.encode_joined
+    encoder.clear()
+    encoder.encode_joined = lambda chunks, sizes: seen.append(len(chunks)) or joined(chunks, sizes)
+    try:
+        many = [" ".join(f"w{i * j}x" for j in range(40)) for i in range(1, 800)]
+        for _ in range(2):
+            ids, counts = encoder.encode(many)
+            assert ids.tolist() == [i for t in many for i in whole.encode(t, add_special_tokens=False).ids] and counts.sum() == len(ids)
+            encoder.forget()
+    finally:
+        encoder.encode_joined = joined
+    assert max(seen) <= tokens.SLICE < sum(seen)
