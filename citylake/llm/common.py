@@ -5,11 +5,15 @@ from __future__ import annotations
 import contextlib
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from citylake.session import checkpoint_dir
 
+#: A filter of hashes has at least 32 bits a hash: a power of two from 2 ** 12 to 2 ** 26 bits (8 MB). With more hashes than fit there it lets
+#: more through to the exact join after it.
+MIN_FILTER_BITS, MAX_FILTER_BITS = 12, 26
+
 
 def fresh_folder(spark: SparkSession, name: str) -> str:
     """A new path in the shared checkpoint folder."""
@@ -96,6 +100,34 @@ def column_slices(column, most: int, rows: int = 1 << 30):
         yield first, len(column), [t or "" for t in column.slice(first).to_pylist()]
 
 
+def filter_bits(n: int) -> int:
+    """log2 of the filter's bits for ``n`` hashes."""
+    return min(max((32 * n - 1).bit_length(), MIN_FILTER_BITS), MAX_FILTER_BITS)
+
+
+def hash_filter(hashes: DataFrame):
+    """A Bloom filter with two probes over the column ``h``, as a test of a hash column, sized by the number of
+    hashes. It only thins out what is shuffled; the join after it is exact. Its longs are one value of a
+    written table of one row, which plans read by a scalar subquery."""
+    spark = hashes.sparkSession
+    distinct = hashes.select("h").distinct()
+    bits = filter_bits(distinct.count())
+    mask = (1 << bits) - 1
+    places = distinct.select(F.explode(F.array(F.col("h").bitwiseAND(mask), F.shiftrightunsigned("h", 32).bitwiseAND(mask))).alias("b"))
+    words = places.groupBy(F.shiftright("b", 6).alias("w")).agg(F.expr("bit_or(shiftleft(1L, cast(b & 63 AS int)))").alias("bits"))
+    dense = words.unionAll(spark.range(1 << bits - 6).select(F.col("id").alias("w"), F.lit(0).cast("long").alias("bits")))
+    dense = dense.groupBy("w").agg(F.expr("bit_or(bits)").alias("bits"))
+    row = dense.agg(F.sort_array(F.collect_list(F.struct("w", "bits"))).alias("all")).select(F.col("all.bits").alias("bits"))
+    table = staged(row, "filter").scalar()
+
+    def bit(at: Column) -> Column:
+        return F.getbit(F.get(table, F.shiftright(at, 6).cast("int")), at.bitwiseAND(63).cast("int")) == 1
+
+    def test(h: Column) -> Column:
+        return bit(h.bitwiseAND(mask)) & bit(F.shiftrightunsigned(h, 32).bitwiseAND(mask))
+    return test
+
+
 def numbered(df: DataFrame, group: str, order: list[str], number: str, weight: str | None = None) -> DataFrame:
     """Gapless numbers from 0 in each ``group``, in the order of ``order``; with ``weight``, the sum
     of the weights before the row instead.

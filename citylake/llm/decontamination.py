@@ -14,15 +14,12 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from citylake.llm.common import staged, unused
+from citylake.llm.common import filter_bits, hash_filter, staged, unused  # noqa: F401
 
 #: What separates words: ASCII but digits and lower-case letters.
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: Characters that lower() may change although A-Z doesn't hold them.
 OTHER_UPPER = r"[\p{IsUppercase}\p{Lt}&&[^A-Z]]"
-#: The shingle filter has at least 32 bits a hash: a power of two from 2 ** 12 to 2 ** 26 bits (8 MB). With more hashes than fit there it lets
-#: more through to the exact join after it.
-MIN_FILTER_BITS, MAX_FILTER_BITS = 12, 26
 
 
 def words_of(text: Column) -> Column:
@@ -40,34 +37,6 @@ def _hash(words: Column, at: Column, size: int) -> Column:
     return F.xxhash64(*(F.get(words, at + k) for k in range(size)), F.lit(size))
 
 
-def filter_bits(n: int) -> int:
-    """log2 of the filter's bits for ``n`` hashes."""
-    return min(max((32 * n - 1).bit_length(), MIN_FILTER_BITS), MAX_FILTER_BITS)
-
-
-def _filter(hashes: DataFrame):
-    """A Bloom filter with two probes over the column ``h``, as a test of a hash column, sized by the number of
-    hashes. It only thins out what is shuffled; the join after it is exact. Its longs are one value of a
-    written table of one row, which plans read by a scalar subquery."""
-    spark = hashes.sparkSession
-    distinct = hashes.select("h").distinct()
-    bits = filter_bits(distinct.count())
-    mask = (1 << bits) - 1
-    places = distinct.select(F.explode(F.array(F.col("h").bitwiseAND(mask), F.shiftrightunsigned("h", 32).bitwiseAND(mask))).alias("b"))
-    words = places.groupBy(F.shiftright("b", 6).alias("w")).agg(F.expr("bit_or(shiftleft(1L, cast(b & 63 AS int)))").alias("bits"))
-    dense = words.unionAll(spark.range(1 << bits - 6).select(F.col("id").alias("w"), F.lit(0).cast("long").alias("bits")))
-    dense = dense.groupBy("w").agg(F.expr("bit_or(bits)").alias("bits"))
-    row = dense.agg(F.sort_array(F.collect_list(F.struct("w", "bits"))).alias("all")).select(F.col("all.bits").alias("bits"))
-    table = staged(row, "filter").scalar()
-
-    def bit(at: Column) -> Column:
-        return F.getbit(F.get(table, F.shiftright(at, 6).cast("int")), at.bitwiseAND(63).cast("int")) == 1
-
-    def test(h: Column) -> Column:
-        return bit(h.bitwiseAND(mask)) & bit(F.shiftrightunsigned(h, 32).bitwiseAND(mask))
-    return test
-
-
 def benchmark_windows(benchmark: DataFrame, window: int, item_col: str, text_col: str) -> DataFrame:
     """(item, words): the distinct windows of each item; an item of fewer words, but not none, is one."""
     items = benchmark.select(F.col(f"`{item_col}`").alias("item"), words_of(F.col(f"`{text_col}`")).alias("w"))
@@ -100,7 +69,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10, shing
 
     def occurrences(wanted: DataFrame, *columns: Column) -> DataFrame:
         """Occurrences of shingles of all sizes, from one pass over the texts."""
-        test = _filter(wanted)
+        test = hash_filter(wanted)
         each = [F.struct(F.lit(s).alias("s"), F.xxhash64(F.col("word"), *(F.get("words", F.col("pos") + k) for k in range(1, s)), F.lit(s)).alias("h"))
                 for s in sizes]
         exploded = texts.select("digest", "words", F.posexplode("words").alias("pos", "word"))

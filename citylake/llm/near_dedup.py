@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from citylake.llm import dartminhash as D
-from citylake.llm.common import column_slices, dropped, staged, unused
+from citylake.llm.common import column_slices, dropped, hash_filter, staged, unused
 from citylake.llm.components import components
 
 BANDS = 32
@@ -149,14 +149,20 @@ def near_links(docs: DataFrame, width: int = 5, threshold: float = 0.8, bands: i
     sketched = given.mapInArrow(_sketch(width, bands, rows, weighting), "digest binary, keys array<long>")
     signed = staged(sketched.dropDuplicates(["digest"]), "bands")
     keys = signed.select("digest", F.explode("keys").alias("key"))
+    # few keys are those of two texts: the others' texts aren't shuffled
+    often = staged(keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"), "often")
+    may_meet = hash_filter(often.select(F.col("key").alias("h")))
+    met = staged(keys.where(may_meet(F.col("key"))).join(often, "key", "left_semi"), "met")
+    dropped(signed, often)
     # bands in which the same texts meet, told by two hashes over them, need one bucket
-    shared = (keys.groupBy("key").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("digest")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "digest")).alias("y"))
-              .where("n > 1").groupBy("n", "x", "y").agg(F.min("key").alias("key")).select("key", "n"))
-    buckets = staged(keys.join(shared, "key"), "buckets")
-    dropped(signed)
+    shared = (met.groupBy("key").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("digest")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "digest")).alias("y"))
+              .groupBy("n", "x", "y").agg(F.min("key").alias("key")).select("key", "n"))
+    buckets = staged(met.join(shared, "key"), "buckets")
+    dropped(met)
     # copies of one text come from many tasks; they meet its digest in COPY_PARTS tasks, which reduce them
     wanted = buckets.select("digest").distinct().withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(COPY_PARTS - 1))))
-    sets = staged(given.withColumn("_part", F.spark_partition_id() % COPY_PARTS).join(wanted, ["digest", "_part"], "left_semi").select("digest", "text")
+    wanted_here = hash_filter(buckets.select(F.xxhash64("digest").alias("h")))(F.xxhash64("digest"))  # other texts stay where they are
+    sets = staged(given.where(wanted_here).withColumn("_part", F.spark_partition_id() % COPY_PARTS).join(wanted, ["digest", "_part"], "left_semi").select("digest", "text")
                   .mapInArrow(_sets(width, weighting), "digest binary, shingles array<long>").dropDuplicates(["digest"]), "sets")
     meets = buckets.groupBy("digest").agg(F.sum("n").alias("meets"))
     leaders = buckets.join(meets, "digest").groupBy("key").agg(F.max(F.struct("meets", "digest")).alias("m")).select("key", F.col("m.digest").alias("leader"))
@@ -241,7 +247,10 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     def key(id_, digest):  # one binary column, so that one exchange serves the join and what follows
         return F.unhex(F.md5(F.concat(F.coalesce(id_.cast("string"), F.lit("-")).cast("binary"), F.lit(b":"), digest)))
 
-    stay = classes.where("kept AND digest IS NOT NULL").select(key(F.col(f"`{id_col}`"), F.col("digest")).alias(name))
+    found = staged(classes.where("digest IS NOT NULL").select(key(F.col(f"`{id_col}`"), F.col("digest")).alias(name), "kept"), "kept")
+    # a key of which no row goes has one row; only rows of other keys, and the few that pass the filter beside them, are shuffled
+    goes = hash_filter(found.where("NOT kept").select(F.xxhash64(name).alias("h")))(F.xxhash64(F.col(name)))
     text = F.col(f"`{text_col}`")
     have = docs.where(text.isNotNull()).withColumn(name, key(F.col(f"`{id_col}`"), F.unhex(F.md5(text.cast("binary")))))
-    return have.join(stay, name, "left_semi").dropDuplicates([name]).drop(name).unionAll(docs.where(text.isNull()))
+    stay = have.where(goes).join(found.where("kept").where(goes).select(name), name, "left_semi").dropDuplicates([name])
+    return have.where(~goes).unionAll(stay.select(*have.columns)).drop(name).unionAll(docs.where(text.isNull()))

@@ -6,7 +6,7 @@ import pytest
 
 from citylake.llm import dartminhash as D
 from citylake.llm.components import components
-from citylake.llm.near_dedup import near_duplicates
+from citylake.llm.near_dedup import deduplicate, near_duplicates
 from tests.llm.helpers import docs, with_extra
 
 WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
@@ -205,3 +205,22 @@ def test_a_very_long_text(spark):
     other[1000] = other[200_000] = "changed"
     rows = near_duplicates(docs(spark, [" ".join(words), " ".join(other), "short one " * 9])).collect()
     assert {r.doc_id: r.class_id for r in rows} == {0: 0, 1: 0, 2: 2}
+
+
+def _exchanged(plan):
+    """Bytes that the exchanges of a query that has run were given."""
+    if plan.nodeName() == "Exchange":
+        return plan.metrics().apply("dataSize").value()
+    inner = plan.executedPlan() if plan.nodeName() == "AdaptiveSparkPlan" else plan.plan() if "QueryStage" in plan.nodeName() else None
+    children = [inner] if inner else [plan.children().apply(i) for i in range(plan.children().size())]
+    return sum(_exchanged(c) for c in children)
+
+
+def test_rows_of_which_no_copy_goes_are_not_shuffled(spark):
+    rng = random.Random(11)
+    texts = [" ".join(f"w{rng.randrange(10 ** 6)}" for _ in range(300)) for _ in range(200)]
+    got = deduplicate(docs(spark, texts + [texts[3], texts[3] + " tail", None, texts[7]], ids=[*range(200), 900, 901, 902, 7]))
+    rows = got.collect()
+    assert sorted((r["doc_id"], r["text"]) for r in rows if r["text"]) == list(enumerate(texts))
+    assert [r["doc_id"] for r in rows if r["text"] is None] == [902]
+    assert _exchanged(got._jdf.queryExecution().executedPlan()) < sum(map(len, texts)) / 4
