@@ -60,20 +60,29 @@ class Code:
         """The bits, and the bit offset at which each run of ``block`` ids begins."""
         if not len(ids):
             return b"", np.zeros(0, np.int64)
-        size = self.lengths[ids]
+        size, code = self.lengths[ids], self.codes[ids]
         if not size.all():
             raise ValueError("an id has no code")
+        offsets = np.cumsum(np.add.reduceat(size, np.arange(0, len(ids), block)))
+        offsets = np.concatenate([[0], offsets[:-1]])
+        # neighbours are joined while two of the longest fit a word, so that fewer codes are placed
+        most = self.limit
+        while 2 * most <= 64:
+            if len(size) % 2:
+                size, code = np.append(size, 0), np.append(code, np.uint64(0))
+            code = code[::2] << size[1::2].astype(np.uint64) | code[1::2]
+            size = size[::2] + size[1::2]
+            most *= 2
         ends = np.cumsum(size)
         at = ends - size
         word, room = at >> 6, 64 - (at & 63) - size
-        code = self.codes[ids]
         here = np.where(room >= 0, code << np.maximum(room, 0).astype(np.uint64), code >> np.maximum(-room, 0).astype(np.uint64))
         out = np.zeros((int(ends[-1]) + 63) // 64, np.uint64)
         firsts = np.concatenate([[0], np.flatnonzero(np.diff(word)) + 1])
         out[word[firsts]] = np.add.reduceat(here, firsts)  # bits of different ids don't overlap
         over = np.flatnonzero(room < 0)
         out[word[over] + 1] |= code[over] << (64 + room[over]).astype(np.uint64)
-        return out.astype(">u8").tobytes()[:(int(ends[-1]) + 7) // 8], at[::block]
+        return out.astype(">u8").tobytes()[:(int(ends[-1]) + 7) // 8], offsets
 
     def decode(self, bits: bytes, offsets: np.ndarray, n: int, block: int) -> np.ndarray:
         """``n`` ids. The blocks are independent; one step decodes one id of every block."""

@@ -33,9 +33,9 @@ def binary_rows(ids: np.ndarray, counts: np.ndarray) -> pa.Array:
                                  [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(ids.tobytes())]).cast(pa.binary())
 
 
-def encode_documents(docs: DataFrame, tokenizer_path: str, kind: str, id_col: str, text_col: str, end_id: int) -> DataFrame:
+def encode_documents(docs: DataFrame, tokenizer_path: str, kind: str, id_col: str, text_col: str, end_id: int, vocabulary: int | None = None) -> DataFrame:
     """(id, ids) with the ids of the whole text and ``end_id`` as little-endian unsigned 16 bits; a null
-    text is empty."""
+    text is empty. With ``vocabulary``, ``used`` holds in the last row of each task how often its ids occur, see ``id_counts``."""
     def encode(batches):
         encoder = tokenizers_encoder(tokenizer_path, kind)
         for batch in batches:
@@ -43,23 +43,45 @@ def encode_documents(docs: DataFrame, tokenizer_path: str, kind: str, id_col: st
                 ids, counts = encoder.encode(texts)
                 ends = np.cumsum(counts)
                 ids = np.insert(ids, ends, np.uint16(end_id)).astype("<u2")
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, last - first), binary_rows(ids, counts + 1)], ["id", "ids"])
+                yield ids, [batch.column(0).slice(first, last - first), binary_rows(ids, counts + 1)]
+
+    def rows(batches):
+        for _, columns in encode(batches):
+            yield pa.RecordBatch.from_arrays(columns, ["id", "ids"])
+
+    def counted(batches):
+        def out(columns, used=None):
+            n = len(columns[0])
+            return pa.RecordBatch.from_arrays([*columns, pa.array([None] * (n - 1) + [used], pa.binary())], ["id", "ids", "used"])
+
+        total, held = np.zeros(vocabulary, np.int64), None
+        for ids, columns in encode(batches):
+            total += np.bincount(ids, minlength=vocabulary)
+            if held:
+                yield out(held)
+            held = columns
+        if held:
+            used = np.flatnonzero(total)
+            yield out(held, np.stack([used, total[used]]).astype("<i8").tobytes())
 
     id_type = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text")).mapInArrow(encode, f"id {id_type}, ids binary")
+    narrow = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
+    return narrow.mapInArrow(rows if vocabulary is None else counted, f"id {id_type}, ids binary" + (", used binary" if vocabulary else ""))
 
 
 def id_counts(tokens: DataFrame, vocabulary: int) -> np.ndarray:
-    """How often each id occurs. Tasks count their own ids; at most one row per id and task is
-    shuffled and one per id (the vocabulary bounds them) reaches the driver."""
+    """How often each id occurs, from what the tasks that encoded have counted: only their ``used`` is read. At most one row
+    per id and task is shuffled and one per id (the vocabulary bounds them) reaches the driver."""
     def count(batches):
         total = np.zeros(vocabulary, np.int64)
         for batch in batches:
-            total += np.bincount(np.frombuffer(b"".join(batch.column(0).to_pylist()), "<u2"), minlength=vocabulary)
+            for used in batch.column(0).to_pylist():
+                ids, n = np.frombuffer(used, "<i8").reshape(2, -1)
+                total[ids] += n
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(total[used])], ["id", "n"])
 
-    rows = tokens.select("ids").mapInArrow(count, "id int, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()
+    rows = tokens.where("used IS NOT NULL").select("used").mapInArrow(count, "id int, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()
     counts = np.zeros(vocabulary, np.int64)
     for r in rows:
         counts[r["id"]] = r["n"]
@@ -80,7 +102,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, kind: str = "w
     narrow = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"), F.monotonically_increasing_id().alias("place"))
     ordered = narrow.repartitionByRange(_partitions(docs), "id", "place").sortWithinPartitions("id", "place")
     with short_batches(spark):
-        tokens = staged(encode_documents(ordered, tokenizer_path, kind, "id", "text", end_id)
+        tokens = staged(encode_documents(ordered, tokenizer_path, kind, "id", "text", end_id, vocabulary)
                         .withColumn("seq", F.monotonically_increasing_id()), "tokens")
     lengths = code_lengths(id_counts(tokens, vocabulary), LIMIT)
     spark.createDataFrame([(bytearray(lengths.tobytes()), LIMIT, block)], "lengths binary, bits int, block int").write.parquet(f"{path}/codebook")

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import os
 import re
-from array import array
+from itertools import chain
 
 import numpy as np
 
@@ -38,15 +38,10 @@ class _Table(dict):
         owner = self.owner
         if self.prefix and (not piece or piece[0].isspace()):
             raise _Odd
-        size = 0
-        if owner.encode_joined:
-            size = _words(piece) if owner.kind == "words" else len(piece.encode("utf-8", "surrogatepass")) + 1 if self.prefix else 0
         index = owner.known + len(owner.fresh)
-        if size:
-            owner.joined.append((len(owner.fresh), self.prefix + piece, size))
-        else:
-            owner.pending.append((len(owner.fresh), self.prefix + piece))
-        owner.fresh.append(None)
+        if not self.prefix and owner.kind == "bytes":
+            owner.alone.add(len(owner.fresh))
+        owner.fresh.append(self.prefix + piece)
         if len(piece) <= 64:
             self[piece] = index
         return index
@@ -62,17 +57,17 @@ class ChunkEncoder:
     """``encode_many``: list of strings -> list of id lists. ``kind``: "bytes" for byte-level BPE
     whose pre-tokens take one leading space, "words" for a lower-casing tokenizer that drops white
     space. ``special``: strings that make a text go whole. ``max_chunks`` bounds the cache: beyond it the
-    chunks used least go. ``encode_joined``: the same as ``encode_many`` for chunks that may be joined,
-    returning the bytes of each chunk's ids; it also gets each chunk's size, in bytes or words."""
+    chunks used least go. ``encode_joined``: for chunks that may be joined; it also gets each chunk's size, in
+    bytes or words, and returns all ids as one uint16 array, and how many each chunk has."""
 
-    def __init__(self, encode_many, kind: str, special=(), max_chunks: int = 700_000, encode_joined=None):
+    def __init__(self, encode_many, kind: str, special=(), max_chunks: int = 1_000_000, encode_joined=None):
         self.encode_many, self.kind, self.special, self.max_chunks = encode_many, kind, tuple(special), max_chunks
         self.encode_joined = encode_joined
         self.clear()
 
     def clear(self):
         self.plain, self.spaced = _Table(self, ""), _Table(self, " ")
-        self.pending, self.joined, self.fresh = [], [], []  # chunks that have no ids yet; the others' ids lie in ``pool`` alone
+        self.fresh, self.alone = [], set()  # chunks that have no ids yet, and places there of those that are never joined
         self.known = 0
         self.hits = np.zeros(0, np.int64)
         self.pool = np.zeros(0, np.uint16)
@@ -98,8 +93,8 @@ class ChunkEncoder:
         self.start = np.cumsum(self.size) - self.size
 
     def _whole(self, text):
-        self.pending.append((len(self.fresh), text))
-        self.fresh.append(None)
+        self.alone.add(len(self.fresh))
+        self.fresh.append(text)
         return np.array([self.known + len(self.fresh) - 1], np.int64)
 
     def _chunks(self, text):
@@ -126,23 +121,30 @@ class ChunkEncoder:
         return np.concatenate([[self.plain[pieces[0]]] if pieces[0] else [], rest]).astype(np.int64)
 
     def _resolve(self):
-        new = self.fresh
-        for at in range(0, len(self.pending), SLICE):
-            part = self.pending[at:at + SLICE]
-            for (i, _), one in zip(part, self.encode_many([text for _, text in part]), strict=True):
-                new[i] = array("H", one).tobytes()
-        for at in range(0, len(self.joined), SLICE):
-            index, texts, sizes = zip(*self.joined[at:at + SLICE], strict=True)
-            for i, one in zip(index, self.encode_joined(texts, sizes), strict=True):
-                new[i] = one
-        self.pending, self.joined, self.fresh = [], [], []
-        if new:
-            size = np.fromiter(map(len, new), np.int64, len(new)) // 2
-            start = len(self.pool) + np.cumsum(size) - size
-            self.pool = np.concatenate([self.pool, np.frombuffer(b"".join(new), np.uint16)])
-            self.start, self.size = np.concatenate([self.start, start]), np.concatenate([self.size, size])
-            self.hits = np.concatenate([self.hits, np.zeros(len(new), np.int64)])
-            self.known += len(new)
+        fresh, alone = self.fresh, self.alone
+        self.fresh, self.alone = [], set()
+        if not fresh:
+            return
+        joint = np.zeros(len(fresh), np.int64)
+        if self.encode_joined:
+            joint[:] = [_words(c) for c in fresh] if self.kind == "words" else [len(c.encode("utf-8", "surrogatepass")) for c in fresh]
+            joint[list(alone)] = 0
+        order, parts, counts = [], [], []
+        for index in (np.flatnonzero(joint == 0), np.flatnonzero(joint)):
+            for at in range(0, len(index), SLICE):
+                some = index[at:at + SLICE]
+                chunks = [fresh[i] for i in some.tolist()]
+                ids, n = self.encode_joined(chunks, joint[some]) if joint[some[0]] else _flat(self.encode_many(chunks))
+                order.append(some)
+                parts.append(ids)
+                counts.append(n)
+        order, counts = np.concatenate(order), np.concatenate(counts)
+        start, size = np.zeros(len(fresh), np.int64), np.zeros(len(fresh), np.int64)
+        start[order], size[order] = len(self.pool) + np.cumsum(counts) - counts, counts
+        self.pool = np.concatenate([self.pool, *parts])
+        self.start, self.size = np.concatenate([self.start, start]), np.concatenate([self.size, size])
+        self.hits = np.concatenate([self.hits, np.zeros(len(fresh), np.int64)])
+        self.known += len(fresh)
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids as one uint16 array, and the number of ids of each text."""
@@ -158,6 +160,12 @@ class ChunkEncoder:
         return self.pool[_spans(self.start[every], size)], counts
 
 
+def _flat(lists) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of all lists as one array, and how many each has."""
+    counts = np.fromiter(map(len, lists), np.int64, len(lists))
+    return np.fromiter(chain.from_iterable(lists), np.uint16, int(counts.sum())), counts
+
+
 def _spans(start: np.ndarray, size: np.ndarray) -> np.ndarray:
     """The places start, start + 1, ... of each of the spans, one span after another."""
     ends = np.cumsum(size)
@@ -183,29 +191,57 @@ def tokenizers_encoder(path: str, kind: str) -> ChunkEncoder:
         width = np.zeros(tok.get_vocab_size(), np.int64)  # bytes of an id, or 1 where an id ends a word
         for token, i in tok.get_vocab().items():
             width[i] = len(token) if kind == "bytes" else token.endswith("</w>")
+        bare = _bare(tok) if kind == "words" else None
         _KEPT[path, kind] = ChunkEncoder(
             lambda texts: [e.ids for e in tok.encode_batch_fast(texts, add_special_tokens=False)], kind, special,
-            encode_joined=lambda chunks, sizes: _joined(tok, chunks, sizes, kind, width))
+            encode_joined=lambda chunks, sizes: _joined(tok, chunks, sizes, width, bare))
     return _KEPT[path, kind]
 
 
-def _joined(tok, chunks, sizes, kind: str, width: np.ndarray, group: int = 64) -> list[bytes]:
-    """Ids of chunks that are encoded many at a time. Chunks that begin with a space are told apart in the
-    ids by their bytes, words of letters by the ids that end a word."""
-    groups = [chunks[i:i + group] for i in range(0, len(chunks), group)]
-    found = tok.encode_batch_fast([("" if kind == "bytes" else " ").join(g) for g in groups], add_special_tokens=False)
-    out = []
-    for k, (g, e) in enumerate(zip(groups, found, strict=True)):
-        ids = np.array(e.ids, np.uint16)
-        done = np.cumsum(width[ids])
-        goal = np.cumsum(sizes[k * group:k * group + len(g)])
-        ends = np.searchsorted(done, goal)
-        if len(done) and done[-1] == goal[-1] and (done[np.minimum(ends, len(done) - 1)] == goal).all():
-            raw, ends = ids.tobytes(), [0, *(2 * (ends + 1)).tolist()]
-            out += [raw[a:b] for a, b in zip(ends, ends[1:])]
-        else:
-            out += [array("H", one.ids).tobytes() for one in tok.encode_batch_fast(g, add_special_tokens=False)]
-    return out
+def _bare(tok):
+    """The model of ``tok`` behind a cut at white space alone. Lower-case letters and marks after them, with white space between, are
+    what the normalizer and the patterns of a "words" tokenizer make of ``_words``, so the ids are the same."""
+    from tokenizers import Tokenizer, pre_tokenizers
+
+    bare = Tokenizer(tok.model)
+    bare.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+    return bare
+
+
+def _joined(tok, chunks, sizes, width: np.ndarray, bare=None, group: int = 64) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of chunks that are encoded many at a time, and how many each has. Chunks that begin with a space are told apart in the
+    ids by their bytes, words of letters (where there is a ``bare`` tokenizer for them) by the ids that end a word."""
+    parts = [(chunks[i:i + group], sizes[i:i + group]) for i in range(0, len(chunks), group)]
+    if bare is None:
+        found = tok.encode_batch_fast(["".join(g) for g, _ in parts], add_special_tokens=False)
+    else:
+        joined = [" ".join([c if n == 1 else f"{c[:-1]} {c[-1]}" for c, n in zip(g, s.tolist(), strict=True)]) for g, s in parts]
+        low = [t == t.lower() for t in joined]  # texts with characters beyond Latin come as they are written
+        found = [bare.encode_batch_fast([t for t, b in zip(joined, low, strict=True) if b], add_special_tokens=False),
+                 tok.encode_batch_fast([t for t, b in zip(joined, low, strict=True) if not b], add_special_tokens=False)]
+        found = [found[not b].pop(0) for b in low]
+    found = [e.ids for e in found]
+    ids, lengths = _flat(found)
+    ends = _ends(ids, sizes, width)
+    if ends is not None and (ends[group - 1::group] == np.cumsum(lengths)[:len(ends) // group]).all():
+        return ids, np.diff(ends, prepend=0)
+    all_ids, counts = [], []
+    for (g, s), one in zip(parts, found, strict=True):
+        ids = np.array(one, np.uint16)
+        ends = _ends(ids, s, width)
+        ids, n = _flat([e.ids for e in tok.encode_batch_fast(g, add_special_tokens=False)]) if ends is None else (ids, np.diff(ends, prepend=0))
+        all_ids.append(ids)
+        counts.append(n)
+    return np.concatenate(all_ids), np.concatenate(counts)
+
+
+def _ends(ids: np.ndarray, sizes: np.ndarray, width: np.ndarray) -> np.ndarray | None:
+    """Where each chunk's ids end, if the ids tell it."""
+    done, goal = np.cumsum(width[ids]), np.cumsum(sizes)
+    if not len(done) or done[-1] != goal[-1]:
+        return None
+    ends = np.searchsorted(done, goal)
+    return ends + 1 if (done[ends] == goal).all() and ends[-1] + 1 == len(ids) else None
 
 
 def tiktoken_encoder(path: str) -> tuple[ChunkEncoder, np.ndarray]:

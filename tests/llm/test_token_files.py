@@ -78,3 +78,27 @@ def test_empty_table_ties_and_null_ids(spark, tmp_path):
     write_tokens(docs(spark, ["a", "a", "b", None], ids=[1, 1, None, None]), str(tmp_path / "t"), PATH)
     rows = sorted(read_tokens(spark, str(tmp_path / "t"), digest=True).collect(), key=lambda r: r.start)
     assert [r.doc_id for r in rows] == [None, None, 1, 1] and rows[0].start == 0 and rows[-1].start == sum(r.n_tokens for r in rows[:-1])
+
+
+def test_ids_are_counted_where_they_are_encoded(spark):
+    from citylake.llm.token_files import encode_documents, id_counts
+    path = public_tokenizers.path("word_bpe_49k.json")
+    texts = ["a b a", None, "", "été, the the", "x " * 2000] * 40
+    frame = docs(spark, texts).repartition(7, "text")  # some tasks get no row
+    tokens = encode_documents(frame, path, "words", "doc_id", "text", 1, vocabulary=1 << 16).cache()
+    want = np.bincount([i for t in texts for i in [*Tokenizer.from_file(path).encode(t or "", add_special_tokens=False).ids, 1]], minlength=1 << 16)
+    assert id_counts(tokens.drop("ids"), 1 << 16).tolist() == want.tolist()
+    assert encode_documents(frame, path, "words", "doc_id", "text", 1).columns == ["id", "ids"]
+    tokens.unpersist()
+
+
+def test_codes_of_neighbours_are_joined_without_a_change_of_bits():
+    rng = np.random.default_rng(3)
+    for n, block in [(1, 4), (2, 1), (5, 3), (4099, 512), (1000, 7)]:
+        ids = rng.integers(0, 65536, n).astype("<u2")
+        for code in (Code(np.full(65536, 16, np.uint8)), Code(code_lengths(np.bincount(ids, minlength=65536)))):
+            bits, offsets = code.encode(ids, block)
+            plain = "".join(format(int(code.codes[i]), f"0{code.lengths[i]}b") for i in ids)
+            assert "".join(f"{b:08b}" for b in bits).startswith(plain) and len(bits) == -(-len(plain) // 8)
+            ends = np.cumsum(code.lengths[ids])
+            assert offsets.tolist() == (ends - code.lengths[ids])[::block].tolist()

@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
@@ -82,3 +83,24 @@ def test_the_library_gets_few_chunks_at_a_time_and_kept_chunks_keep_their_ids():
     finally:
         encoder.encode_joined = joined
     assert max(seen) <= tokens.SLICE < sum(seen)
+
+
+def test_words_that_go_to_the_model_without_patterns_have_the_ids_of_the_whole_text():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    whole, encoder, rng = Tokenizer.from_file(path), tokenizers_encoder(path, "words"), random.Random(9)
+    letters = [chr(c) for c in range(0x41, 0x250) if chr(c).isalpha()]
+    words = ["".join(rng.choice(letters) for _ in range(rng.randrange(1, 9))) + rng.choice(["", "", *".,;:!?"]) for _ in range(4000)]
+    encoder.clear()
+    seen, joined = [], encoder.encode_joined
+    encoder.encode_joined = lambda chunks, sizes: seen.extend(chunks) or joined(chunks, sizes)
+    try:
+        # the last texts keep their capitals until the library lowers them
+        many = [" ".join(words[i:i + 50]) + (" Ω" if i >= 3000 else "") for i in range(0, len(words), 50)]
+        ids, counts = encoder.encode(many)
+    finally:
+        encoder.encode_joined = joined
+    want = [whole.encode(t, add_special_tokens=False).ids for t in many]
+    assert ids.tolist() == [i for one in want for i in one] and counts.tolist() == [len(one) for one in want]
+    assert len(seen) > 3000
+    ids, counts = joined(("été,", "École", "mot"), np.array([2, 1, 1]))  # ids as one array, not as bytes of each chunk
+    assert ids.dtype == np.uint16 and [ids[:counts[0]].tolist(), ids[-counts[2]:].tolist()] == [whole.encode(t, add_special_tokens=False).ids for t in ("été,", "mot")]
