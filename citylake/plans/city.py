@@ -9,6 +9,7 @@ jobs read them.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,7 +24,7 @@ from citylake.operators.shape import (SRC, drop_all_null, drop_columns, flatten_
                                      unnest_envelope)
 from citylake.plans import dashboard, marts
 from citylake.plans.features import build_features
-from citylake.session import materialize
+from citylake.session import drop_folder, fresh_path, materialize, shuffles_freed, stored
 from citylake.sources.landing import read_landing, read_lookup
 from citylake.sources.zone import Zone
 
@@ -42,13 +43,44 @@ LISTING_STRUCTS = ["parkingSpace", "detailedType", "suggestedTexts"]
 def format_facilities(envelopes: DataFrame, lookup: DataFrame,
                       counters: dict | None = None) -> tuple[DataFrame, DataFrame]:
     """``table_markets`` and the dictionary extended with the facilities' unmatched places."""
+    rows = _first_facilities(_facility_records(envelopes, counters))
+    return _match_facilities(_flat_facilities(rows), lookup, counters)
+
+
+def format_facility_batches(batches: Iterable[DataFrame], lookup: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``format_facilities`` of documents that come in batches, in any order. Between batches the first records so far are kept; a batch
+    isn't read again once the next one is asked for, so what a batch shuffles and occupies is gone before the next one comes."""
+    kept = at = None
+    for envelopes in batches:
+        spark, rows = envelopes.sparkSession, _facility_records(envelopes)
+        path = fresh_path(spark, "facilities")
+        with shuffles_freed(spark):
+            now = stored(_first_facilities(rows if kept is None else kept.unionByName(rows)), "facilities", path)
+        if kept is not None:
+            drop_folder(spark, at)
+        kept, at = now, path
+    if kept is None:
+        raise ValueError("format_facility_batches needs at least one batch")
+    rows = _flat_facilities(kept)
+    drop_folder(kept.sparkSession, at)
+    return _match_facilities(rows, lookup)
+
+
+def _facility_records(envelopes: DataFrame, counters: dict | None = None) -> DataFrame:
     rows = _observe(unnest_envelope(envelopes), counters, "facilities_read")
     # fields the reference deletes and no later step reads leave before the dedup shuffle (the
     # dedup carries whole rows, so the optimizer cannot prune them); the order is total (_src),
     # so the kept rows are the same
-    rows = drop_columns(rows, [c for c in FACILITY_DROP if c not in FLATTEN_INPUTS])
-    rows = dedup_first(rows.withColumn("_created_year", F.substring(F.col("created").cast("string"), 1, 4)),
+    return drop_columns(rows, [c for c in FACILITY_DROP if c not in FLATTEN_INPUTS])
+
+
+def _first_facilities(rows: DataFrame) -> DataFrame:
+    """First record per (register id, year created). The first of firsts is the first of all, so batches can be joined one by one."""
+    return dedup_first(rows.withColumn("_created_year", F.substring(F.col("created").cast("string"), 1, 4)),
                        ["register_id", "_created_year"], [SRC]).drop("_created_year")
+
+
+def _flat_facilities(rows: DataFrame) -> DataFrame:
     rows = flatten_first(rows, "addresses")
     rows = flatten_first(rows, "classifications_data")
     rows = rows.withColumns({
@@ -59,7 +91,10 @@ def format_facilities(envelopes: DataFrame, lookup: DataFrame,
     })
     # the flattened rows feed three consumers (all-NULL scan, dictionary extension, final match):
     # write them once to the checkpoint folder instead of re-running unnest + dedup for each
-    rows = materialize(drop_columns(rows, FACILITY_DROP))
+    return materialize(drop_columns(rows, FACILITY_DROP))
+
+
+def _match_facilities(rows: DataFrame, lookup: DataFrame, counters: dict | None = None) -> tuple[DataFrame, DataFrame]:
     rows = drop_all_null(rows, [c for c in rows.columns if c != SRC])
     for c in ("district_name", "neighborhood_name", "district_id", "neighborhood_id"):
         if c not in rows.columns:
@@ -194,5 +229,5 @@ def dashboard_data(exploitation: Zone) -> dict[str, DataFrame]:
 
 
 __all__ = ["FACILITY_DROP", "INCOME_DROP", "INCOME_RENAME", "LandingPaths", "counter_values", "dashboard_data",
-           "exploitation_zone", "format_facilities", "format_income", "format_listings", "format_listings_first",
-           "format_zone"]
+           "exploitation_zone", "format_facilities", "format_facility_batches", "format_income", "format_listings",
+           "format_listings_first", "format_zone"]

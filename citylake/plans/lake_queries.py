@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -13,7 +14,7 @@ from citylake.operators.quality import reject_counts
 from citylake.operators.schema import union_growing
 from citylake.plans import city, mart_state, standins
 from citylake.plans.registry import ORACLE, register, rounded
-from citylake.session import checkpoint_dir
+from citylake.session import checkpoint_dir, drop_folder, fresh_path, shuffles_freed
 from citylake.sources.landing import read_landing_checked, split_landing
 from citylake.sources.tables import Tables
 
@@ -27,13 +28,15 @@ def _tables(spark) -> Tables:
 # ---- landing JSON, readable or not (S1 X12 K7) -------------------------------------------------
 #: Envelopes of about 8 KB: some 32 MB of text a file.
 LINES_PER_FILE = 4000
+#: Landing in batches: each reads the tables again, so their number is bounded, and a batch is a fixed share of a large input.
+RECORDS_PER_BATCH, MOST_BATCHES = 4_000_000, 16
 
 
 def _landing_json(spark, envelopes: DataFrame) -> str:
     """The envelopes as JSON lines in a new shared folder, and beside them one broken copy of every second one: cut off, without id, without
     data, with a text in place of the records, or no JSON at all. The files are compressed, as field names repeat in every record, and short,
     since a compressed file is read by one task."""
-    path = f"{checkpoint_dir(spark)}/landing-{uuid.uuid4().hex}"
+    path = fresh_path(spark, "landing")
     whole = F.to_json(F.struct("*"))
     k = F.regexp_extract("_id", "[0-9]+", 0).cast("long")
     records = [c for c in envelopes.columns if c not in ("_id", "data")]
@@ -43,8 +46,9 @@ def _landing_json(spark, envelopes: DataFrame) -> str:
               .when(k % 10 == 3, F.to_json(F.struct("_id", *records, F.lit("no records").alias("data"))))
               .when(k % 10 == 4, F.lit("<html>not found</html>")))
     lines = F.filter(F.array(whole, broken), lambda x: x.isNotNull())
-    (envelopes.select(F.explode(lines).alias("value")).write.option("compression", "gzip").option("maxRecordsPerFile", LINES_PER_FILE)
-     .text(path))
+    with shuffles_freed(spark):
+        (envelopes.select(F.explode(lines).alias("value")).write.option("compression", "gzip").option("maxRecordsPerFile", LINES_PER_FILE)
+         .text(path))
     return path
 
 
@@ -52,6 +56,18 @@ def _landed(spark, envelopes: DataFrame, schema) -> tuple[DataFrame, DataFrame]:
     return split_landing(read_landing_checked(spark, _landing_json(spark, envelopes), schema))
 
 
+def _landed_batches(spark, envelopes: DataFrame, schema, records: int) -> Iterator[DataFrame]:
+    """The accepted envelopes in batches, dealt by a hash of their id. The condition is on the packing key alone, so the rows of other batches
+    go before they are shuffled. A batch's landing files are deleted when the next one is asked for."""
+    n = max(1, min(MOST_BATCHES, -(-records // RECORDS_PER_BATCH)))
+    for k in range(n):
+        path = _landing_json(spark, envelopes.where(F.pmod(F.xxhash64("_id"), F.lit(n)) == k) if n > 1 else envelopes)
+        try:
+            yield split_landing(read_landing_checked(spark, path, schema))[0]
+        finally:
+            drop_folder(spark, path)
+
+
 @register("format_income_json", ORACLE["format_income_zone"])
 def q_format_income_json(spark, d):
     """Income documents read from JSON lines, broken ones rejected, and formatted."""
@@ -71,7 +87,8 @@ def q_format_listings_json(spark, d):
 def q_format_facilities_json(spark, d):
     """Facility documents (their lineitem columns included) read from JSON lines, broken ones rejected, and formatted."""
     given = standins.facility_envelopes(spark, d)
-    table, _ = city.format_facilities(_landed(spark, given, given.schema)[0], standins.places(spark, d))
+    batches = _landed_batches(spark, given, given.schema, standins.table(spark, d, "lineitem").count())
+    table, _ = city.format_facility_batches(batches, standins.places(spark, d))
     return table.select("register_id", "name", "created", "place", "level", "address_name", "full_path", "asia_id",
                         "n_warnings", "x_coord", "y_coord", "source_id", "timestamp", "district", "neighborhood",
                         "district_id", "neighborhood_id")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
 import uuid
@@ -65,9 +66,33 @@ def materialize(df):
     return df.checkpoint(eager=True)
 
 
-def stored(df, name: str):
+def fresh_path(spark: SparkSession, name: str) -> str:
+    """A new path in the checkpoint folder."""
+    return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def stored(df, name: str, path: str | None = None):
     """``df`` written as Parquet to the checkpoint folder and read back: unlike a checkpoint it has its real size in bytes, so that the
-    engine can broadcast it when it is small."""
-    path = f"{checkpoint_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    engine can broadcast it when it is small. A caller that gives the ``path`` (of ``fresh_path``) can drop it again."""
+    path = path or fresh_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this session wrote, once nothing reads it any more."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+@contextlib.contextmanager
+def shuffles_freed(spark: SparkSession):
+    """A job started inside leaves no shuffle files when it has ended; else they stay on the executors' disks until the driver happens to
+    collect its garbage."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, "false")
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
