@@ -23,3 +23,14 @@ def spark():
 @pytest.fixture
 def scratch(tmp_path):
     return str(tmp_path)
+
+
+@pytest.fixture(autouse=True)
+def no_views_left(request):
+    """A test's temporary views end with it: the session is shared, and its views are listed beside every database's tables."""
+    s = request.getfixturevalue("spark") if "spark" in request.fixturenames else None
+    yield
+    if s is not None:
+        for r in s.sql("SHOW VIEWS").collect():
+            if r.isTemporary:
+                s.catalog.dropTempView(r.viewName)
